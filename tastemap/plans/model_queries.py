@@ -1 +1,149 @@
-"""Model, re-ranker, pipeline and tuning queries (rows-only checks: iterative fits)."""
+"""Model, re-ranker, pipeline and tuning queries. These fit iterative models (ALS, the MLP), so
+the driver checks them by rows only; tests check their properties."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tastemap.functions.vectors import array_sum
+from tastemap.operators import als, retrieve
+from tastemap.operators.features import nn_features
+from tastemap.operators.mlp import fit_mlp
+from tastemap.plans import metrics, pipelines, tuning
+from tastemap.plans.queries import DIGITS, K, KNN_BUDGET, Fixtures, _pairs, query
+from tastemap.schema import ITEM, RATING, SCORE, USER
+from tastemap.session import checkpoint_dir
+
+# Published model settings.
+ALS_RANK, ALS_ITER, ALS_REG = 10, 25, 0.1  # MF baseline
+MFNN = dict(max_iter=15, reg=0.1, k=30, rank=10)  # MF-NN without tags
+ANNNN = dict(max_iter=2, reg=0.1, prerank_k=20, rank=20, epochs=50)  # ANN-NN without tags
+ANN_KNN = dict(max_iter=5, rank=20)  # nearest-item recommender
+
+
+def _als(f: Fixtures, rank=ALS_RANK, max_iter=ALS_ITER, reg=ALS_REG):
+    key = f"als_{rank}_{max_iter}_{reg}"
+    return f._get(key, lambda: als.fit_als(f.e_train, rank, max_iter, reg, seed=0))
+
+
+def _factor_summary(df):
+    return df.select(F.col("id"), F.size("features").cast("long").alias("dim"), F.round(array_sum("features"), DIGITS).alias("feature_sum"))
+
+
+@query("als_user_factors")
+def q_als_user_factors(f: Fixtures):
+    return _factor_summary(als.factors(_als(f))[0])
+
+
+@query("als_item_factors")
+def q_als_item_factors(f: Fixtures):
+    return _factor_summary(als.factors(_als(f))[1])
+
+
+@query("als_predict_pairs")
+def q_als_predict_pairs(f: Fixtures):
+    return als.predict_pairs(_als(f), _pairs(f.e_test)).select(USER, ITEM, RATING, SCORE)
+
+
+@query("candidates_als")
+def q_candidates_als(f: Fixtures):
+    uf, itf = als.factors(_als(f))
+    return retrieve.topk_unseen(uf, itf, f.e_train, K, "dot")
+
+
+@query("knn_als")
+def q_knn_als(f: Fixtures):
+    uf, itf = als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"]))
+    return retrieve.knn_budget(uf, itf, f.e_train, K, KNN_BUDGET)
+
+
+@query("knn_lsh")
+def q_knn_lsh(f: Fixtures):
+    return retrieve.knn_lsh(f.vu, f.vi_scaled, f.e_train, K, max_distance=2.5, bucket_length=2.0, num_tables=4)
+
+
+def _mlp(f: Fixtures):
+    def build():
+        rows = nn_features(_pairs(f.e_train), f.vu, f.vi)
+        return fit_mlp(rows, RATING, "features", (20, 8), epochs=32, batch_size=256, seed=0)
+
+    return f._get("mlp", build)
+
+
+@query("mlp_fit_history")
+def q_mlp_fit_history(f: Fixtures):
+    return _mlp(f)[1]
+
+
+@query("mlp_scores")
+def q_mlp_scores(f: Fixtures):
+    model = _mlp(f)[0]
+    return model.predict(nn_features(_pairs(f.e_test), f.vu, f.vi)).select(USER, ITEM, RATING, SCORE)
+
+
+@query("mlp_eval")
+def q_mlp_eval(f: Fixtures):
+    return _mlp(f)[0].evaluate(nn_features(_pairs(f.e_test), f.vu, f.vi), RATING)
+
+
+@query("pipeline_mf_nn")
+def q_pipeline_mf_nn(f: Fixtures):
+    r = pipelines.mf_nn(f.e_train, f.e_test, f.t, MFNN["max_iter"], MFNN["reg"], MFNN["k"], MFNN["rank"], final_k=K)
+    return r.recommendations
+
+
+@query("pipeline_mf_nn_tags")
+def q_pipeline_mf_nn_tags(f: Fixtures):
+    r = pipelines.mf_nn(f.e_train, f.e_test, f.t, MFNN["max_iter"], MFNN["reg"], MFNN["k"], MFNN["rank"], final_k=K, use_tags=True)
+    return r.recommendations
+
+
+@query("pipeline_ann_nn")
+def q_pipeline_ann_nn(f: Fixtures):
+    r = pipelines.ann_nn(
+        f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, epochs=ANNNN["epochs"]
+    )
+    return r.recommendations
+
+
+@query("pipeline_comparison")
+def q_pipeline_comparison(f: Fixtures):
+    """The evaluation suite (recall@10, coverages at 1, NDCG) for the learned pipelines."""
+    uf, itf = als.factors(_als(f))
+    mf_scores = retrieve.dot_scores(uf, itf, f.e_train)
+    knn = retrieve.knn_budget(*als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"])), f.e_train, K, KNN_BUDGET)
+    hyb = pipelines.ann_nn(
+        f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], None, epochs=ANNNN["epochs"]
+    )
+    parts = [
+        metrics.evaluate(f.e_test, mf_scores, "mf", K, 1),
+        metrics.evaluate(f.e_test, metrics.ranks_as_scores(knn), "ann", K, 1),
+        metrics.evaluate(f.e_test, hyb.recommendations.select(USER, ITEM, SCORE), "ann_nn", K, 1),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _fresh(f: Fixtures, name: str) -> str:
+    return f"{checkpoint_dir(f.spark).rstrip('/')}/tuning/{name}-{uuid.uuid4().hex}"
+
+
+@query("tune_als_cv")
+def q_tune_als_cv(f: Fixtures):
+    return tuning.tune_als_cv(f.e_train, max_iters=[5], regs=[0.1, 0.01], ranks=[5], folds=3)
+
+
+@query("tune_knn_grid")
+def q_tune_knn_grid(f: Fixtures):
+    return tuning.tune_knn_grid(f.e_train, max_iters=[5], ranks=[10, 20], path=_fresh(f, "knn"))
+
+
+@query("tune_ann_nn_grid")
+def q_tune_ann_nn_grid(f: Fixtures):
+    return tuning.tune_ann_nn_grid(f.e_train, max_iters=[2], prerank_ks=[20], ranks=[10, 20], path=_fresh(f, "ann_nn"))
+
+
+@query("tune_mf_nn_grid")
+def q_tune_mf_nn_grid(f: Fixtures):
+    return tuning.tune_mf_nn_grid(f.e_train, f.t, max_iters=[5], regs=[0.1], ks=[20, 30], ranks=[10], path=_fresh(f, "mf_nn"))
