@@ -4,10 +4,11 @@
 shuffle, so at most k rows per key and map partition are shuffled whatever the key's size.
 
 ``rank_within`` is an exact 1-based row number per key for groups of any size. A plain window
-partitioned by the key puts a hot key (say a third of all rows) into one task. Instead the rows
-are range-partitioned on (key, order...), so a hot key spans many partitions; each piece is
-numbered locally, and a small table of per-(partition, key) counts gives each piece its offset.
-The partition id is fixed by a reliable checkpoint before it is used in two branches.
+partitioned by the key would put a hot key (say a third of all rows) into one task. Keys above
+a row bound are therefore range-partitioned on (key, order...), so such a key spans many
+partitions; each piece is numbered locally, and a small table of per-(partition, key) counts
+gives each piece its offset. The partition id is fixed by a reliable checkpoint before it is
+used in two branches. Keys under the bound take an ordinary window.
 """
 
 from __future__ import annotations
@@ -33,27 +34,52 @@ def top_k(df: DataFrame, key: str | Sequence[str], order: OrderSpec, k: int, ran
     return df.withColumn(rank_col, F.row_number().over(w).cast("long")).filter(F.col(rank_col) <= k)
 
 
+# Rows per key above which a key is split across tasks (bounds a window task's input).
+MAX_GROUP_ROWS = 5_000_000
+
+
 def rank_within(
     df: DataFrame,
     key: str,
-    order: Sequence[str],
+    order: Sequence[str | Column],
     rank_col: str = "rank",
     count_col: str | None = None,
     num_partitions: int | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Exact ``row_number() over (partition by key order by order)`` that splits hot keys.
 
-    ``order`` columns must make the order total within a key. Optionally adds the key's row
-    count as ``count_col``.
+    ``order`` must make the order total within a key. Optionally adds the key's row count as
+    ``count_col``. A map-side-combined count finds the keys with more than ``max_group_rows``
+    rows (at most rows / max_group_rows of them, so the list is broadcast); the other keys use
+    a plain window, the hot keys' rows the range-split path.
     """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > max_group_rows).select(key)
+    if hot.count() == 0:
+        return _plain_rank(df, key, order, rank_col, count_col)
+    hot = F.broadcast(cut_lineage(hot))
+    cold = _plain_rank(df.join(hot, key, "left_anti"), key, order, rank_col, count_col)
+    split = _split_rank(df.join(hot, key, "left_semi"), key, order, rank_col, count_col, num_partitions)
+    return cold.unionByName(split)
+
+
+def _plain_rank(df, key, order, rank_col, count_col):
+    out = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(key).orderBy(*[_col(c) for c in order])).cast("long"))
+    if count_col:
+        out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(key)))
+    return out
+
+
+def _split_rank(df, key, order, rank_col, count_col, num_partitions):
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, key, *order).withColumn("_pid", F.spark_partition_id())
+    ordc = [_col(c) for c in order]
+    ranged = df.repartitionByRange(n, F.col(key), *ordc).withColumn("_pid", F.spark_partition_id())
     # The piece id must be the same in every branch and retry; range bounds come from a sample,
     # so a recomputed exchange could move rows. A reliable checkpoint makes it data.
     ranged = cut_lineage(ranged)
-    w_local = Window.partitionBy("_pid", key).orderBy(*order)
-    local = ranged.withColumn("_lrn", F.row_number().over(w_local))
+    local = ranged.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid", key).orderBy(*ordc)))
     pieces = local.groupBy("_pid", key).agg(F.max("_lrn").alias("_cnt"))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))

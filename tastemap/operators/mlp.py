@@ -86,7 +86,10 @@ def _features(pdf: pd.DataFrame, col: str) -> np.ndarray:
     return np.stack(pdf[col].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
 
 
-def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch):
+def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, train: bool = True):
+    """One pass over a partition. Validation rows are scored with the incoming weights (the
+    averaged result of the previous epoch); training rows then run mini-batch Adam."""
+
     def run(batches):
         from pyspark import TaskContext
 
@@ -96,7 +99,14 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch):
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True)
-        x, y = _features(pdf, feat_col), pdf[label_col].to_numpy().astype(np.float64)
+        is_val = pdf["_val"].to_numpy(dtype=bool)
+        vx, vy = _features(pdf[is_val], feat_col), pdf.loc[is_val, label_col].to_numpy().astype(np.float64)
+        vsse = vsae = 0.0
+        if len(vy):
+            verr = forward(vx, unpack(theta, sizes)) - vy
+            vsse, vsae = float((verr * verr).sum()), float(np.abs(verr).sum())
+        tr = pdf[~is_val] if train else pdf.iloc[0:0]
+        x, y = _features(tr, feat_col), tr[label_col].to_numpy().astype(np.float64)
         pid = TaskContext.get().partitionId()
         order = np.random.RandomState([seed, epoch, pid]).permutation(len(y))
         t, sse, sae = t0, 0.0, 0.0
@@ -113,13 +123,18 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch):
         n = len(y)
         rows = []
         for c, s in enumerate(range(0, len(theta), CHUNK)):
-            rows.append((c, theta[s : s + CHUNK] * n, m[s : s + CHUNK] * n, v[s : s + CHUNK] * n, n, sse, sae, (t - t0) * n))
-        yield pd.DataFrame(rows, columns=["chunk", "w", "m", "v", "n", "sse", "sae", "steps"])
+            rows.append(
+                (c, theta[s : s + CHUNK] * n, m[s : s + CHUNK] * n, v[s : s + CHUNK] * n, n, sse, sae, (t - t0) * n, len(vy), vsse, vsae)
+            )
+        yield pd.DataFrame(rows, columns=["chunk", "w", "m", "v", "n", "sse", "sae", "steps", "vn", "vsse", "vsae"])
 
     return run
 
 
-EPOCH_SCHEMA = "chunk int, w array<double>, m array<double>, v array<double>, n long, sse double, sae double, steps long"
+EPOCH_SCHEMA = (
+    "chunk int, w array<double>, m array<double>, v array<double>, n long, sse double, sae double, steps long, "
+    "vn long, vsse double, vsae double"
+)
 
 
 def _sum_arrays(col: str):
@@ -180,41 +195,41 @@ def fit_mlp(
     base = rows.select(USER, ITEM, features, F.col(label).cast("double").alias("_y"))
     flag = holdout_flag(base, validation_frac, seed) if validation_frac > 0 else F.lit(False)
     data = cut_lineage(base.withColumn("_val", flag).repartition(n_part, USER, ITEM))
-    train = data.filter(~F.col("_val")).select(features, "_y")
-    val = data.filter("_val").select(features, "_y")
-    n_in = train.select(F.size(features)).first()[0]
+    n_in = data.select(F.size(features)).first()[0]
     sizes = layer_sizes(n_in, hidden)
     theta = init_theta(sizes, seed)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
     history = []
-    for epoch in range(epochs):
+    # job e trains epoch e and scores the validation rows with the weights of epoch e - 1;
+    # one more scoring-only pass gives the last epoch's validation loss
+    for epoch in range(epochs + 1):
+        training = epoch < epochs
         state = spark.sparkContext.broadcast((theta, m, v, t))
-        parts = train.mapInPandas(_epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch), EPOCH_SCHEMA)
+        fn = _epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch, train=training)
+        parts = data.select(features, "_y", "_val").mapInPandas(fn, EPOCH_SCHEMA)
         summed = (
             parts.groupBy("chunk")
             .agg(
                 _sum_arrays("w").alias("w"),
                 _sum_arrays("m").alias("m"),
                 _sum_arrays("v").alias("v"),
-                F.sum("n").alias("n"),
-                F.sum("sse").alias("sse"),
-                F.sum("sae").alias("sae"),
-                F.sum("steps").alias("steps"),
+                *[F.sum(c).alias(c) for c in ("n", "sse", "sae", "steps", "vn", "vsse", "vsae")],
             )
             .orderBy("chunk")
             .collect()
         )
         state.unpersist()
-        n = summed[0]["n"]
+        head = summed[0]
+        if epoch > 0 and head["vn"]:
+            history[-1]["val_loss"], history[-1]["val_mae"] = head["vsse"] / head["vn"], head["vsae"] / head["vn"]
+        if not training:
+            break
+        n = head["n"]
         theta = np.concatenate([np.asarray(r["w"]) for r in summed]) / n
         m = np.concatenate([np.asarray(r["m"]) for r in summed]) / n
         v = np.concatenate([np.asarray(r["v"]) for r in summed]) / n
-        t = t + int(round(summed[0]["steps"] / n))
-        rec = {"epoch": epoch + 1, "loss": summed[0]["sse"] / n, "mae": summed[0]["sae"] / n, "val_loss": None, "val_mae": None}
-        if validation_frac > 0:
-            ev = MLPModel(theta, sizes, features).evaluate(val, "_y").first()
-            rec["val_loss"], rec["val_mae"] = ev["mse"], ev["mae"]
-        history.append(rec)
+        t = t + int(round(head["steps"] / n))
+        history.append({"epoch": epoch + 1, "loss": head["sse"] / n, "mae": head["sae"] / n, "val_loss": None, "val_mae": None})
     hist = spark.createDataFrame(
         [(r["epoch"], r["loss"], r["mae"], r["val_loss"], r["val_mae"]) for r in history],
         "epoch int, loss double, mae double, val_loss double, val_mae double",

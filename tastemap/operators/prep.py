@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tastemap.functions.ranking import rank_within
 from tastemap.schema import ITEM, TS, USER
-from tastemap.session import require_population
+from tastemap.session import cut_lineage, require_population
 
 
 def dedupe_latest(df: DataFrame, order: Sequence[str], key: Sequence[str] = (USER, ITEM)) -> DataFrame:
@@ -45,11 +45,13 @@ def draw_key(id_col: str | Column, seed: int) -> Column:
 def draw_ids(ids: DataFrame, id_col: str, n: int, seed: int = 0, what: str = "ids") -> DataFrame:
     """n ids without replacement in seeded hash order; raises if fewer than n exist.
 
-    A global top-n: each partition keeps n rows, one task merges them (bounded by n).
+    A global top-n (each partition keeps n rows, one task merges them: bounded by n). The
+    drawn ids are checkpointed, so the draw runs once however often the sample is used, and
+    the population check is the size of the draw itself.
     """
-    available = ids.count()
-    require_population(available, n, what)
-    return ids.orderBy(draw_key(id_col, seed), F.col(id_col)).limit(n)
+    drawn = cut_lineage(ids.select(id_col).orderBy(draw_key(id_col, seed), F.col(id_col)).limit(n))
+    require_population(drawn.count(), n, what)
+    return drawn
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, col: str, bounded: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from tastemap.operators.masks import PAIR, catalogue
 from tastemap.operators.prep import count_by
 from tastemap.operators.profile import histogram, id_dictionary
 from tastemap.schema import ITEM, RATING, SCORE, USER
+from tastemap.session import cut_lineage
 
 
 def population(scores: DataFrame, test: DataFrame) -> DataFrame:
@@ -154,13 +155,23 @@ def ndcg(test: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def evaluate(test: DataFrame, scores: DataFrame, model: str, k: int = 10, threshold: int = 1) -> DataFrame:
-    """The per-model evaluation row: mean recall@k, user/item/catalog coverage, NDCG."""
+    """The per-model evaluation rows (model, metric, value): mean recall@k, user / item /
+    catalog coverage, NDCG. The predictions restricted to the population and their hits are
+    checkpointed once and shared by all five metrics."""
+    pop = cut_lineage(population(scores, test).select(USER, ITEM, SCORE))
+    h = cut_lineage(hits(test, pop, k, k))
+    n = count_by(test, USER, "n_test")
+    per_user = h.groupBy(USER).agg(F.count(F.lit(1)).alias("h"))
+    per_item = h.groupBy(ITEM).agg(F.count(F.lit(1)).alias("h"))
+    hh = F.coalesce(F.col("h"), F.lit(0))
+    users = n.join(per_user, USER, "left")
+    items = catalogue(test).join(per_item, ITEM, "left")
     parts = [
-        recall_mean(test, scores, k).select(F.lit("recall").alias("metric"), F.col("recall").alias("value")),
-        coverage(test, scores, k, threshold, "user").select(F.lit("user_coverage").alias("metric"), F.col("coverage").alias("value")),
-        coverage(test, scores, k, threshold, "item").select(F.lit("item_coverage").alias("metric"), F.col("coverage").alias("value")),
-        coverage(test, scores, k, threshold, "catalog").select(F.lit("catalog_coverage").alias("metric"), F.col("coverage").alias("value")),
-        ndcg(test, scores).select(F.lit("ndcg").alias("metric"), F.col("ndcg").alias("value")),
+        users.agg(F.lit("recall").alias("metric"), F.avg(hh / F.least(F.lit(k), F.col("n_test"))).alias("value")),
+        users.agg(F.lit("user_coverage").alias("metric"), F.avg(F.when(hh >= threshold, 1.0).otherwise(0.0)).alias("value")),
+        items.agg(F.lit("item_coverage").alias("metric"), F.avg(F.when(hh >= threshold, 1.0).otherwise(0.0)).alias("value")),
+        items.agg(F.lit("catalog_coverage").alias("metric"), F.avg(F.when(hh >= 1, 1.0).otherwise(0.0)).alias("value")),
+        ndcg(test, pop).select(F.lit("ndcg").alias("metric"), F.col("ndcg").alias("value")),
     ]
     out = parts[0]
     for p in parts[1:]:

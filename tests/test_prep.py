@@ -49,13 +49,16 @@ def test_rank_within_matches_window_with_hot_key(spark):
     rows = [(0, i, rnd.randint(0, 50)) for i in range(3000)]  # hot key: most rows
     rows += [(k, i, rnd.randint(0, 50)) for k in range(1, 40) for i in range(rnd.randint(1, 30))]
     df = spark.createDataFrame(rows, "k int, i int, t int")
-    got = rank_within(df, "k", ["t", "i"], rank_col="r", count_col="n", num_partitions=7)
+    got = rank_within(df, "k", ["t", "i"], rank_col="r", count_col="n", num_partitions=7, max_group_rows=100)
     want = df.withColumn("r2", F.row_number().over(Window.partitionBy("k").orderBy("t", "i"))).withColumn(
         "n2", F.count(F.lit(1)).over(Window.partitionBy("k"))
     )
     j = got.join(want, ["k", "i", "t"])
     assert j.count() == len(rows)
     assert j.filter((F.col("r") != F.col("r2")) | (F.col("n") != F.col("n2"))).count() == 0
+    # with no key above the bound the plain window is used and agrees too
+    plain = rank_within(df, "k", ["t", "i"], rank_col="r", count_col="n")
+    assert plain.join(want, ["k", "i", "t"]).filter((F.col("r") != F.col("r2")) | (F.col("n") != F.col("n2"))).count() == 0
 
 
 def test_sample_population_too_small(spark):
