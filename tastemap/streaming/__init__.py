@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference has no streaming surface (its stated cadence is a daily batch refresh), so this
+package holds nothing: every operator in tastemap is a batch DataFrame plan. A daily refresh is
+a scheduled batch run of the same plans.
+"""
