@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,47 +87,72 @@ def _features(pdf: pd.DataFrame, col: str) -> np.ndarray:
     return np.stack(pdf[col].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
 
 
+def _matrix(batch, col: str, dim: int) -> np.ndarray:
+    """Rows of a fixed-length list column as an (n, dim) float64 matrix, without per-row objects."""
+    arr = batch.column(col)
+    if arr.offset or arr.null_count:
+        arr = pa.array(arr.to_pylist(), type=arr.type)
+    flat = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(arr), dim)
+
+
 def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, train: bool = True):
     """One pass over a partition. Validation rows are scored with the incoming weights (the
-    averaged result of the previous epoch); training rows then run mini-batch Adam."""
+    averaged result of the previous epoch); training rows run mini-batch Adam, shuffled within
+    each Arrow batch (rows are already hashed across partitions). Memory is bounded by the
+    batch size, not the partition."""
+    dim = sizes[0]
 
     def run(batches):
         from pyspark import TaskContext
 
         theta, m, v, t0 = state.value
         theta, m, v = theta.copy(), m.copy(), v.copy()
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        is_val = pdf["_val"].to_numpy(dtype=bool)
-        vx, vy = _features(pdf[is_val], feat_col), pdf.loc[is_val, label_col].to_numpy().astype(np.float64)
-        vsse = vsae = 0.0
-        if len(vy):
-            verr = forward(vx, unpack(theta, sizes)) - vy
-            vsse, vsae = float((verr * verr).sum()), float(np.abs(verr).sum())
-        tr = pdf[~is_val] if train else pdf.iloc[0:0]
-        x, y = _features(tr, feat_col), tr[label_col].to_numpy().astype(np.float64)
-        pid = TaskContext.get().partitionId()
-        order = np.random.RandomState([seed, epoch, pid]).permutation(len(y))
-        t, sse, sae = t0, 0.0, 0.0
-        for s in range(0, len(y), batch_size):
-            idx = order[s : s + batch_size]
-            err, g = loss_and_grad(x[idx], y[idx], theta, sizes)
-            sse += float((err * err).sum())
-            sae += float(np.abs(err).sum())
-            t += 1
-            m = BETA1 * m + (1 - BETA1) * g
-            v = BETA2 * v + (1 - BETA2) * g * g
-            step = lr * np.sqrt(1 - BETA2**t) / (1 - BETA1**t)
-            theta = theta - step * m / (np.sqrt(v) + EPS)
-        n = len(y)
-        rows = []
-        for c, s in enumerate(range(0, len(theta), CHUNK)):
-            rows.append(
-                (c, theta[s : s + CHUNK] * n, m[s : s + CHUNK] * n, v[s : s + CHUNK] * n, n, sse, sae, (t - t0) * n, len(vy), vsse, vsae)
-            )
-        yield pd.DataFrame(rows, columns=["chunk", "w", "m", "v", "n", "sse", "sae", "steps", "vn", "vsse", "vsae"])
+        layers_in = unpack(theta.copy(), sizes)
+        rng = np.random.RandomState([seed, epoch, TaskContext.get().partitionId()])
+        t, n, sse, sae, vn, vsse, vsae = t0, 0, 0.0, 0.0, 0, 0.0, 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            xall = _matrix(batch, feat_col, dim)
+            yall = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
+            is_val = batch.column("_val").to_numpy(zero_copy_only=False).astype(bool)
+            if is_val.any():
+                verr = forward(xall[is_val], layers_in) - yall[is_val]
+                vn, vsse, vsae = vn + len(verr), vsse + float((verr * verr).sum()), vsae + float(np.abs(verr).sum())
+            if not train or is_val.all():
+                continue
+            x, y = xall[~is_val], yall[~is_val]
+            order = rng.permutation(len(y))
+            for s in range(0, len(y), batch_size):
+                idx = order[s : s + batch_size]
+                err, g = loss_and_grad(x[idx], y[idx], theta, sizes)
+                sse += float((err * err).sum())
+                sae += float(np.abs(err).sum())
+                t += 1
+                m = BETA1 * m + (1 - BETA1) * g
+                v = BETA2 * v + (1 - BETA2) * g * g
+                step = lr * np.sqrt(1 - BETA2**t) / (1 - BETA1**t)
+                theta = theta - step * m / (np.sqrt(v) + EPS)
+            n += len(y)
+        chunks = list(range(0, len(theta), CHUNK))
+        w = lambda a: [a[s : s + CHUNK] * n for s in chunks]
+        k = len(chunks)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "chunk": pa.array(range(k), pa.int32()),
+                "w": pa.array(w(theta), pa.list_(pa.float64())),
+                "m": pa.array(w(m), pa.list_(pa.float64())),
+                "v": pa.array(w(v), pa.list_(pa.float64())),
+                "n": pa.array([n] * k, pa.int64()),
+                "sse": pa.array([sse] * k, pa.float64()),
+                "sae": pa.array([sae] * k, pa.float64()),
+                "steps": pa.array([(t - t0) * n] * k, pa.int64()),
+                "vn": pa.array([vn] * k, pa.int64()),
+                "vsse": pa.array([vsse] * k, pa.float64()),
+                "vsae": pa.array([vsae] * k, pa.float64()),
+            }
+        )
 
     return run
 
@@ -159,14 +185,16 @@ class MLPModel:
         def run(batches):
             theta, sizes = bc.value
             layers = unpack(theta, sizes)
-            for pdf in batches:
-                if len(pdf):
-                    pdf[out_col] = forward(_features(pdf, feat), layers)
+            for batch in batches:
+                if batch.num_rows:
+                    out = forward(_matrix(batch, feat, sizes[0]), layers)
                 else:
-                    pdf[out_col] = pd.Series(dtype="float64")
-                yield pdf
+                    out = np.zeros(0)
+                yield pa.RecordBatch.from_arrays(
+                    list(batch.columns) + [pa.array(out, pa.float64())], schema=batch.schema.append(pa.field(out_col, pa.float64()))
+                )
 
-        return rows.mapInPandas(run, schema)
+        return rows.mapInArrow(run, schema)
 
     def evaluate(self, rows: DataFrame, label: str = RATING) -> DataFrame:
         """One row: mse, mae, n over the given labelled rows."""
@@ -206,7 +234,7 @@ def fit_mlp(
         training = epoch < epochs
         state = spark.sparkContext.broadcast((theta, m, v, t))
         fn = _epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch, train=training)
-        parts = data.select(features, "_y", "_val").mapInPandas(fn, EPOCH_SCHEMA)
+        parts = data.select(features, "_y", "_val").mapInArrow(fn, EPOCH_SCHEMA)
         summed = (
             parts.groupBy("chunk")
             .agg(

@@ -24,6 +24,29 @@ OUT_SCHEMA = f"{USER} int, {ITEM} int, {SCORE} double"
 CELLS_PER_CHUNK = 1 << 22  # users x items scored at once inside a task
 
 
+def _select(key: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) indices of the ``take[r]`` smallest keys of each row r, ordered by
+    (row, key, column). Ties are broken by column, which is the item-id order. Only the
+    candidates at or under each row's cut value are sorted, not the whole row."""
+    n_rows, n_cols = key.shape
+    top = int(take.max()) if n_rows else 0
+    if top <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if top < n_cols:
+        head = np.sort(np.partition(key, top - 1, axis=1)[:, :top], axis=1)
+    else:
+        head = np.sort(key, axis=1)
+    cut = head[np.arange(n_rows), np.maximum(take, 1) - 1]
+    rows, cols = np.nonzero((key <= cut[:, None]) & (take[:, None] > 0))
+    order = np.lexsort((cols, key[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    # position of each candidate within its row; keep the first take[r]
+    starts = np.searchsorted(rows, np.arange(n_rows))
+    pos = np.arange(len(rows)) - starts[rows]
+    keep = pos < take[rows]
+    return rows[keep], cols[keep]
+
+
 def _scorer(block, metric: str, budget_col: str | None, fixed_n: int | None, digits: int | None):
     def run(batches):
         ids, mat = block.value
@@ -37,29 +60,26 @@ def _scorer(block, metric: str, budget_col: str | None, fixed_n: int | None, dig
                 u = np.stack(part["features"].to_numpy()).astype(np.float64)
                 prod = u @ mat.T
                 if metric == "dot":
-                    value, key = prod, -prod
+                    value = prod
                 else:
                     d2 = (u * u).sum(axis=1)[:, None] + item_sq[None, :] - 2.0 * prod
                     value = np.sqrt(np.maximum(d2, 0.0))
-                    key = value
                 if digits is not None:
                     value = np.round(value, digits)
-                    key = -value if metric == "dot" else value
-                # items are sorted by id, so a stable sort breaks score ties by item id
-                order = np.argsort(key, axis=1, kind="stable")
+                key = -value if metric == "dot" else value
                 if budget_col is not None:
                     take = np.minimum(part[budget_col].to_numpy().astype(np.int64), len(ids))
                 elif fixed_n is not None:
                     take = np.full(len(part), min(fixed_n, len(ids)), dtype=np.int64)
                 else:
                     take = np.full(len(part), len(ids), dtype=np.int64)
-                rows = np.repeat(np.arange(len(part)), take)
-                cols_idx = np.concatenate([order[r, : take[r]] for r in range(len(part))]) if len(part) else np.array([], dtype=np.int64)
+                # items are sorted by id, so column order is item-id order
+                rows, cols = _select(key, take)
                 yield pd.DataFrame(
                     {
                         USER: part["id"].to_numpy()[rows].astype(np.int32),
-                        ITEM: ids[cols_idx].astype(np.int32),
-                        SCORE: value[rows, cols_idx].astype(np.float64),
+                        ITEM: ids[cols].astype(np.int32),
+                        SCORE: value[rows, cols].astype(np.float64),
                     }
                 )
 

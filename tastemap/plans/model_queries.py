@@ -147,3 +147,13 @@ def q_tune_ann_nn_grid(f: Fixtures):
 @query("tune_mf_nn_grid")
 def q_tune_mf_nn_grid(f: Fixtures):
     return tuning.tune_mf_nn_grid(f.e_train, f.t, max_iters=[5], regs=[0.1], ks=[20, 30], ranks=[10], path=_fresh(f, "mf_nn"))
+
+
+@query("pipeline_ann_nn_p")
+def q_pipeline_ann_nn_p(f: Fixtures):
+    """ANN-NN (published no-tag settings) on the sparse order-line interactions: the scale class
+    of the published sample (hundreds of thousands of ratings, thousands of users and items)."""
+    r = pipelines.ann_nn(
+        f.p_train, f.p_test, None, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, epochs=ANNNN["epochs"]
+    )
+    return r.recommendations
