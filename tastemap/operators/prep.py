@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tastemap.functions.ranking import rank_within
 from tastemap.schema import ITEM, TS, USER
 from tastemap.session import cut_lineage, require_population
+from tastemap.session import materialize as materialize_table
 
 
 def dedupe_latest(df: DataFrame, order: Sequence[str], key: Sequence[str] = (USER, ITEM)) -> DataFrame:
@@ -98,9 +99,17 @@ def label_split(df: DataFrame, test_size: float = 0.2, order: Sequence[str] = (T
     return ranked.withColumn("is_test", F.col("_r") > F.col("_n") - n_test).drop("_r", "_n")
 
 
-def split_by_time(df: DataFrame, test_size: float = 0.2, order: Sequence[str] = (TS, ITEM)) -> tuple[DataFrame, DataFrame]:
-    """(train, test): oldest ceil(n·(1−f)) rows of each user for training, latest floor(n·f) for test."""
+def split_by_time(
+    df: DataFrame, test_size: float = 0.2, order: Sequence[str] = (TS, ITEM), materialize: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test): oldest ceil(n·(1−f)) rows of each user for training, latest floor(n·f) for test.
+
+    The labelled split is written once to the shared checkpoint folder (``materialize``), so the
+    many plans that read train and test do not each rescan and re-rank the input.
+    """
     labelled = label_split(df, test_size, order)
+    if materialize:
+        labelled = materialize_table(labelled, "split")
     return labelled.filter(~F.col("is_test")).drop("is_test"), labelled.filter("is_test").drop("is_test")
 
 

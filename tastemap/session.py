@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back. Cuts the
+    lineage like a checkpoint, but later scans still prune columns and push filters down."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> DataFrame:
     """Broadcast ``df`` only after counting it; above ``max_rows`` leave the join to the planner."""
     n = df.count()
