@@ -49,3 +49,19 @@ def nn_features(
             raise ValueError(f"unknown missing_tags {missing_tags!r}")
         drop.append("_tv")
     return out.withColumn("features", F.concat(*parts)).drop(*drop)
+
+
+def item_side_features(item_factors: DataFrame, tag_vecs: DataFrame | None = None) -> DataFrame:
+    """Per-item re-ranker features ``id, features`` = item factors (++ tag vector); items
+    without tags are dropped when tags are used."""
+    itf = item_factors.select(F.col("id"), _as_double("features").alias("f"))
+    if tag_vecs is None:
+        return itf.withColumnRenamed("f", "features")
+    tv = tag_vecs.select(F.col(ITEM).alias("id"), "tag_vec")
+    return itf.join(tv, "id").select("id", F.concat("f", "tag_vec").alias("features"))
+
+
+def user_side_rows(rows: DataFrame, user_factors: DataFrame) -> DataFrame:
+    """Rows (user, item, ...) with ``features`` = the user's factors (rows of unknown users dropped)."""
+    uf = user_factors.select(F.col("id").alias(USER), _as_double("features").alias("features"))
+    return rows.join(uf, USER)

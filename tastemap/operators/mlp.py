@@ -5,7 +5,7 @@ fixed partitions once (checkpointed); each epoch is one job in which every parti
 from the current weights and Adam state, runs mini-batch Adam over its rows with numpy, and
 emits its weights scaled by its row count in chunks of ``CHUNK`` values. The chunks are
 summed by a Spark aggregate, so the driver receives one model's worth of numbers per epoch
-whatever the number of partitions. Prediction broadcasts the weights into ``mapInPandas``.
+whatever the number of partitions. Prediction broadcasts the weights into ``mapInArrow``.
 """
 
 from __future__ import annotations
@@ -96,7 +96,18 @@ def _matrix(batch, col: str, dim: int) -> np.ndarray:
     return flat.reshape(len(arr), dim)
 
 
-def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, train: bool = True):
+def _gather(batch, feat_col: str, dim: int, item_block) -> np.ndarray:
+    """Feature matrix of a batch: the row's own features, followed by its item's broadcast
+    features when an item-side block is given."""
+    if item_block is None:
+        return _matrix(batch, feat_col, dim)
+    ids, mat = item_block.value
+    own = _matrix(batch, feat_col, dim - mat.shape[1])
+    pos = np.searchsorted(ids, batch.column(ITEM).to_numpy(zero_copy_only=False).astype(np.int64))
+    return np.hstack([own, mat[pos]])
+
+
+def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, train: bool = True, item_block=None):
     """One pass over a partition. Validation rows are scored with the incoming weights (the
     averaged result of the previous epoch); training rows run mini-batch Adam, shuffled within
     each Arrow batch (rows are already hashed across partitions). Memory is bounded by the
@@ -114,7 +125,7 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, tr
         for batch in batches:
             if not batch.num_rows:
                 continue
-            xall = _matrix(batch, feat_col, dim)
+            xall = _gather(batch, feat_col, dim, item_block)
             yall = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
             is_val = batch.column("_val").to_numpy(zero_copy_only=False).astype(bool)
             if is_val.any():
@@ -174,11 +185,25 @@ class MLPModel:
     theta: np.ndarray
     sizes: list[int]
     features: str = "features"
+    item_ids: np.ndarray | None = None  # sorted ids of the broadcast item-side features
+    item_mat: np.ndarray | None = None
+    item_side: DataFrame | None = None  # item-side features joined per row (large catalogues)
+
+    def _rows(self, rows: DataFrame) -> DataFrame:
+        if self.item_ids is not None:
+            known = self.item_side.select(F.col("id").alias(ITEM))
+            return rows.join(known, ITEM, "left_semi")
+        if self.item_side is not None:
+            return _join_item_side(rows, self.item_side, self.features)
+        return rows
 
     def predict(self, rows: DataFrame, out_col: str = SCORE) -> DataFrame:
-        """Adds ``out_col`` = network output for each row's features."""
+        """Adds ``out_col`` = network output for each row's features (rows whose item has no
+        item-side features are dropped)."""
+        rows = self._rows(rows)
         spark = rows.sparkSession
         bc = spark.sparkContext.broadcast((self.theta, self.sizes))
+        block = spark.sparkContext.broadcast((self.item_ids, self.item_mat)) if self.item_ids is not None else None
         feat = self.features
         schema = T.StructType(list(rows.schema.fields) + [T.StructField(out_col, T.DoubleType())])
 
@@ -187,7 +212,7 @@ class MLPModel:
             layers = unpack(theta, sizes)
             for batch in batches:
                 if batch.num_rows:
-                    out = forward(_matrix(batch, feat, sizes[0]), layers)
+                    out = forward(_gather(batch, feat, sizes[0], block), layers)
                 else:
                     out = np.zeros(0)
                 yield pa.RecordBatch.from_arrays(
@@ -198,11 +223,25 @@ class MLPModel:
 
     def evaluate(self, rows: DataFrame, label: str = RATING) -> DataFrame:
         """One row: mse, mae, n over the given labelled rows."""
-        p = self.predict(rows.select(self.features, label), "_p")
+        cols = [self.features, label] + ([ITEM] if self.item_side is not None else [])
+        p = self.predict(rows.select(*cols), "_p")
         err = F.col("_p") - F.col(label)
         return p.agg(F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"), F.count(F.lit(1)).alias("n"))
 
 
+def _as_double(c):
+    return F.transform(F.col(c) if isinstance(c, str) else c, lambda x: x.cast("double"))
+
+
+def _join_item_side(rows: DataFrame, item_side: DataFrame, features: str) -> DataFrame:
+    itf = item_side.select(F.col("id").alias(ITEM), _as_double("features").alias("_itf"))
+    return rows.join(itf, ITEM).withColumn(features, F.concat(_as_double(features), F.col("_itf"))).drop("_itf")
+
+
+# Item-side tables up to this many rows are broadcast (after counting) instead of joined per row.
+MAX_ITEM_SIDE_ROWS = 1_000_000
+
+
 def fit_mlp(
     rows: DataFrame,
     label: str = RATING,
@@ -214,27 +253,51 @@ def fit_mlp(
     seed: int = 0,
     validation_frac: float = 0.1,
     num_partitions: int | None = None,
+    item_side: DataFrame | None = None,
+    max_item_side_rows: int = MAX_ITEM_SIDE_ROWS,
 ) -> tuple[MLPModel, DataFrame]:
     """Train on ``rows`` (features array, label). A hash hold-out of ``validation_frac`` of the
     (user, item) pairs is scored after each epoch. Returns the model and its per-epoch history
-    (epoch, loss, mae, val_loss, val_mae)."""
+    (epoch, loss, mae, val_loss, val_mae).
+
+    ``item_side`` (``id, features``) appends per-item features (item factors, tags) to each
+    row's own features. A catalogue of at most ``max_item_side_rows`` items is broadcast as one
+    sorted matrix and gathered inside the tasks, so wide item features are not stored per
+    training row; a larger one is joined per row.
+    """
     spark = rows.sparkSession
     n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    item_ids = item_mat = None
+    if item_side is not None:
+        if item_side.count() <= max_item_side_rows:
+            pdf = item_side.select("id", "features").orderBy("id").toPandas()
+            item_ids = pdf["id"].to_numpy().astype(np.int64)
+            item_mat = np.stack(pdf["features"].to_numpy()).astype(np.float64)
+            rows = rows.join(item_side.select(F.col("id").alias(ITEM)), ITEM, "left_semi")
+        else:
+            rows = _join_item_side(rows, item_side, features)
     base = rows.select(USER, ITEM, features, F.col(label).cast("double").alias("_y"))
     flag = holdout_flag(base, validation_frac, seed) if validation_frac > 0 else F.lit(False)
-    data = cut_lineage(base.withColumn("_val", flag).repartition(n_part, USER, ITEM))
-    n_in = data.select(F.size(features)).first()[0]
+    # fixed partitions, and within them a seeded pseudo-random order that does not depend on
+    # the upstream plan: training is reproducible and batches mix users
+    data = cut_lineage(
+        base.withColumn("_val", flag)
+        .repartition(n_part, USER, ITEM)
+        .sortWithinPartitions(F.xxhash64(USER, ITEM, F.lit(seed)))
+    )
+    n_in = data.select(F.size(features)).first()[0] + (item_mat.shape[1] if item_mat is not None else 0)
     sizes = layer_sizes(n_in, hidden)
     theta = init_theta(sizes, seed)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
+    block = spark.sparkContext.broadcast((item_ids, item_mat)) if item_ids is not None else None
     history = []
     # job e trains epoch e and scores the validation rows with the weights of epoch e - 1;
     # one more scoring-only pass gives the last epoch's validation loss
     for epoch in range(epochs + 1):
         training = epoch < epochs
         state = spark.sparkContext.broadcast((theta, m, v, t))
-        fn = _epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch, train=training)
-        parts = data.select(features, "_y", "_val").mapInArrow(fn, EPOCH_SCHEMA)
+        fn = _epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch, train=training, item_block=block)
+        parts = data.select(features, "_y", "_val", ITEM).mapInArrow(fn, EPOCH_SCHEMA)
         summed = (
             parts.groupBy("chunk")
             .agg(
@@ -262,4 +325,4 @@ def fit_mlp(
         [(r["epoch"], r["loss"], r["mae"], r["val_loss"], r["val_mae"]) for r in history],
         "epoch int, loss double, mae double, val_loss double, val_mae double",
     )
-    return MLPModel(theta, sizes, features), hist
+    return MLPModel(theta, sizes, features, item_ids, item_mat, item_side), hist

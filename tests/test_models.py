@@ -45,3 +45,25 @@ def test_mlp_learns_planted_linear_target(spark):
     model2, _ = fit_mlp(df, epochs=15, hidden=(16, 8), batch_size=64, lr=0.01, seed=0, num_partitions=4)
     assert np.array_equal(model.theta, model2.theta)
     assert model.evaluate(df).first().mse < 0.5
+
+
+def test_mlp_item_side_paths_agree(spark):
+    rng = np.random.RandomState(4)
+    uvec, ivec = rng.randn(30, 3), rng.randn(12, 5)
+    rows, full = [], []
+    for n in range(1500):
+        u, i = n % 30, (n * 7) % 12
+        y = float(uvec[u].sum() - ivec[i][0])
+        rows.append((u, i, y, [float(x) for x in uvec[u]]))
+        full.append((u, i, y, [float(x) for x in np.concatenate([uvec[u], ivec[i]])]))
+    schema = "user_id int, item_id int, rating double, features array<double>"
+    items = spark.createDataFrame([(i, [float(x) for x in ivec[i]]) for i in range(12)], "id int, features array<double>")
+    kw = dict(epochs=3, hidden=(8,), batch_size=32, seed=0, num_partitions=3)
+    a, _ = fit_mlp(spark.createDataFrame(full, schema), **kw)
+    b, _ = fit_mlp(spark.createDataFrame(rows, schema), item_side=items, **kw)
+    c, _ = fit_mlp(spark.createDataFrame(rows, schema), item_side=items, max_item_side_rows=0, **kw)
+    assert b.item_ids is not None and c.item_ids is None
+    assert np.allclose(a.theta, b.theta) and np.allclose(a.theta, c.theta)
+    pa_ = {(r.user_id, r.item_id): r.score for r in a.predict(spark.createDataFrame(full[:50], schema)).collect()}
+    pb = {(r.user_id, r.item_id): r.score for r in b.predict(spark.createDataFrame(rows[:50], schema)).collect()}
+    assert pa_.keys() == pb.keys() and all(np.isclose(pa_[k], pb[k]) for k in pa_)
