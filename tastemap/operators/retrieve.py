@@ -1,7 +1,8 @@
 """Scoring users against items by dot product or Euclidean distance.
 
 Users stay partitioned; items are shipped to the tasks in blocks of at most ``block_items``
-rows (each block collected once and broadcast, so what is broadcast has a fixed bound).
+rows (consecutive runs of the id order; each block collected once and broadcast, so what is
+broadcast has a fixed bound).
 Inside a task a batch of users is scored against the block with one matrix product, and only
 each user's best ``top_n`` rows leave the batch, so the user x item grid is never shuffled.
 With several blocks the partial lists are merged by a ``row_number() <= n`` window, which
@@ -15,10 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.functions.ranking import top_k
+from tastemap.functions.ranking import rank_within, top_k
 from tastemap.operators.masks import unseen
 from tastemap.operators.prep import count_by
 from tastemap.schema import ITEM, SCORE, USER
+from tastemap.session import cut_lineage
 
 OUT_SCHEMA = f"{USER} int, {ITEM} int, {SCORE} double"
 CELLS_PER_CHUNK = 1 << 22  # users x items scored at once inside a task
@@ -103,16 +105,26 @@ def score_users(
     if metric not in ("dot", "euclidean"):
         raise ValueError(f"unknown metric {metric!r}")
     spark = users.sparkSession
-    n_items = items.count()
-    n_blocks = max(1, -(-n_items // block_items))
     budget_col = top_n if isinstance(top_n, str) else None
     fixed_n = top_n if isinstance(top_n, int) else None
     ucols = ["id", "features"] + ([budget_col] if budget_col else [])
     u = users.select(*ucols)
+    # one fetch of at most block_items + 1 rows: a catalogue that fits is a single block
+    head = items.select("id", "features").limit(block_items + 1).toPandas()
+    if len(head) <= block_items:
+        n_blocks, blocks = 1, [head.sort_values("id")]
+    else:
+        # exact positions in id order, so every block holds at most block_items rows
+        ranked = cut_lineage(
+            rank_within(items.select("id", "features").withColumn("_all", F.lit(0)), "_all", ["id"], rank_col="_pos")
+        )
+        n_blocks = -(-ranked.count() // block_items)
+        blocks = (
+            ranked.filter(F.floor((F.col("_pos") - 1) / block_items) == b).select("id", "features").orderBy("id").toPandas()
+            for b in range(n_blocks)
+        )
     parts = []
-    for b in range(n_blocks):
-        blk = items if n_blocks == 1 else items.filter(F.pmod(F.col("id"), F.lit(n_blocks)) == b)
-        pdf = blk.select("id", "features").orderBy("id").toPandas()
+    for pdf in blocks:
         ids = pdf["id"].to_numpy().astype(np.int64)
         mat = np.stack(pdf["features"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
         block = spark.sparkContext.broadcast((ids, mat))
