@@ -28,12 +28,12 @@ def fit_als(
     check_ids: bool = True,
 ) -> ALSModel:
     """Fit explicit ALS on (user_id, item_id, rating). Unknown ids at predict time are dropped.
-    ``num_blocks`` defaults to the shuffle partition count."""
+    ``num_blocks`` (user and item blocks) defaults to the cluster's default parallelism."""
     spark = train.sparkSession
     if check_ids:
         _check_ids(train)
     checkpoint_dir(spark)  # ALS cuts its lineage every checkpointInterval iterations
-    nb = num_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nb = num_blocks or spark.sparkContext.defaultParallelism
     als = ALS(
         rank=rank,
         maxIter=max_iter,

@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.functions.ranking import rank_within
+from tastemap.functions.ranking import MAX_GROUP_ROWS, rank_within
 from tastemap.schema import ITEM, TS, USER
 from tastemap.session import cut_lineage, require_population
 from tastemap.session import materialize as materialize_table
@@ -87,27 +87,33 @@ def sample_totals(df: DataFrame) -> DataFrame:
     )
 
 
-def label_split(df: DataFrame, test_size: float = 0.2, order: Sequence[str] = (TS, ITEM)) -> DataFrame:
+def label_split(
+    df: DataFrame, test_size: float = 0.2, order: Sequence[str] = (TS, ITEM), max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
     """Adds ``is_test``: per user, the latest floor(n * test_size) rows in (ts, item) order.
 
     One total order (ties on ts broken by item), so train and test are disjoint and cover
     the input. Ranks come from :func:`rank_within`, which splits very active users.
     """
     q = Fraction(str(test_size))
-    ranked = rank_within(df, USER, list(order), rank_col="_r", count_col="_n")
+    ranked = rank_within(df, USER, list(order), rank_col="_r", count_col="_n", max_group_rows=max_group_rows)
     n_test = F.expr(f"(_n * {q.numerator}) div {q.denominator}")
     return ranked.withColumn("is_test", F.col("_r") > F.col("_n") - n_test).drop("_r", "_n")
 
 
 def split_by_time(
-    df: DataFrame, test_size: float = 0.2, order: Sequence[str] = (TS, ITEM), materialize: bool = True
+    df: DataFrame,
+    test_size: float = 0.2,
+    order: Sequence[str] = (TS, ITEM),
+    materialize: bool = True,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): oldest ceil(n·(1−f)) rows of each user for training, latest floor(n·f) for test.
 
     The labelled split is written once to the shared checkpoint folder (``materialize``), so the
     many plans that read train and test do not each rescan and re-rank the input.
     """
-    labelled = label_split(df, test_size, order)
+    labelled = label_split(df, test_size, order, max_group_rows)
     if materialize:
         labelled = materialize_table(labelled, "split")
     return labelled.filter(~F.col("is_test")).drop("is_test"), labelled.filter("is_test").drop("is_test")

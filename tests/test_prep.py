@@ -83,3 +83,13 @@ def test_holdout_fraction(spark):
     n, h = e.count(), held.count()
     assert fit.count() + h == n
     assert 0.08 < h / n < 0.12
+
+
+def test_split_hot_user_path_matches_plain(spark):
+    # users with more than 20 rows take the range-split path; the split must not change
+    p = fx.orders_interactions(spark, SF001)
+    key = ["user_id", "item_id"]
+    plain = prep.split_by_time(p, materialize=False)
+    hot = prep.split_by_time(p, materialize=False, max_group_rows=20)
+    for a, b in zip(plain, hot):
+        assert a.count() == b.count() and a.join(b, key, "left_anti").count() == 0
