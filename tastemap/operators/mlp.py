@@ -266,7 +266,8 @@ def fit_mlp(
     training row; a larger one is joined per row.
     """
     spark = rows.sparkSession
-    n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # epochs stream Arrow batches, so partition size does not bound memory: one partition per core
+    n_part = num_partitions or spark.sparkContext.defaultParallelism
     item_ids = item_mat = None
     if item_side is not None:
         if item_side.count() <= max_item_side_rows:
