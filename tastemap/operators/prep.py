@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,9 +114,14 @@ def split_by_time(
     The labelled split is written once to the shared checkpoint folder (``materialize``), so the
     many plans that read train and test do not each rescan and re-rank the input.
     """
-    labelled = label_split(df, test_size, order, max_group_rows)
     if materialize:
-        labelled = materialize_table(labelled, "split")
+        # the hot-key count and the ranking both read the input: keep it on disk between the two
+        # jobs instead of recomputing it (a second full shuffle of a deduplicated input)
+        kept = df.persist(StorageLevel.DISK_ONLY)
+        labelled = materialize_table(label_split(kept, test_size, order, max_group_rows), "split")
+        kept.unpersist()
+    else:
+        labelled = label_split(df, test_size, order, max_group_rows)
     return labelled.filter(~F.col("is_test")).drop("is_test"), labelled.filter("is_test").drop("is_test")
 
 
