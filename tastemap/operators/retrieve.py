@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.functions.ranking import rank_within, top_k
+from tastemap.functions.vectors import sq_dist
 from tastemap.operators.masks import unseen
 from tastemap.operators.prep import count_by
 from tastemap.schema import ITEM, SCORE, USER
@@ -181,18 +182,43 @@ def knn_lsh(
     bucket_length: float = 1.0,
     num_tables: int = 3,
     seed: int = 0,
+    max_bucket_items: int = 10_000,
 ) -> DataFrame:
-    """Approximate nearest unseen items: bucketed random projection LSH similarity join
-    (pairs within ``max_distance`` that share a bucket), then seen removed and first k kept."""
+    """Approximate nearest unseen items with bucketed random projection LSH: candidate pairs
+    share a bucket in at least one hash table and lie within ``max_distance``; seen items are
+    removed and the first k kept.
+
+    Pairs are only formed inside buckets of at most ``max_bucket_items`` items, so no bucket
+    turns into a quadratic pair set. Users that fall into a larger bucket get their exact
+    nearest items from the block scorer instead (nothing is capped or dropped).
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    uv = users.select(F.col("id").alias(USER), array_to_vector("features").alias("v"))
-    iv = items.select(F.col("id").alias(ITEM), array_to_vector("features").alias("v"))
     lsh = BucketedRandomProjectionLSH(
         inputCol="v", outputCol="h", bucketLength=bucket_length, numHashTables=num_tables, seed=seed
-    ).fit(iv)
-    pairs = lsh.approxSimilarityJoin(uv, iv, max_distance, distCol=SCORE).select(
-        F.col(f"datasetA.{USER}").alias(USER), F.col(f"datasetB.{ITEM}").alias(ITEM), SCORE
+    ).fit(items.select(array_to_vector("features").alias("v")))
+
+    def buckets(df: DataFrame, id_col: str, feat_col: str) -> DataFrame:
+        hashed = lsh.transform(df.select(F.col("id").alias(id_col), F.col("features").alias(feat_col), array_to_vector("features").alias("v")))
+        return hashed.select(id_col, feat_col, F.posexplode("h").alias("tbl", "hv")).select(
+            id_col, feat_col, "tbl", vector_to_array("hv")[0].alias("bkt")
+        )
+
+    ib = buckets(items, ITEM, "_if")
+    ub = buckets(users, USER, "_uf")
+    keys = ["tbl", "bkt"]
+    hot = ib.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_bucket_items).select(*keys)
+    # at most n_items * num_tables / max_bucket_items hot buckets: a bounded broadcast
+    hot = F.broadcast(cut_lineage(hot))
+    hot_users = ub.join(hot, keys, "left_semi").select(F.col(USER).alias("id")).distinct()
+    cold_u = ub.join(hot_users.withColumnRenamed("id", USER), USER, "left_anti")
+    pairs = (
+        cold_u.join(ib.join(hot, keys, "left_anti"), keys)
+        .select(USER, ITEM, F.sqrt(sq_dist("_uf", "_if")).alias(SCORE))
+        .dropDuplicates([USER, ITEM])
+        .filter(F.col(SCORE) <= max_distance)
     )
-    return top_k(unseen(pairs, seen), USER, [F.col(SCORE).asc(), F.col(ITEM)], k)
+    approx = top_k(unseen(pairs, seen), USER, [F.col(SCORE).asc(), F.col(ITEM)], k)
+    exact = topk_unseen(users.join(hot_users, "id", "left_semi"), items, seen, k, "euclidean")
+    return approx.unionByName(exact.select(*approx.columns))

@@ -66,6 +66,17 @@ def test_knn_lsh_recall_against_exact(spark):
     assert len(exact & approx) / len(exact) >= 0.5
 
 
+def test_knn_lsh_hot_buckets_fall_back_to_exact(spark):
+    rng = np.random.RandomState(3)
+    u, v = rng.randn(20, 4), rng.randn(40, 4)
+    seen = interactions(spark, [(0, 1, 1.0), (3, 5, 1.0)], with_ts=False)
+    users, items = _vecs(spark, u), _vecs(spark, v)
+    exact = sorted(tuple(r) for r in retrieve.topk_unseen(users, items, seen, 5, "euclidean").select("user_id", "item_id", "rank").collect())
+    # every bucket above the bound: all users are served by the exact scorer
+    got = retrieve.knn_lsh(users, items, seen, 5, max_distance=0.5, bucket_length=100.0, num_tables=2, max_bucket_items=0)
+    assert sorted(tuple(r) for r in got.select("user_id", "item_id", "rank").collect()) == exact
+
+
 def test_bias_topk_matches_brute_force(spark):
     e = fx.events_interactions(spark, SF001)
     train, _ = prep.split_by_time(e)
