@@ -157,3 +157,12 @@ def q_pipeline_ann_nn_p(f: Fixtures):
         f.p_train, f.p_test, None, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, epochs=ANNNN["epochs"]
     )
     return r.recommendations
+
+
+@query("pipeline_ann_nn_tags")
+def q_pipeline_ann_nn_tags(f: Fixtures):
+    """ANN-NN with tag features (the published final configuration: 32 epochs, 256-64-8 net)."""
+    r = pipelines.ann_nn(
+        f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, use_tags=True, epochs=32
+    )
+    return r.recommendations
