@@ -23,7 +23,12 @@ def get_spark(master: str | None = None, app: str = "tastemap", shuffle_partitio
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TASTEMAP_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("TASTEMAP_DRIVER_MEMORY", "12g"))
+        # long sessions run thousands of small jobs (one per MLP epoch): keep little job history
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "100")
+        .config("spark.ui.retainedTasks", "10000")
+        .config("spark.sql.ui.retainedExecutions", "50")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
