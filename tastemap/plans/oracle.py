@@ -320,6 +320,12 @@ def oracle() -> dict[str, str]:
                  FROM dot QUALIFY rank <= 10) c
            LEFT JOIN e_test t USING (user_id, item_id)"""
     )
+    q["candidate_labels_union"] = with_ctes(
+        """SELECT c.user_id, c.item_id, t.rating
+           FROM (SELECT user_id, item_id FROM dot
+                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) <= 10) c
+           LEFT JOIN e_test t USING (user_id, item_id)"""
+    )
     q["rerank_topk"] = with_ctes(
         """SELECT c.user_id, c.item_id, row_number() OVER (PARTITION BY c.user_id ORDER BY d.score DESC, c.item_id) AS rank
            FROM (SELECT user_id, item_id FROM knn_d k

@@ -342,6 +342,15 @@ def q_candidate_labels(f: Fixtures):
     return masks.candidate_labels(cands.select(USER, ITEM, "rank"), f.e_test)
 
 
+@query("candidate_labels_union")
+def q_candidate_labels_union(f: Fixtures):
+    # the union formulation: test rows and bare candidate pairs unioned (missing rating = null),
+    # candidate pairs kept, one row per pair with rated rows first; equals candidate_labels
+    cands = retrieve.topk_unseen(f.vu, f.vi, f.e_train, K, "dot", digits=DIGITS).select(USER, ITEM)
+    rows = masks.with_missing_as_null(_pairs(f.e_test).withColumn("_prio", F.lit(0)), cands.withColumn("_prio", F.lit(1)))
+    return masks.first_per_pair(masks.in_pairs(rows, cands), "_prio").select(USER, ITEM, RATING)
+
+
 @query("rerank_topk")
 def q_rerank_topk(f: Fixtures):
     # candidates: 3k nearest unseen items; re-ranked by dot product, best k kept
