@@ -174,6 +174,37 @@ EPOCH_SCHEMA = (
 )
 
 
+SCALARS = ("n", "sse", "sae", "steps", "vn", "vsse", "vsae")
+MAX_DIRECT_BYTES = 64 << 20
+
+
+def _sum_direct(table: pa.Table, size: int) -> dict:
+    """Sum the per-partition chunks of one epoch fetched as Arrow (bounded by MAX_DIRECT_BYTES)."""
+    chunk = table.column("chunk").to_numpy()
+    out = {}
+    for name in ("w", "m", "v"):
+        acc = np.zeros(size)
+        for c, a in zip(chunk, table.column(name).to_numpy(zero_copy_only=False)):
+            acc[c * CHUNK : c * CHUNK + len(a)] += a
+        out[name] = acc
+    first = chunk == 0
+    for name in SCALARS:
+        out[name] = table.column(name).to_numpy()[first].sum().item()
+    return out
+
+
+def _sum_spark(parts: DataFrame, size: int) -> dict:
+    rows = (
+        parts.groupBy("chunk")
+        .agg(*[_sum_arrays(c).alias(c) for c in ("w", "m", "v")], *[F.sum(c).alias(c) for c in SCALARS])
+        .orderBy("chunk")
+        .collect()
+    )
+    out = {name: np.concatenate([np.asarray(r[name]) for r in rows]) for name in ("w", "m", "v")}
+    out.update({name: rows[0][name] for name in SCALARS})
+    return out
+
+
 def _sum_arrays(col: str):
     lst = F.collect_list(col)
     zero = F.array_repeat(F.lit(0.0), F.size(F.element_at(lst, 1)))
@@ -291,6 +322,9 @@ def fit_mlp(
     theta = init_theta(sizes, seed)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
     block = spark.sparkContext.broadcast((item_ids, item_mat)) if item_ids is not None else None
+    # partial models come back to the driver directly only while their total size is small
+    # (partitions x parameters x 3 arrays); otherwise a Spark aggregate sums them first
+    direct = n_part * len(theta) * 3 * 8 <= MAX_DIRECT_BYTES
     history = []
     # job e trains epoch e and scores the validation rows with the weights of epoch e - 1;
     # one more scoring-only pass gives the last epoch's validation loss
@@ -299,29 +333,17 @@ def fit_mlp(
         state = spark.sparkContext.broadcast((theta, m, v, t))
         fn = _epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch, train=training, item_block=block)
         parts = data.select(features, "_y", "_val", ITEM).mapInArrow(fn, EPOCH_SCHEMA)
-        summed = (
-            parts.groupBy("chunk")
-            .agg(
-                _sum_arrays("w").alias("w"),
-                _sum_arrays("m").alias("m"),
-                _sum_arrays("v").alias("v"),
-                *[F.sum(c).alias(c) for c in ("n", "sse", "sae", "steps", "vn", "vsse", "vsae")],
-            )
-            .orderBy("chunk")
-            .collect()
-        )
+        tot = _sum_direct(parts.toArrow(), len(theta)) if direct else _sum_spark(parts, len(theta))
         state.unpersist()
-        head = summed[0]
-        if epoch > 0 and head["vn"]:
-            history[-1]["val_loss"], history[-1]["val_mae"] = head["vsse"] / head["vn"], head["vsae"] / head["vn"]
+        if epoch > 0 and tot["vn"]:
+            history[-1]["val_loss"], history[-1]["val_mae"] = tot["vsse"] / tot["vn"], tot["vsae"] / tot["vn"]
         if not training:
             break
-        n = head["n"]
-        theta = np.concatenate([np.asarray(r["w"]) for r in summed]) / n
-        m = np.concatenate([np.asarray(r["m"]) for r in summed]) / n
-        v = np.concatenate([np.asarray(r["v"]) for r in summed]) / n
-        t = t + int(round(head["steps"] / n))
-        history.append({"epoch": epoch + 1, "loss": head["sse"] / n, "mae": head["sae"] / n, "val_loss": None, "val_mae": None})
+        n = tot["n"]
+        theta, m, v = tot["w"] / n, tot["m"] / n, tot["v"] / n
+        t = t + int(round(tot["steps"] / n))
+        rec = {"epoch": epoch + 1, "loss": tot["sse"] / n, "mae": tot["sae"] / n, "val_loss": None, "val_mae": None}
+        history.append(rec)
     hist = spark.createDataFrame(
         [(r["epoch"], r["loss"], r["mae"], r["val_loss"], r["val_mae"]) for r in history],
         "epoch int, loss double, mae double, val_loss double, val_mae double",

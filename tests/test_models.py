@@ -67,3 +67,22 @@ def test_mlp_item_side_paths_agree(spark):
     pa_ = {(r.user_id, r.item_id): r.score for r in a.predict(spark.createDataFrame(full[:50], schema)).collect()}
     pb = {(r.user_id, r.item_id): r.score for r in b.predict(spark.createDataFrame(rows[:50], schema)).collect()}
     assert pa_.keys() == pb.keys() and all(np.isclose(pa_[k], pb[k]) for k in pa_)
+
+
+def test_mlp_direct_and_spark_sums_agree(spark, monkeypatch):
+    from tastemap.operators import mlp
+
+    rng = np.random.RandomState(9)
+    rows = []
+    for n in range(800):
+        x = rng.randn(5)
+        rows.append((n, n % 7, float(x.sum()), [float(v) for v in x]))
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating double, features array<double>")
+    kw = dict(epochs=3, hidden=(6,), batch_size=32, seed=1, num_partitions=3)
+    a, ha = fit_mlp(df, **kw)
+    monkeypatch.setattr(mlp, "MAX_DIRECT_BYTES", 0)
+    b, hb = fit_mlp(df, **kw)
+    assert np.allclose(a.theta, b.theta)
+    la = [r.loss for r in ha.orderBy("epoch").collect()]
+    lb = [r.loss for r in hb.orderBy("epoch").collect()]
+    assert np.allclose(la, lb)
