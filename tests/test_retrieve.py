@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, interactions
@@ -97,3 +98,15 @@ def test_bias_scores_are_mean_sum(spark):
     got = {(r.user_id, r.item_id): r.score for r in bias.bias_scores(train).collect()}
     assert got == {(2, 2): 2.0 + 5.0}
     assert bias.bias_score_pairs(train, interactions(spark, [(2, 2, 1.0)], with_ts=False)).first().score == 7.0
+
+
+@pytest.mark.parametrize("name", ["candidates_dot", "knn_exact_budget", "knn_unseen_topk", "bias_topk"])
+def test_recommendations_unseen_and_at_most_k(spark, name):
+    import __spark_entry__ as entry
+    from tastemap.plans.queries import Fixtures
+
+    recs = entry.queries()[name](spark, SF001)
+    train = Fixtures(spark, SF001).e_train
+    assert recs.join(train, ["user_id", "item_id"], "left_semi").count() == 0
+    assert recs.groupBy("user_id").count().filter(F.col("count") > 10).count() == 0
+    assert recs.filter((F.col("rank") < 1) | (F.col("rank") > 10)).count() == 0
