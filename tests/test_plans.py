@@ -48,3 +48,9 @@ def test_split_is_read_back_with_pushed_filter(spark, registry):
     plan = _plan(registry[0]["split_test"](spark, SF001))
     scan = [l for l in plan.split("\n") if "FileScan parquet" in l]
     assert len(scan) == 1 and "is_test" in scan[0] and "PushedFilters: [IsNotNull(is_test), EqualTo(is_test,true)]" in scan[0]
+
+
+@pytest.mark.parametrize("name", ["candidates_als", "knn_als", "knn_lsh", "als_predict_pairs"])
+def test_model_retrieval_plans_have_no_cartesian(spark, registry, name):
+    plan = _plan(registry[0][name](spark, SF001))
+    assert not [f for f in FORBIDDEN if f in plan]
