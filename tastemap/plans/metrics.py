@@ -100,7 +100,12 @@ def _gain(rank_col: str):
     return 1.0 / F.log2(F.col(rank_col).cast("double") + 1.0)
 
 
-def dcg_parts(test: DataFrame, scores: DataFrame) -> DataFrame:
+def catalogue_positions(test: DataFrame) -> DataFrame:
+    """item_id, pos: 0-based position of each test-catalogue item in id order."""
+    return id_dictionary(catalogue(test), ITEM)
+
+
+def dcg_parts(test: DataFrame, scores: DataFrame, cat_pos: DataFrame | None = None) -> DataFrame:
     """One row: total discounted gain of the predictions (``dcg_sum``), of the ideal order
     (``ideal_sum``) and the catalogue size.
 
@@ -116,7 +121,7 @@ def dcg_parts(test: DataFrame, scores: DataFrame) -> DataFrame:
         "n_scored", F.count(F.lit(1)).over(by_user)
     )
     scored_t = t.join(s_r.select(*PAIR, "srank"), PAIR).select(USER, F.col("srank").alias("r"))
-    cat_pos = id_dictionary(catalogue(test), ITEM)
+    cat_pos = cat_pos if cat_pos is not None else catalogue_positions(test)
     unscored_t = t.join(s, PAIR, "left_anti").withColumn("is_scored", F.lit(0))
     merged = unscored_t.unionByName(s.select(*PAIR).withColumn("is_scored", F.lit(1)))
     below = merged.withColumn(
@@ -149,12 +154,14 @@ def dcg(test: DataFrame, scores: DataFrame) -> DataFrame:
     return dcg_parts(test, scores).select((F.col("dcg_sum") / F.col("n_catalogue")).alias("dcg"))
 
 
-def ndcg(test: DataFrame, scores: DataFrame) -> DataFrame:
+def ndcg(test: DataFrame, scores: DataFrame, cat_pos: DataFrame | None = None) -> DataFrame:
     """DCG of the predictions over DCG of the ideal order (ratio of totals, no cutoff)."""
-    return dcg_parts(test, scores).select((F.col("dcg_sum") / F.col("ideal_sum")).alias("ndcg"))
+    return dcg_parts(test, scores, cat_pos).select((F.col("dcg_sum") / F.col("ideal_sum")).alias("ndcg"))
 
 
-def evaluate(test: DataFrame, scores: DataFrame, model: str, k: int = 10, threshold: int = 1) -> DataFrame:
+def evaluate(
+    test: DataFrame, scores: DataFrame, model: str, k: int = 10, threshold: int = 1, cat_pos: DataFrame | None = None
+) -> DataFrame:
     """The per-model evaluation rows (model, metric, value): mean recall@k, user / item /
     catalog coverage, NDCG. The predictions restricted to the population and their hits are
     checkpointed once and shared by all five metrics."""
@@ -171,7 +178,7 @@ def evaluate(test: DataFrame, scores: DataFrame, model: str, k: int = 10, thresh
         users.agg(F.lit("user_coverage").alias("metric"), F.avg(F.when(hh >= threshold, 1.0).otherwise(0.0)).alias("value")),
         items.agg(F.lit("item_coverage").alias("metric"), F.avg(F.when(hh >= threshold, 1.0).otherwise(0.0)).alias("value")),
         items.agg(F.lit("catalog_coverage").alias("metric"), F.avg(F.when(hh >= 1, 1.0).otherwise(0.0)).alias("value")),
-        ndcg(test, pop).select(F.lit("ndcg").alias("metric"), F.col("ndcg").alias("value")),
+        ndcg(test, pop, cat_pos).select(F.lit("ndcg").alias("metric"), F.col("ndcg").alias("value")),
     ]
     out = parts[0]
     for p in parts[1:]:

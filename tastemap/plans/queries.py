@@ -14,6 +14,7 @@ from tastemap.operators import bias, masks, prep, profile, retrieve
 from tastemap.operators.features import item_tag_vectors, nn_features
 from tastemap.plans import metrics
 from tastemap.schema import ITEM, RATING, SCORE, USER
+from tastemap.session import cut_lineage
 from tastemap.sources import fixtures as fx
 
 # Sampling parameters per scale factor (from the fixture spec; sf0.1 scales the draws).
@@ -428,10 +429,11 @@ def q_ndcg_topk_list(f: Fixtures):
 
 @query("model_comparison")
 def q_model_comparison(f: Fixtures):
+    cat_pos = cut_lineage(metrics.catalogue_positions(f.e_test))  # shared by the three evaluations
     parts = [
-        metrics.evaluate(f.e_test, f.bias_pred(), "bias", K, 1),
-        metrics.evaluate(f.e_test, f.dot_pred(), "dot", K, 1),
-        metrics.evaluate(f.e_test, metrics.ranks_as_scores(f.knn_recs()), "knn", K, 1),
+        metrics.evaluate(f.e_test, f.bias_pred(), "bias", K, 1, cat_pos),
+        metrics.evaluate(f.e_test, f.dot_pred(), "dot", K, 1, cat_pos),
+        metrics.evaluate(f.e_test, metrics.ranks_as_scores(f.knn_recs()), "knn", K, 1, cat_pos),
     ]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return _round(out, "value")
