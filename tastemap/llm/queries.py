@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import secrets
+from tastemap.llm import perplexity, secrets
 
 Q = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,12 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.report(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Q]:
-    return {f.__name__: f for f in (op9_secret_scans,)}
+    return {f.__name__: f for f in (op9_secret_scans, op10_quality_rules)}
 
 
 def oracle() -> dict[str, str]:
