@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import decontaminate, mixing, perplexity, secrets
+from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets
 
 Q = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.report(table(spark, sf_dir, "pages"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,7 +36,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Q]:
-    return {f.__name__: f for f in (op6_benchmark_decontamination, op8_mixing_sources, op9_secret_scans, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_html_extraction, op6_benchmark_decontamination, op8_mixing_sources, op9_secret_scans, op10_quality_rules)}
 
 
 def oracle() -> dict[str, str]:
