@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets
+from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets, warc
 
 Q = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Q]:
-    return {f.__name__: f for f in (op3_html_extraction, op6_benchmark_decontamination, op8_mixing_sources, op9_secret_scans, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_html_extraction, op6_benchmark_decontamination, op7_warc, op8_mixing_sources, op9_secret_scans, op10_quality_rules)}
 
 
 def oracle() -> dict[str, str]:
