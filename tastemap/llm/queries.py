@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets, warc
+from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets, tokens, warc
 
 Q = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.report(table(spark, sf_dir, "pages"))
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.report(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +44,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Q]:
-    return {f.__name__: f for f in (op3_html_extraction, op6_benchmark_decontamination, op7_warc, op8_mixing_sources, op9_secret_scans, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_html_extraction, op5_token_output, op6_benchmark_decontamination, op7_warc, op8_mixing_sources, op9_secret_scans, op10_quality_rules)}
 
 
 def oracle() -> dict[str, str]:

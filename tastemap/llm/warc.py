@@ -21,18 +21,16 @@ empty manifest and no rows; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import io
-import uuid
 import zlib
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.session import checkpoint_dir, materialize
+from tastemap.llm.files import Checked, SealedFile, new_folder, open_fs
+from tastemap.session import materialize
 
 REVISIT_BYTES = 1000
 ROLL_BYTES = 256 << 20
@@ -43,10 +41,6 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"  # the table has no capture time
 
 
-def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 def record_id(page_id: int) -> str:
     return f"<urn:page:{page_id}>"
 
@@ -71,19 +65,6 @@ def encode(page_id: int, url: str, payload: bytes, digest: str, refers_to: int |
     return z.compress(text + body + b"\r\n\r\n") + z.flush()
 
 
-class _Checked(io.RawIOBase):
-    """Counts and hashes what is read."""
-
-    def __init__(self, raw):
-        self.raw, self.sha, self.size = raw, hashlib.sha256(), 0
-
-    def read(self, n: int = -1) -> bytes:
-        b = self.raw.read(n)
-        self.sha.update(b)
-        self.size += len(b)
-        return b
-
-
 def decode(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of every record of a gzip member stream; bounded by one record."""
     rest = b""
@@ -122,7 +103,7 @@ def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 def write(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BYTES, partitions: int | None = None) -> tuple[str, DataFrame]:
     """Write ``pages`` (page_id, url, html); returns the folder and the committed manifest."""
     spark = pages.sparkSession
-    folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    folder = folder or new_folder(spark, "warc")
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     again = revisits(rows)
     # the few revisit facts travel to their rows in the same range shuffle, ahead of them
@@ -133,7 +114,6 @@ def write(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BY
     ranged = both.repartitionByRange(n, "page_id").sortWithinPartitions("page_id", "is_row")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, root = _fs(folder)
         out, of, known = None, None, {}
         for batch in batches:
             for page_id, is_row, url, html, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -146,9 +126,9 @@ def write(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BY
                 digest = hashlib.sha1(payload).hexdigest()
                 member = encode(page_id, url or "", payload, digest, known.get(digest))
                 if out is None:
-                    out = _File(where, root, page_id)
+                    out = _File(folder, page_id)
                 out.add(member)
-                if out.size >= roll_bytes:
+                if out.out.size >= roll_bytes:
                     yield out.close()
                     out = None
         if out is not None:
@@ -161,25 +141,16 @@ def write(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BY
 
 
 class _File:
-    def __init__(self, where: pafs.FileSystem, root: str, first: int):
-        self.where, self.root = where, root
-        # a page_id that spans tasks or files must not share a name
-        self.name = f"part-{first:020d}-{uuid.uuid4().hex[:12]}.warc.gz"
-        self.temp = f"{root}/_temporary/{uuid.uuid4().hex}"
-        where.create_dir(f"{root}/_temporary", recursive=True)
-        self.out, self.sha, self.size, self.records = where.open_output_stream(self.temp, compression=None), hashlib.sha256(), 0, 0
+    def __init__(self, folder: str, first: int):
+        self.first, self.out, self.records = first, SealedFile(folder), 0
 
     def add(self, member: bytes) -> None:
         self.out.write(member)
-        self.sha.update(member)
-        self.size += len(member)
         self.records += 1
 
     def close(self) -> pa.RecordBatch:
-        self.out.close()
-        self.name = f"{self.name[:25]}-{self.sha.hexdigest()[:16]}.warc.gz"
-        self.where.move(self.temp, f"{self.root}/{self.name}")
-        return pa.record_batch({"name": [self.name], "records": pa.array([self.records], pa.int64()), "bytes": pa.array([self.size], pa.int64()), "sha256": [self.sha.hexdigest()]})
+        name, size, digest = self.out.seal(f"part-{self.first:020d}", ".warc.gz")
+        return pa.record_batch({"name": [name], "records": pa.array([self.records], pa.int64()), "bytes": pa.array([size], pa.int64()), "sha256": [digest]})
 
 
 def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
@@ -196,12 +167,12 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
         return int(urn.rsplit(":", 1)[1].rstrip(">")) if urn else None
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, root = _fs(folder)
+        where, root = open_fs(folder)
         rows: list[tuple] = []
         for batch in batches:
             for f in batch.to_pylist():
                 with where.open_input_stream(f"{root}/{f['name']}", compression=None) as raw:
-                    stream, n = _Checked(raw), 0
+                    stream, n = Checked(raw), 0
                     for h, block in decode(stream):
                         n += 1
                         kind, digest = h["WARC-Type"], h["WARC-Payload-Digest"].removeprefix("sha1:")
