@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets, tokens, warc
+from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets, substring, suffixes, tokens, warc
 
 Q = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.report(table(spark, sf_dir, "pages"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.report(table(spark, sf_dir, "documents"))
 
@@ -44,7 +52,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Q]:
-    return {f.__name__: f for f in (op3_html_extraction, op5_token_output, op6_benchmark_decontamination, op7_warc, op8_mixing_sources, op9_secret_scans, op10_quality_rules)}
+    found = (
+        op2_substring_dedup,
+        op3_html_extraction,
+        op4_suffix_array_dedup,
+        op5_token_output,
+        op6_benchmark_decontamination,
+        op7_warc,
+        op8_mixing_sources,
+        op9_secret_scans,
+        op10_quality_rules,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle() -> dict[str, str]:
