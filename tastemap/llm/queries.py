@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import decontaminate, htmltext, mixing, perplexity, secrets, substring, suffixes, tokens, warc
+from tastemap.llm import decontaminate, htmltext, jaccard, mixing, perplexity, secrets, substring, suffixes, tokens, warc
 
 Q = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Q]:
     found = (
+        op1_jaccard_join,
         op2_substring_dedup,
         op3_html_extraction,
         op4_suffix_array_dedup,
