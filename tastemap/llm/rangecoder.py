@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LANES = 8192
+LANES = 4096
 STEPS = 256
 BLOCK = LANES * STEPS
 SLOTS = 1 << 18  # order-2 table
@@ -95,9 +95,9 @@ def encode(ids: np.ndarray, vocab: int) -> bytes:
         p1, m1, p2, m2, total = model.predict()
         start = model.cum[s] + m1 * (s > p1) + m2 * (s > p2)
         freq = (model.cum[s + 1] - model.cum[s]) + m1 * (s == p1) + m2 * (s == p2)
-        r = size // total.astype(np.uint64)
-        low += r * start.astype(np.uint64)
-        size = r * freq.astype(np.uint64)
+        r = size // total.view(np.uint64)
+        low += r * start.view(np.uint64)
+        size = r * freq.view(np.uint64)
         while True:
             same = (low ^ (low + size)) < TOP
             need = same | (size < BOT)
@@ -135,7 +135,7 @@ def decode(data: bytes, n: int, vocab: int) -> np.ndarray:
     grid = np.empty((steps, lanes), np.int64)
     for k in range(steps):
         p1, m1, p2, m2, total = model.predict()
-        r = size // total.astype(np.uint64)
+        r = size // total.view(np.uint64)
         v = np.minimum(((code - low) // r).astype(np.int64), total - 1)
         # take the extra mass of the smaller, then of the larger predicted id out of the position
         swap = p1 > p2
@@ -146,8 +146,8 @@ def decode(data: bytes, n: int, vocab: int) -> np.ndarray:
         s = np.searchsorted(model.cum, x, "right") - 1
         start = model.cum[s] + m1 * (s > p1) + m2 * (s > p2)
         freq = (model.cum[s + 1] - model.cum[s]) + m1 * (s == p1) + m2 * (s == p2)
-        low += r * start.astype(np.uint64)
-        size = r * freq.astype(np.uint64)
+        low += r * start.view(np.uint64)
+        size = r * freq.view(np.uint64)
         while True:
             same = (low ^ (low + size)) < TOP
             at = np.flatnonzero(same | (size < BOT))

@@ -6,7 +6,7 @@ carries a CRC of its payload). Files are sealed under the hash of their content
 manifest, with the number of ids before each, so a reader finds every document's place.
 
 Tokenising. The tokenizer splits at white space before it merges, so the ids of a text are those of
-its white-space-separated pieces in order. A task keeps the ids of pieces that it has met (by
+its white-space-separated pieces in order. A Python worker keeps the ids of pieces that its tasks have met (by
 64-bit hash, a bounded table) and asks the tokenizer for new pieces only. Pieces are also cut where
 an ASCII letter or digit is followed by ASCII punctuation, which the tokenizer's pattern always
 separates; a chunk that holds ``<|`` (special tokens) is cut at white space only. Another tokenizer
@@ -34,8 +34,8 @@ from tastemap.llm import words as W
 from tastemap.llm.files import Checked, SealedFile, new_folder, open_fs
 
 END_ID = 2
-KNOWN_PIECES = 2_000_000
-CHUNK_BYTES = 4_000_000
+KNOWN_PIECES = 1_500_000
+CHUNK_BYTES = 1_000_000
 ROLL_BYTES = 512 << 20
 NO_ID = -(1 << 63)
 MAGIC = b"TIDS0001"
@@ -43,8 +43,12 @@ HEAD = struct.Struct("<IIIII")  # ids, payload bytes, payload CRC, index bytes,
 
 ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = True
+# ASCII letters, and the bytes of U+00C0..U+00FF but for the two that are no letters: texts of these
+# alone are one word to the tokenizer
 LETTER = ALNUM.copy()
 LETTER[0x30:0x3A] = False
+LETTER[0xC3] = LETTER[0x80:0xC0] = True
+LETTER[[0x97, 0xB7]] = False
 PUNCT = np.zeros(256, bool)
 PUNCT[0x21:0x7F] = True
 PUNCT &= ~ALNUM
@@ -82,22 +86,26 @@ class Tokens:
     def _learn(self, key: np.ndarray, pieces: list[bytes], simple: np.ndarray) -> None:
         """Add pieces with their ids. Plain letter pieces are tokenised many at a time: each ends
         with its one word-final id."""
-        ids: list = [None] * len(pieces)
-        plain, rest = np.flatnonzero(simple), list(np.flatnonzero(~simple))
-        for i in range(0, len(plain), 512):
-            part = plain[i : i + 512]
-            got = np.array(self._raw([" ".join(pieces[k].decode() for k in part)])[0], np.int32)
+        plain, rest = np.flatnonzero(simple), np.flatnonzero(~simple).tolist()
+        n, at = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        pool, size = [self.pool], len(self.pool)
+        for i in range(0, len(plain), 4096):
+            part = plain[i : i + 4096]
+            lines = [b" ".join([pieces[k] for k in part[j : j + 512]]).decode() for j in range(0, len(part), 512)]
+            got = np.concatenate([np.array(x, np.int32) for x in self._raw(lines)])
             cut = np.flatnonzero(self.ends[got]) + 1
             if len(cut) == len(part) and cut[-1] == len(got):
-                for k, x in zip(part, np.split(got, cut[:-1]), strict=True):
-                    ids[k] = x
+                n[part] = np.diff(cut, prepend=0)
+                at[part] = size + cut - n[part]
+                pool.append(got)
+                size += len(got)
             else:
-                rest.extend(part)
+                rest.extend(part.tolist())
         for k, x in zip(rest, self._raw([pieces[k].decode() for k in rest]), strict=True):
-            ids[k] = np.array(x, np.int32)
-        n = np.array([len(x) for x in ids], np.int64)
-        at = len(self.pool) + np.cumsum(n) - n
-        self.pool = np.concatenate([self.pool, *ids])
+            n[k], at[k] = len(x), size
+            pool.append(np.array(x, np.int32))
+            size += len(x)
+        self.pool = np.concatenate(pool)
         where = np.searchsorted(self.key, key)
         self.key, self.at, self.len = np.insert(self.key, where, key), np.insert(self.at, where, at), np.insert(self.len, where, n)
 
@@ -142,6 +150,16 @@ class Tokens:
         return out, per_row + 1
 
 
+_WORKER: dict[tuple[str, bool], Tokens] = {}
+
+
+def worker_tokens(path: str, by_word: bool) -> Tokens:
+    """One table of known pieces for all tasks that a Python worker runs."""
+    if (path, by_word) not in _WORKER:
+        _WORKER[path, by_word] = Tokens(path, by_word)
+    return _WORKER[path, by_word]
+
+
 class Writer:
     """Cuts a stream of documents into coded blocks; a document may span blocks and is indexed in
     the block where it ends."""
@@ -200,7 +218,7 @@ def write(docs: DataFrame, tokenizer: str | None = None, folder: str | None = No
         part, seq = TaskContext.get().partitionId(), 0
         tok, out = None, None
         for batch in batches:
-            tok = tok or Tokens(path, by_word)
+            tok = tok or worker_tokens(path, by_word)
             buf, off = W.text_bytes(batch.column("text"))
             doc = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
             for i, j in W.chunks(off, CHUNK_BYTES):
@@ -214,7 +232,8 @@ def write(docs: DataFrame, tokenizer: str | None = None, folder: str | None = No
             yield out.close(part, seq)
 
     manifest = ranged.mapInArrow(task, "name string, part long, seq long, docs long, ids long, bytes long, sha256 string")
-    manifest.write.parquet(f"{folder}/manifest")
+    # one small row per file
+    manifest.repartition(1).write.parquet(f"{folder}/manifest")
     return folder
 
 

@@ -136,7 +136,7 @@ def write(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BY
 
     done = ranged.mapInArrow(task, "name string, records long, bytes long, sha256 string")
     manifest = f"{folder}/manifest"
-    done.write.parquet(manifest)
+    done.repartition(1).write.parquet(manifest)  # one small row per file
     return folder, spark.read.parquet(manifest)
 
 
