@@ -161,7 +161,8 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that are not contaminated."""
-    return scan(docs, items).filter(~contaminated()).drop("_found")
+    found = W.fresh(docs.columns, "_found")
+    return scan(docs, items, out_col=found).filter(~contaminated(found)).drop(found)
 
 
 def digest(items: set[str]) -> str:

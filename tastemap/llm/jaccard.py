@@ -468,5 +468,6 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that are the first of their group of near copies."""
-    kept = materialize(join(docs).filter("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("_j_id")).distinct(), "kept")
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_j_id")), "left_semi")
+    name = W.fresh(docs.columns, "_j_id")
+    kept = materialize(join(docs).filter("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias(name)).distinct(), "kept")
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")

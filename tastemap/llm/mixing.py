@@ -37,7 +37,7 @@ from tastemap.session import materialize
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MAX_REPEAT = 2.0
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 FAN_IN = 64
 SEED = 1
 
@@ -158,10 +158,12 @@ def report(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, **args) -> DataFrame:
     """``docs`` (all columns) with every row repeated as often as the mix takes it."""
-    taken = copies(docs, **args).groupBy(F.col("doc_id").alias("_m_id"), F.col("tie").alias("_m_tie")).agg(F.array_sort(F.collect_list("copies")).alias("_m_copies"))
-    rows = docs.withColumn("_m_key", F.col("doc_id").cast("long")).withColumn("_m_text", F.xxhash64(F.col("text").cast("string")))
-    joined = rows.join(taken.filter(F.array_max("_m_copies") > 0), F.col("_m_key").eqNullSafe(F.col("_m_id")) & (F.col("_m_text") == F.col("_m_tie")))
+    p = W.fresh(docs.columns, "_m_")
+    taken = copies(docs, **args).groupBy(F.col("doc_id").alias(p + "id"), F.col("tie").alias(p + "tie")).agg(F.array_sort(F.collect_list("copies")).alias(p + "copies"))
+    rows = docs.withColumn(p + "key", F.col("doc_id").cast("long")).withColumn(p + "text", F.xxhash64(F.col("text").cast("string")))
+    joined = rows.join(taken.filter(F.array_max(p + "copies") > 0), F.col(p + "key").eqNullSafe(F.col(p + "id")) & (F.col(p + "text") == F.col(p + "tie")))
     # equal rows share out their group's copies
-    nth = F.row_number().over(Window.partitionBy("_m_key", "_m_text").orderBy("_m_key"))
-    times = joined.withColumn("_m_times", F.element_at("_m_copies", nth).cast("int")).filter("_m_times > 0")
-    return times.withColumn("_m_copy", F.explode(F.sequence(F.lit(1), F.col("_m_times")))).select(*[F.col(c) for c in docs.columns])
+    nth = F.row_number().over(Window.partitionBy(p + "key", p + "text").orderBy(p + "key"))
+    times = joined.withColumn(p + "times", F.element_at(p + "copies", nth).cast("int")).filter(F.col(p + "times") > 0)
+    out = times.withColumn(p + "copy", F.explode(F.sequence(F.lit(1), F.col(p + "times"))))
+    return out.drop(*[p + c for c in ("key", "text", "id", "tie", "copies", "times", "copy")])

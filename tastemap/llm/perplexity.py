@@ -290,11 +290,14 @@ def bands(stats: DataFrame, prefix: str = "", mads: float = BAND_MADS, least: fl
 
 def judge(stats: DataFrame, band: DataFrame, prefix: str = "") -> DataFrame:
     """``stats`` with ``base_failed`` and ``kept`` (both after ``prefix``)."""
-    joined = stats.withColumn("band_lang", F.coalesce(F.col("lang"), F.lit("\x00"))).join(band, "band_lang", "left")
-    nll = F.col(prefix + "nll")
-    inside = F.coalesce(nll.between(F.col("band_lo"), F.col("band_hi")), F.lit(True))
+    names = {c: W.fresh(stats.columns, "_" + c) for c in band.columns}
+    for old, new in names.items():
+        band = band.withColumnRenamed(old, new)
+    lang, lo, hi = names.values()
+    joined = stats.withColumn(lang, F.coalesce(F.col("lang"), F.lit("\x00"))).join(band, lang, "left")
+    inside = F.coalesce(F.col(prefix + "nll").between(F.col(lo), F.col(hi)), F.lit(True))
     failed = base_failed(prefix)
-    return joined.withColumn(prefix + "base_failed", failed).withColumn(prefix + "kept", ~failed & inside).drop("band_lang", "band_lo", "band_hi")
+    return joined.withColumn(prefix + "base_failed", failed).withColumn(prefix + "kept", ~failed & inside).drop(lang, lo, hi)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -308,6 +311,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that pass. The texts are scored twice, once for the bands
     and once for the verdict, and never shuffled."""
     models = fit(docs)
-    stats = materialize(annotate(docs.select("doc_id", "text", "lang"), models).drop("text"), "quality")
-    band = bands(stats, "_q_")
-    return judge(annotate(docs, models), band, "_q_").filter("_q_kept").select(*docs.columns)
+    p = W.fresh(docs.columns, "_q_")
+    stats = materialize(annotate(docs.select("text", "lang"), models, prefix=p).drop("text"), "quality")
+    judged = judge(annotate(docs, models, prefix=p), bands(stats, p), p)
+    return judged.filter(p + "kept").drop(*[p + c for c in (*STATS, "nll", "base_failed", "kept")])

@@ -110,6 +110,13 @@ def windows(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return at, fmix(s[at])
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, or a longer one that begins no column's name: for columns added beside the caller's."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name += "_"
+    return name
+
+
 def join_ranges(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
     """Boolean cover of [0, n) by half-open ranges."""
     d = np.zeros(n + 1, np.int64)
