@@ -114,8 +114,11 @@ def grams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, g
 
 
-def _languages(col: pa.Array) -> list[str]:
-    return ["\x00" if x is None else x for x in col.to_pylist()]
+def _languages(col: pa.Array) -> tuple[list[str], np.ndarray]:
+    """(names, number of each row's name); the null language is named U+0000."""
+    at: dict[str, int] = {}
+    codes = [at.setdefault("\x00" if x is None else x, len(at)) for x in col.to_pylist()]
+    return list(at), np.array(codes, np.int64)
 
 
 def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -126,14 +129,13 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         size = 0
         for batch in batches:
             buf, off = W.text_bytes(batch.column("text"))
-            langs = np.array(_languages(batch.column("lang")), dtype=object)
+            names, langs = _languages(batch.column("lang"))
             for i, j in W.chunks(off):
                 row, g = grams(buf[off[i] : off[j]], off[i : j + 1] - off[i])
                 row_lang = langs[i:j]
-                for lang in set(row_lang):
-                    of = (row_lang == lang)[row]
-                    k, c = np.unique(g[of], return_counts=True)
-                    held[lang] = _merge(held.get(lang), k, c)
+                for code in np.unique(row_lang).tolist():
+                    k, c = np.unique(g[(row_lang == code)[row]], return_counts=True)
+                    held[names[code]] = _merge(held.get(names[code]), k, c)
             size = sum(len(k) for k, _ in held.values())
             if size > 4_000_000:
                 yield from _count_rows(held)
@@ -229,9 +231,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_sha
     counts = materialize(count_grams(docs, text_col, lang_col), "grams")
     total = counts.agg(F.sum("n")).first()[0] or 0
     kept = counts.filter(F.col("n") >= max(1, total * min_share)).toArrow()
-    langs = np.array(kept["lang"].to_pylist(), dtype=object)
+    names, langs = _languages(kept["lang"].combine_chunks())
     g, n = kept["gram"].to_numpy(), kept["n"].to_numpy()
-    return {lang: Model(g[langs == lang], n[langs == lang]) for lang in set(langs)}
+    return {name: Model(g[langs == code], n[langs == code]) for code, name in enumerate(names)}
 
 
 def annotate(docs: DataFrame, models: dict[str, Model], text_col: str = "text", lang_col: str = "lang", prefix: str = "_q_") -> DataFrame:
@@ -244,12 +246,13 @@ def annotate(docs: DataFrame, models: dict[str, Model], text_col: str = "text",
         model = shared.value
         for batch in batches:
             buf, off = W.text_bytes(batch.column(text_col))
-            langs = np.array(_languages(batch.column(lang_col).cast(pa.string())), dtype=object)
+            names, langs = _languages(batch.column(lang_col).cast(pa.string()))
+            of_code = [model.get(name) for name in names]
             stats, nll = [np.zeros((0, 5), np.int64)], [np.zeros(0)]
             for i, j in W.chunks(off):
                 b, o = buf[off[i] : off[j]], off[i : j + 1] - off[i]
                 stats.append(text_stats(b, o))
-                nll.append(_nll(model, b, o, langs[i:j]))
+                nll.append(_nll(of_code, b, o, langs[i:j]))
             stats, nll = np.concatenate(stats), np.concatenate(nll)
             cols = [pa.array(stats[:, s]) for s in range(5)] + [pa.array(nll, mask=np.isnan(nll))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *[prefix + s for s in STATS], prefix + "nll"])
@@ -263,9 +266,9 @@ def _nll(models, buf, off, langs) -> np.ndarray:
         return out
     row, g = grams(buf, off)
     logs = np.zeros(len(g))
-    for lang in set(langs):
-        if (m := models.get(lang)) is not None:
-            of = (langs == lang)[row]
+    for code in np.unique(langs).tolist():
+        if (m := models[code]) is not None:
+            of = (langs == code)[row]
             uniq, at = np.unique(g[of], return_inverse=True)
             logs[of] = -np.log(m.probability(uniq.astype(np.uint64)))[at]
     n = np.bincount(row, minlength=len(langs))

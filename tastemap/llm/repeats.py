@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +49,27 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
     return m[:n] if span == w else np.minimum(m[:n], m[w - span : w - span + n])
 
 
+INVERSE = pow(int(W.STEP), -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; kept for the next call."""
+    if len(_powers.get(base, ())) < n:
+        p = np.full(n, base, np.uint64)
+        p[:1] = 1
+        _powers[base] = np.cumprod(p)
+    return _powers[base][:n]
+
+
+def span_hashes(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of values[a:b] for many spans: a polynomial in ``W.STEP``, from prefix sums."""
+    if not len(a):
+        return np.zeros(0, np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(int(W.STEP), len(values)))])
+    return W.fmix((sums[b] - sums[a]) * powers(INVERSE, len(values) + 1)[a] + (b - a).astype(np.uint64))
+
+
 class Words:
     """Units are words ``[^\\x20\\x09-\\x0D]+``; a packed string is the words joined by one space."""
 
@@ -63,11 +84,24 @@ class Words:
         g = np.zeros(n, np.uint64)
         for j in range(self.q):
             g += h[j : j + n] * W.WINDOW_MULT[j]
-        return first, W.fmix(g), (buf.tobytes(), starts, ends)
+        return first, W.fmix(g), (buf.tobytes(), starts, ends, h)
+
+    def hashes(self, ctx, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hash of the units [a, b), the same for equal packed strings anywhere."""
+        return span_hashes(ctx[3], a, b)
+
+    def string_hashes(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """``hashes`` of whole packed strings."""
+        out = [np.zeros(0, np.uint64)]
+        for i, j in W.chunks(off, CHUNK_BYTES):
+            b = buf[off[i] : off[j]]
+            starts, ends, first = W.split_words(b, off[i : j + 1] - off[i])
+            out.append(span_hashes(W.word_hashes(b, starts, ends), first[:-1], first[1:]))
+        return np.concatenate(out)
 
-    def pack(self, ctx, a: int, b: int) -> bytes:
-        raw, starts, ends = ctx
-        return b" ".join(raw[starts[a] : ends[b - 1]].split())
+    def pack(self, ctx, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+        raw, starts, ends, _ = ctx
+        return [b" ".join(raw[x:y].split()) for x, y in zip(starts[a].tolist(), ends[b - 1].tolist(), strict=True)]
 
 
 class Bytes:
@@ -85,10 +119,21 @@ class Bytes:
         v = v[:-2] | (v[2:] << U(16)) if len(v) > 2 else v[:0]
         v8 = v[:-4] | (v[4:] << U(32)) if len(v) > 4 else v[:0]
         g = W.fmix(W.fmix(v8[:n] * W.WINDOW_MULT[0] + v8[8 : 8 + n]) + v[16 : 16 + n] * W.WINDOW_MULT[1]) if n else np.zeros(0, np.uint64)
-        return off, g, buf.tobytes()
+        return off, g, buf
 
-    def pack(self, ctx, a: int, b: int) -> bytes:
-        return ctx[a:b]
+    def hashes(self, ctx, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return span_hashes(W.BYTE_VALUE[ctx], a, b)
+
+    def string_hashes(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+        out = [np.zeros(0, np.uint64)]
+        for i, j in W.chunks(off, CHUNK_BYTES):
+            o = off[i : j + 1] - off[i]
+            out.append(span_hashes(W.BYTE_VALUE[buf[off[i] : off[j]]], o[:-1], o[1:]))
+        return np.concatenate(out)
+
+    def pack(self, ctx, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+        raw = ctx.tobytes()
+        return [raw[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
 
 
 def runs(unit, first: np.ndarray, gram: np.ndarray):
@@ -121,6 +166,21 @@ def _bucket_cuts(key: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(key, edges), [len(key)]])
 
 
+def _six(key: np.ndarray) -> np.ndarray:
+    """The low six bytes of sorted keys. The bucket is the top of the key, so little is lost; keys that
+    meet by chance in step 1 only send a string too many in step 3."""
+    return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _from_six(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = raw.reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
+
+
+LOW6 = U((1 << 48) - 1)
+
+
 def _column(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), kind)
 
@@ -135,6 +195,21 @@ def _chunks(docs: pa.Table, unit):
         yield doc[i:j], b, o, first, ctx, runs(unit, first, gram)
 
 
+def _member(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Positions of the values of ``x`` that are in ``sorted_``."""
+    return np.flatnonzero(sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x)
+
+
+def _changes(k: np.ndarray, h: np.ndarray) -> np.ndarray:
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
+    return new
+
+
+def _both(k: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return W.fmix(k + W.fmix(h))
+
+
 def _list(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
@@ -168,11 +243,11 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
         g = key[0].as_py()
         part = lambda x: pa.array([_list(x[cuts[b] : cuts[b + 1]]) for b in use], pa.binary())
-        return pa.table({"b": pa.array(use, pa.int32()), "g": pa.array([g] * len(use), pa.int32()), "keys": part(k), "docs": part(d), "many": part(many)})
+        return pa.table({"b": pa.array(use, pa.int32()), "g": pa.array([g] * len(use), pa.int32()), "keys": part(_six(k)), "docs": part(d), "many": part(many)})
 
     def shared(key, rows):
-        k, d, many = _column(rows, "keys", np.uint64), _column(rows, "docs", np.int64), _column(rows, "many", bool)
-        source = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) // 8 for x in rows.column("keys")])
+        k, d, many = _from_six(_column(rows, "keys", np.uint8)), _column(rows, "docs", np.int64), _column(rows, "many", bool)
+        source = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) for x in rows.column("many")])
         order = np.lexsort((d, k))
         k_, d_, m_ = k[order], d[order], many[order]
         head = np.flatnonzero(np.append(True, k_[1:] != k_[:-1]))
@@ -185,100 +260,121 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         cut = np.searchsorted(src, np.arange(rows.num_rows + 1))
         g = rows.column("g").to_numpy()
         use = [i for i in range(rows.num_rows) if cut[i] < cut[i + 1]]
-        return pa.table({"g": pa.array([int(g[i]) for i in use], pa.int32()), "keys": pa.array([_list(kk[cut[i] : cut[i + 1]]) for i in use], pa.binary())})
+        return pa.table({"g": pa.array([int(g[i]) for i in use], pa.int32()), "keys": pa.array([_list(_six(kk[cut[i] : cut[i + 1]])) for i in use], pa.binary())})
 
     def strings(key, docs_, wanted):
-        want = np.sort(_column(wanted, "keys", np.uint64))
-        found: dict[tuple[int, bytes], list] = {}
-        if len(want):
-            for doc, _, _, _, ctx, (row, at, n, k) in _chunks(docs_, unit):
-                hit = np.flatnonzero(want[np.minimum(np.searchsorted(want, k), len(want) - 1)] == k)
-                for kk, a, b, d in zip(k[hit].tolist(), at[hit].tolist(), (at + n + unit.k - 1)[hit].tolist(), doc[row[hit]].tolist(), strict=True):
-                    what = (kk, unit.pack(ctx, a, b))
-                    old = found.get(what)
-                    if old is None:
-                        found[what] = [d, False]
-                    elif old[0] != d:
-                        found[what] = [min(old[0], d), True]
-        items = sorted(found.items(), key=lambda x: x[0][0])
-        cuts = _bucket_cuts(np.array([x[0][0] for x in items], np.uint64), buckets)
+        want = np.sort(_from_six(_column(wanted, "keys", np.uint8)))
+        none = np.zeros(0, np.uint64)
+        keys, hashes, ids, packed = [none], [none], [np.zeros(0, np.int64)], []
+        for doc, _, _, _, ctx, (row, at, n, k) in _chunks(docs_, unit) if len(want) else ():
+            hit = _member(want, k & LOW6)
+            h = unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1)
+            # one row for each string and document of the chunk, and its text once
+            d, k, at, n = doc[row[hit]], k[hit], at[hit], n[hit]
+            order = np.lexsort((d, h, k))
+            new = _changes(k[order], h[order])
+            first = order[new]
+            keys.append(k[order])
+            hashes.append(h[order])
+            ids.append(d[order])
+            texts = unit.pack(ctx, at[first], at[first] + n[first] + unit.k - 1)
+            packed.extend(texts[i] for i in (np.cumsum(new) - 1).tolist())
+        k, h, d = np.concatenate(keys), np.concatenate(hashes), np.concatenate(ids)
+        order = np.lexsort((d, h, k))
+        k, h, d = k[order], h[order], d[order]
+        head = np.flatnonzero(_changes(k, h))
+        tail = np.append(head[1:], len(k))[: len(head)] - 1
+        many, texts = d[head] != d[tail], [packed[i] for i in order[head].tolist()]
+        k, d = k[head], d[head]
+        lens = np.array([len(x) for x in texts], np.int32)
+        cuts = _bucket_cuts(k, buckets)
         use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        part = lambda f: pa.array([f(items[cuts[b] : cuts[b + 1]]) for b in use], pa.binary())
+        part = lambda x: pa.array([_list(x[cuts[b] : cuts[b + 1]]) for b in use], pa.binary())
+        zip_ = zstandard.ZstdCompressor(level=1)
         return pa.table(
             {
                 "b": pa.array(use, pa.int32()),
                 "g": pa.array([key[0].as_py()] * len(use), pa.int32()),
-                "keys": part(lambda x: _list(np.array([y[0][0] for y in x], np.uint64))),
-                "docs": part(lambda x: _list(np.array([y[1][0] for y in x], np.int64))),
-                "many": part(lambda x: _list(np.array([y[1][1] for y in x], bool))),
-                "lens": part(lambda x: _list(np.array([len(y[0][1]) for y in x], np.int32))),
-                "strings": part(lambda x: b"".join(y[0][1] for y in x)),
+                "keys": part(k),
+                "docs": part(d),
+                "many": part(many),
+                "lens": part(lens),
+                "strings": pa.array([zip_.compress(b"".join(texts[cuts[b] : cuts[b + 1]])) for b in use], pa.binary()),
             }
         )
 
     def compare(key, rows):
         k, d = _column(rows, "keys", np.uint64), _column(rows, "docs", np.int64)
         many, lens = _column(rows, "many", bool), _column(rows, "lens", np.int32)
-        raw = b"".join(x.as_py() for x in rows.column("strings"))
+        unzip = zstandard.ZstdDecompressor()
+        raw = b"".join(unzip.decompress(x.as_py()) for x in rows.column("strings"))
         ends = np.cumsum(lens.astype(np.int64))
-        cut = [raw[e - n : e] for e, n in zip(ends.tolist(), lens.tolist(), strict=True)]
-        source = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) // 8 for x in rows.column("keys")])
+        source = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) for x in rows.column("many")])
+        h = unit.string_hashes(np.frombuffer(raw, np.uint8), np.concatenate([[0], ends]))
         # equal strings of several groups are one
-        least: dict[tuple[int, bytes], int] = {}
-        for kk, s, dd in zip(k.tolist(), cut, d.tolist(), strict=True):
-            old = least.get((kk, s))
-            if old is None or dd < old:
-                least[kk, s] = dd
-        kinds: dict[int, int] = {}
-        for kk, _ in least:
-            kinds[kk] = kinds.get(kk, 0) + 1
-        mixed = [x for x in least if kinds[x[0]] > 1]
+        order = np.lexsort((d, h, k))
+        new = _changes(k[order], h[order])
+        head = order[new]
+        which = np.empty(len(k), np.int64)
+        which[order] = np.cumsum(new) - 1
+        least, of_key = d[head], k[head]
+        alone = np.ones(len(head), bool)
+        alone[1:] &= of_key[1:] != of_key[:-1]
+        alone[:-1] &= of_key[1:] != of_key[:-1]
         # a key with one string needs no comparison: its windows occur where the string does
-        verdict = {x: np.array([dd], np.int64) for x, dd in least.items() if kinds[x[0]] == 1}
-        if mixed:
-            for x, w in zip(mixed, least_docs([x[0] for x in mixed], [x[1] for x in mixed], [least[x] for x in mixed]), strict=True):
-                verdict[x] = w[:1] if len(w) and (w == w[0]).all() else w
-        out: dict[int, list] = {}
+        size, values = np.ones(len(head), np.int64), least.copy()
+        mixed = np.flatnonzero(~alone)
+        if len(mixed):
+            texts = [raw[e - n : e] for e, n in zip(ends[head[mixed]].tolist(), lens[head[mixed]].tolist(), strict=True)]
+            found = least_docs(of_key[mixed].tolist(), texts, least[mixed].tolist())
+            found = [w[:1] if (w == w[0]).all() else w for w in found]
+            size[mixed] = [len(w) for w in found]
+            begin = np.cumsum(size) - size
+            values = np.empty(int(size.sum()), np.int64)
+            values[begin[alone]] = least[alone]
+            values[np.repeat(begin[mixed] - (np.cumsum(size[mixed]) - size[mixed]), size[mixed]) + np.arange(int(size[mixed].sum()))] = np.concatenate(found)
+        begin = np.cumsum(size) - size
+        low = np.minimum.reduceat(values, begin) if len(begin) else values
+        # where nothing of the group goes, it needs no word of it
+        tell = np.flatnonzero(many | (low[which] < d))
+        tell = tell[np.argsort(source[tell], kind="stable")]
+        w = which[tell]
+        n = size[w]
+        flat = values[np.repeat(begin[w] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        cut = np.searchsorted(source[tell], np.arange(rows.num_rows + 1))
+        flat_cut = np.concatenate([[0], np.cumsum(n)])[cut]
         g = rows.column("g").to_pylist()
-        for src, kk, s, dd, mm in zip(source.tolist(), k.tolist(), cut, d.tolist(), many.tolist(), strict=True):
-            w = verdict[kk, s]
-            if mm or w.min() < dd:  # else nothing of this group goes
-                out.setdefault(g[src], []).append((kk, xxhash.xxh3_64_intdigest(s), w))
-        return pa.table(
-            {
-                "g": pa.array(list(out), pa.int32()),
-                "keys": pa.array([_list(np.array([x[0] for x in v], np.uint64)) for v in out.values()], pa.binary()),
-                "hashes": pa.array([_list(np.array([x[1] for x in v], np.uint64)) for v in out.values()], pa.binary()),
-                "lens": pa.array([_list(np.array([len(x[2]) for x in v], np.int32)) for v in out.values()], pa.binary()),
-                "least": pa.array([_list(np.concatenate([x[2] for x in v])) for v in out.values()], pa.binary()),
-            }
-        )
+        use = [i for i in range(rows.num_rows) if cut[i] < cut[i + 1]]
+        part = lambda x, c=cut: pa.array([_list(x[c[i] : c[i + 1]]) for i in use], pa.binary())
+        return pa.table({"g": pa.array([g[i] for i in use], pa.int32()), "keys": part(k[tell]), "hashes": part(h[tell]), "lens": part(n.astype(np.int32)), "least": part(flat, flat_cut)})
 
     def apply(key, docs_, verdicts):
-        k, h = _column(verdicts, "keys", np.uint64), _column(verdicts, "hashes", np.uint64)
-        lens, flat = _column(verdicts, "lens", np.int32), _column(verdicts, "least", np.int64)
-        ends = np.cumsum(lens.astype(np.int64))
-        find = {x: (e - n, e) for x, e, n in zip(zip(k.tolist(), h.tolist(), strict=True), ends.tolist(), lens.tolist(), strict=True)}
-        keys = np.sort(k)
+        known = _both(_column(verdicts, "keys", np.uint64), _column(verdicts, "hashes", np.uint64))
+        lens, flat = _column(verdicts, "lens", np.int32).astype(np.int64), _column(verdicts, "least", np.int64)
+        begin = np.cumsum(lens) - lens
+        keys = np.sort(_column(verdicts, "keys", np.uint64))
+        order = np.argsort(known)
+        known = known[order]
         tables = []
-        for doc, buf, off, first, ctx, (row, at, n, rk) in _chunks(docs_, unit):
-            begin, end = [], []
-            hit = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, rk), len(keys) - 1)] == rk) if len(keys) else []
-            for i, kk, a, nn, d in zip(hit, rk[hit].tolist(), at[hit].tolist(), n[hit].tolist(), doc[row[hit]].tolist(), strict=True) if len(hit) else ():
-                where = find.get((kk, xxhash.xxh3_64_intdigest(unit.pack(ctx, a, a + nn + unit.k - 1))))
-                if where is None:
-                    continue
-                w = flat[where[0] : where[1]] < d
-                if len(w) == 1:
-                    if w[0]:
-                        begin.append(a)
-                        end.append(a + nn + unit.k - 1)
-                elif w.any():
-                    s = a + np.flatnonzero(w)
-                    begin.extend(s.tolist())
-                    end.extend((s + unit.k).tolist())
+        for doc, buf, off, first, ctx, (row, at, n, k) in _chunks(docs_, unit):
             units = int(first[-1])
-            covered = W.join_ranges(np.array(begin, np.int64), np.array(end, np.int64), units) if begin else np.zeros(units, bool)
+            covered = np.zeros(units, bool)
+            hit = _member(keys, k) if len(keys) else np.zeros(0, np.int64)
+            if len(hit):
+                both = _both(k[hit], unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1))
+                found = np.minimum(np.searchsorted(known, both), len(known) - 1)
+                right = known[found] == both
+                hit, verdict = hit[right], order[found[right]]
+                d = doc[row[hit]]
+                whole = lens[verdict] == 1
+                gone = hit[whole & (flat[begin[verdict]] < d)]
+                starts, ends = [at[gone]], [at[gone] + n[gone] + unit.k - 1]
+                for i in np.flatnonzero(~whole).tolist():
+                    v = verdict[i]
+                    one = at[hit[i]] + np.flatnonzero(flat[begin[v] : begin[v] + lens[v]] < d[i])
+                    starts.append(one)
+                    ends.append(one + unit.k)
+                covered = W.join_ranges(np.concatenate(starts), np.concatenate(ends), units)
             tables.append(pa.table({"doc_id": pa.array(doc, mask=doc == NO_ID), **finish(buf, off, first, covered)}))
         return pa.concat_tables(tables)
 
