@@ -14,7 +14,7 @@ A document's set is its distinct 5-word shingles (lower-cased A-Z); two document
    bitmaps and the range of sizes. The tree is joined with itself from the top: a pair of inner
    nodes is dropped when the common bits, which bound every overlap below, are too few for any sizes
    in range, or when both sides are already one component. Leaves that pass are candidates.
-4. Candidates form clusters (``components``). Each member's set travels once to its cluster, where
+4. Candidates form clusters (``components``). Each member's text travels once to its cluster, where
    a second signature tree, now with the exact intersection at its leaves, finds the links. Large
    clusters are split into pairs of blocks.
 
@@ -47,7 +47,7 @@ PERCENT = 75
 MIN_HOT = 64
 MAX_HOT_IDS = 200_000  # bound of the broadcast list of frequent shingles
 LIST_ROWS = 4096  # a longer list of a hot shingle is split by salts
-BLOCK_ROWS = 2048  # a larger cluster is split into pairs of blocks
+BLOCK_ROWS = 20_000  # a larger cluster is split into pairs of blocks
 FAN = 4
 U = np.uint64
 
@@ -391,10 +391,14 @@ def _star(ids: np.ndarray, groups: Groups) -> pa.Table:
 
 def verified(rows: pa.Table) -> pa.Table:
     """Exact links inside the clusters (or pairs of blocks) of a bucket, as stars."""
-    order = np.lexsort((rows.column("id").to_numpy(), rows.column("n").to_numpy(), rows.column("part").to_numpy()))
-    rows = rows.take(pa.array(order))
-    ids, part, n = rows.column("id").to_numpy(), rows.column("part").to_numpy(), rows.column("n").to_pylist()
-    sets = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("hashes")]
+    ids, part, sets = rows.column("id").to_numpy(), rows.column("part").to_numpy(), []
+    buf, off = W.text_bytes(rows.column("text"))
+    for i, j in W.chunks(off):
+        first, h = shingle_sets(buf[off[i] : off[j]], off[i : j + 1] - off[i])
+        sets.extend(h[x:y] for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+    n = np.array([len(x) for x in sets], np.int64)
+    order = np.lexsort((ids, n, part))
+    ids, part, n, sets = ids[order], part[order], n[order].tolist(), [sets[i] for i in order.tolist()]
     begin = np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist()
     out = []
     for a, b in zip(begin, [*begin[1:], len(ids)], strict=True):
@@ -412,25 +416,6 @@ def verified(rows: pa.Table) -> pa.Table:
 
 
 # ---------------------------------------------------------------- the join
-def set_rows(rows: DataFrame) -> DataFrame:
-    """``rows`` (id, part, text) with the shingle set as sorted hashes."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, first, s in _each(batch):
-                yield pa.record_batch(
-                    {
-                        "id": batch.column("id").slice(i, j - i),
-                        "cluster": batch.column("cluster").slice(i, j - i),
-                        "blocks": batch.column("blocks").slice(i, j - i),
-                        "n": pa.array(np.diff(first)),
-                        "hashes": pa.array([s[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary()),
-                    }
-                )
-
-    return rows.mapInArrow(task, "id long, cluster long, blocks long, n long, hashes binary")
-
-
 def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -448,12 +433,11 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_rows: int = BLOCK_RO
     size = cluster.groupBy("component").agg(F.count(F.lit(1)).alias("k"))
     cluster = cluster.join(size, "component").select("id", F.col("component").alias("cluster"), F.ceil(F.col("k") / block_rows).alias("blocks"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    sets = set_rows(texts.join(cluster, "id").select("id", "cluster", "blocks", "text"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     # member of block i goes to the pairs (i, j) of every block j
-    dealt = sets.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = texts.join(cluster, "id").withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     part = F.xxhash64("cluster", F.least("i", "j"), F.greatest("i", "j"))
-    dealt = dealt.select("id", "n", "hashes", part.alias("part")).withColumn("b", F.pmod("part", F.lit(buckets)).cast("int"))
+    dealt = dealt.select("id", "text", part.alias("part")).withColumn("b", F.pmod("part", F.lit(buckets)).cast("int"))
     links = materialize(dealt.groupBy("b").applyInArrow(lambda t: verified(t), "u long, v long"), "links")
 
     final = nodes.select("digest", "n", "id").join(components(links), "id", "left").select("digest", "n", F.coalesce("component", "id").alias("component_id"))
