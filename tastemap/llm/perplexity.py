@@ -66,7 +66,7 @@ def text_stats(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     if len(ls):
         has_word = np.searchsorted(starts, le) > np.searchsorted(starts, ls)
         row = W.rows_of(lfirst)[has_word]
-        key = W.fmix(W.word_hashes(buf, ls, le, line)[has_word] + row.astype(np.uint64) * W.STEP)
+        key = W.fmix(W.word_hashes(buf, ls, le)[has_word] + row.astype(np.uint64) * W.STEP)
         _, at = np.unique(key, return_index=True)
         later = np.ones(len(key), bool)
         later[at] = False

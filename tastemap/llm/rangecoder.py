@@ -25,7 +25,8 @@ SLOTS = 1 << 18  # order-2 table
 INC = 16
 MAX_TOTAL = 1 << 24
 MAX_ODDS = 60
-LEVELS = 8  # confidences 0..7
+BITS = 3
+LEVELS = 1 << BITS  # confidences 0..7
 TOP, BOT = np.uint64(1 << 48), np.uint64(1 << 32)
 U = np.uint64
 
@@ -35,10 +36,10 @@ class _Model:
         self.vocab = vocab
         self.count = np.ones(vocab, np.int64)
         self.cum = np.arange(vocab + 1, dtype=np.int64)
-        self.pred1, self.conf1 = np.zeros(vocab, np.int64), np.zeros(vocab, np.int64)
-        self.pred2, self.conf2 = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
-        n = LEVELS * LEVELS
-        self.seen, self.hit1, self.hit2 = np.full(n, 8, np.int64), np.ones(n, np.int64), np.ones(n, np.int64)
+        # a predicted id and, in the low bits, its confidence
+        self.table1, self.table2 = np.zeros(vocab, np.int64), np.zeros(SLOTS, np.int64)
+        # per pair of confidences: neither prediction right, order 1 alone, order 2
+        self.seen = np.tile(np.array([6, 1, 1], np.int64), LEVELS * LEVELS)
         self.prev = np.zeros(lanes, np.int64)
         self.slot = np.zeros(lanes, np.int64)
         self.step = 0
@@ -46,25 +47,22 @@ class _Model:
 
     def predict(self):
         """(p1, m1, p2, m2, total): predicted ids, their extra mass, and the whole mass, per lane."""
-        p1, p2 = self.pred1[self.prev], self.pred2[self.slot]
-        self.ctx = self.conf2[self.slot] * LEVELS + self.conf1[self.prev]
+        e1, e2 = self.table1[self.prev], self.table2[self.slot]
+        p1, p2 = e1 >> BITS, e2 >> BITS
+        self.conf1, self.conf2 = e1 & (LEVELS - 1), e2 & (LEVELS - 1)
+        self.ctx = self.conf2 << BITS | self.conf1
         t = int(self.cum[-1])
-        rest = np.maximum(1, self.seen - self.hit1 - self.hit2)
-        m1 = np.minimum(t * self.hit1 // rest, t * MAX_ODDS)[self.ctx]
-        m2 = np.minimum(t * self.hit2 // rest, t * MAX_ODDS)[self.ctx]
+        rest, hit1, hit2 = self.seen[0::3], self.seen[1::3], self.seen[2::3]
+        m1 = np.minimum(t * hit1 // rest, t * MAX_ODDS)[self.ctx]
+        m2 = np.minimum(t * hit2 // rest, t * MAX_ODDS)[self.ctx]
         return p1, m1, p2, m2, m1 + m2 + t
 
     def update(self, s: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         is1, is2 = p1 == s, p2 == s
-        n = LEVELS * LEVELS
-        self.seen += np.bincount(self.ctx, minlength=n)
-        self.hit2 += np.bincount(self.ctx[is2], minlength=n)
-        self.hit1 += np.bincount(self.ctx[is1 & ~is2], minlength=n)
+        self.seen += np.bincount(self.ctx * 3 + np.where(is2, 2, is1), minlength=len(self.seen))
         # a missed prediction loses confidence, and its place when it has none
-        for table, conf, at, right, p in ((self.pred1, self.conf1, self.prev, is1, p1), (self.pred2, self.conf2, self.slot, is2, p2)):
-            c = conf[at]
-            table[at] = np.where(c == 0, s, p)
-            conf[at] = np.where(right, np.minimum(c + 1, LEVELS - 1), c >> 1)
+        for table, at, right, p, c in ((self.table1, self.prev, is1, p1, self.conf1), (self.table2, self.slot, is2, p2, self.conf2)):
+            table[at] = np.where(right, (p << BITS) + np.minimum(c + 1, LEVELS - 1), (np.where(c == 0, s, p) << BITS) + (c >> 1))
         self.slot = (self.prev * 40503 + s * 2654435 >> 3) & (SLOTS - 1)
         self.prev = s
         self.new.append(s)
@@ -143,7 +141,9 @@ def decode(data: bytes, n: int, vocab: int) -> np.ndarray:
         ma, mb = np.where(swap, m2, m1), np.where(swap, m1, m2)
         x = v - np.minimum(np.maximum(v - model.cum[a + 1] + 1, 0), ma)
         x -= np.minimum(np.maximum(x - model.cum[b + 1] + 1, 0), mb)
-        s = np.searchsorted(model.cum, x, "right") - 1
+        order = np.argsort(x)  # searching in order stays in the cache
+        s = np.empty(lanes, np.int64)
+        s[order] = np.searchsorted(model.cum, x[order], "right") - 1
         start = model.cum[s] + m1 * (s > p1) + m2 * (s > p2)
         freq = (model.cum[s + 1] - model.cum[s]) + m1 * (s == p1) + m2 * (s == p2)
         low += r * start.view(np.uint64)

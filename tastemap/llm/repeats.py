@@ -49,27 +49,6 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
     return m[:n] if span == w else np.minimum(m[:n], m[w - span : w - span + n])
 
 
-INVERSE = pow(int(W.STEP), -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; kept for the next call."""
-    if len(_powers.get(base, ())) < n:
-        p = np.full(n, base, np.uint64)
-        p[:1] = 1
-        _powers[base] = np.cumprod(p)
-    return _powers[base][:n]
-
-
-def span_hashes(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hash of values[a:b] for many spans: a polynomial in ``W.STEP``, from prefix sums."""
-    if not len(a):
-        return np.zeros(0, np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(int(W.STEP), len(values)))])
-    return W.fmix((sums[b] - sums[a]) * powers(INVERSE, len(values) + 1)[a] + (b - a).astype(np.uint64))
-
-
 class Words:
     """Units are words ``[^\\x20\\x09-\\x0D]+``; a packed string is the words joined by one space."""
 
@@ -88,7 +67,7 @@ class Words:
 
     def hashes(self, ctx, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Hash of the units [a, b), the same for equal packed strings anywhere."""
-        return span_hashes(ctx[3], a, b)
+        return W.span_hashes(ctx[3], a, b)
 
     def string_hashes(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         """``hashes`` of whole packed strings."""
@@ -96,7 +75,7 @@ class Words:
         for i, j in W.chunks(off, CHUNK_BYTES):
             b = buf[off[i] : off[j]]
             starts, ends, first = W.split_words(b, off[i : j + 1] - off[i])
-            out.append(span_hashes(W.word_hashes(b, starts, ends), first[:-1], first[1:]))
+            out.append(W.span_hashes(W.word_hashes(b, starts, ends), first[:-1], first[1:]))
         return np.concatenate(out)
 
     def pack(self, ctx, a: np.ndarray, b: np.ndarray) -> list[bytes]:
@@ -122,13 +101,13 @@ class Bytes:
         return off, g, buf
 
     def hashes(self, ctx, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return span_hashes(W.BYTE_VALUE[ctx], a, b)
+        return W.span_hashes(W.BYTE_VALUE[ctx], a, b)
 
     def string_hashes(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         out = [np.zeros(0, np.uint64)]
         for i, j in W.chunks(off, CHUNK_BYTES):
             o = off[i : j + 1] - off[i]
-            out.append(span_hashes(W.BYTE_VALUE[buf[off[i] : off[j]]], o[:-1], o[1:]))
+            out.append(W.span_hashes(W.BYTE_VALUE[buf[off[i] : off[j]]], o[:-1], o[1:]))
         return np.concatenate(out)
 
     def pack(self, ctx, a: np.ndarray, b: np.ndarray) -> list[bytes]:

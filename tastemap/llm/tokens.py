@@ -75,10 +75,11 @@ class Tokens:
         self._forget()
 
     def _forget(self) -> None:
-        self.key = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.len = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
+        # the first entry is no piece but the end id
+        self.key = np.zeros(1, np.uint64)
+        self.at = np.zeros(1, np.int64)
+        self.len = np.ones(1, np.int64)
+        self.pool = np.full(1, END_ID, np.int32)
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -128,26 +129,23 @@ class Tokens:
         if not len(starts):
             return np.full(rows, END_ID, np.int32), np.ones(rows, np.int64)
         h = W.word_hashes(buf, starts, ends)
+        h[h == 0] = 1
         key, one, inv = np.unique(h, return_index=True, return_inverse=True)
         if len(self.key) + len(key) > KNOWN_PIECES:
             self._forget()
-        known = np.zeros(len(key), bool)
-        if len(self.key):
-            known = self.key[np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)] == key
+        known = self.key[np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)] == key
         if not known.all():
             new = one[~known]
             letters = np.concatenate([[0], np.cumsum(LETTER[buf])])
             simple = letters[ends[new]] - letters[starts[new]] == ends[new] - starts[new]
             raw = buf.tobytes()
             self._learn(key[~known], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], simple)
-        entry = np.searchsorted(self.key, key)[inv]
+        entry = np.insert(np.searchsorted(self.key, key)[inv], first[1:], 0)
         n = self.len[entry]
-        total = np.concatenate([[0], np.cumsum(n)])
-        per_row = total[first[1:]] - total[first[:-1]]
-        src = np.repeat(self.at[entry] - total[:-1], n) + np.arange(total[-1])
-        out = np.full(int(total[-1]) + rows, END_ID, np.int32)
-        out[np.arange(total[-1]) + np.repeat(np.arange(rows), per_row)] = self.pool[src]
-        return out, per_row + 1
+        total = np.cumsum(n)
+        src = np.repeat(self.at[entry] - (total - n), n)
+        src += np.arange(len(src))
+        return self.pool[src], np.diff(total[first[1:] + np.arange(rows)], prepend=0)
 
 
 _WORKER: dict[tuple[str, bool], Tokens] = {}

@@ -36,6 +36,28 @@ def fmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
+INVERSE = pow(int(STEP), -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; kept for the next call."""
+    if len(_powers.get(base, ())) < n:
+        p = np.full(n, base, np.uint64)
+        p[:1] = 1
+        _powers[base] = np.cumprod(p)
+    return _powers[base][:n]
+
+
+def span_hashes(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of values[a:b] for many spans: a polynomial in ``STEP``, from prefix sums."""
+    if not len(a):
+        return np.zeros(0, np.uint64)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(int(STEP), len(values)), out=sums[1:])
+    return fmix((sums[b] - sums[a]) * powers(INVERSE, len(values) + 1)[a] + (b - a).astype(np.uint64) * U(0xD6E8FEB86659FD93))
+
+
 def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of the column as one array, and the n+1 offsets of its rows."""
     if isinstance(col, pa.ChunkedArray):
@@ -79,17 +101,11 @@ def split_words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = NOT_SPACE)
     return starts, np.flatnonzero(close) + 1, np.searchsorted(starts, off)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = NOT_SPACE, lower: bool = False) -> np.ndarray:
-    """64-bit hash of every word (``table`` must be the one that split them)."""
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hash of every word; ``lower`` takes A-Z as a-z."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lens = ends - starts
-    first = np.cumsum(lens) - lens
-    value = BYTE_VALUE[LOWER] if lower else BYTE_VALUE
-    power = np.cumprod(np.full(int(lens.max()), STEP, np.uint64))
-    pos = np.arange(int(lens.sum())) - np.repeat(first, lens)
-    vals = value[buf[table[buf]]] * power[pos]
-    return fmix(np.add.reduceat(vals, first) + lens.astype(np.uint64) * U(0xD6E8FEB86659FD93))
+    return span_hashes((BYTE_VALUE[LOWER] if lower else BYTE_VALUE)[buf], starts, ends)
 
 
 def rows_of(first: np.ndarray) -> np.ndarray:
