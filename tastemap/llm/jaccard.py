@@ -127,7 +127,7 @@ def profile(docs: DataFrame) -> DataFrame:
                         held.append(s[first[k] : first[k + 1]])
                         size += int(n[k])
                 yield _rows(doc.slice(i, j - i), n, dig, bits)
-                if size > 8_000_000:
+                if size > 2_000_000:
                     yield frequent()
                     held, size = [], 0
         yield frequent()
@@ -204,7 +204,7 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
                         lo, hi = np.minimum(salt, U(t)), np.maximum(salt, U(t))
                         held.append((W.fmix(key[of] + lo * W.STEP + hi * U(0xD6E8FEB86659FD93)), digest[of], flag[of]))
                 size += int(use.sum())
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield flush()
                     held, size = [], 0
         if held:

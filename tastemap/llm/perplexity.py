@@ -286,9 +286,14 @@ def bands(stats: DataFrame, prefix: str = "", mads: float = BAND_MADS, least: fl
     """(band_lang, band_lo, band_hi): one row per language, from two map-side-combined quantile sketches."""
     ok = stats.filter(~base_failed(prefix) & F.col(prefix + "nll").isNotNull()).select(F.coalesce(F.col("lang"), F.lit("\x00")).alias("band_lang"), F.col(prefix + "nll").alias("nll"))
     mid = ok.groupBy("band_lang").agg(F.percentile_approx("nll", 0.5, 10000).alias("mid"))
-    mad = ok.join(F.broadcast(mid) if mid.count() <= 10_000 else mid, "band_lang").groupBy("band_lang", "mid").agg(F.percentile_approx(F.abs(F.col("nll") - F.col("mid")), 0.5, 10000).alias("mad"))
+    mad = ok.join(_small(materialize(mid, "bands")), "band_lang").groupBy("band_lang", "mid").agg(F.percentile_approx(F.abs(F.col("nll") - F.col("mid")), 0.5, 10000).alias("mad"))
     half = F.greatest(F.lit(mads * 1.4826) * F.col("mad"), F.lit(least))
-    return mad.select("band_lang", (F.col("mid") - half).alias("band_lo"), (F.col("mid") + half).alias("band_hi"))
+    return materialize(mad.select("band_lang", (F.col("mid") - half).alias("band_lo"), (F.col("mid") + half).alias("band_hi")), "bands")
+
+
+def _small(per_language: DataFrame, most: int = 10_000) -> DataFrame:
+    """A table of one row per language, broadcast once its rows are counted and few."""
+    return F.broadcast(per_language) if per_language.count() <= most else per_language
 
 
 def judge(stats: DataFrame, band: DataFrame, prefix: str = "") -> DataFrame:
@@ -297,7 +302,7 @@ def judge(stats: DataFrame, band: DataFrame, prefix: str = "") -> DataFrame:
     for old, new in names.items():
         band = band.withColumnRenamed(old, new)
     lang, lo, hi = names.values()
-    joined = stats.withColumn(lang, F.coalesce(F.col("lang"), F.lit("\x00"))).join(band, lang, "left")
+    joined = stats.withColumn(lang, F.coalesce(F.col("lang"), F.lit("\x00"))).join(_small(band), lang, "left")
     inside = F.coalesce(F.col(prefix + "nll").between(F.col(lo), F.col(hi)), F.lit(True))
     failed = base_failed(prefix)
     return joined.withColumn(prefix + "base_failed", failed).withColumn(prefix + "kept", ~failed & inside).drop(lang, lo, hi)

@@ -64,7 +64,9 @@ def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
         col = col.combine_chunks()
         if isinstance(col, pa.ChunkedArray):
             col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], col.type)
-    col = pc.fill_null(col.cast(pa.large_binary()), b"")
+    col = col.cast(pa.large_binary())
+    if col.null_count:
+        col = pc.fill_null(col, b"")
     n = len(col)
     if not n:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -74,7 +76,7 @@ def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return buf[off[0] : off[-1]], off - off[0]
 
 
-def chunks(off: np.ndarray, max_bytes: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def chunks(off: np.ndarray, max_bytes: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` bytes (or one longer row), which bound the task's arrays."""
     i, n = 0, len(off) - 1
     while i < n:
