@@ -52,8 +52,10 @@ def rank_within(
     ``order`` must make the order total within a key. Optionally adds the key's row count as
     ``count_col``. A map-side-combined count finds the keys with more than ``max_group_rows``
     rows (at most rows / max_group_rows of them, so the list is broadcast); the other keys use
-    a plain window, the hot keys' rows the range-split path.
+    a plain window, the hot keys' rows the range-split path. ``max_group_rows=0`` splits all keys.
     """
+    if max_group_rows <= 0:  # the caller's key is one group: no need to look for it
+        return _split_rank(df, key, order, rank_col, count_col, num_partitions)
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_group_rows).select(key)
     if hot.count() == 0:

@@ -18,6 +18,14 @@ def _check_ids(train: DataFrame) -> None:
         raise ValueError("ALS needs user and item ids that fit a 32-bit integer")
 
 
+RATINGS_PER_BLOCK = 2_000_000
+MIN_BLOCKS = 10
+
+
+def blocks_for(train: DataFrame) -> int:
+    return max(MIN_BLOCKS, -(-train.count() // RATINGS_PER_BLOCK))
+
+
 def fit_als(
     train: DataFrame,
     rank: int = 10,
@@ -28,12 +36,13 @@ def fit_als(
     check_ids: bool = True,
 ) -> ALSModel:
     """Fit explicit ALS on (user_id, item_id, rating). Unknown ids at predict time are dropped.
-    ``num_blocks`` (user and item blocks) defaults to the cluster's default parallelism."""
+    ``num_blocks`` (user and item blocks) follows the number of ratings, not the machine, so factors
+    are the same on any cluster: one block for each ``RATINGS_PER_BLOCK``, at least ``MIN_BLOCKS``."""
     spark = train.sparkSession
-    if check_ids:
+    if check_ids and any(t not in ("int", "smallint", "tinyint") for c, t in train.dtypes if c in (USER, ITEM)):
         _check_ids(train)
     checkpoint_dir(spark)  # ALS cuts its lineage every checkpointInterval iterations
-    nb = num_blocks or spark.sparkContext.defaultParallelism
+    nb = num_blocks or blocks_for(train)
     als = ALS(
         rank=rank,
         maxIter=max_iter,

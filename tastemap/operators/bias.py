@@ -38,7 +38,7 @@ def bias_scores(train: DataFrame) -> DataFrame:
     um, im = bias_fit(train)
     users = um.select(F.col(USER).alias("id"), F.array(F.lit(1.0), F.col("user_mean")).alias("features"))
     items = im.select(F.col(ITEM).alias("id"), F.array(F.col("item_mean"), F.lit(1.0)).alias("features"))
-    return unseen(score_users(users, items, "dot"), train)
+    return score_users(users, items, "dot", seen=train)
 
 
 def bias_topk(train: DataFrame, k: int) -> DataFrame:
@@ -50,7 +50,7 @@ def bias_topk(train: DataFrame, k: int) -> DataFrame:
     first k kept.
     """
     um, im = bias_fit(train)
-    ranked = rank_within(im.withColumn("_all", F.lit(0)), "_all", [F.col("item_mean").desc(), F.col(ITEM)], rank_col="pos")
+    ranked = rank_within(im.withColumn("_all", F.lit(0)), "_all", [F.col("item_mean").desc(), F.col(ITEM)], rank_col="pos", max_group_rows=0)
     ranked = ranked.select("pos", ITEM, "item_mean")
     n_items = im.count()
     ranked = checked_broadcast(ranked, MAX_BROADCAST_ITEMS, "ranked items")

@@ -24,12 +24,12 @@ def nn_features(
     user_factors: DataFrame,
     item_factors: DataFrame,
     tag_vecs: DataFrame | None = None,
-    missing_tags: str = "inner",
+    missing_tags: str = "zero",
 ) -> DataFrame:
     """Rows (user, item, ...) with ``features`` = user factors ++ item factors (++ tag vector).
 
     Factors are ``id, features``. Rows whose user or item has no factors are dropped.
-    ``missing_tags``: ``"inner"`` drops items without tags, ``"zero"`` pads them with zeros.
+    ``missing_tags``: ``"zero"`` gives items without tags a zero vector, ``"inner"`` drops their rows.
     """
     uf = user_factors.select(F.col("id").alias(USER), _as_double("features").alias("_uf"))
     itf = item_factors.select(F.col("id").alias(ITEM), _as_double("features").alias("_if"))
@@ -38,27 +38,31 @@ def nn_features(
     drop = ["_uf", "_if"]
     if tag_vecs is not None:
         tv = tag_vecs.select(ITEM, F.col("tag_vec").alias("_tv"))
-        if missing_tags == "inner":
-            out = out.join(tv, ITEM)
-            parts.append(F.col("_tv"))
-        elif missing_tags == "zero":
-            dim = tag_vecs.select(F.size("tag_vec")).first()[0]
-            out = out.join(tv, ITEM, "left")
-            parts.append(F.coalesce(F.col("_tv"), F.array_repeat(F.lit(0.0), dim)))
-        else:
-            raise ValueError(f"unknown missing_tags {missing_tags!r}")
+        out, vec = _with_tags(out, tv, tag_vecs, ITEM, missing_tags)
+        parts.append(vec)
         drop.append("_tv")
     return out.withColumn("features", F.concat(*parts)).drop(*drop)
 
 
-def item_side_features(item_factors: DataFrame, tag_vecs: DataFrame | None = None) -> DataFrame:
-    """Per-item re-ranker features ``id, features`` = item factors (++ tag vector); items
-    without tags are dropped when tags are used."""
+def _with_tags(rows: DataFrame, tv: DataFrame, tag_vecs: DataFrame, key: str, missing_tags: str):
+    """(rows joined with ``_tv``, the tag vector column) under the missing-tag policy."""
+    if missing_tags == "inner":
+        return rows.join(tv, key), F.col("_tv")
+    if missing_tags != "zero":
+        raise ValueError(f"unknown missing_tags {missing_tags!r}")
+    dim = tag_vecs.agg(F.max(F.size("tag_vec"))).first()[0] or 0
+    return rows.join(tv, key, "left"), F.coalesce(F.col("_tv"), F.array_repeat(F.lit(0.0), dim))
+
+
+def item_side_features(item_factors: DataFrame, tag_vecs: DataFrame | None = None, missing_tags: str = "zero") -> DataFrame:
+    """Per-item re-ranker features ``id, features`` = item factors (++ tag vector). Items without
+    tags get a zero vector, so no rating and no candidate is lost; ``"inner"`` drops them."""
     itf = item_factors.select(F.col("id"), _as_double("features").alias("f"))
     if tag_vecs is None:
         return itf.withColumnRenamed("f", "features")
-    tv = tag_vecs.select(F.col(ITEM).alias("id"), "tag_vec")
-    return itf.join(tv, "id").select("id", F.concat("f", "tag_vec").alias("features"))
+    tv = tag_vecs.select(F.col(ITEM).alias("id"), F.col("tag_vec").alias("_tv"))
+    out, vec = _with_tags(itf, tv, tag_vecs, "id", missing_tags)
+    return out.select("id", F.concat("f", vec).alias("features"))
 
 
 def user_side_rows(rows: DataFrame, user_factors: DataFrame) -> DataFrame:

@@ -35,10 +35,6 @@ def candidate_labels(candidates: DataFrame, test: DataFrame) -> DataFrame:
     return candidates.join(test.select(*PAIR, RATING), PAIR, "left")
 
 
-def drop_ts(df: DataFrame, ts: str = "ts") -> DataFrame:
-    return df.drop(ts)
-
-
 def with_missing_as_null(a: DataFrame, b: DataFrame) -> DataFrame:
     """Union by name; columns absent on one side become null."""
     return a.unionByName(b, allowMissingColumns=True)

@@ -90,7 +90,7 @@ def _features(pdf: pd.DataFrame, col: str) -> np.ndarray:
 def _matrix(batch, col: str, dim: int) -> np.ndarray:
     """Rows of a fixed-length list column as an (n, dim) float64 matrix, without per-row objects."""
     arr = batch.column(col)
-    if arr.offset or arr.null_count:
+    if arr.null_count:
         arr = pa.array(arr.to_pylist(), type=arr.type)
     flat = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(arr), dim)
@@ -118,9 +118,10 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, tr
         from pyspark import TaskContext
 
         theta, m, v, t0 = state.value
+        part = TaskContext.get().partitionId()
         theta, m, v = theta.copy(), m.copy(), v.copy()
         layers_in = unpack(theta.copy(), sizes)
-        rng = np.random.RandomState([seed, epoch, TaskContext.get().partitionId()])
+        rng = np.random.RandomState([seed, epoch, part])
         t, n, sse, sae, vn, vsse, vsae = t0, 0, 0.0, 0.0, 0, 0.0, 0.0
         for batch in batches:
             if not batch.num_rows:
@@ -151,6 +152,7 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, tr
         k = len(chunks)
         yield pa.RecordBatch.from_pydict(
             {
+                "part": pa.array([part] * k, pa.int32()),
                 "chunk": pa.array(range(k), pa.int32()),
                 "w": pa.array(w(theta), pa.list_(pa.float64())),
                 "m": pa.array(w(m), pa.list_(pa.float64())),
@@ -169,17 +171,30 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, tr
 
 
 EPOCH_SCHEMA = (
-    "chunk int, w array<double>, m array<double>, v array<double>, n long, sse double, sae double, steps long, "
+    "part int, chunk int, w array<double>, m array<double>, v array<double>, n long, sse double, sae double, steps long, "
     "vn long, vsse double, vsae double"
 )
 
 
 SCALARS = ("n", "sse", "sae", "steps", "vn", "vsse", "vsae")
-MAX_DIRECT_BYTES = 64 << 20
+SUM_FAN_IN = 16  # partial models that one task, or the driver, adds up
+
+
+def _sum_partials(parts: DataFrame, n_part: int, size: int) -> dict:
+    """Sum the partial models of all partitions in a fixed order: groups of ``SUM_FAN_IN`` partitions
+    in partition order, then groups of groups. Only the last at most ``SUM_FAN_IN`` sums reach the
+    driver, so its memory is bounded by the model whatever the number of partitions."""
+    while n_part > SUM_FAN_IN:
+        parts = parts.groupBy("chunk", F.floor(F.col("part") / SUM_FAN_IN).cast("int").alias("up")).agg(
+            F.array_sort(F.collect_list(F.struct("part", "w", "m", "v", *SCALARS))).alias("g")
+        )
+        parts = parts.select("chunk", F.col("up").alias("part"), *[_sum_arrays(c).alias(c) for c in ("w", "m", "v")], *[_sum_scalars(c).alias(c) for c in SCALARS])
+        n_part = -(-n_part // SUM_FAN_IN)
+    return _sum_direct(parts.toArrow().sort_by([("part", "ascending"), ("chunk", "ascending")]), size)
 
 
 def _sum_direct(table: pa.Table, size: int) -> dict:
-    """Sum the per-partition chunks of one epoch fetched as Arrow (bounded by MAX_DIRECT_BYTES)."""
+    """Add up rows of (part, chunk, sums) in their order."""
     chunk = table.column("chunk").to_numpy()
     out = {}
     for name in ("w", "m", "v"):
@@ -193,22 +208,14 @@ def _sum_direct(table: pa.Table, size: int) -> dict:
     return out
 
 
-def _sum_spark(parts: DataFrame, size: int) -> dict:
-    rows = (
-        parts.groupBy("chunk")
-        .agg(*[_sum_arrays(c).alias(c) for c in ("w", "m", "v")], *[F.sum(c).alias(c) for c in SCALARS])
-        .orderBy("chunk")
-        .collect()
-    )
-    out = {name: np.concatenate([np.asarray(r[name]) for r in rows]) for name in ("w", "m", "v")}
-    out.update({name: rows[0][name] for name in SCALARS})
-    return out
+def _sum_arrays(col: str):
+    zero = F.array_repeat(F.lit(0.0), F.size(F.element_at(F.col("g")[col], 1)))
+    return F.aggregate(F.col("g")[col], zero, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
 
 
-def _sum_arrays(col: str):
-    lst = F.collect_list(col)
-    zero = F.array_repeat(F.lit(0.0), F.size(F.element_at(lst, 1)))
-    return F.aggregate(lst, zero, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
+def _sum_scalars(col: str):
+    kind = "double" if col in ("sse", "sae", "vsse", "vsae") else "long"
+    return F.aggregate(F.col("g")[col], F.lit(0).cast(kind), lambda acc, x: acc + x)
 
 
 @dataclass
@@ -269,8 +276,12 @@ def _join_item_side(rows: DataFrame, item_side: DataFrame, features: str) -> Dat
     return rows.join(itf, ITEM).withColumn(features, F.concat(_as_double(features), F.col("_itf"))).drop("_itf")
 
 
-# Item-side tables up to this many rows are broadcast (after counting) instead of joined per row.
-MAX_ITEM_SIDE_ROWS = 1_000_000
+# Item-side tables of at most this many bytes (rows x dimension, counted first) are broadcast; larger ones
+# are joined per row. Both give the same feature rows.
+MAX_ITEM_SIDE_BYTES = 64 << 20
+# Training rows of one partition: the number of partitions follows the data, not the machine.
+ROWS_PER_PARTITION = 100_000
+MIN_PARTITIONS = 8
 
 
 def fit_mlp(
@@ -285,23 +296,25 @@ def fit_mlp(
     validation_frac: float = 0.1,
     num_partitions: int | None = None,
     item_side: DataFrame | None = None,
-    max_item_side_rows: int = MAX_ITEM_SIDE_ROWS,
+    max_item_side_bytes: int = MAX_ITEM_SIDE_BYTES,
 ) -> tuple[MLPModel, DataFrame]:
     """Train on ``rows`` (features array, label). A hash hold-out of ``validation_frac`` of the
     (user, item) pairs is scored after each epoch. Returns the model and its per-epoch history
     (epoch, loss, mae, val_loss, val_mae).
 
     ``item_side`` (``id, features``) appends per-item features (item factors, tags) to each
-    row's own features. A catalogue of at most ``max_item_side_rows`` items is broadcast as one
+    row's own features. A catalogue of at most ``max_item_side_bytes`` is broadcast as one
     sorted matrix and gathered inside the tasks, so wide item features are not stored per
     training row; a larger one is joined per row.
     """
     spark = rows.sparkSession
-    # epochs stream Arrow batches, so partition size does not bound memory: one partition per core
-    n_part = num_partitions or spark.sparkContext.defaultParallelism
+    # epochs stream Arrow batches, so partition size does not bound memory
+    n_part = num_partitions or max(MIN_PARTITIONS, -(-rows.count() // ROWS_PER_PARTITION))
     item_ids = item_mat = None
     if item_side is not None:
-        if item_side.count() <= max_item_side_rows:
+        item_side = cut_lineage(item_side)  # counted, fetched and joined
+        n_items, dim = item_side.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+        if n_items * (dim or 0) * 8 <= max_item_side_bytes:
             pdf = item_side.select("id", "features").orderBy("id").toPandas()
             item_ids = pdf["id"].to_numpy().astype(np.int64)
             item_mat = np.stack(pdf["features"].to_numpy()).astype(np.float64)
@@ -322,9 +335,6 @@ def fit_mlp(
     theta = init_theta(sizes, seed)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
     block = spark.sparkContext.broadcast((item_ids, item_mat)) if item_ids is not None else None
-    # partial models come back to the driver directly only while their total size is small
-    # (partitions x parameters x 3 arrays); otherwise a Spark aggregate sums them first
-    direct = n_part * len(theta) * 3 * 8 <= MAX_DIRECT_BYTES
     history = []
     # job e trains epoch e and scores the validation rows with the weights of epoch e - 1;
     # one more scoring-only pass gives the last epoch's validation loss
@@ -333,7 +343,7 @@ def fit_mlp(
         state = spark.sparkContext.broadcast((theta, m, v, t))
         fn = _epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch, train=training, item_block=block)
         parts = data.select(features, "_y", "_val", ITEM).mapInArrow(fn, EPOCH_SCHEMA)
-        tot = _sum_direct(parts.toArrow(), len(theta)) if direct else _sum_spark(parts, len(theta))
+        tot = _sum_partials(parts, n_part, len(theta))
         state.unpersist()
         if epoch > 0 and tot["vn"]:
             history[-1]["val_loss"], history[-1]["val_mae"] = tot["vsse"] / tot["vn"], tot["vsae"] / tot["vn"]

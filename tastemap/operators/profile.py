@@ -60,17 +60,11 @@ def id_dictionary(df: DataFrame, col: str) -> DataFrame:
     """Distinct ids with their 0-based position in ascending order (the index of a dense
     matrix axis). Positions come from range partitioning, not a single-partition window."""
     ids = df.select(col).distinct().withColumn("_all", F.lit(0))
-    ranked = rank_within(ids, "_all", [col], rank_col="pos")
+    ranked = rank_within(ids, "_all", [col], rank_col="pos", max_group_rows=0)  # always range-split
     return ranked.select(col, (F.col("pos") - 1).alias("pos"))
 
 
-def pivot_users(df: DataFrame, users: Sequence[int] | None = None, max_columns: int = 10000) -> DataFrame:
-    """Wide item x user matrix (one column per user). Only for a bounded user list: with no
-    list the distinct users are fetched and must not exceed ``max_columns``."""
-    if users is None:
-        distinct = df.select(USER).distinct()
-        n = distinct.count()
-        if n > max_columns:
-            raise ValueError(f"{n} users exceed the pivot bound of {max_columns} columns")
-        users = sorted(r[0] for r in distinct.collect())
+def pivot_users(df: DataFrame, users: Sequence[int]) -> DataFrame:
+    """Wide item x user matrix with one column for each of ``users``. The columns are the caller's
+    explicit list: a schema cannot depend on the data. Every item keeps its row."""
     return df.groupBy(ITEM).pivot(USER, list(users)).agg(F.first(RATING))

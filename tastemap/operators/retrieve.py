@@ -1,25 +1,24 @@
 """Scoring users against items by dot product or Euclidean distance.
 
-Users stay partitioned; items are shipped to the tasks in blocks of at most ``block_items``
-rows (consecutive runs of the id order; each block collected once and broadcast, so what is
-broadcast has a fixed bound).
-Inside a task a batch of users is scored against the block with one matrix product, and only
-each user's best ``top_n`` rows leave the batch, so the user x item grid is never shuffled.
-With several blocks the partial lists are merged by a ``row_number() <= n`` window, which
-Spark limits map-side before the shuffle.
+Users and items are packed on the executors into blocks of bounded size; a user block meets every
+item block by an equi-join on the item block's number, and one matrix product scores the pair of
+blocks inside a task. Items that a user has seen are masked there, and only each user's best
+``top_n`` rows leave the task, so the user x item grid is never shuffled. With several item blocks the
+partial lists are merged by a ``row_number() <= n`` window, which Spark limits map-side before the
+shuffle. Nothing passes through the driver; item blocks are broadcast only when their counted
+bytes are few, else both sides are shuffled, each item block to as many salts as keep tasks even.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.functions.ranking import rank_within, top_k
+from tastemap.functions.ranking import top_k
 from tastemap.functions.vectors import sq_dist
 from tastemap.operators.masks import unseen
-from tastemap.operators.prep import count_by
 from tastemap.schema import ITEM, SCORE, USER
 from tastemap.session import cut_lineage
 
@@ -50,41 +49,60 @@ def _select(key: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[keep], cols[keep]
 
 
-def _scorer(block, metric: str, budget_col: str | None, fixed_n: int | None, digits: int | None):
-    def run(batches):
-        ids, mat = block.value
+BLOCK_ITEMS = 20_000
+BLOCK_USERS = 4_096
+MAX_BROADCAST_BYTES = 32 << 20  # counted item bytes that are broadcast
+
+
+def _matrix(col: pa.ListArray) -> np.ndarray:
+    """Rows of a list column of one length as a matrix, without per-row objects."""
+    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
+
+
+def _scorer(metric: str, fixed_n: int | None, digits: int | None):
+    def one(users: pa.StructArray, items: pa.StructArray):
+        ids = items.field("id").to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.argsort(ids)  # column order is item-id order, so ties go to the smaller id
+        ids, mat = ids[order], _matrix(items.field("features"))[order]
         item_sq = (mat * mat).sum(axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            step = max(1, CELLS_PER_CHUNK // max(1, len(ids)))
-            for s in range(0, len(pdf), step):
-                part = pdf.iloc[s : s + step]
-                u = np.stack(part["features"].to_numpy()).astype(np.float64)
-                prod = u @ mat.T
-                if metric == "dot":
-                    value = prod
-                else:
-                    d2 = (u * u).sum(axis=1)[:, None] + item_sq[None, :] - 2.0 * prod
-                    value = np.sqrt(np.maximum(d2, 0.0))
-                if digits is not None:
-                    value = np.round(value, digits)
-                key = -value if metric == "dot" else value
-                if budget_col is not None:
-                    take = np.minimum(part[budget_col].to_numpy().astype(np.int64), len(ids))
-                elif fixed_n is not None:
-                    take = np.full(len(part), min(fixed_n, len(ids)), dtype=np.int64)
-                else:
-                    take = np.full(len(part), len(ids), dtype=np.int64)
-                # items are sorted by id, so column order is item-id order
-                rows, cols = _select(key, take)
-                yield pd.DataFrame(
-                    {
-                        USER: part["id"].to_numpy()[rows].astype(np.int32),
-                        ITEM: ids[cols].astype(np.int32),
-                        SCORE: value[rows, cols].astype(np.float64),
-                    }
-                )
+        uid = users.field("id").to_numpy(zero_copy_only=False).astype(np.int64)
+        umat, seen = _matrix(users.field("features")), users.field("seen")
+        step = max(1, CELLS_PER_CHUNK // len(ids))
+        for s in range(0, len(uid), step):
+            u = umat[s : s + step]
+            prod = u @ mat.T
+            if metric == "dot":
+                value = prod
+            else:
+                value = np.sqrt(np.maximum((u * u).sum(axis=1)[:, None] + item_sq[None, :] - 2.0 * prod, 0.0))
+            if digits is not None:
+                value = np.round(value, digits)
+            key = -value if metric == "dot" else value.copy()
+            part = seen.slice(s, step)
+            known = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(u)), part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            pos = np.minimum(np.searchsorted(ids, known), len(ids) - 1)
+            hit = ids[pos] == known
+            masked = np.zeros(key.shape, bool)
+            masked[row[hit], pos[hit]] = True
+            key[masked] = np.inf
+            free = (~masked).sum(axis=1)
+            take = free if fixed_n is None else np.minimum(free, fixed_n)
+            rows, cols = _select(key, take)
+            yield pa.record_batch(
+                {
+                    USER: pa.array(uid[s : s + step][rows].astype(np.int32)),
+                    ITEM: pa.array(ids[cols].astype(np.int32)),
+                    SCORE: pa.array(value[rows, cols].astype(np.float64)),
+                }
+            )
+
+    def run(batches):
+        for batch in batches:
+            users, items = batch.column("users"), batch.column("items")
+            for i in range(batch.num_rows):
+                yield from one(users[i].values, items[i].values)
 
     return run
 
@@ -93,75 +111,65 @@ def score_users(
     users: DataFrame,
     items: DataFrame,
     metric: str = "dot",
-    top_n: int | str | None = None,
-    block_items: int = 250_000,
+    top_n: int | None = None,
+    block_items: int = BLOCK_ITEMS,
     digits: int | None = None,
+    seen: DataFrame | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Score every user (``id, features``) against every item (``id, features``).
+    """Score every user (``id, features``) against every item (``id, features``) not in ``seen``.
 
     ``metric``: ``"dot"`` (higher first) or ``"euclidean"`` (nearer first; score = distance).
-    ``top_n``: keep each user's best n (an int, or the name of a per-user column); None keeps
-    all pairs. Ties go to the smaller item id. ``digits`` rounds scores before ranking.
+    ``top_n``: keep each user's best n; None keeps all pairs. Ties go to the smaller item id.
+    ``digits`` rounds scores before ranking. ``seen`` holds (user, item) pairs; one user's are
+    together in memory.
     """
     if metric not in ("dot", "euclidean"):
         raise ValueError(f"unknown metric {metric!r}")
-    spark = users.sparkSession
-    budget_col = top_n if isinstance(top_n, str) else None
-    fixed_n = top_n if isinstance(top_n, int) else None
-    ucols = ["id", "features"] + ([budget_col] if budget_col else [])
-    u = users.select(*ucols)
-    # one fetch of at most block_items + 1 rows: a catalogue that fits is a single block
-    head = items.select("id", "features").limit(block_items + 1).toPandas()
-    if len(head) <= block_items:
-        n_blocks, blocks = 1, [head.sort_values("id")]
+    doubles = F.transform("features", lambda x: x.cast("double")).alias("features")
+    u = users.select("id", doubles)
+    if seen is not None:
+        lists = seen.groupBy(F.col(USER).alias("id")).agg(F.collect_set(F.col(ITEM).cast("long")).alias("seen"))
+        u = u.join(lists, "id", "left")
+    else:
+        u = u.withColumn("seen", F.lit(None).cast("array<bigint>"))
+    u = u.withColumn("seen", F.coalesce("seen", F.array().cast("array<bigint>")))
+    n_items, dim = items.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+    n_blocks = max(1, -(-n_items // block_items))
+    n_user_blocks = max(1, -(-users.count() // BLOCK_USERS))
+
+    def pack(df: DataFrame, by: str, number: int, out: str, *cols: str) -> DataFrame:
+        return df.groupBy(F.pmod(F.xxhash64("id"), F.lit(number)).cast("int").alias(by)).agg(F.collect_list(F.struct(*cols)).alias(out))
+
+    item_blocks = pack(items.select("id", doubles), "ib", n_blocks, "items", "id", "features")
+    user_blocks = pack(u, "ub", n_user_blocks, "users", "id", "features", "seen")
+    user_blocks = user_blocks.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    if n_items * (dim or 0) * 8 <= max_broadcast_bytes:
+        met = user_blocks.join(F.broadcast(item_blocks), "ib")
     else:
-        # exact positions in id order, so every block holds at most block_items rows
-        ranked = cut_lineage(
-            rank_within(items.select("id", "features").withColumn("_all", F.lit(0)), "_all", ["id"], rank_col="_pos")
-        )
-        n_blocks = -(-ranked.count() // block_items)
-        blocks = (
-            ranked.filter(F.floor((F.col("_pos") - 1) / block_items) == b).select("id", "features").orderBy("id").toPandas()
-            for b in range(n_blocks)
-        )
-    parts = []
-    for pdf in blocks:
-        ids = pdf["id"].to_numpy().astype(np.int64)
-        mat = np.stack(pdf["features"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
-        block = spark.sparkContext.broadcast((ids, mat))
-        parts.append(u.mapInPandas(_scorer(block, metric, budget_col, fixed_n, digits), OUT_SCHEMA))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        # each item block goes to every salt; user blocks are dealt over the salts
+        salts = max(1, min(n_user_blocks, 64))
+        spread = item_blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = user_blocks.withColumn("salt", F.pmod("ub", F.lit(salts))).join(spread, ["ib", "salt"])
+    out = met.select("users", "items").mapInArrow(_scorer(metric, top_n, digits), OUT_SCHEMA)
     if n_blocks > 1 and top_n is not None:
         order = [F.col(SCORE).desc() if metric == "dot" else F.col(SCORE).asc(), F.col(ITEM)]
-        if budget_col:
-            out = out.join(users.select(F.col("id").alias(USER), F.col(budget_col).alias("_budget")), USER)
-            out = top_k(out, USER, order, 1 << 30, "_r").filter(F.col("_r") <= F.col("_budget")).drop("_r", "_budget")
-        else:
-            out = top_k(out, USER, order, fixed_n, "_r").drop("_r")
+        out = top_k(out, USER, order, top_n, "_r").drop("_r")
     return out
 
 
 def dot_scores(users: DataFrame, items: DataFrame, seen: DataFrame | None = None, digits: int | None = None) -> DataFrame:
-    """All user x item dot products, minus pairs in ``seen``."""
-    s = score_users(users, items, "dot", digits=digits)
-    return unseen(s, seen) if seen is not None else s
-
-
-def _budget_for_unseen(users: DataFrame, seen: DataFrame, k: int) -> DataFrame:
-    """Per-user budget k + (number of seen items): enough to keep k after removing seen."""
-    s = count_by(seen.select(USER, ITEM), USER, "_seen").withColumnRenamed(USER, "id")
-    return users.join(s, "id", "left").withColumn("_budget", (F.lit(k) + F.coalesce(F.col("_seen"), F.lit(0))).cast("int"))
+    """All user x item dot products, minus pairs in ``seen`` (an all-pairs result: for small catalogues)."""
+    return score_users(users, items, "dot", digits=digits, seen=seen)
 
 
 def topk_unseen(
-    users: DataFrame, items: DataFrame, seen: DataFrame, k: int, metric: str = "dot", digits: int | None = None
+    users: DataFrame, items: DataFrame, seen: DataFrame, k: int, metric: str = "dot", digits: int | None = None, **blocks
 ) -> DataFrame:
-    """Exact top-k unseen items per user: best k + s_u by score, drop seen, keep k."""
-    cand = score_users(_budget_for_unseen(users, seen, k), items, metric, top_n="_budget", digits=digits)
+    """Exact top-k unseen items per user, with their rank: min(k, number of unseen items) rows."""
+    best = score_users(users, items, metric, top_n=k, digits=digits, seen=seen, **blocks)
     order = [F.col(SCORE).desc() if metric == "dot" else F.col(SCORE).asc(), F.col(ITEM)]
-    return top_k(unseen(cand, seen), USER, order, k)
+    return top_k(best, USER, order, k)
 
 
 def knn_budget(
@@ -178,19 +186,19 @@ def knn_lsh(
     items: DataFrame,
     seen: DataFrame,
     k: int,
-    max_distance: float,
+    max_distance: float | None = None,
     bucket_length: float = 1.0,
     num_tables: int = 3,
     seed: int = 0,
-    max_bucket_items: int = 10_000,
 ) -> DataFrame:
     """Approximate nearest unseen items with bucketed random projection LSH: candidate pairs
-    share a bucket in at least one hash table and lie within ``max_distance``; seen items are
-    removed and the first k kept.
+    share a bucket in at least one hash table (and lie within ``max_distance``, if given); seen items
+    are removed and the first k kept.
 
-    Pairs are only formed inside buckets of at most ``max_bucket_items`` items, so no bucket
-    turns into a quadratic pair set. Users that fall into a larger bucket get their exact
-    nearest items from the block scorer instead (nothing is capped or dropped).
+    A user whose buckets hold fewer than k unseen items gets the exact nearest items instead, so
+    every list has min(k, unseen) items. That depends on the user's buckets alone, never on the size
+    of the input. Only ids meet in the bucket join (a skewed bucket is split by AQE); the vectors
+    are joined to the distinct pairs.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -199,26 +207,18 @@ def knn_lsh(
         inputCol="v", outputCol="h", bucketLength=bucket_length, numHashTables=num_tables, seed=seed
     ).fit(items.select(array_to_vector("features").alias("v")))
 
-    def buckets(df: DataFrame, id_col: str, feat_col: str) -> DataFrame:
-        hashed = lsh.transform(df.select(F.col("id").alias(id_col), F.col("features").alias(feat_col), array_to_vector("features").alias("v")))
-        return hashed.select(id_col, feat_col, F.posexplode("h").alias("tbl", "hv")).select(
-            id_col, feat_col, "tbl", vector_to_array("hv")[0].alias("bkt")
-        )
-
-    ib = buckets(items, ITEM, "_if")
-    ub = buckets(users, USER, "_uf")
-    keys = ["tbl", "bkt"]
-    hot = ib.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_bucket_items).select(*keys)
-    # at most n_items * num_tables / max_bucket_items hot buckets: a bounded broadcast
-    hot = F.broadcast(cut_lineage(hot))
-    hot_users = ub.join(hot, keys, "left_semi").select(F.col(USER).alias("id")).distinct()
-    cold_u = ub.join(hot_users.withColumnRenamed("id", USER), USER, "left_anti")
-    pairs = (
-        cold_u.join(ib.join(hot, keys, "left_anti"), keys)
-        .select(USER, ITEM, F.sqrt(sq_dist("_uf", "_if")).alias(SCORE))
-        .dropDuplicates([USER, ITEM])
-        .filter(F.col(SCORE) <= max_distance)
-    )
-    approx = top_k(unseen(pairs, seen), USER, [F.col(SCORE).asc(), F.col(ITEM)], k)
-    exact = topk_unseen(users.join(hot_users, "id", "left_semi"), items, seen, k, "euclidean")
-    return approx.unionByName(exact.select(*approx.columns))
+    def buckets(df: DataFrame, id_col: str) -> DataFrame:
+        hashed = lsh.transform(df.select(F.col("id").alias(id_col), array_to_vector("features").alias("v")))
+        return hashed.select(id_col, F.posexplode("h").alias("tbl", "hv")).select(id_col, "tbl", vector_to_array("hv")[0].alias("bkt"))
+
+    pairs = unseen(buckets(users, USER).join(buckets(items, ITEM), ["tbl", "bkt"]).select(USER, ITEM).distinct(), seen)
+    uf = users.select(F.col("id").alias(USER), F.col("features").alias("_uf"))
+    itf = items.select(F.col("id").alias(ITEM), F.col("features").alias("_if"))
+    near = pairs.join(uf, USER).join(itf, ITEM).select(USER, ITEM, F.sqrt(sq_dist("_uf", "_if")).alias(SCORE))
+    if max_distance is not None:
+        near = near.filter(F.col(SCORE) <= max_distance)
+    approx = cut_lineage(top_k(near, USER, [F.col(SCORE).asc(), F.col(ITEM)], k))
+    full = approx.groupBy(USER).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k).select(F.col(USER).alias("id"))
+    exact = topk_unseen(users.join(full, "id", "left_anti"), items, seen, k, "euclidean")
+    kept = approx.join(full.withColumnRenamed("id", USER), USER, "left_semi")
+    return kept.unionByName(exact.select(*approx.columns))

@@ -160,10 +160,17 @@ def ndcg(test: DataFrame, scores: DataFrame, cat_pos: DataFrame | None = None) -
 
 
 def evaluate(
-    test: DataFrame, scores: DataFrame, model: str, k: int = 10, threshold: int = 1, cat_pos: DataFrame | None = None
+    test: DataFrame,
+    scores: DataFrame,
+    model: str,
+    k: int = 10,
+    threshold: int = 1,
+    cat_pos: DataFrame | None = None,
+    grouped: DataFrame | None = None,
 ) -> DataFrame:
     """The per-model evaluation rows (model, metric, value): mean recall@k, user / item /
-    catalog coverage, NDCG. The predictions restricted to the population and their hits are
+    catalog coverage, NDCG, and with ``grouped`` (user_id, group_id) the mean recall of every
+    activity bucket as ``recall_group_<id>``. The predictions restricted to the population and their hits are
     checkpointed once and shared by all five metrics."""
     pop = cut_lineage(population(scores, test).select(USER, ITEM, SCORE))
     h = cut_lineage(hits(test, pop, k, k))
@@ -180,6 +187,10 @@ def evaluate(
         items.agg(F.lit("catalog_coverage").alias("metric"), F.avg(F.when(hh >= 1, 1.0).otherwise(0.0)).alias("value")),
         ndcg(test, pop, cat_pos).select(F.lit("ndcg").alias("metric"), F.col("ndcg").alias("value")),
     ]
+    if grouped is not None:
+        by = users.join(grouped.select(USER, "group_id"), USER).groupBy("group_id")
+        per = by.agg(F.avg(hh / F.least(F.lit(k), F.col("n_test"))).alias("value"))
+        parts.append(per.select(F.concat(F.lit("recall_group_"), F.col("group_id")).alias("metric"), "value"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

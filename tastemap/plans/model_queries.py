@@ -12,7 +12,7 @@ from tastemap.operators import als, retrieve
 from tastemap.operators.features import nn_features
 from tastemap.operators.mlp import fit_mlp
 from tastemap.plans import metrics, pipelines, tuning
-from tastemap.plans.queries import DIGITS, K, KNN_BUDGET, Fixtures, _pairs, query
+from tastemap.plans.queries import DIGITS, K, Fixtures, _pairs, query
 from tastemap.schema import ITEM, RATING, SCORE, USER
 from tastemap.session import checkpoint_dir
 
@@ -56,12 +56,12 @@ def q_candidates_als(f: Fixtures):
 @query("knn_als")
 def q_knn_als(f: Fixtures):
     uf, itf = als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"]))
-    return retrieve.knn_budget(uf, itf, f.e_train, K, KNN_BUDGET)
+    return retrieve.topk_unseen(uf, itf, f.e_train, K, "euclidean")
 
 
 @query("knn_lsh")
 def q_knn_lsh(f: Fixtures):
-    return retrieve.knn_lsh(f.vu, f.vi_scaled, f.e_train, K, max_distance=2.5, bucket_length=2.0, num_tables=4)
+    return retrieve.knn_lsh(f.vu, f.vi_scaled, f.e_train, K, bucket_length=2.0, num_tables=4)
 
 
 def _mlp(f: Fixtures):
@@ -113,7 +113,7 @@ def q_pipeline_comparison(f: Fixtures):
     """The evaluation suite (recall@10, coverages at 1, NDCG) for the learned pipelines."""
     uf, itf = als.factors(_als(f))
     mf_scores = retrieve.dot_scores(uf, itf, f.e_train)
-    knn = retrieve.knn_budget(*als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"])), f.e_train, K, KNN_BUDGET)
+    knn = retrieve.topk_unseen(*als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"])), f.e_train, K, "euclidean")
     hyb = pipelines.ann_nn(
         f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], None, epochs=ANNNN["epochs"]
     )
@@ -131,22 +131,22 @@ def _fresh(f: Fixtures, name: str) -> str:
 
 @query("tune_als_cv")
 def q_tune_als_cv(f: Fixtures):
-    return tuning.tune_als_cv(f.e_train, max_iters=[5], regs=[0.1, 0.01], ranks=[5], folds=3)
+    return tuning.tune_als_cv(f.e_train, max_iters=[5, 10], regs=[0.1, 0.01], ranks=[5, 10], folds=3)
 
 
 @query("tune_knn_grid")
 def q_tune_knn_grid(f: Fixtures):
-    return tuning.tune_knn_grid(f.e_train, max_iters=[5], ranks=[10, 20], path=_fresh(f, "knn"))
+    return tuning.tune_knn_grid(f.e_train, max_iters=[5, 10], ranks=[10, 20], path=_fresh(f, "knn"))
 
 
 @query("tune_ann_nn_grid")
 def q_tune_ann_nn_grid(f: Fixtures):
-    return tuning.tune_ann_nn_grid(f.e_train, max_iters=[2], prerank_ks=[20], ranks=[10, 20], path=_fresh(f, "ann_nn"))
+    return tuning.tune_ann_nn_grid(f.e_train, max_iters=[2, 5], prerank_ks=[20, 30], ranks=[10, 20], epochs=8, path=_fresh(f, "ann_nn"))
 
 
 @query("tune_mf_nn_grid")
 def q_tune_mf_nn_grid(f: Fixtures):
-    return tuning.tune_mf_nn_grid(f.e_train, f.t, max_iters=[5], regs=[0.1], ks=[20, 30], ranks=[10], path=_fresh(f, "mf_nn"))
+    return tuning.tune_mf_nn_grid(f.e_train, f.t, max_iters=[5, 15], regs=[0.1, 0.01], ks=[20, 30], ranks=[10], epochs=8, path=_fresh(f, "mf_nn"))
 
 
 @query("pipeline_ann_nn_p")

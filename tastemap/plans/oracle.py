@@ -1,15 +1,16 @@
-"""DuckDB SQL equivalents of the registered queries, over the raw parquet views at sf0.01.
+"""DuckDB SQL equivalents of the registered queries, over the raw parquet views.
 
 Each string is self-contained: it rebuilds the fixture views (E, P, T, V) as CTEs from the
-driver's tables. Sampling parameters are the sf0.01 values.
+driver's tables. They hold at every scale factor.
 """
 
 from __future__ import annotations
 
 import re
 
-# The sf0.01 sampling parameters and fixture bounds (same as the Spark queries).
-ITEM_THRESH, ITEM_SAMPLE_N, USER_THRESH, USER_SAMPLE_N, SEED = 30, 500, 5, 500, 0
+# The sampling parameters and fixture bounds (same as the Spark queries).
+ITEM_THRESH, ITEM_SAMPLE_N, USER_THRESH, USER_SAMPLE_N, SEED = 25, 50, 5, 50, 0
+ACTIVE_ITEM_THRESH = 30
 
 CTE = {
     "e_raw": """
@@ -43,13 +44,14 @@ CTE = {
     "p_train": "SELECT user_id, item_id, rating, ts FROM p_lab WHERE _r <= _n - (_n * 1) // 5",
     "p_test": "SELECT user_id, item_id, rating, ts FROM p_lab WHERE _r > _n - (_n * 1) // 5",
     "vu": """
-        SELECT CAST(vec_id - 100 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings
-        WHERE vec_id >= 100 AND CAST(vec_id - 100 AS INTEGER) IN (SELECT user_id FROM e_train)""",
-    "vi": "SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id < 100",
-    "vis": """
-        SELECT CAST(vec_id AS INTEGER) AS id,
-               list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * (1 + (vec_id % 7) / 4)) AS f
-        FROM embeddings WHERE vec_id < 100""",
+        SELECT s.user_id AS id, CAST(v.embedding AS DOUBLE[]) AS f
+        FROM (SELECT DISTINCT user_id FROM e_train) s
+        JOIN embeddings v ON v.vec_id = (s.user_id + 100) % (SELECT count(*) FROM embeddings)""",
+    "vi": """
+        SELECT s.item_id AS id, CAST(v.embedding AS DOUBLE[]) AS f
+        FROM (SELECT DISTINCT item_id FROM e) s
+        JOIN embeddings v ON v.vec_id = s.item_id % (SELECT count(*) FROM embeddings)""",
+    "vis": "SELECT id, list_transform(f, lambda x: x * (1 + (id % 7) / 4)) AS f FROM vi",
     # dot scores of E train users x items, seen pairs removed, rounded to 6 places
     "dot": """
         SELECT u.id AS user_id, i.id AS item_id, round(list_dot_product(u.f, i.f), 6) AS score
@@ -73,7 +75,11 @@ CTE = {
         FROM (SELECT * FROM knn_d QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score, item_id) <= 15) b
         WHERE NOT EXISTS (SELECT 1 FROM e_train t WHERE t.user_id = b.user_id AND t.item_id = b.item_id)
         QUALIFY rank <= 10""",
-    "knn_scores": "SELECT user_id, item_id, CAST(-rank AS DOUBLE) AS score FROM knn",
+    "knn_full": """
+        SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score, item_id) AS rank
+        FROM knn_d d WHERE NOT EXISTS (SELECT 1 FROM e_train t WHERE t.user_id = d.user_id AND t.item_id = d.item_id)
+        QUALIFY rank <= 10""",
+    "knn_scores": "SELECT user_id, item_id, CAST(-rank AS DOUBLE) AS score FROM knn_full",
 }
 
 ORDER = list(CTE)
@@ -206,7 +212,17 @@ def _metric_rows(pred: str, model: str, k: int = 10, t: int = 1) -> tuple[dict[s
         f"{m}_gr": f"""SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id
                    ORDER BY (score IS NULL), score DESC, item_id) AS r FROM {m}_grid""",
     }
+    gid, _ = _bucket("n_ratings", E_TRAIN_USER_BOUNDS)
+    ctes[f"{m}_rpu"] = f"""
+        SELECT n.user_id, coalesce(h.hits, 0) / least({k}, n.n_test) AS recall
+        FROM (SELECT user_id, count(*) AS n_test FROM e_test GROUP BY user_id) n
+        LEFT JOIN (SELECT user_id, count(*) AS hits FROM {m}_hit GROUP BY user_id) h USING (user_id)"""
     body = f"""
+        SELECT '{m}' AS model, 'recall_group_' || g.group_id AS metric, round(avg(r.recall), 6) AS value
+        FROM {m}_rpu r JOIN (SELECT user_id, {gid} AS group_id
+                             FROM (SELECT user_id, count(*) AS n_ratings FROM e_train GROUP BY user_id)) g USING (user_id)
+        GROUP BY g.group_id
+        UNION ALL
         SELECT '{m}' AS model, 'recall' AS metric, round(avg(coalesce(h.hits, 0) / least({k}, n.n_test)), 6) AS value
         FROM (SELECT user_id, count(*) AS n_test FROM e_test GROUP BY user_id) n
         LEFT JOIN (SELECT user_id, count(*) AS hits FROM {m}_hit GROUP BY user_id) h USING (user_id)
@@ -233,12 +249,14 @@ def oracle() -> dict[str, str]:
     q["src_interactions_events"] = with_ctes("SELECT user_id, item_id, rating FROM e")
     q["src_item_tags"] = with_ctes("SELECT item_id, tag_id, relevance FROM t")
     q["tags_of_sampled_items"] = with_ctes("SELECT * FROM t WHERE item_id IN (SELECT item_id FROM sample)", SAMPLE_CTE)
-    q["active_items"] = with_ctes(f"SELECT item_id, count(*) AS n_ratings FROM p GROUP BY item_id HAVING count(*) > {ITEM_THRESH}")
+    q["active_items"] = with_ctes(f"SELECT item_id, count(*) AS n_ratings FROM p GROUP BY item_id HAVING count(*) > {ACTIVE_ITEM_THRESH}")
     q["active_users"] = with_ctes("SELECT user_id, count(*) AS n_ratings FROM p GROUP BY user_id HAVING count(*) > 20")
     q["id_dictionary"] = with_ctes(
         "SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) - 1 AS BIGINT) AS pos FROM (SELECT DISTINCT user_id FROM p)"
     )
-    q["pivot_users"] = with_ctes("SELECT * FROM (PIVOT (SELECT item_id, user_id, rating FROM e) ON user_id USING first(rating) GROUP BY item_id)")
+    q["pivot_users"] = with_ctes(
+        "SELECT item_id, " + ", ".join(f'max(CASE WHEN user_id = {u} THEN rating END) AS "{u}"' for u in range(150)) + " FROM e GROUP BY item_id"
+    )
     q["matrix_shape"] = with_ctes(
         "SELECT count(DISTINCT item_id) AS n_items, count(DISTINCT user_id) AS n_users, count(*) AS n_ratings FROM p"
     )

@@ -27,12 +27,3 @@ TAGS_CSV = T.StructType(
         T.StructField("relevance", T.DoubleType(), True),
     ]
 )
-
-INTERACTIONS = T.StructType(
-    [
-        T.StructField(USER, T.IntegerType(), False),
-        T.StructField(ITEM, T.IntegerType(), False),
-        T.StructField(RATING, T.DoubleType(), True),
-        T.StructField(TS, T.LongType(), True),
-    ]
-)

@@ -57,25 +57,29 @@ def item_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(ITEM, F.col("tag_id").cast("int"), F.col("relevance").cast("double"))
 
 
-# Fixed vector layout: item i uses vec_id i (0..99); user u uses vec_id u + 100.
-V_ITEMS = 100
+# Fixed vector layout: item i has the vector at position i of the embeddings, user u the one at
+# u + 100, both modulo the number of embeddings, so every item and user has one.
 V_USER_OFFSET = 100
 
 
-def fixed_item_vectors(spark: SparkSession, sf_dir: str, scaled: bool = False) -> DataFrame:
-    """V item vectors (id, features ARRAY<DOUBLE>). ``scaled`` multiplies by 1 + (id % 7) / 4
-    so that dot-product and Euclidean orders differ."""
-    emb = table(spark, sf_dir, "embeddings").filter(F.col("vec_id") < V_ITEMS)
+def _vectors_of(spark: SparkSession, sf_dir: str, ids: DataFrame, offset: int) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("_v"), "embedding")
+    n = emb.count()
+    return ids.select("id", F.pmod(F.col("id") + offset, F.lit(n)).alias("_v")).join(emb, "_v")
+
+
+def fixed_item_vectors(spark: SparkSession, sf_dir: str, rows: DataFrame, scaled: bool = False) -> DataFrame:
+    """V item vectors (id, features ARRAY<DOUBLE>) of the items in ``rows``. ``scaled`` multiplies by
+    1 + (id % 7) / 4 so that dot-product and Euclidean orders differ."""
+    emb = _vectors_of(spark, sf_dir, rows.select(F.col(ITEM).alias("id")).distinct(), 0)
     feats = F.transform("embedding", lambda x: x.cast("double"))
     if scaled:
-        factor = 1 + (F.col("vec_id") % 7) / 4
+        factor = 1 + (F.col("id") % 7) / 4
         feats = F.transform("embedding", lambda x: x.cast("double") * factor)
-    return emb.select(F.col("vec_id").cast("int").alias("id"), feats.alias("features"))
+    return emb.select(F.col("id").cast("int").alias("id"), feats.alias("features"))
 
 
-def fixed_user_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = table(spark, sf_dir, "embeddings").filter(F.col("vec_id") >= V_USER_OFFSET)
-    return emb.select(
-        (F.col("vec_id") - V_USER_OFFSET).cast("int").alias("id"),
-        F.transform("embedding", lambda x: x.cast("double")).alias("features"),
-    )
+def fixed_user_vectors(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """V user vectors of the users in ``rows``."""
+    emb = _vectors_of(spark, sf_dir, rows.select(F.col(USER).alias("id")).distinct(), V_USER_OFFSET)
+    return emb.select(F.col("id").cast("int").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("features"))

@@ -61,7 +61,7 @@ def test_mlp_item_side_paths_agree(spark):
     kw = dict(epochs=3, hidden=(8,), batch_size=32, seed=0, num_partitions=3)
     a, _ = fit_mlp(spark.createDataFrame(full, schema), **kw)
     b, _ = fit_mlp(spark.createDataFrame(rows, schema), item_side=items, **kw)
-    c, _ = fit_mlp(spark.createDataFrame(rows, schema), item_side=items, max_item_side_rows=0, **kw)
+    c, _ = fit_mlp(spark.createDataFrame(rows, schema), item_side=items, max_item_side_bytes=0, **kw)
     assert b.item_ids is not None and c.item_ids is None
     assert np.allclose(a.theta, b.theta) and np.allclose(a.theta, c.theta)
     pa_ = {(r.user_id, r.item_id): r.score for r in a.predict(spark.createDataFrame(full[:50], schema)).collect()}
@@ -69,7 +69,7 @@ def test_mlp_item_side_paths_agree(spark):
     assert pa_.keys() == pb.keys() and all(np.isclose(pa_[k], pb[k]) for k in pa_)
 
 
-def test_mlp_direct_and_spark_sums_agree(spark, monkeypatch):
+def test_mlp_sums_in_groups_agree(spark, monkeypatch):
     from tastemap.operators import mlp
 
     rng = np.random.RandomState(9)
@@ -80,9 +80,55 @@ def test_mlp_direct_and_spark_sums_agree(spark, monkeypatch):
     df = spark.createDataFrame(rows, "user_id int, item_id int, rating double, features array<double>")
     kw = dict(epochs=3, hidden=(6,), batch_size=32, seed=1, num_partitions=3)
     a, ha = fit_mlp(df, **kw)
-    monkeypatch.setattr(mlp, "MAX_DIRECT_BYTES", 0)
+    monkeypatch.setattr(mlp, "SUM_FAN_IN", 2)
     b, hb = fit_mlp(df, **kw)
     assert np.allclose(a.theta, b.theta)
     la = [r.loss for r in ha.orderBy("epoch").collect()]
     lb = [r.loss for r in hb.orderBy("epoch").collect()]
     assert np.allclose(la, lb)
+
+
+def test_sum_of_many_partials(spark):
+    from tastemap.operators import mlp
+
+    n, size = 1100, mlp.CHUNK + 3
+    rng = np.random.RandomState(0)
+    rows, total = [], np.zeros(size)
+    for part in range(n):
+        w = rng.randn(size).round(6)
+        total += w
+        for c in (0, 1):
+            a = [float(x) for x in w[c * mlp.CHUNK : (c + 1) * mlp.CHUNK][:3]] if size > 10_000 else [float(x) for x in w[c * mlp.CHUNK : (c + 1) * mlp.CHUNK]]
+            rows.append((part, c, a, a, a, 1, 0.5, 0.25, 2, 1, 0.5, 0.5))
+    parts = spark.createDataFrame(rows, mlp.EPOCH_SCHEMA).repartition(7)
+    got = mlp._sum_partials(parts, n, size)
+    again = mlp._sum_partials(parts.repartition(3), n, size)
+    assert got["n"] == n and got["sse"] == n * 0.5 and got["steps"] == 2 * n
+    assert np.allclose(got["w"][:3], total[:3]) and (got["w"] == again["w"]).all()
+
+
+def test_als_and_mlp_do_not_depend_on_cores(spark):
+    from tastemap.operators import als
+
+    assert als.blocks_for(spark.range(10).selectExpr("id user_id", "id item_id", "1.0 rating")) == als.MIN_BLOCKS
+
+
+def test_missing_tags_keep_rows(spark):
+    from tastemap.operators.features import item_side_features
+    from tests.conftest import interactions
+    from tastemap.plans.pipelines import ann_nn, mf_nn
+
+    tags = spark.createDataFrame([(0, 0, 0.5), (0, 1, 0.25), (2, 0, 1.0), (2, 1, 0.0)], "item_id int, tag_id int, relevance double")
+    itf = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(4)], "id int, features array<double>")
+    from tastemap.operators.features import item_tag_vectors
+
+    side = {r.id: r.features for r in item_side_features(itf, item_tag_vectors(tags)).collect()}
+    assert side == {0: [1, 0, 0.5, 0.25], 1: [1, 1, 0, 0], 2: [1, 2, 1, 0], 3: [1, 3, 0, 0]}
+    assert {r.id for r in item_side_features(itf, item_tag_vectors(tags), "inner").collect()} == {0, 2}
+    rng = np.random.RandomState(1)
+    train = interactions(spark, [(u, i, float(rng.randint(1, 6)), 1) for u in range(12) for i in range(20) if (u + i) % 3])
+    for fn, key in ((mf_nn, "k"), (ann_nn, "prerank_k")):
+        r = fn(train, None, tags, 2, 0.1, rank=3, use_tags=True, epochs=1, **{key: 5})
+        per = {x.user_id: x["count"] for x in r.recommendations.groupBy("user_id").count().collect()}
+        assert per == {u: 5 for u in range(12)}
+        assert r.recommendations.join(train, ["user_id", "item_id"], "left_semi").count() == 0

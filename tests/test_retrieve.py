@@ -67,17 +67,42 @@ def test_knn_lsh_recall_against_exact(spark):
     assert len(exact & approx) / len(exact) >= 0.5
 
 
-def test_knn_lsh_hot_buckets_fall_back_to_exact(spark):
+def test_knn_lsh_short_lists_are_exact(spark):
     rng = np.random.RandomState(3)
     u, v = rng.randn(20, 4), rng.randn(40, 4)
     seen = interactions(spark, [(0, 1, 1.0), (3, 5, 1.0)], with_ts=False)
     users, items = _vecs(spark, u), _vecs(spark, v)
     exact = sorted(tuple(r) for r in retrieve.topk_unseen(users, items, seen, 5, "euclidean").select("user_id", "item_id", "rank").collect())
-    # every bucket above the bound: all users are served by the exact scorer
-    got = retrieve.knn_lsh(users, items, seen, 5, max_distance=0.5, bucket_length=100.0, num_tables=2, max_bucket_items=0)
+    # hardly any pair shares a bucket: every user's list is short, so it is replaced by the exact one
+    got = retrieve.knn_lsh(users, items, seen, 5, bucket_length=0.0001, num_tables=2)
     assert sorted(tuple(r) for r in got.select("user_id", "item_id", "rank").collect()) == exact
 
 
+@pytest.mark.parametrize("metric", ["dot", "euclidean"])
+@pytest.mark.parametrize("max_broadcast_bytes", [1 << 20, 0])
+def test_many_item_blocks_match_brute_force(spark, metric, max_broadcast_bytes):
+    rng = np.random.RandomState(5)
+    u, v = rng.randn(9, 3), rng.randn(23, 3)
+    pairs = [(a, b, 1.0) for a in range(9) for b in range(23) if (a * 7 + b) % 4 == 0] + [(8, b, 1.0) for b in range(21)]
+    seen = interactions(spark, list(dict.fromkeys(pairs)), with_ts=False)
+    got = retrieve.topk_unseen(_vecs(spark, u), _vecs(spark, v), seen, 4, metric, block_items=5, max_broadcast_bytes=max_broadcast_bytes)
+    gone = {(a, b) for a, b, _ in pairs}
+    want = set()
+    for a in range(9):
+        value = u[a] @ v.T if metric == "dot" else -np.sqrt(((u[a] - v) ** 2).sum(axis=1))
+        best = sorted((b for b in range(23) if (a, b) not in gone), key=lambda b: (-value[b], b))[:4]
+        want |= {(a, b, r) for r, b in enumerate(best, 1)}
+    assert {(r.user_id, r.item_id, r["rank"]) for r in got.collect()} == want
+    assert "_1" not in got.columns
+
+
+def test_no_items_or_users_give_no_rows(spark):
+    users, items = _vecs(spark, np.ones((2, 2))), _vecs(spark, np.ones((3, 2)))
+    seen = interactions(spark, [(0, 1, 1.0)], with_ts=False)
+    assert retrieve.topk_unseen(users, items.limit(0), seen, 2).collect() == []
+    assert retrieve.topk_unseen(users.limit(0), items, seen, 2).collect() == []
+
+
 def test_bias_topk_matches_brute_force(spark):
     e = fx.events_interactions(spark, SF001)
     train, _ = prep.split_by_time(e)
