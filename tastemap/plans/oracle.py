@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 # The sampling parameters and fixture bounds (same as the Spark queries).
-ITEM_THRESH, ITEM_SAMPLE_N, USER_THRESH, USER_SAMPLE_N, SEED = 25, 50, 5, 50, 0
+ITEM_THRESH, ITEM_SAMPLE_N, USER_THRESH, USER_SAMPLE_N, SEED = 25, 50, 0, 50, 0
 ACTIVE_ITEM_THRESH = 30
 
 CTE = {

@@ -17,7 +17,7 @@ from tastemap.session import cut_lineage
 from tastemap.sources import fixtures as fx
 
 # Sampling parameters, the same for every input.
-SAMPLE_PARAMS = dict(item_thresh=25, item_sample_n=50, user_thresh=5, user_sample_n=50, seed=0)
+SAMPLE_PARAMS = dict(item_thresh=25, item_sample_n=50, user_thresh=0, user_sample_n=50, seed=0)
 # Bucket bounds for the fixtures.
 P_USER_BOUNDS = [5, 10, 30, 40, 50, 100]
 P_ITEM_BOUNDS = [20, 25, 30, 35, 40, 100]
