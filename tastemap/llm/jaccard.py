@@ -47,7 +47,7 @@ PERCENT = 75
 MIN_HOT = 64
 MAX_HOT_IDS = 200_000  # bound of the broadcast list of frequent shingles
 LIST_ROWS = 4096  # a longer list of a hot shingle is split by salts
-BLOCK_ROWS = 20_000  # a larger cluster is split into pairs of blocks
+BLOCK_SHINGLES = 2_000_000  # a cluster with more is split into pairs of blocks
 FAN = 4
 U = np.uint64
 
@@ -416,7 +416,7 @@ def verified(rows: pa.Table) -> pa.Table:
 
 
 # ---------------------------------------------------------------- the join
-def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = 4 * parts
@@ -430,8 +430,8 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_rows: int = BLOCK_RO
     maybe = materialize(listed.groupBy("b").applyInArrow(lambda t: candidates(t), "u long, v long"), "maybe")
 
     cluster = components(maybe)
-    size = cluster.groupBy("component").agg(F.count(F.lit(1)).alias("k"))
-    cluster = cluster.join(size, "component").select("id", F.col("component").alias("cluster"), F.ceil(F.col("k") / block_rows).alias("blocks"))
+    size = cluster.join(nodes.select("id", "n"), "id").groupBy("component").agg(F.sum("n").alias("k"))
+    cluster = cluster.join(size, "component").select("id", F.col("component").alias("cluster"), F.ceil(F.col("k") / block_shingles).alias("blocks"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     # member of block i goes to the pairs (i, j) of every block j

@@ -37,9 +37,9 @@ def got_join(df):
     return sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in df.collect())
 
 
-@pytest.mark.parametrize(("list_rows", "block_rows"), [(4096, 2048), (3, 3)])
-def test_join(docs, corpus, list_rows, block_rows):
-    assert got_join(jaccard.join(clashing(docs), list_rows, block_rows)) == brute_join(corpus)
+@pytest.mark.parametrize(("list_rows", "block_shingles"), [(4096, 2_000_000), (3, 700)])
+def test_join(docs, corpus, list_rows, block_shingles):
+    assert got_join(jaccard.join(clashing(docs), list_rows, block_shingles)) == brute_join(corpus)
 
 
 def test_join_edges(spark, empty_docs):
@@ -60,7 +60,7 @@ def test_join_hot_group(spark, monkeypatch):
             w[rng.randrange(120)] = "z%d" % rng.randrange(10**6)
         rows.append((i, " ".join(w), "en", "s", 0))
     rows += [(1000 + i, " ".join(words(rng, 60) + base[:40]), "en", "s", 0) for i in range(60)]
-    assert got_join(jaccard.join(spark.createDataFrame(rows, DOCS), 20, 16)) == brute_join(rows)
+    assert got_join(jaccard.join(spark.createDataFrame(rows, DOCS), 20, 1500)) == brute_join(rows)
 
 
 def test_bound_never_drops_a_link():
