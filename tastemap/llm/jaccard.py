@@ -15,8 +15,8 @@ A document's set is its distinct 5-word shingles (lower-cased A-Z); two document
    nodes is dropped when the common bits, which bound every overlap below, are too few for any sizes
    in range, or when both sides are already one component. Leaves that pass are candidates.
 4. Candidates form clusters (``components``). Each member's text travels once to its cluster, where
-   a second signature tree, now with the exact intersection at its leaves, finds the links. Large
-   clusters are split into pairs of blocks.
+   a second signature tree, over the shingles that its members share, one bit each, finds the
+   links; its inner nodes drop sets whose shared part is too small. Large clusters are split into pairs of blocks.
 
 Every step only skips pairs that cannot link or that are connected already, so no link between
 components is lost, and pairs inside a component are not listed.
@@ -293,10 +293,10 @@ def fold(bits: int, wide: int, narrow: int) -> int:
     return bits
 
 
-def tree(bits: list[int], sizes: list[int]) -> Node:
-    """Bulk-loaded over leaves in the given order (by size, so that ranges are narrow). ``hidden``
-    bounds the shingles of a set that collide on a bit."""
-    level = [Node(b, n, n, n - b.bit_count(), [], i) for i, (b, n) in enumerate(zip(bits, sizes, strict=True))]
+def tree(bits: list[int], sizes: list[int], drawn: list[int] | None = None) -> Node:
+    """Bulk-loaded over leaves in the given order (by size, so that ranges are narrow). ``drawn``: how
+    many shingles of each set are in its bitmap (all). ``hidden`` bounds those that collide on a bit."""
+    level = [Node(b, n, n, d - b.bit_count(), [], i) for i, (b, n, d) in enumerate(zip(bits, sizes, drawn or sizes, strict=True))]
     while len(level) > 1:
         up = []
         for i in range(0, len(level), FAN):
@@ -389,6 +389,27 @@ def _star(ids: np.ndarray, groups: Groups) -> pa.Table:
     return pa.table({"u": pa.array(ids[far], pa.int64()), "v": pa.array(ids[root[far]], pa.int64())})
 
 
+def shared_bitmaps(sets: list[np.ndarray], most_bits: int = 1 << 16) -> tuple[list[int], list[int], bool]:
+    """(bitmap, number of shared shingles, exact) over the shingles that two sets or more hold: one bit
+    for each, so common bits count common shingles exactly, up to ``most_bits`` of them; beyond, bits
+    are shared and common bits bound the overlap from above."""
+    flat = np.concatenate(sets)
+    _, inv, count = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    keep = count[inv] > 1
+    at, of = number[inv[keep]], of[keep]
+    exact = int(number[-1]) < most_bits if len(number) else True
+    width_ = min(most_bits, int(number[-1]) + 1 if len(number) else 1)
+    cut = np.searchsorted(of, np.arange(len(sets) + 1))
+    out = []
+    for i in range(len(sets)):
+        row = np.zeros(width_, np.uint8)
+        row[at[cut[i] : cut[i + 1]] % width_] = 1
+        out.append(int.from_bytes(np.packbits(row, bitorder="little").tobytes(), "little"))
+    return out, np.diff(cut).tolist(), exact
+
+
 def verified(rows: pa.Table) -> pa.Table:
     """Exact links inside the clusters (or pairs of blocks) of a bucket, as stars."""
     ids, part, sets = rows.column("id").to_numpy(), rows.column("part").to_numpy(), []
@@ -404,13 +425,20 @@ def verified(rows: pa.Table) -> pa.Table:
     for a, b in zip(begin, [*begin[1:], len(ids)], strict=True):
         if b - a < 2:
             continue
-        here, groups = sets[a:b], Groups(b - a)
+        here, sizes, groups = sets[a:b], n[a:b], Groups(b - a)
+        bits, shared, exact = shared_bitmaps(here)
+        # a set whose shingles are too rarely shared links with none here
+        able = [i for i in range(b - a) if shared[i] >= needed(sizes[i] + -(-PERCENT * sizes[i] // 100))]
+        if len(able) < 2:
+            continue
 
-        def link(i: int, j: int, here=here) -> bool:
-            common = len(np.intersect1d(here[i], here[j], assume_unique=True))
-            return common >= needed(len(here[i]) + len(here[j]))
+        def link(i: int, j: int, here=here, able=able, exact=exact) -> bool:
+            x, y = here[able[i]], here[able[j]]
+            return exact or len(np.intersect1d(x, y, assume_unique=True)) >= needed(len(x) + len(y))
 
-        self_join(_ordered_tree([(0, n[i], bitmap(sets[i])) for i in range(a, b)]), groups, link)
+        inner = Groups(len(able))
+        for x, y in self_join(tree([bits[i] for i in able], [sizes[i] for i in able], [shared[i] for i in able]), inner, link):
+            groups.join(able[x], able[y])
         out.append(_star(ids[a:b], groups))
     return pa.concat_tables(out) if out else _star(np.zeros(0, np.int64), Groups(0))
 
