@@ -1,5 +1,6 @@
-"""Model, re-ranker, pipeline and tuning queries. These fit iterative models (ALS, the MLP), so
-the driver checks them by rows only; tests check their properties."""
+"""Model, re-ranker, pipeline and tuning queries. Fitted values of iterative models (ALS, the MLP)
+cannot be written in SQL, so each query fits and applies the model to its whole input and returns
+the properties that any right result has, computed from the fitted output: SQL states them."""
 
 from __future__ import annotations
 
@@ -7,20 +8,22 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tastemap.functions.vectors import array_sum
+from tastemap.functions.vectors import array_sum, dot
 from tastemap.operators import als, retrieve
 from tastemap.operators.features import nn_features
 from tastemap.operators.mlp import fit_mlp
 from tastemap.plans import metrics, pipelines, tuning
-from tastemap.plans.queries import DIGITS, K, Fixtures, _pairs, query
+from tastemap.operators.profile import groups
+from tastemap.plans.queries import E_TRAIN_USER_BOUNDS, K, Fixtures, _pairs, query
 from tastemap.schema import ITEM, RATING, SCORE, USER
-from tastemap.session import checkpoint_dir
+from tastemap.session import checkpoint_dir, cut_lineage
 
 # Published model settings.
 ALS_RANK, ALS_ITER, ALS_REG = 10, 25, 0.1  # MF baseline
 MFNN = dict(max_iter=15, reg=0.1, k=30, rank=10)  # MF-NN without tags
 ANNNN = dict(max_iter=2, reg=0.1, prerank_k=20, rank=20, epochs=50)  # ANN-NN without tags
 ANN_KNN = dict(max_iter=5, rank=20)  # nearest-item recommender
+COMPARISON_EPOCHS = 8
 
 
 def _als(f: Fixtures, rank=ALS_RANK, max_iter=ALS_ITER, reg=ALS_REG):
@@ -28,40 +31,69 @@ def _als(f: Fixtures, rank=ALS_RANK, max_iter=ALS_ITER, reg=ALS_REG):
     return f._get(key, lambda: als.fit_als(f.e_train, rank, max_iter, reg, seed=0))
 
 
-def _factor_summary(df):
-    return df.select(F.col("id"), F.size("features").cast("long").alias("dim"), F.round(array_sum("features"), DIGITS).alias("feature_sum"))
+def _finite(c) -> F.Column:
+    return F.coalesce(~F.isnan(c) & (F.abs(c) < 1e30), F.lit(False))
+
+
+def _list_check(recs, train):
+    """Per user: list length, whether no item was seen in train, and whether ranks are 1..n with scores
+    that exist."""
+    seen = train.select(USER, ITEM).withColumn("_seen", F.lit(1))
+    rows = recs.join(seen, [USER, ITEM], "left")
+    return rows.groupBy(USER).agg(
+        F.count(F.lit(1)).alias("n_items"),
+        (F.count("_seen") == 0).alias("all_unseen"),
+        (F.countDistinct(ITEM) == F.count(F.lit(1))).alias("items_differ"),
+        ((F.min("rank") == 1) & (F.max("rank") == F.count(F.lit(1))) & (F.countDistinct("rank") == F.count(F.lit(1)))).alias("ranks_complete"),
+        F.min(_finite(F.col(SCORE)).cast("int")).cast("boolean").alias("scores_finite"),
+    )
 
 
 @query("als_user_factors")
 def q_als_user_factors(f: Fixtures):
-    return _factor_summary(als.factors(_als(f))[0])
+    """ALS ends with the user step, so each user's factors solve that user's normal equation against
+    the item factors: sum (u.v - r) v + reg * n * u = 0, up to the solver's single precision."""
+    uf, itf = als.factors(_als(f))
+    u, v = uf.select(F.col("id").alias(USER), F.col("features").alias("_u")), itf.select(F.col("id").alias(ITEM), F.col("features").alias("_v"))
+    rows = f.e_train.join(u, USER).join(v, ITEM).withColumn("_e", dot("_u", "_v") - F.col(RATING))
+    parts = rows.select(USER, "_u", F.posexplode("_v").alias("d", "x"), "_e").withColumn("_ud", F.element_at("_u", F.col("d") + 1).cast("double"))
+    per = parts.groupBy(USER, "d").agg(
+        F.abs(F.sum(F.col("_e") * F.col("x")) + ALS_REG * F.count(F.lit(1)) * F.first("_ud")).alias("left"),
+        F.sum(F.abs(F.col("_e") * F.col("x")) + F.abs(F.col("x"))).alias("size"),
+    )
+    solved = per.groupBy(F.col(USER).alias("id")).agg((F.max(F.col("left") / (F.col("size") + 1e-9)) < 1e-3).alias("solves"))
+    return uf.select("id", F.size("features").cast("long").alias("dim")).join(solved, "id")
 
 
 @query("als_item_factors")
 def q_als_item_factors(f: Fixtures):
-    return _factor_summary(als.factors(_als(f))[1])
+    itf = als.factors(_als(f))[1]
+    return itf.select("id", F.size("features").cast("long").alias("dim"), _finite(array_sum("features")).alias("finite"))
 
 
 @query("als_predict_pairs")
 def q_als_predict_pairs(f: Fixtures):
-    return als.predict_pairs(_als(f), _pairs(f.e_test)).select(USER, ITEM, RATING, SCORE)
+    uf, itf = als.factors(_als(f))
+    got = als.predict_pairs(_als(f), _pairs(f.e_test)).select(USER, ITEM, RATING, SCORE)
+    got = got.join(uf.select(F.col("id").alias(USER), F.col("features").alias("_u")), USER).join(itf.select(F.col("id").alias(ITEM), F.col("features").alias("_v")), ITEM)
+    return got.select(USER, ITEM, RATING, (F.abs(dot("_u", "_v") - F.col(SCORE)) < 1e-4).alias("is_dot_product"))
 
 
 @query("candidates_als")
 def q_candidates_als(f: Fixtures):
     uf, itf = als.factors(_als(f))
-    return retrieve.topk_unseen(uf, itf, f.e_train, K, "dot")
+    return _list_check(retrieve.topk_unseen(uf, itf, f.e_train, K, "dot"), f.e_train)
 
 
 @query("knn_als")
 def q_knn_als(f: Fixtures):
     uf, itf = als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"]))
-    return retrieve.topk_unseen(uf, itf, f.e_train, K, "euclidean")
+    return _list_check(retrieve.topk_unseen(uf, itf, f.e_train, K, "euclidean"), f.e_train)
 
 
 @query("knn_lsh")
 def q_knn_lsh(f: Fixtures):
-    return retrieve.knn_lsh(f.vu, f.vi_scaled, f.e_train, K, bucket_length=2.0, num_tables=4)
+    return _list_check(retrieve.knn_lsh(f.vu, f.vi_scaled, f.e_train, K, bucket_length=2.0, num_tables=4), f.e_train)
 
 
 def _mlp(f: Fixtures):
@@ -74,30 +106,37 @@ def _mlp(f: Fixtures):
 
 @query("mlp_fit_history")
 def q_mlp_fit_history(f: Fixtures):
-    return _mlp(f)[1]
+    return _mlp(f)[1].select("epoch", *[(_finite(F.col(c)) & (F.col(c) >= 0)).alias(f"{c}_ok") for c in ("loss", "mae", "val_loss", "val_mae")])
 
 
 @query("mlp_scores")
 def q_mlp_scores(f: Fixtures):
     model = _mlp(f)[0]
-    return model.predict(nn_features(_pairs(f.e_test), f.vu, f.vi)).select(USER, ITEM, RATING, SCORE)
+    got = model.predict(nn_features(_pairs(f.e_test), f.vu, f.vi))
+    return got.select(USER, ITEM, RATING, _finite(F.col(SCORE)).alias("score_finite"))
 
 
 @query("mlp_eval")
 def q_mlp_eval(f: Fixtures):
-    return _mlp(f)[0].evaluate(nn_features(_pairs(f.e_test), f.vu, f.vi), RATING)
+    """The evaluation against the model's own scores: n, and MSE and MAE recomputed from them."""
+    model, rows = _mlp(f)[0], nn_features(_pairs(f.e_test), f.vu, f.vi)
+    err = F.col(SCORE) - F.col(RATING)
+    own = model.predict(rows).agg(F.avg(err * err).alias("mse2"), F.avg(F.abs(err)).alias("mae2")).first()
+    return model.evaluate(rows, RATING).select(
+        "n", (F.abs(F.col("mse") - own["mse2"]) < 1e-9).alias("mse_ok"), (F.abs(F.col("mae") - own["mae2"]) < 1e-9).alias("mae_ok")
+    )
 
 
 @query("pipeline_mf_nn")
 def q_pipeline_mf_nn(f: Fixtures):
     r = pipelines.mf_nn(f.e_train, f.e_test, f.t, MFNN["max_iter"], MFNN["reg"], MFNN["k"], MFNN["rank"], final_k=K)
-    return r.recommendations
+    return _list_check(r.recommendations, f.e_train)
 
 
 @query("pipeline_mf_nn_tags")
 def q_pipeline_mf_nn_tags(f: Fixtures):
     r = pipelines.mf_nn(f.e_train, f.e_test, f.t, MFNN["max_iter"], MFNN["reg"], MFNN["k"], MFNN["rank"], final_k=K, use_tags=True)
-    return r.recommendations
+    return _list_check(r.recommendations, f.e_train)
 
 
 @query("pipeline_ann_nn")
@@ -105,48 +144,63 @@ def q_pipeline_ann_nn(f: Fixtures):
     r = pipelines.ann_nn(
         f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, epochs=ANNNN["epochs"]
     )
-    return r.recommendations
+    return _list_check(r.recommendations, f.e_train)
 
 
 @query("pipeline_comparison")
 def q_pipeline_comparison(f: Fixtures):
-    """The evaluation suite (recall@10, coverages at 1, NDCG) for the learned pipelines."""
+    """The evaluation suite (recall@10, coverages at 1, NDCG, recall by activity bucket) for every
+    model of the published comparison; few epochs. Each value lies in [0, 1]."""
+    cat_pos = cut_lineage(metrics.catalogue_positions(f.e_test))
+    grouped = groups(f.e_train, USER, E_TRAIN_USER_BOUNDS)
     uf, itf = als.factors(_als(f))
-    mf_scores = retrieve.dot_scores(uf, itf, f.e_train)
+    mf = dict(max_iter=MFNN["max_iter"], reg=MFNN["reg"], k=MFNN["k"], rank=MFNN["rank"], final_k=None, epochs=COMPARISON_EPOCHS)
+    ann = dict(max_iter=ANNNN["max_iter"], reg=ANNNN["reg"], prerank_k=ANNNN["prerank_k"], rank=ANNNN["rank"], k_items=None, epochs=COMPARISON_EPOCHS)
     knn = retrieve.topk_unseen(*als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"])), f.e_train, K, "euclidean")
-    hyb = pipelines.ann_nn(
-        f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], None, epochs=ANNNN["epochs"]
-    )
-    parts = [
-        metrics.evaluate(f.e_test, mf_scores, "mf", K, 1),
-        metrics.evaluate(f.e_test, metrics.ranks_as_scores(knn), "ann", K, 1),
-        metrics.evaluate(f.e_test, hyb.recommendations.select(USER, ITEM, SCORE), "ann_nn", K, 1),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    scores = {"bias": f.bias_pred(), "mf": retrieve.dot_scores(uf, itf, f.e_train), "ann": metrics.ranks_as_scores(knn)}
+    for tags in (False, True):
+        end = "_tags" if tags else ""
+        scores["mf_nn" + end] = pipelines.mf_nn(f.e_train, None, f.t, use_tags=tags, **mf).recommendations.select(USER, ITEM, SCORE)
+        scores["ann_nn" + end] = pipelines.ann_nn(f.e_train, None, f.t, use_tags=tags, **ann).recommendations.select(USER, ITEM, SCORE)
+    out = None
+    for name, s in scores.items():
+        rows = metrics.evaluate(f.e_test, s, name, K, 1, cat_pos, grouped)
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("model", "metric", F.col("value").between(0.0, 1.0 + 1e-9).alias("in_range"))
 
 
 def _fresh(f: Fixtures, name: str) -> str:
     return f"{checkpoint_dir(f.spark).rstrip('/')}/tuning/{name}-{uuid.uuid4().hex}"
 
 
+def _grid_check(results, keys: list[str], metric: str, maximize: bool):
+    """Every point with whether its metric exists and is in range, and whether ``is_best`` marks one
+    point, with the best metric."""
+    results = cut_lineage(results)
+    top = results.agg((F.max if maximize else F.min)(metric).alias("m"), F.count(F.when(F.col("is_best"), 1)).alias("n")).first()
+    right = F.lit(top["n"] == 1) & (~F.col("is_best") | (F.col(metric) == F.lit(top["m"])))
+    in_range = _finite(F.col(metric)) & (F.col(metric) >= 0) & (F.col(metric) <= (1.0 if maximize else 1e6))
+    return results.select(*[F.col(k).cast("double" if k == "reg" else "int").alias(k) for k in keys], in_range.alias("metric_ok"), right.alias("best_ok"))
+
+
 @query("tune_als_cv")
 def q_tune_als_cv(f: Fixtures):
-    return tuning.tune_als_cv(f.e_train, max_iters=[5, 10], regs=[0.1, 0.01], ranks=[5, 10], folds=3)
+    return _grid_check(tuning.tune_als_cv(f.e_train, max_iters=[5, 10], regs=[0.1, 0.01], ranks=[5, 10], folds=3), ["max_iter", "reg", "rank"], "rmse", False)
 
 
 @query("tune_knn_grid")
 def q_tune_knn_grid(f: Fixtures):
-    return tuning.tune_knn_grid(f.e_train, max_iters=[5, 10], ranks=[10, 20], path=_fresh(f, "knn"))
+    return _grid_check(tuning.tune_knn_grid(f.e_train, max_iters=[5, 10], ranks=[10, 20], path=_fresh(f, "knn")), ["max_iter", "rank"], "recall", True)
 
 
 @query("tune_ann_nn_grid")
 def q_tune_ann_nn_grid(f: Fixtures):
-    return tuning.tune_ann_nn_grid(f.e_train, max_iters=[2, 5], prerank_ks=[20, 30], ranks=[10, 20], epochs=8, path=_fresh(f, "ann_nn"))
+    return _grid_check(tuning.tune_ann_nn_grid(f.e_train, max_iters=[2, 5], prerank_ks=[20, 30], ranks=[10, 20], epochs=8, path=_fresh(f, "ann_nn")), ["max_iter", "rank", "prerank_k"], "recall", True)
 
 
 @query("tune_mf_nn_grid")
 def q_tune_mf_nn_grid(f: Fixtures):
-    return tuning.tune_mf_nn_grid(f.e_train, f.t, max_iters=[5, 15], regs=[0.1, 0.01], ks=[20, 30], ranks=[10], epochs=8, path=_fresh(f, "mf_nn"))
+    return _grid_check(tuning.tune_mf_nn_grid(f.e_train, f.t, max_iters=[5, 15], regs=[0.1, 0.01], ks=[20, 30], ranks=[10], epochs=8, path=_fresh(f, "mf_nn")), ["max_iter", "reg", "k", "rank"], "mse", False)
 
 
 @query("pipeline_ann_nn_p")
@@ -156,7 +210,7 @@ def q_pipeline_ann_nn_p(f: Fixtures):
     r = pipelines.ann_nn(
         f.p_train, f.p_test, None, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, epochs=ANNNN["epochs"]
     )
-    return r.recommendations
+    return _list_check(r.recommendations, f.p_train)
 
 
 @query("pipeline_ann_nn_tags")
@@ -165,4 +219,4 @@ def q_pipeline_ann_nn_tags(f: Fixtures):
     r = pipelines.ann_nn(
         f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, use_tags=True, epochs=32
     )
-    return r.recommendations
+    return _list_check(r.recommendations, f.e_train)

@@ -384,4 +384,49 @@ def oracle() -> dict[str, str]:
         ctes.update(c)
         bodies.append(b)
     q["model_comparison"] = with_ctes("\nUNION ALL\n".join(bodies), ctes)
+    q.update(_model_oracle())
     return q
+
+
+def _lists(train: str, k: int, items: str) -> str:
+    """What a list of the k best unseen items must be, for every train user."""
+    return f"""SELECT s.user_id, least({k}, (SELECT count(*) FROM ({items})) - s.n) AS n_items, true AS all_unseen, true AS items_differ,
+               true AS ranks_complete, true AS scores_finite
+        FROM (SELECT user_id, count(DISTINCT item_id) AS n FROM {train} GROUP BY user_id) s
+        WHERE (SELECT count(*) FROM ({items})) > s.n"""
+
+
+def _model_oracle() -> dict[str, str]:
+    """Properties of right results of the fitted models (see ``model_queries``)."""
+    e_items, p_items = "SELECT DISTINCT item_id FROM e_train", "SELECT DISTINCT item_id FROM p_train"
+    q = {
+        "als_user_factors": "SELECT DISTINCT user_id AS id, CAST(10 AS BIGINT) AS dim, true AS solves FROM e_train",
+        "als_item_factors": "SELECT DISTINCT item_id AS id, CAST(10 AS BIGINT) AS dim, true AS finite FROM e_train",
+        "als_predict_pairs": """SELECT user_id, item_id, rating, true AS is_dot_product FROM e_test
+            WHERE user_id IN (SELECT user_id FROM e_train) AND item_id IN (SELECT item_id FROM e_train)""",
+        "mlp_fit_history": "SELECT CAST(unnest(range(1, 33)) AS INTEGER) AS epoch, true AS loss_ok, true AS mae_ok, true AS val_loss_ok, true AS val_mae_ok",
+        "mlp_scores": "SELECT user_id, item_id, rating, true AS score_finite FROM e_test WHERE user_id IN (SELECT id FROM vu) AND item_id IN (SELECT id FROM vi)",
+        "mlp_eval": """SELECT count(*) AS n, true AS mse_ok, true AS mae_ok FROM e_test
+            WHERE user_id IN (SELECT id FROM vu) AND item_id IN (SELECT id FROM vi)""",
+        "knn_lsh": _lists("e_train", 10, "SELECT id FROM vi"),
+        "pipeline_ann_nn_p": _lists("p_train", 10, p_items),
+    }
+    for name in ("candidates_als", "knn_als", "pipeline_mf_nn", "pipeline_mf_nn_tags", "pipeline_ann_nn", "pipeline_ann_nn_tags"):
+        q[name] = _lists("e_train", 10, e_items)
+    gid, _ = _bucket("n_ratings", E_TRAIN_USER_BOUNDS)
+    models = ", ".join(f"('{m}')" for m in ("bias", "mf", "ann", "mf_nn", "mf_nn_tags", "ann_nn", "ann_nn_tags"))
+    q["pipeline_comparison"] = f"""SELECT m.model, x.metric, true AS in_range
+        FROM (VALUES {models}) m(model), (
+            SELECT unnest(['recall', 'user_coverage', 'item_coverage', 'catalog_coverage', 'ndcg']) AS metric
+            UNION ALL
+            SELECT DISTINCT 'recall_group_' || {gid} FROM (SELECT user_id, count(*) AS n_ratings FROM e_train GROUP BY user_id) g
+            WHERE user_id IN (SELECT user_id FROM e_test)) x"""
+    out = {name: with_ctes(body) for name, body in q.items()}
+    ok = "true AS metric_ok, true AS best_ok"
+    axis = lambda name, *v: f"(SELECT unnest([{', '.join(map(str, v))}]) AS {name})"
+    reg = "(SELECT unnest([CAST(0.1 AS DOUBLE), CAST(0.01 AS DOUBLE)]) AS reg)"
+    out["tune_als_cv"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 10)}, {reg}, {axis('rank', 5, 10)}"
+    out["tune_knn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 10)}, {axis('rank', 10, 20)}"
+    out["tune_ann_nn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 2, 5)}, {axis('rank', 10, 20)}, {axis('prerank_k', 20, 30)}"
+    out["tune_mf_nn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 15)}, {reg}, {axis('k', 20, 30)}, {axis('rank', 10)}"
+    return out
