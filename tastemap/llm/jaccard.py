@@ -4,7 +4,7 @@ A document's set is its distinct 5-word shingles (lower-cased A-Z); two document
 100 * |A & B| >= 75 * |A | B|. The result is each document's set size and component.
 
 1. One pass over the texts gives every document its set size, a digest of its set and a bitmap with
-   one bit per hashed shingle (at least as many bits as shingles). Equal sets are one node.
+   one bit per hashed shingle (at least four bits a shingle). Equal sets are one node.
 2. Two sets that link share a shingle among the first few of either in any fixed order of all
    shingles. The order puts shingles that many documents hold last. A second pass sends those few,
    with digest and size, to the shingle's bucket; a bucket keeps the lists of nodes that meet
@@ -47,7 +47,7 @@ PERCENT = 75
 MIN_HOT = 64
 MAX_HOT_IDS = 200_000  # bound of the broadcast list of frequent shingles
 LIST_ROWS = 4096  # a longer list of a hot shingle is split by salts
-BLOCK_SHINGLES = 2_000_000  # a cluster with more is split into pairs of blocks
+BLOCK_SHINGLES = 4_000_000  # a cluster with more is split into pairs of blocks
 FAN = 4
 U = np.uint64
 
@@ -78,8 +78,8 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def width(n: int) -> int:
-    """Bits of the bitmap of a set of n: a power of two, at least n and 64."""
-    return max(64, 1 << (int(n) - 1).bit_length())
+    """Bits of the bitmap of a set of n: a power of two, at least 4 n and 64."""
+    return max(64, 1 << (4 * int(n) - 1).bit_length())
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -444,6 +444,43 @@ def verified(rows: pa.Table) -> pa.Table:
 
 
 # ---------------------------------------------------------------- the join
+FILTER_BITS = 1 << 23
+
+
+def _probes(col: str) -> list:
+    return [F.pmod(F.xxhash64(F.col(col), F.lit(i)), F.lit(FILTER_BITS)) for i in range(3)]
+
+
+def may_hold(ids: DataFrame, column: str) -> np.ndarray:
+    """Bloom filter of a column of ids: ``FILTER_BITS`` bits, whatever the number of ids. It is built by
+    an aggregation over words of bits, so the driver gets at most that many bits and no ids."""
+    bits = ids.select(F.explode(F.array(*_probes(column))).alias("p"))
+    words = bits.groupBy(F.floor(F.col("p") / 32).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("m")).toArrow()
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    out[words["w"].to_numpy()] = words["m"].to_numpy().astype(np.uint32)
+    return out
+
+
+def keep_maybe(docs: DataFrame, held: np.ndarray, column: str) -> DataFrame:
+    """The rows whose id may be in the filter. It spares the shuffle of texts that no cluster needs;
+    the join that follows decides, so a full filter costs only that saving."""
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+    probes = [f"_p{i}" for i in range(3)]
+    names = docs.columns
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            ok = np.ones(batch.num_rows, bool)
+            for p in probes:
+                at = batch.column(p).to_numpy(zero_copy_only=False)
+                ok &= (words[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names], names=names).filter(pa.array(ok))
+
+    schema = docs.schema
+    return docs.select("*", *[c.alias(p) for c, p in zip(_probes(column), probes, strict=True)]).mapInArrow(task, schema)
+
+
 def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -457,11 +494,12 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOC
     listed = members(lists).join(nodes, ["digest", "n"]).withColumn("b", F.pmod(F.xxhash64("list"), F.lit(buckets)).cast("int"))
     maybe = materialize(listed.groupBy("b").applyInArrow(lambda t: candidates(t), "u long, v long"), "maybe")
 
-    cluster = components(maybe)
+    cluster = materialize(components(maybe), "clusters")
     size = cluster.join(nodes.select("id", "n"), "id").groupBy("component").agg(F.sum("n").alias("k"))
     cluster = cluster.join(size, "component").select("id", F.col("component").alias("cluster"), F.ceil(F.col("k") / block_shingles).alias("blocks"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    texts = keep_maybe(texts, may_hold(cluster, "id"), "id")
     # member of block i goes to the pairs (i, j) of every block j
     dealt = texts.join(cluster, "id").withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     part = F.xxhash64("cluster", F.least("i", "j"), F.greatest("i", "j"))
