@@ -67,12 +67,26 @@ class _Model:
         self.prev = s
         self.new.append(s)
         self.step += 1
-        if self.step < 16 or self.step % 4 == 0:
+        if self.step < 16 or self.step % 6 == 0:
             self.count += np.bincount(np.concatenate(self.new), minlength=self.vocab) * INC
             self.new = []
-            if int(self.count.sum()) > MAX_TOTAL:
-                self.count = (self.count + 1) >> 1
             np.cumsum(self.count, out=self.cum[1:])
+            if self.cum[-1] > MAX_TOTAL:
+                self.count = (self.count + 1) >> 1
+                np.cumsum(self.count, out=self.cum[1:])
+
+
+def _narrow(low: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The intervals of the lanes ``at``, cut where low and high end differ although they are short."""
+    lo, sz = low[at], size[at]
+    return lo, np.where((lo ^ (lo + sz)) < TOP, sz, (U(0) - lo) & (BOT - U(1)))
+
+
+def _shift(low: np.ndarray, size: np.ndarray, at: np.ndarray, lo: np.ndarray, sz: np.ndarray) -> np.ndarray:
+    """Move the lanes ``at`` on by one word; those that need another."""
+    lo, sz = lo << U(16), sz << U(16)
+    low[at], size[at] = lo, sz
+    return at[((lo ^ (lo + sz)) < TOP) | (sz < BOT)]
 
 
 def encode(ids: np.ndarray, vocab: int) -> bytes:
@@ -96,17 +110,12 @@ def encode(ids: np.ndarray, vocab: int) -> bytes:
         r = size // total.view(np.uint64)
         low += r * start.view(np.uint64)
         size = r * freq.view(np.uint64)
-        while True:
-            same = (low ^ (low + size)) < TOP
-            need = same | (size < BOT)
-            at = np.flatnonzero(need)
-            if not len(at):
-                break
-            lo, sz = low[at], size[at]
-            sz = np.where(same[at], sz, (U(0) - lo) & (BOT - U(1)))
+        at = np.flatnonzero(((low ^ (low + size)) < TOP) | (size < BOT))
+        while len(at):
+            lo, sz = _narrow(low, size, at)
             out[at, fill[at]] = (lo >> U(48)).astype(np.uint16)
             fill[at] += 1
-            low[at], size[at] = lo << U(16), sz << U(16)
+            at = _shift(low, size, at, lo, sz)
         model.update(s, p1, p2)
     for shift in (48, 32, 16, 0):
         out[np.arange(lanes), fill] = (low >> U(shift)).astype(np.uint16)
@@ -148,16 +157,12 @@ def decode(data: bytes, n: int, vocab: int) -> np.ndarray:
         freq = (model.cum[s + 1] - model.cum[s]) + m1 * (s == p1) + m2 * (s == p2)
         low += r * start.view(np.uint64)
         size = r * freq.view(np.uint64)
-        while True:
-            same = (low ^ (low + size)) < TOP
-            at = np.flatnonzero(same | (size < BOT))
-            if not len(at):
-                break
-            lo, sz = low[at], size[at]
-            sz = np.where(same[at], sz, (U(0) - lo) & (BOT - U(1)))
+        at = np.flatnonzero(((low ^ (low + size)) < TOP) | (size < BOT))
+        while len(at):
+            lo, sz = _narrow(low, size, at)
             code[at] = (code[at] << U(16)) | words[at_word[at]]
             at_word[at] += 1
-            low[at], size[at] = lo << U(16), sz << U(16)
+            at = _shift(low, size, at, lo, sz)
         model.update(s, p1, p2)
         grid[k] = s
     return np.ascontiguousarray(grid.T).reshape(-1)[:n]

@@ -118,14 +118,8 @@ class Tokens:
             parts = self._raw([raw[off[i] : off[i + 1]].decode() for i in range(rows)])
             n = np.array([len(p) + 1 for p in parts], np.int64)
             return np.concatenate([np.array([*p, END_ID], np.int32) for p in parts]), n
-        starts, ends, first = W.split_words(buf, off)
-        if b"<|" not in buf.tobytes():
-            cut = np.zeros(len(buf), bool)
-            cut[1:] = ALNUM[buf[:-1]] & PUNCT[buf[1:]]
-            cut[off[:-1][off[:-1] < len(buf)]] = False
-            at = np.flatnonzero(cut)
-            starts, ends = np.sort(np.concatenate([starts, at])), np.sort(np.concatenate([ends, at]))
-            first = np.searchsorted(starts, off)
+        raw = buf.tobytes()
+        starts, ends, first = W.split_words(buf, off, cuts=None if b"<|" in raw else (ALNUM, PUNCT))
         if not len(starts):
             return np.full(rows, END_ID, np.int32), np.ones(rows, np.int64)
         h = W.word_hashes(buf, starts, ends)
@@ -138,7 +132,6 @@ class Tokens:
             new = one[~known]
             letters = np.concatenate([[0], np.cumsum(LETTER[buf])])
             simple = letters[ends[new]] - letters[starts[new]] == ends[new] - starts[new]
-            raw = buf.tobytes()
             self._learn(key[~known], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], simple)
         entry = np.insert(np.searchsorted(self.key, key)[inv], first[1:], 0)
         n = self.len[entry]

@@ -85,8 +85,9 @@ def chunks(off: np.ndarray, max_bytes: int = 1_000_000) -> Iterator[tuple[int, i
         i = j
 
 
-def split_words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = NOT_SPACE):
-    """(starts, ends, first): byte spans of all words, and the index of each row's first word (n+1)."""
+def split_words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = NOT_SPACE, cuts: tuple[np.ndarray, np.ndarray] | None = None):
+    """(starts, ends, first): byte spans of all words, and the index of each row's first word (n+1).
+    ``cuts`` = (before, after) also cuts words between a byte of ``before`` and one of ``after``."""
     inside = table[buf]
     if not len(buf):
         z = np.zeros(0, np.int64)
@@ -99,6 +100,10 @@ def split_words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = NOT_SPACE)
     close[:-1] &= ~inside[1:]
     bounds = off[1:][off[1:] > 0] - 1
     close[bounds] = inside[bounds]
+    if cuts is not None:
+        between = cuts[0][buf[:-1]] & cuts[1][buf[1:]]
+        open_[1:] |= between
+        close[:-1] |= between
     starts = np.flatnonzero(open_)
     return starts, np.flatnonzero(close) + 1, np.searchsorted(starts, off)
 
