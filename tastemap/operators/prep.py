@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tastemap.functions.ranking import MAX_GROUP_ROWS, rank_within
 from tastemap.schema import ITEM, TS, USER
-from tastemap.session import cut_lineage, require_population
+from tastemap.session import checked_broadcast, cut_lineage, require_population
 from tastemap.session import materialize as materialize_table
 
 
@@ -56,10 +56,13 @@ def draw_ids(ids: DataFrame, id_col: str, n: int, seed: int = 0, what: str = "id
     return drawn
 
 
+MAX_BROADCAST_IDS = 1_000_000
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, col: str, bounded: bool = False) -> DataFrame:
-    """Rows whose ``col`` is in ``ids`` (semi-join). ``bounded`` ids (a drawn sample of known
-    size) are broadcast."""
-    right = F.broadcast(ids.select(col)) if bounded else ids.select(col)
+    """Rows whose ``col`` is in ``ids`` (semi-join). ``bounded`` ids (a drawn sample) are broadcast
+    when a count finds at most ``MAX_BROADCAST_IDS``."""
+    right = checked_broadcast(ids.select(col), MAX_BROADCAST_IDS, "ids") if bounded else ids.select(col)
     return df.join(right, col, "left_semi")
 
 

@@ -11,6 +11,7 @@ from tastemap.functions.buckets import DEFAULT_BOUNDS, bucket_id, bucket_label,
 from tastemap.functions.ranking import rank_within
 from tastemap.operators.prep import count_by
 from tastemap.schema import ITEM, RATING, USER
+from tastemap.session import materialize
 
 
 def describe(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -31,7 +32,9 @@ def group_counts(grouped: DataFrame) -> DataFrame:
 
 def histogram(values: DataFrame, col: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal-width bins between min and max of ``col`` (numpy's rule: the
-    maximum falls in the last bin). Empty bins are not listed. Returns bin, lo, hi, count."""
+    maximum falls in the last bin). Empty bins are not listed. Returns bin, lo, hi, count. The values
+    are written once: the bounds and the bins read them from there."""
+    values = materialize(values.select(col), "histogram")
     stats = values.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     lo, hi = stats["lo"], stats["hi"]
     if lo is None:
