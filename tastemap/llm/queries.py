@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tastemap.llm import decontaminate, htmltext, jaccard, mixing, perplexity, secrets, substring, suffixes, tokens, warc
 
+from tastemap.llm.oracle import oracle  # noqa: F401  (the queries' SQL)
+
 Q = Callable[[SparkSession, str], DataFrame]
 
 
@@ -69,7 +71,3 @@ def registry() -> dict[str, Q]:
         op10_quality_rules,
     )
     return {f.__name__: f for f in found}
-
-
-def oracle() -> dict[str, str]:
-    return {}
