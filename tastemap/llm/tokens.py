@@ -34,7 +34,7 @@ from tastemap.llm import words as W
 from tastemap.llm.files import Checked, SealedFile, new_folder, open_fs
 
 END_ID = 2
-KNOWN_PIECES = 1_000_000
+KNOWN_PIECES = 2_500_000
 CHUNK_BYTES = 1_000_000
 ROLL_BYTES = 512 << 20
 NO_ID = -(1 << 63)
@@ -77,8 +77,8 @@ class Tokens:
     def _forget(self) -> None:
         # the first entry is no piece but the end id
         self.key = np.zeros(1, np.uint64)
-        self.at = np.zeros(1, np.int64)
-        self.len = np.ones(1, np.int64)
+        self.at = np.zeros(1, np.int32)
+        self.len = np.ones(1, np.int32)
         self.pool = np.full(1, END_ID, np.int32)
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
@@ -88,7 +88,7 @@ class Tokens:
         """Add pieces with their ids. Plain letter pieces are tokenised many at a time: each ends
         with its one word-final id."""
         plain, rest = np.flatnonzero(simple), np.flatnonzero(~simple).tolist()
-        n, at = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        n, at = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
         pool, size = [self.pool], len(self.pool)
         for i in range(0, len(plain), 4096):
             part = plain[i : i + 4096]
@@ -134,7 +134,7 @@ class Tokens:
             simple = letters[ends[new]] - letters[starts[new]] == ends[new] - starts[new]
             self._learn(key[~known], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], simple)
         entry = np.insert(np.searchsorted(self.key, key)[inv], first[1:], 0)
-        n = self.len[entry]
+        n = self.len[entry].astype(np.int64)
         total = np.cumsum(n)
         src = np.repeat(self.at[entry] - (total - n), n)
         src += np.arange(len(src))
