@@ -481,9 +481,9 @@ def keep_maybe(docs: DataFrame, held: np.ndarray, column: str) -> DataFrame:
     return docs.select("*", *[c.alias(p) for c, p in zip(_probes(column), probes, strict=True)]).mapInArrow(task, schema)
 
 
-def thinned(large: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int, block_shingles: int) -> DataFrame:
-    """The members of large clusters that share enough of their shingles with the rest of the cluster
-    to link with anyone, with the blocks that these need. The shingles of a cluster are counted in
+def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int, block_shingles: int) -> DataFrame:
+    """The members of clusters that share enough of their shingles with the rest of their cluster to
+    link with anyone, with the number of blocks that these need. The shingles of a cluster are counted in
     buckets, so this pass is linear in the cluster, unlike the pairs of blocks that it spares."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -499,19 +499,22 @@ def thinned(large: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int,
                 cuts = np.concatenate([[0], cuts, [len(key)]])
                 use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
                 part = lambda x, cuts=cuts, use=use: pa.array([np.ascontiguousarray(x[cuts[b] : cuts[b + 1]]).tobytes() for b in use], pa.binary())
-                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(key), "ids": part(owner)})
+                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(np.ascontiguousarray(key.byteswap().view(np.uint8).reshape(-1, 8)[:, :6])), "ids": part(owner)})
 
     def counts(rows: pa.Table) -> pa.Table:
-        key, owner = (np.frombuffer(b"".join(x.as_py() for x in rows.column(c)), k) for c, k in (("keys", np.uint64), ("ids", np.int64)))
+        k6, owner = (np.frombuffer(b"".join(x.as_py() for x in rows.column(c)), k) for c, k in (("keys", np.uint8), ("ids", np.int64)))
+        key = np.zeros((len(owner), 8), np.uint8)
+        key[:, 2:] = k6.reshape(-1, 6)  # shingles that meet by chance only leave a member in
+        key = key.view(">u8").reshape(-1).astype(np.uint64)
         _, inv, n = np.unique(key, return_inverse=True, return_counts=True)
         ids, c = np.unique(owner[n[inv] > 1], return_counts=True)
         return pa.table({"id": pa.array(ids, pa.int64()), "c": pa.array(c.astype(np.int64))})
 
-    rows = keep_maybe(texts, may_hold(large, "id"), "id").join(large, "id").select("id", "cluster", "text")
+    rows = keep_maybe(texts, may_hold(cluster, "id"), "id").join(cluster, "id").select("id", "cluster", "text")
     shared = rows.mapInArrow(pieces, "b int, keys binary, ids binary").groupBy("b").applyInArrow(lambda t: counts(t), "id long, c long")
     shared = shared.groupBy("id").agg(F.sum("c").alias("c"))
     least = F.ceil(F.lit(PERCENT) * (F.col("n") + F.ceil(PERCENT * F.col("n") / 100)) / (100 + PERCENT))
-    able = large.join(nodes.select("id", "n"), "id").join(shared, "id").filter(F.col("c") >= least)
+    able = cluster.join(nodes.select("id", "n"), "id").join(shared, "id").filter(F.col("c") >= least)
     able = materialize(able.select("id", "cluster", "n"), "able")
     size = able.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).alias("blocks"))
     return able.join(size, "cluster").select("id", "cluster", "blocks")
@@ -531,14 +534,10 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOC
     maybe = materialize(listed.groupBy("b").applyInArrow(lambda t: candidates(t), "u long, v long"), "maybe")
 
     cluster = materialize(components(maybe), "clusters")
-    size = cluster.join(nodes.select("id", "n"), "id").groupBy("component").agg(F.sum("n").alias("k"))
-    cluster = cluster.join(size, "component").select("id", F.col("component").alias("cluster"), F.ceil(F.col("k") / block_shingles).alias("blocks"))
-    cluster = materialize(cluster, "clusters")
+    cluster = cluster.select("id", F.col("component").alias("cluster"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    large = cluster.filter("blocks > 1")
-    if not large.isEmpty():
-        cluster = materialize(cluster.filter("blocks = 1").unionByName(thinned(large, texts, nodes, buckets, block_shingles)), "clusters")
+    cluster = materialize(thinned(cluster, texts, nodes, buckets, block_shingles), "blocks")
     texts = keep_maybe(texts, may_hold(cluster, "id"), "id")
     # member of block i goes to the pairs (i, j) of every block j
     dealt = texts.join(cluster, "id").withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
