@@ -5,12 +5,13 @@ the perplexity) under an interpolated modified Kneser-Ney model of the document'
 
 Model. Byte n-grams of order 4 over lower-cased text with white space folded. Every task counts the
 n-grams of all its texts with sorted arrays (a map-side combine), Spark sums the counts by
-(language, n-gram); the counts of all texts of the corpus enter, so what is gathered grows with
-the input. An n-gram is kept when it makes up at least ``MIN_SHARE`` of the corpus' n-grams, so at
-most ``1 / MIN_SHARE`` (4 million, 48 MB) n-grams exist whatever the corpus is: that is the proven
-bound under which the model is broadcast. Lower orders use continuation counts; each order has
-the three discounts of modified Kneser-Ney from its counts of counts. Per language the model is a
-set of arrays sorted by n-gram hash and read with ``searchsorted``.
+(language, n-gram). No n-gram is left out, however rare it or its language is. Lower orders use
+continuation counts; each order has the three discounts of modified Kneser-Ney from the counts of
+counts of its language. All of it is built by Spark: a context has at most 256 n-grams, so no group
+is larger. The model is a table in the shared folder (``LanguageModel``), neither collected nor
+broadcast: a scoring task looks up the distinct n-grams of ``GROUP_BYTES`` of text at a time while it
+reads the table once in batches, so its memory follows neither the corpus nor the model. Texts that
+the model was not fitted on are scored too: missing n-grams back off as usual, down to 1 / 256.
 
 Bands. Per language, median and median absolute deviation of the log perplexity of the documents
 that pass the base rules; a document outside median +- max(``BAND_MADS`` scaled deviations,
@@ -24,21 +25,26 @@ empty table gives an empty result; further columns pass through ``annotate``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastemap.llm import words as W
+from tastemap.llm.files import open_fs
 from tastemap.session import materialize
 
 ORDER = 4
-MIN_SHARE = 2.5e-7
 BAND_MADS = 15.0
 BAND_MIN = 0.80
 
+GROUP_BYTES = 16 << 20
+TABLE_ROWS = 1 << 18
+
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
@@ -226,55 +232,146 @@ def _discounts(cnt: np.ndarray) -> np.ndarray:
     return np.array([min(max(x, 0.05), i - 0.05) if i else 0.0 for i, x in enumerate(d)])
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE) -> dict[str, Model]:
-    """The models of all languages. At most ``1 / min_share`` n-grams reach the driver."""
-    counts = materialize(count_grams(docs, text_col, lang_col), "grams")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    kept = counts.filter(F.col("n") >= max(1, total * min_share)).toArrow()
-    names, langs = _languages(kept["lang"].combine_chunks())
-    g, n = kept["gram"].to_numpy(), kept["n"].to_numpy()
-    return {name: Model(g[langs == code], n[langs == code]) for code, name in enumerate(names)}
+def _discount_columns(level: DataFrame) -> DataFrame:
+    """(lang, d1, d2, d3): ``_discounts`` of every language."""
+    n = level.groupBy("lang").agg(*[F.sum((F.col("cnt") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)])
+    n1, n2, n3, n4 = (F.col(f"n{i}") for i in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2)
+    d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, F.when(n3 > 0, 3 - 4 * y * n4 / n3).otherwise(0.9)]
+    enough = (n1 > 0) & (n2 > 0)
+    return n.select("lang", *[F.when(enough, F.least(F.greatest(x, F.lit(0.05)), F.lit(i - 0.05))).otherwise(few).alias(f"d{i}") for i, x, few in zip((1, 2, 3), d, (0.5, 0.75, 0.9))])
+
+
+class LanguageModel:
+    """The models of all languages as tables in the shared folder. ``probs[n]``: (lang, key, nats) of
+    all n-grams, ``backoff[n]``: (lang, key, nats) of all their contexts; nats are negative logs."""
+
+    def __init__(self, counts: DataFrame):
+        """``counts``: (lang, gram, n), written once."""
+        level = counts.select("lang", F.col("gram").alias("key"), F.col("n").alias("cnt"))
+        levels = {ORDER: level}
+        for n in range(ORDER - 1, 0, -1):
+            level = level.groupBy("lang", F.col("key").bitwiseAND(F.lit((1 << 8 * n) - 1)).alias("key")).agg(F.count("*").alias("cnt"))
+            levels[n] = level = materialize(level, f"grams{n}")
+        self.probs: dict[int, list[str]] = {}
+        self.backoff: dict[int, list[str]] = {}
+        lower = None
+        for n in range(1, ORDER + 1):
+            w = Window.partitionBy("lang", "ctx")
+            of = levels[n].withColumn("ctx", F.shiftright("key", 8)).join(_small(materialize(_discount_columns(levels[n]), "discounts")), "lang")
+            # whole numbers are summed, so the result does not depend on the order of rows
+            of = of.withColumns({"total": F.sum("cnt").over(w), "c1": F.sum((F.col("cnt") == 1).cast("long")).over(w), "c2": F.sum((F.col("cnt") == 2).cast("long")).over(w), "types": F.count("*").over(w)})
+            gamma = (F.col("d1") * F.col("c1") + F.col("d2") * F.col("c2") + F.col("d3") * (F.col("types") - F.col("c1") - F.col("c2"))) / F.col("total")
+            use = F.when(F.col("cnt") == 1, F.col("d1")).when(F.col("cnt") == 2, F.col("d2")).otherwise(F.col("d3"))
+            of = of.select("lang", "key", "ctx", gamma.alias("gamma"), ((F.col("cnt") - use) / F.col("total")).alias("own"), F.col("key").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1)).alias("suffix"))
+            of = of.withColumn("base", F.lit(1.0 / 256)) if lower is None else of.join(lower.select("lang", F.col("key").alias("suffix"), F.exp(-F.col("nats")).alias("base")), ["lang", "suffix"])
+            built = materialize(of.select("lang", "key", "ctx", (-F.log("gamma")).alias("gamma_nats"), (-F.log(F.col("own") + F.col("gamma") * F.col("base"))).alias("nats")), f"model{n}")
+            lower = built.select("lang", "key", "nats")
+            self.probs[n] = list(built.inputFiles())
+            self.backoff[n] = list(materialize(built.groupBy("lang", F.col("ctx").alias("key")).agg(F.first("gamma_nats").alias("nats")), f"backoff{n}").inputFiles())
+
+    def nats(self, need: np.ndarray, codes: dict[str, int]) -> np.ndarray:
+        """Negative log probability of the last byte of each n-gram. ``need``: distinct sorted
+        code << 32 | n-gram, the code being the number of the language in ``codes``."""
+        out = np.zeros(len(need))
+        open_ = np.arange(len(need))
+        for n in range(ORDER, 0, -1):
+            if not len(open_):
+                return out
+            low = W.U((1 << 8 * n) - 1)
+            lang, gram = need[open_] >> W.U(32) << W.U(32), need[open_] & low
+            value, hit = _look_up(self.probs[n], lang | gram, codes)
+            out[open_[hit]] += value[hit]
+            open_, lang, gram = open_[~hit], lang[~hit], gram[~hit]
+            if len(open_):
+                value, known = _look_up(self.backoff[n], lang | gram >> W.U(8), codes)
+                out[open_[known]] += value[known]
+        out[open_] += np.log(256.0)
+        return out
 
 
-def annotate(docs: DataFrame, models: dict[str, Model], text_col: str = "text", lang_col: str = "lang", prefix: str = "_q_") -> DataFrame:
+def _look_up(files: list[str], keys: np.ndarray, codes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(nats, found) of every key, in one pass over the table."""
+    want, back = np.unique(keys, return_inverse=True)
+    value, found = np.zeros(len(want)), np.zeros(len(want), bool)
+    for uri in files:
+        fs, path = open_fs(unquote(uri))
+        with fs.open_input_file(path) as f:
+            for rows in pq.ParquetFile(f, read_dictionary=["lang"]).iter_batches(TABLE_ROWS, columns=["lang", "key", "nats"]):
+                lang = rows.column("lang")
+                of_name = np.array([codes.get(x, -1) for x in lang.dictionary.to_pylist()], np.int64)
+                code = of_name[lang.indices.to_numpy()]
+                used = code >= 0
+                key = code[used].astype(np.uint64) << W.U(32) | rows.column("key").to_numpy()[used].astype(np.uint64)
+                at = np.minimum(np.searchsorted(want, key), len(want) - 1)
+                hit = want[at] == key
+                value[at[hit]] = rows.column("nats").to_numpy()[used][hit]
+                found[at[hit]] = True
+    return value[back], found[back]
+
+
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """The models of all languages, from all n-grams of all texts."""
+    return LanguageModel(materialize(count_grams(docs, text_col, lang_col), "grams"))
+
+
+def annotate(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang", prefix: str = "_q_") -> DataFrame:
     """``docs`` with the statistics of ``STATS`` and ``nll`` (nats per byte) appended, each name
     after ``prefix``; a row-local pass over the texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(prefix + s, T.LongType()) for s in STATS], T.StructField(prefix + "nll", T.DoubleType())])
 
+    def done(batch: pa.RecordBatch, stats: list, parts: list) -> pa.RecordBatch:
+        stats = np.concatenate([np.zeros((0, 5), np.int64), *stats])
+        nll = np.concatenate([np.zeros(0), *[p.nll for p in parts]])
+        cols = [pa.array(stats[:, s]) for s in range(5)] + [pa.array(nll, mask=np.isnan(nll))]
+        return pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *[prefix + s for s in STATS], prefix + "nll"])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        codes: dict[str, int] = {}
+        held, open_, size = [], [], 0
         for batch in batches:
             buf, off = W.text_bytes(batch.column(text_col))
             names, langs = _languages(batch.column(lang_col).cast(pa.string()))
-            of_code = [model.get(name) for name in names]
-            stats, nll = [np.zeros((0, 5), np.int64)], [np.zeros(0)]
+            langs = np.array([codes.setdefault(x, len(codes)) for x in names], np.int64)[langs]
+            held.append((batch, [], []))
             for i, j in W.chunks(off):
                 b, o = buf[off[i] : off[j]], off[i : j + 1] - off[i]
-                stats.append(text_stats(b, o))
-                nll.append(_nll(of_code, b, o, langs[i:j]))
-            stats, nll = np.concatenate(stats), np.concatenate(nll)
-            cols = [pa.array(stats[:, s]) for s in range(5)] + [pa.array(nll, mask=np.isnan(nll))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *[prefix + s for s in STATS], prefix + "nll"])
+                held[-1][1].append(text_stats(b, o))
+                open_.append(_Part(b, o, langs[i:j]))
+                held[-1][2].append(open_[-1])
+                size += len(b)
+                if size >= GROUP_BYTES:
+                    _score(open_, model, codes)
+                    open_, size = [], 0
+            if not open_:
+                yield from (done(*x) for x in held)
+                held = []
+        _score(open_, model, codes)
+        yield from (done(*x) for x in held)
 
     return docs.mapInArrow(task, schema)
 
 
-def _nll(models, buf, off, langs) -> np.ndarray:
-    out = np.full(len(langs), np.nan)
-    if not len(buf):
-        return out
-    row, g = grams(buf, off)
-    logs = np.zeros(len(g))
-    for code in np.unique(langs).tolist():
-        if (m := models[code]) is not None:
-            of = (langs == code)[row]
-            uniq, at = np.unique(g[of], return_inverse=True)
-            logs[of] = -np.log(m.probability(uniq.astype(np.uint64)))[at]
-    n = np.bincount(row, minlength=len(langs))
-    s = np.bincount(row, logs, minlength=len(langs))
-    out[n > 0] = s[n > 0] / n[n > 0]
-    return out
+class _Part:
+    """The n-grams of some rows: the distinct ones, and where each is in its row."""
+
+    def __init__(self, buf: np.ndarray, off: np.ndarray, langs: np.ndarray):
+        self.nll = np.full(len(langs), np.nan)
+        row, g = grams(buf, off) if len(buf) else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        self.n = np.bincount(row, minlength=len(langs))
+        self.keys, at = np.unique(langs[row].astype(np.uint64) << W.U(32) | g.astype(np.uint64), return_inverse=True)
+        self.at = at.astype(np.int32)
+
+
+def _score(parts: list[_Part], model: LanguageModel, codes: dict[str, int]) -> None:
+    """Sets ``nll`` of the parts: the mean over a row's n-grams, null without any."""
+    need = np.unique(np.concatenate([np.zeros(0, np.uint64), *[p.keys for p in parts]]))
+    nats = model.nats(need, codes)
+    for p in parts:
+        row = np.repeat(np.arange(len(p.n)), p.n)
+        s = np.bincount(row, nats[np.searchsorted(need, p.keys)][p.at], minlength=len(p.n))
+        p.nll[p.n > 0] = s[p.n > 0] / p.n[p.n > 0]
+        del p.keys, p.at
 
 
 # ---------------------------------------------------------------- rules
@@ -318,8 +415,8 @@ def report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that pass. The texts are scored twice, once for the bands
     and once for the verdict, and never shuffled."""
-    models = fit(docs)
+    model = fit(docs)
     p = W.fresh(docs.columns, "_q_")
-    stats = materialize(annotate(docs.select("text", "lang"), models, prefix=p).drop("text"), "quality")
-    judged = judge(annotate(docs, models, prefix=p), bands(stats, p), p)
+    stats = materialize(annotate(docs.select("text", "lang"), model, prefix=p).drop("text"), "quality")
+    judged = judge(annotate(docs, model, prefix=p), bands(stats, p), p)
     return judged.filter(p + "kept").drop(*[p + c for c in (*STATS, "nll", "base_failed", "kept")])

@@ -132,6 +132,28 @@ def test_bands_reject_noise_and_keep_clean(spark):
     assert kept.columns == clashing(df).columns and kept.count() == 60
 
 
+def test_no_language_loses_its_ngrams(spark):
+    rng = np.random.default_rng(3)
+    vocab = ["".join(rng.choice(list("etaoinshr"), 5)) for _ in range(500)]
+    common = " ".join(rng.choice(vocab, 20_000))
+    rare = " ".join("".join(rng.choice(list("bcdfgklmu"), 5)) for _ in range(60))
+    docs = spark.createDataFrame([(i, common if i else rare, "en" if i else "eo", "s", 0) for i in range(101)], DOCS)
+    got = {r.doc_id: r.nll for r in perplexity.report(docs).collect()}
+    for i, text, times in ((0, rare, 1), (1, common, 100)):
+        _, g = perplexity.grams(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        k, n = np.unique(g, return_counts=True)
+        p = perplexity.Model(k, n * times).probability(g.astype(np.uint64))
+        assert math.isclose(got[i], -np.log(p).mean(), rel_tol=1e-9) and got[i] > 0
+    # texts that the model has not seen back off as in memory; an unknown language has 1 / 256
+    model, other = perplexity.fit(docs), "unseen words qqq é 123 of tea"
+    new = spark.createDataFrame([(0, other, "eo", "s", 0), (1, other, "xx", "s", 0)], DOCS)
+    got = {r.doc_id: r._q_nll for r in perplexity.annotate(new, model).collect()}
+    _, g = perplexity.grams(np.frombuffer(rare.encode(), np.uint8), np.array([0, len(rare)]))
+    _, h = perplexity.grams(np.frombuffer(other.encode(), np.uint8), np.array([0, len(other.encode())]))
+    p = perplexity.Model(*np.unique(g, return_counts=True)).probability(h.astype(np.uint64))
+    assert math.isclose(got[0], -np.log(p).mean(), rel_tol=1e-9) and math.isclose(got[1], math.log(256))
+
+
 # ---------------------------------------------------------------- decontamination
 def test_decontamination(spark, docs, corpus, empty_docs):
     passage = corpus[15][1].split()
