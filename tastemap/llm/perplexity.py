@@ -14,8 +14,11 @@ reads the table once in batches, so its memory follows neither the corpus nor th
 the model was not fitted on are scored too: missing n-grams back off as usual, down to 1 / 256.
 
 Bands. Per language, median and median absolute deviation of the log perplexity of the documents
-that pass the base rules; a document outside median +- max(``BAND_MADS`` scaled deviations,
-``BAND_MIN``) is rejected.
+that pass the base rules, equal values (exact copies) counted once. A document more than
+``BAND_MADS`` scaled deviations above the median is rejected. Below it the band is at least
+``BAND_MIN`` wide, as a text that the corpus holds often has a low perplexity for its copies alone;
+above it only where a language has fewer than ``BAND_DOCS`` such values or a deviation of 0. A model
+of four bytes hardly sees the order of words: shuffled words are not told from prose.
 
 Defined cases: a null or empty text has no words, fails the base rules and has no perplexity; a
 null language is a language of its own; rows that repeat a ``doc_id`` are judged one by one; an
@@ -39,8 +42,9 @@ from tastemap.llm.files import open_fs
 from tastemap.session import materialize
 
 ORDER = 4
-BAND_MADS = 15.0
+BAND_MADS = 5.0
 BAND_MIN = 0.80
+BAND_DOCS = 30
 
 GROUP_BYTES = 16 << 20
 TABLE_ROWS = 1 << 18
@@ -379,13 +383,15 @@ def base_failed(prefix: str = ""):
     return (F.col(prefix + "n_words") < MIN_WORDS) | (100 * F.col(prefix + "n_repeat_words") > MAX_REPEAT_PCT * F.col(prefix + "n_words"))
 
 
-def bands(stats: DataFrame, prefix: str = "", mads: float = BAND_MADS, least: float = BAND_MIN) -> DataFrame:
+def bands(stats: DataFrame, prefix: str = "", mads: float = BAND_MADS, least: float = BAND_MIN, few: int = BAND_DOCS) -> DataFrame:
     """(band_lang, band_lo, band_hi): one row per language, from two map-side-combined quantile sketches."""
-    ok = stats.filter(~base_failed(prefix) & F.col(prefix + "nll").isNotNull()).select(F.coalesce(F.col("lang"), F.lit("\x00")).alias("band_lang"), F.col(prefix + "nll").alias("nll"))
-    mid = ok.groupBy("band_lang").agg(F.percentile_approx("nll", 0.5, 10000).alias("mid"))
-    mad = ok.join(_small(materialize(mid, "bands")), "band_lang").groupBy("band_lang", "mid").agg(F.percentile_approx(F.abs(F.col("nll") - F.col("mid")), 0.5, 10000).alias("mad"))
-    half = F.greatest(F.lit(mads * 1.4826) * F.col("mad"), F.lit(least))
-    return materialize(mad.select("band_lang", (F.col("mid") - half).alias("band_lo"), (F.col("mid") + half).alias("band_hi")), "bands")
+    ok = stats.filter(~base_failed(prefix) & F.col(prefix + "nll").isNotNull()).select(F.coalesce(F.col("lang"), F.lit("\x00")).alias("band_lang"), F.col(prefix + "nll").alias("nll")).distinct()
+    mid = ok.groupBy("band_lang").agg(F.percentile_approx("nll", 0.5, 10000).alias("mid"), F.count("*").alias("docs"))
+    mad = ok.join(_small(materialize(mid, "bands")), "band_lang").groupBy("band_lang", "mid", "docs").agg(F.percentile_approx(F.abs(F.col("nll") - F.col("mid")), 0.5, 10000).alias("mad"))
+    half = F.lit(mads * 1.4826) * F.col("mad")
+    unsure = (F.col("docs") < few) | (F.col("mad") == 0)
+    lo, hi = F.greatest(half, F.lit(least)), F.when(unsure, F.greatest(half, F.lit(least))).otherwise(half)
+    return materialize(mad.select("band_lang", (F.col("mid") - lo).alias("band_lo"), (F.col("mid") + hi).alias("band_hi")), "bands")
 
 
 def _small(per_language: DataFrame, most: int = 10_000) -> DataFrame:

@@ -132,6 +132,17 @@ def test_bands_reject_noise_and_keep_clean(spark):
     assert kept.columns == clashing(df).columns and kept.count() == 60
 
 
+def test_bands_reject_junk_of_clean_words(spark):
+    rng = np.random.default_rng(1)
+    vocab = ["".join(rng.choice(list("etaoinshr"), 4)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(vocab, 150)), "en", "s", 0) for i in range(200)]
+    rows += [(1000 + i, " ".join(w + rng.choice(["###", "%%%", "***"]) for w in rng.choice(vocab, 150)), "en", "s", 0) for i in range(6)]
+    rows += [(2000 + i, rows[0][1], "en", "s", 0) for i in range(40)]  # copies neither narrow the band nor leave it
+    rows += [(3000 + i, " ".join(rng.choice(vocab, 80)), "de", "s", 0) for i in range(2)]  # too few to judge
+    got = {r.doc_id: r.kept for r in perplexity.report(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {i for i, kept in got.items() if not kept} == set(range(1000, 1006))
+
+
 def test_no_language_loses_its_ngrams(spark):
     rng = np.random.default_rng(3)
     vocab = ["".join(rng.choice(list("etaoinshr"), 5)) for _ in range(500)]
