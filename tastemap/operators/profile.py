@@ -71,3 +71,12 @@ def pivot_users(df: DataFrame, users: Sequence[int]) -> DataFrame:
     """Wide item x user matrix with one column for each of ``users``. The columns are the caller's
     explicit list: a schema cannot depend on the data. Every item keeps its row."""
     return df.groupBy(ITEM).pivot(USER, list(users)).agg(F.first(RATING))
+
+
+def pivot_user_blocks(df: DataFrame, block_users: int) -> DataFrame:
+    """The whole item x user matrix in rows of bounded width: (item, block, users, ratings) for every
+    item and block of ``block_users`` positions of the user dictionary that holds a rating."""
+    pos = id_dictionary(df, USER).select(USER, F.floor(F.col("pos") / block_users).alias("block"))
+    cells = F.sort_array(F.collect_list(F.struct(USER, RATING)))
+    rows = df.select(ITEM, USER, RATING).join(pos, USER).groupBy(ITEM, "block").agg(cells.alias("cells"))
+    return rows.select(ITEM, "block", F.col(f"cells.{USER}").alias("users"), F.col(f"cells.{RATING}").alias("ratings"))

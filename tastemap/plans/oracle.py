@@ -257,6 +257,11 @@ def oracle() -> dict[str, str]:
     q["pivot_users"] = with_ctes(
         "SELECT item_id, " + ", ".join(f'max(CASE WHEN user_id = {u} THEN rating END) AS "{u}"' for u in range(150)) + " FROM e GROUP BY item_id"
     )
+    q["pivot_user_blocks"] = with_ctes(
+        "SELECT item_id, pos // 1000 AS block, list(user_id ORDER BY user_id) AS users, list(rating ORDER BY user_id) AS ratings "
+        "FROM e JOIN (SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) - 1 AS BIGINT) AS pos FROM (SELECT DISTINCT user_id FROM e)) USING (user_id) "
+        "GROUP BY item_id, pos // 1000"
+    )
     q["matrix_shape"] = with_ctes(
         "SELECT count(DISTINCT item_id) AS n_items, count(DISTINCT user_id) AS n_users, count(*) AS n_ratings FROM p"
     )

@@ -25,6 +25,7 @@ E_TRAIN_USER_BOUNDS = [30, 35, 40, 45, 100]
 ACTIVE_ITEM_THRESH = 30
 ACTIVE_USER_THRESH = 20
 PIVOT_USERS = list(range(150))  # a pivot's columns are an explicit list
+PIVOT_BLOCK = 1000  # users in a row of the whole pivot
 K = 10
 K_RECALL = 5
 KNN_BUDGET = 15  # k + 1 + 5 neighbours minus the user's own point
@@ -163,6 +164,11 @@ def q_pivot_users(f: Fixtures):
     return profile.pivot_users(f.e, PIVOT_USERS)
 
 
+@query("pivot_user_blocks")
+def q_pivot_user_blocks(f: Fixtures):
+    return profile.pivot_user_blocks(f.e, PIVOT_BLOCK)
+
+
 @query("matrix_shape")
 def q_matrix_shape(f: Fixtures):
     return profile.matrix_shape(f.p)

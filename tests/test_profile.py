@@ -31,3 +31,11 @@ def test_id_dictionary_positions(spark):
     df = interactions(spark, [(u, 1, 1.0, 0) for u in (30, 10, 20, 10)])
     d = {r.user_id: r.pos for r in profile.id_dictionary(df, "user_id").collect()}
     assert d == {10: 0, 20: 1, 30: 2}
+
+
+def test_pivot_user_blocks_holds_every_rating(spark):
+    cells = [(u, i, float(u + i), 0) for u in range(0, 700, 7) for i in (1, 2) if (u + i) % 3]
+    rows = profile.pivot_user_blocks(interactions(spark, cells), 30).collect()
+    assert sorted((u, r.item_id, x) for r in rows for u, x in zip(r.users, r.ratings, strict=True)) == sorted(c[:3] for c in cells)
+    assert all(u // 7 // 30 == r.block for r in rows for u in r.users) and max(len(r.users) for r in rows) <= 30
+    assert len({(r.item_id, r.block) for r in rows}) == len(rows)
