@@ -526,7 +526,8 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOC
     buckets = 4 * parts
     found = materialize(profile(docs), "profile")
     each = found.filter("n >= 0").select("doc_id", "n", "digest")
-    nodes = found.filter("n > 0 and doc_id is not null").groupBy("digest", "n").agg(F.min("doc_id").alias("id"), F.max("bits").alias("bits"))
+    # a row without an id may be the one that has its text's bitmap: only nodes without any id are left out
+    nodes = found.filter("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("id"), F.max("bits").alias("bits")).filter("id is not null")
 
     met = entries(docs, hot_shingles(found), buckets, list_rows).groupBy("b").applyInArrow(lambda t: meetings(t), "list long, members binary")
     lists = met.groupBy("list").agg(F.first("members").alias("members"))

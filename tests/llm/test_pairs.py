@@ -160,3 +160,12 @@ def test_radix_groups_against_sorting():
     for m, g in zip(member.tolist(), group.tolist(), strict=True):
         got.setdefault(g, set()).add(m)
     assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+
+
+def test_join_takes_the_bitmap_of_a_row_without_id(spark):
+    w = [f"word{i}" for i in range(200)]
+    near = " ".join(w[:100] + ["changed"] + w[101:])
+    rows = [(None, " ".join(w), "en", "s", 0), (1, " ".join(w), "en", "s", 0), (2, near, "en", "s", 0)]
+    df = spark.createDataFrame(rows, DOCS).coalesce(1)
+    got = {r.doc_id: r.component_id for r in jaccard.report(df).collect()}
+    assert got == {None: None, 1: 1, 2: 1}
