@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tastemap.llm import secrets
+from tastemap.llm import centroids, chat, codes, secrets
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -103,6 +103,66 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN per ON per.doc_id = d.doc_id"""
 
 
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"
+DISTANCE = "list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c)"  # of integers in doubles: exact
+
+
+def _means(rows: str, key: str) -> str:
+    """(key, c): componentwise floor(sum / count) of the vectors ``x`` of ``rows`` by ``key``."""
+    return f"""SELECT {key}, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY k) AS c
+        FROM (SELECT {key}, k, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM (SELECT {key}, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM {rows}) GROUP BY {key}, k) GROUP BY {key}"""
+
+
+def _op11() -> str:
+    assign = lambda i: f"""a{i} AS MATERIALIZED (SELECT vec_id, x, j, c, d FROM (SELECT vec_id, x, j, c, {DISTANCE} AS d, r FROM q CROSS JOIN c{i})
+        QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1)"""
+    steps = []
+    for i in range(centroids.ROUNDS):
+        steps += [assign(i), f"m{i} AS MATERIALIZED ({_means(f'a{i}', 'j')})", f"c{i + 1} AS MATERIALIZED (SELECT o.j, coalesce(m.c, o.c) AS c FROM c{i} o LEFT JOIN m{i} m USING (j))"]
+    last = centroids.ROUNDS
+    key = f"sha256('{centroids.SEED}:' || vec_id)"
+    return f"""
+WITH q AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * {centroids.SCALE})) AS x
+     FROM embeddings WHERE len(embedding) = {centroids.DIM} AND {FINITE}),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY {key}, x) - 1 AS INTEGER) AS j, x AS c FROM q QUALIFY j < {centroids.K}),
+{", ".join(steps)}, {assign(last)}
+SELECT vec_id, j AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda v: CAST(CAST(v AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{last}"""
+
+
+def _op12() -> str:
+    assign = lambda i: f"""a{i} AS MATERIALIZED (SELECT r, p, x, e, d FROM (SELECT r, q.p, x, e, {DISTANCE} AS d FROM q JOIN b{i} b ON b.p = q.p)
+        QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)"""
+    steps = []
+    for i in range(codes.ROUNDS):
+        steps += [assign(i), f"m{i} AS MATERIALIZED ({_means(f'a{i}', 'p, e')})",
+                  f"b{i + 1} AS MATERIALIZED (SELECT o.p, o.e, coalesce(m.c, o.c) AS c FROM b{i} o LEFT JOIN m{i} m ON m.p = o.p AND m.e = o.e)"]
+    n, last = codes.PARTS, codes.ROUNDS
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS r, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * {codes.SCALE})) AS x
+     FROM embeddings WHERE {FINITE}),
+q AS MATERIALIZED (SELECT r, p, list_slice(x, p * len(x) // {n} + 1, (p + 1) * len(x) // {n}) AS x FROM (SELECT r, x, unnest(range({n})) AS p FROM v)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM q WHERE r <= {codes.ENTRIES}),
+{", ".join(steps)}, {assign(last)},
+book AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda v: CAST(CAST(v AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, e)) AS h FROM b{last}),
+per AS (SELECT r, string_agg(lower(printf('%02x', CAST(e AS INTEGER))), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{last} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM v JOIN per USING (r) CROSS JOIN book"""
+
+
+def _op13() -> str:
+    header = "CASE " + " ".join(f"WHEN role = '{r}' THEN {len(t) + 6}" for r, t in chat.ROLES.items()) + " ELSE 12 + 2 * strlen(role) END"
+    return rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+each AS (SELECT conv_id, turn, role, text, CASE WHEN role = '{chat.LEARNED}' THEN text ELSE '' END AS l,
+                {header} + length(text) + len(regexp_extract_all(text, '{chat.CONTROL}')) + {len(chat.END)} AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(length(l)) AS BIGINT) AS loss_chars, sha256(string_agg(l, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS n_tokens
+FROM each GROUP BY conv_id"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op1_jaccard_join": OP1,
@@ -111,4 +171,7 @@ def oracle() -> dict[str, str]:
         "op6_benchmark_decontamination": OP6,
         "op7_warc": OP7,
         "op9_secret_scans": _op9(),
+        "op11_centroid_clustering": _op11(),
+        "op12_vector_compression": _op12(),
+        "op13_chat_formatting": _op13(),
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import decontaminate, htmltext, jaccard, mixing, perplexity, secrets, substring, suffixes, tokens, warc
+from tastemap.llm import centroids, chat, codes, decontaminate, htmltext, jaccard, mixing, perplexity, secrets, substring, suffixes, tokens, warc
 
 from tastemap.llm.oracle import oracle  # noqa: F401  (the queries' SQL)
 
@@ -57,6 +57,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.report(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
 def registry() -> dict[str, Q]:
     found = (
         op1_jaccard_join,
@@ -69,5 +81,8 @@ def registry() -> dict[str, Q]:
         op8_mixing_sources,
         op9_secret_scans,
         op10_quality_rules,
+        op11_centroid_clustering,
+        op12_vector_compression,
+        op13_chat_formatting,
     )
     return {f.__name__: f for f in found}
