@@ -31,14 +31,17 @@ def bias_score_pairs(train: DataFrame, pairs: DataFrame) -> DataFrame:
     return p.join(um, USER).join(im, ITEM).select(USER, ITEM, (F.col("item_mean") + F.col("user_mean")).alias(SCORE))
 
 
-def bias_scores(train: DataFrame) -> DataFrame:
-    """All unseen (user, item) scores over train users and items. The sum is a rank-2 dot
-    product [1, user_mean] . [item_mean, 1], so the block scorer produces it without a join
-    of users with items."""
+def bias_vectors(train: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(users, items) as ``id, features``: the bias score is the rank-2 dot product
+    [1, user_mean] . [item_mean, 1]."""
     um, im = bias_fit(train)
     users = um.select(F.col(USER).alias("id"), F.array(F.lit(1.0), F.col("user_mean")).alias("features"))
-    items = im.select(F.col(ITEM).alias("id"), F.array(F.col("item_mean"), F.lit(1.0)).alias("features"))
-    return score_users(users, items, "dot", seen=train)
+    return users, im.select(F.col(ITEM).alias("id"), F.array(F.col("item_mean"), F.lit(1.0)).alias("features"))
+
+
+def bias_scores(train: DataFrame) -> DataFrame:
+    """All unseen (user, item) scores over train users and items, by the block scorer."""
+    return score_users(*bias_vectors(train), "dot", seen=train)
 
 
 def bias_topk(train: DataFrame, k: int) -> DataFrame:

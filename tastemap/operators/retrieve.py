@@ -1,16 +1,25 @@
 """Scoring users against items by dot product or Euclidean distance.
 
-Users and items are packed on the executors into blocks of bounded size; a user block meets every
-item block by an equi-join on the item block's number, and one matrix product scores the pair of
-blocks inside a task. Items that a user has seen are masked there, and only each user's best
-``top_n`` rows leave the task, so the user x item grid is never shuffled. With several item blocks the
-partial lists are merged by a ``row_number() <= n`` window, which Spark limits map-side before the
-shuffle. Nothing passes through the driver; item blocks are broadcast only when their counted
-bytes are few, else both sides are shuffled, each item block to as many salts as keep tasks even.
+Items are cut into blocks with a bound each: for dot products by descending norm (Cauchy-Schwarz),
+for distances by halving along the widest axis (centroid and radius). A task holds its users' best
+lists and skips every block whose bound cannot reach a user's k-th value, so the user x item grid is
+neither shuffled nor, where bounds are tight, computed. A user row is never copied: an Arrow batch of
+users meets all item blocks inside its task, with its lists already complete, so no merge follows.
+
+Item blocks are broadcast when their counted bytes are at most ``max_broadcast_bytes``. A larger item
+table is range-partitioned into segments of that size (by norm, or along the widest axis) and scored
+in rounds, one broadcast segment at a time; the lists, and with them the thresholds, are written
+between the rounds. Only pairs of the segment's items are packed as a user's seen list.
+
+:func:`rank_targets` gives the rank of given (user, item) pairs in the user's full order without
+sorting that order: each segment adds the number of unseen items that score above the pair.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,93 +29,292 @@ from tastemap.functions.ranking import top_k
 from tastemap.functions.vectors import sq_dist
 from tastemap.operators.masks import unseen
 from tastemap.schema import ITEM, SCORE, USER
-from tastemap.session import cut_lineage
+from tastemap.session import cut_lineage, materialize
 
 OUT_SCHEMA = f"{USER} int, {ITEM} int, {SCORE} double"
-CELLS_PER_CHUNK = 1 << 22  # users x items scored at once inside a task
-
-
-def _select(key: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) indices of the ``take[r]`` smallest keys of each row r, ordered by
-    (row, key, column). Ties are broken by column, which is the item-id order. Only the
-    candidates at or under each row's cut value are sorted, not the whole row."""
-    n_rows, n_cols = key.shape
-    top = int(take.max()) if n_rows else 0
-    if top <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if top < n_cols:
-        head = np.sort(np.partition(key, top - 1, axis=1)[:, :top], axis=1)
-    else:
-        head = np.sort(key, axis=1)
-    cut = head[np.arange(n_rows), np.maximum(take, 1) - 1]
-    rows, cols = np.nonzero((key <= cut[:, None]) & (take[:, None] > 0))
-    order = np.lexsort((cols, key[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    # position of each candidate within its row; keep the first take[r]
-    starts = np.searchsorted(rows, np.arange(n_rows))
-    pos = np.arange(len(rows)) - starts[rows]
-    keep = pos < take[rows]
-    return rows[keep], cols[keep]
-
-
-BLOCK_ITEMS = 20_000
-BLOCK_USERS = 4_096
-MAX_BROADCAST_BYTES = 32 << 20  # counted item bytes that are broadcast
+BLOCK_ITEMS = 1_024
+MAX_BROADCAST_BYTES = 32 << 20  # counted item bytes that are broadcast at once
+CELLS = 1 << 22  # users x items scored at once inside a task
+CHUNK_USERS = 512
 
 
-def _matrix(col: pa.ListArray) -> np.ndarray:
+def _matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Rows of a list column of one length as a matrix, without per-row objects."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks() if col.num_chunks != 1 else col.chunk(0)
     flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
 
 
-def _scorer(metric: str, fixed_n: int | None, digits: int | None):
-    def one(users: pa.StructArray, items: pa.StructArray):
-        ids = items.field("id").to_numpy(zero_copy_only=False).astype(np.int64)
-        order = np.argsort(ids)  # column order is item-id order, so ties go to the smaller id
-        ids, mat = ids[order], _matrix(items.field("features"))[order]
-        item_sq = (mat * mat).sum(axis=1)
-        uid = users.field("id").to_numpy(zero_copy_only=False).astype(np.int64)
-        umat, seen = _matrix(users.field("features")), users.field("seen")
-        step = max(1, CELLS_PER_CHUNK // len(ids))
-        for s in range(0, len(uid), step):
-            u = umat[s : s + step]
-            prod = u @ mat.T
-            if metric == "dot":
-                value = prod
-            else:
-                value = np.sqrt(np.maximum((u * u).sum(axis=1)[:, None] + item_sq[None, :] - 2.0 * prod, 0.0))
-            if digits is not None:
-                value = np.round(value, digits)
-            key = -value if metric == "dot" else value.copy()
-            part = seen.slice(s, step)
-            known = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            row = np.repeat(np.arange(len(u)), part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            pos = np.minimum(np.searchsorted(ids, known), len(ids) - 1)
-            hit = ids[pos] == known
-            masked = np.zeros(key.shape, bool)
-            masked[row[hit], pos[hit]] = True
-            key[masked] = np.inf
-            free = (~masked).sum(axis=1)
-            take = free if fixed_n is None else np.minimum(free, fixed_n)
-            rows, cols = _select(key, take)
+@dataclass
+class Items:
+    """One segment of items in blocks: rows ``starts[b]:starts[b + 1]`` of ``ids`` and ``mat`` are block b,
+    in id order. ``order`` sorts all ids."""
+
+    ids: np.ndarray
+    mat: np.ndarray
+    starts: np.ndarray
+    centroid: np.ndarray
+    radius: np.ndarray
+    norm: np.ndarray  # largest of each block
+    order: np.ndarray
+
+    @staticmethod
+    def of(ids: np.ndarray, mat: np.ndarray, metric: str, block_items: int) -> Items:
+        if not len(ids):
+            groups = []
+        elif metric == "dot":
+            by = np.lexsort((ids, -np.sqrt((mat * mat).sum(axis=1))))
+            groups = [by[s : s + block_items] for s in range(0, len(by), block_items)]
+        else:
+            groups, todo = [], [np.arange(len(ids))]
+            while todo:
+                rows = todo.pop()
+                if len(rows) <= block_items:
+                    groups.append(rows)
+                    continue
+                axis = int(np.ptp(mat[rows], axis=0).argmax())
+                rows = rows[np.lexsort((ids[rows], mat[rows, axis]))]
+                todo += [rows[len(rows) // 2 :], rows[: len(rows) // 2]]
+        groups = [g[np.argsort(ids[g], kind="stable")] for g in groups]
+        rows = np.concatenate(groups) if groups else np.zeros(0, np.int64)
+        ids, mat = ids[rows], np.ascontiguousarray(mat[rows])
+        if not len(ids):
+            none = np.zeros(0)
+            return Items(ids, mat, np.zeros(1, np.int64), mat, none, none, rows)
+        starts = np.concatenate([[0], np.cumsum([len(g) for g in groups])]).astype(np.int64)
+        parts = [mat[a:b] for a, b in zip(starts[:-1], starts[1:])]
+        centroid = np.array([p.mean(axis=0) for p in parts]).reshape(len(parts), mat.shape[1])
+        radius = np.array([np.sqrt(((p - c) ** 2).sum(axis=1).max()) for p, c in zip(parts, centroid)])
+        norm = np.array([np.sqrt((p * p).sum(axis=1).max()) for p in parts])
+        return Items(ids, mat, starts, centroid, radius, norm, np.argsort(ids, kind="stable"))
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Row of each wanted id, -1 where there is none."""
+        if not len(self.ids) or not len(wanted):
+            return np.full(len(wanted), -1)
+        at = np.minimum(np.searchsorted(self.ids, wanted, sorter=self.order), len(self.ids) - 1)
+        rows = self.order[at]
+        return np.where(self.ids[rows] == wanted, rows, -1)
+
+
+def _keys(metric: str, u: np.ndarray, v: np.ndarray, digits: int | None) -> np.ndarray:
+    """users x items, smaller is better: the negated product, or the distance."""
+    prod = u @ v.T
+    if metric == "dot":
+        value = prod
+    else:
+        value = np.sqrt(np.maximum((u * u).sum(axis=1)[:, None] + (v * v).sum(axis=1)[None, :] - 2.0 * prod, 0.0))
+    if digits is not None:
+        value = np.round(value, digits)
+    return -value if metric == "dot" else value
+
+
+def _floors(metric: str, u: np.ndarray, items: Items, digits: int | None) -> np.ndarray:
+    """users x blocks: a key that no item of the block is below, less a margin for rounding."""
+    length = np.sqrt((u * u).sum(axis=1))
+    if metric == "dot":
+        low = -np.minimum(length[:, None] * items.norm[None, :], u @ items.centroid.T + length[:, None] * items.radius[None, :])
+    else:
+        c = items.centroid
+        far = np.sqrt(np.maximum((u * u).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None, :] - 2.0 * (u @ c.T), 0.0))
+        low = np.maximum(far - items.radius[None, :], 0.0)
+    scale = (length[:, None] + 1.0) * (items.norm[None, :] + 1.0) if metric == "dot" else length[:, None] + items.norm[None, :] + 1.0
+    return low - 1e-7 * scale - (0.0 if digits is None else 10.0**-digits)
+
+
+def _smallest(key: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, ids) of every row's n smallest by (key, id), in that order; only candidates at or under a
+    row's cut value are sorted."""
+    rows_n, cols_n = key.shape
+    if cols_n > n:
+        cut = np.partition(key, n - 1, axis=1)[:, n - 1]
+        rows, cols = np.nonzero(key <= cut[:, None])
+    else:
+        rows, cols = np.divmod(np.arange(key.size), cols_n)
+    k, i = key[rows, cols], ids[rows, cols]
+    order = np.lexsort((i, k, rows))
+    rows, k, i = rows[order], k[order], i[order]
+    pos = np.arange(len(rows)) - np.searchsorted(rows, np.arange(rows_n))[rows]
+    keep = pos < n
+    out_k, out_i = np.full((rows_n, n), np.inf), np.full((rows_n, n), NONE)
+    out_k[rows[keep], pos[keep]], out_i[rows[keep], pos[keep]] = k[keep], i[keep]
+    return out_k, out_i
+
+
+NONE = np.iinfo(np.int64).max
+
+
+class _Seen:
+    """The seen items of a chunk of users, by block."""
+
+    def __init__(self, col: pa.Array, items: Items):
+        rows = np.repeat(np.arange(len(col)), col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        at = items.find(col.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+        rows, at = rows[at >= 0], at[at >= 0]
+        order = np.argsort(at, kind="stable")
+        self.rows, self.at = rows[order], at[order]
+        self.cut = np.searchsorted(self.at, items.starts)
+
+    def mask(self, key: np.ndarray, block: int, start: int, among: np.ndarray | None = None) -> None:
+        """Sets the keys of seen items to infinity; ``among`` maps users to rows of ``key`` (-1: none)."""
+        a, b = self.cut[block], self.cut[block + 1]
+        rows, cols = self.rows[a:b], self.at[a:b] - start
+        if among is not None:
+            rows, cols = among[rows], cols[among[rows] >= 0]
+            rows = rows[rows >= 0]
+        key[rows, cols] = np.inf
+
+
+def _chunks(batch: pa.RecordBatch, step: int) -> Iterator[pa.RecordBatch]:
+    for s in range(0, batch.num_rows, step):
+        yield batch.slice(s, step)
+
+
+def _best(metric: str, n: int, digits: int | None, bc, stats=None):
+    """Task function: every user's n best unseen items of the segment, merged with the lists that the
+    user brings. ``stats`` (tests) counts user-block pairs scored and skipped."""
+
+    def run(batches):
+        items = bc.value
+        for batch in batches:
+            for part in _chunks(batch, CHUNK_USERS):
+                u, m = _matrix(part.column("features")), part.num_rows
+                key, ids = np.full((m, n), np.inf), np.full((m, n), NONE)
+                if "best" in part.schema.names:
+                    best = part.column("best")
+                    have = best.value_lengths().to_numpy(zero_copy_only=False)
+                    rows = np.repeat(np.arange(m), have)
+                    cols = np.arange(len(rows)) - np.repeat(np.cumsum(have) - have, have)
+                    key[rows, cols] = part.column("keys").flatten().to_numpy(zero_copy_only=False)
+                    ids[rows, cols] = best.flatten().to_numpy(zero_copy_only=False)
+                seen = _Seen(part.column("seen"), items)
+                low = _floors(metric, u, items, digits) if len(items.ids) else np.zeros((m, 0))
+                for b in np.argsort(low.min(axis=0), kind="stable"):
+                    go = np.flatnonzero(low[:, b] <= key[:, n - 1])
+                    if stats is not None:
+                        stats["scored"] += len(go)
+                        stats["skipped"] += m - len(go)
+                    if not len(go):
+                        continue
+                    s, e = items.starts[b], items.starts[b + 1]
+                    new = _keys(metric, u[go], items.mat[s:e], digits)
+                    among = np.full(m, -1)
+                    among[go] = np.arange(len(go))
+                    seen.mask(new, b, s, among)
+                    both = np.hstack([key[go], new])
+                    names = np.hstack([ids[go], np.where(np.isinf(new), NONE, items.ids[None, s:e])])
+                    key[go], ids[go] = _smallest(both, names, n)
+                yield part.column("id"), ids, key
+
+    return run
+
+
+def _as_rows(metric: str, found):
+    """One row per user and kept item, with its rank."""
+
+    def run(batches):
+        for uid, ids, key in found(batches):
+            rows, cols = np.nonzero(ids != NONE)
+            value = -key[rows, cols] if metric == "dot" else key[rows, cols]
             yield pa.record_batch(
                 {
-                    USER: pa.array(uid[s : s + step][rows].astype(np.int32)),
-                    ITEM: pa.array(ids[cols].astype(np.int32)),
-                    SCORE: pa.array(value[rows, cols].astype(np.float64)),
+                    USER: pa.array(uid.to_numpy(zero_copy_only=False)[rows].astype(np.int32)),
+                    ITEM: pa.array(ids[rows, cols].astype(np.int32)),
+                    SCORE: pa.array(value + 0.0),
+                    "rank": pa.array((cols + 1).astype(np.int64)),
                 }
             )
 
+    return run
+
+
+def _as_lists(found):
+    """One row per user with its list, for the next round."""
+
     def run(batches):
+        for uid, ids, key in found(batches):
+            full = ids != NONE
+            ends = np.concatenate([[0], np.cumsum(full.sum(axis=1))]).astype(np.int32)
+            lists = lambda a, t: pa.ListArray.from_arrays(pa.array(ends), pa.array(a[full], t))
+            yield pa.record_batch({"id": uid.cast(pa.int64()), "best": lists(ids, pa.int64()), "keys": lists(key, pa.float64())})
+
+    return run
+
+
+def _all(metric: str, digits: int | None, bc):
+    """Task function: every unseen pair of the segment."""
+
+    def run(batches):
+        items = bc.value
+        step = max(1, CELLS // max(1, len(items.ids)))
         for batch in batches:
-            users, items = batch.column("users"), batch.column("items")
-            for i in range(batch.num_rows):
-                yield from one(users[i].values, items[i].values)
+            for part in _chunks(batch, step):
+                u, uid, seen = _matrix(part.column("features")), part.column("id").to_numpy(zero_copy_only=False), _Seen(part.column("seen"), items)
+                for b, (s, e) in enumerate(zip(items.starts[:-1], items.starts[1:])):
+                    key = _keys(metric, u, items.mat[s:e], digits)
+                    seen.mask(key, b, s)
+                    rows, cols = np.nonzero(~np.isinf(key))
+                    value = -key[rows, cols] if metric == "dot" else key[rows, cols]
+                    yield pa.record_batch(
+                        {USER: pa.array(uid[rows].astype(np.int32)), ITEM: pa.array(items.ids[s:e][cols].astype(np.int32)), SCORE: pa.array(value + 0.0)}
+                    )
 
     return run
 
 
+def _doubles(df: DataFrame) -> DataFrame:
+    return df.select(F.col("id").cast("long").alias("id"), F.transform("features", lambda x: x.cast("double")).alias("features"))
+
+
+@dataclass
+class _Segments:
+    """Items by segment: one broadcast, or several of bounded size."""
+
+    items: DataFrame  # id, features[, seg]
+    metric: str
+    block_items: int
+    n_items: int
+    n: int = 1
+
+    @staticmethod
+    def of(items: DataFrame, metric: str, block_items: int, max_bytes: int) -> _Segments:
+        if metric not in ("dot", "euclidean"):
+            raise ValueError(f"unknown metric {metric!r}")
+        items = _doubles(items)
+        n_items, dim = items.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+        per = max(block_items, max_bytes // (8 * max(1, dim or 0)))
+        if n_items <= per:
+            return _Segments(items, metric, block_items, n_items)
+        if metric == "dot":
+            key = -F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)
+        else:
+            spread = items.agg(*[F.max(F.col("features")[d]) - F.min(F.col("features")[d]) for d in range(dim)]).first()
+            key = F.col("features")[int(np.argmax(spread))]
+        n = -(-n_items // per)
+        ranged = items.withColumn("_k", key).repartitionByRange(n, "_k", "id").withColumn("seg", F.spark_partition_id()).drop("_k")
+        return _Segments(materialize(ranged, "items"), metric, block_items, n_items, n)
+
+    def load(self, s: int):
+        """Segment ``s`` as a broadcast."""
+        rows = self.items if self.n == 1 else self.items.filter(F.col("seg") == s)
+        table = rows.select("id", "features").toArrow()
+        mat = _matrix(table.column("features")) if table.num_rows else np.zeros((0, 0))
+        built = Items.of(table.column("id").to_numpy().astype(np.int64), mat, self.metric, self.block_items)
+        return self.items.sparkSession.sparkContext.broadcast(built)
+
+    def with_seen(self, users: DataFrame, seen: DataFrame | None, s: int) -> DataFrame:
+        """``users`` with the items of the segment that each has seen, as a list no longer than it."""
+        if seen is None:
+            return users.withColumn("seen", F.array().cast("array<bigint>"))
+        pairs = seen.select(F.col(USER).cast("long").alias("id"), F.col(ITEM).cast("long").alias("_i"))
+        if self.n > 1:
+            mine = self.items.filter(F.col("seg") == s).select(F.col("id").alias("_i"))
+            pairs = pairs.join(F.broadcast(mine), "_i", "left_semi")
+        lists = pairs.groupBy("id").agg(F.collect_set("_i").alias("seen"))
+        return users.join(lists, "id", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<bigint>")))
+
+
 def score_users(
     users: DataFrame,
     items: DataFrame,
@@ -120,42 +328,26 @@ def score_users(
     """Score every user (``id, features``) against every item (``id, features``) not in ``seen``.
 
     ``metric``: ``"dot"`` (higher first) or ``"euclidean"`` (nearer first; score = distance).
-    ``top_n``: keep each user's best n; None keeps all pairs. Ties go to the smaller item id.
-    ``digits`` rounds scores before ranking. ``seen`` holds (user, item) pairs; one user's are
-    together in memory.
+    ``top_n``: keep each user's best n, with their ``rank``; None keeps all pairs. Ties go to the smaller
+    item id. ``digits`` rounds scores before ranking. ``seen`` holds (user, item) pairs.
     """
-    if metric not in ("dot", "euclidean"):
-        raise ValueError(f"unknown metric {metric!r}")
-    doubles = F.transform("features", lambda x: x.cast("double")).alias("features")
-    u = users.select("id", doubles)
-    if seen is not None:
-        lists = seen.groupBy(F.col(USER).alias("id")).agg(F.collect_set(F.col(ITEM).cast("long")).alias("seen"))
-        u = u.join(lists, "id", "left")
-    else:
-        u = u.withColumn("seen", F.lit(None).cast("array<bigint>"))
-    u = u.withColumn("seen", F.coalesce("seen", F.array().cast("array<bigint>")))
-    n_items, dim = items.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
-    n_blocks = max(1, -(-n_items // block_items))
-    n_user_blocks = max(1, -(-users.count() // BLOCK_USERS))
-
-    def pack(df: DataFrame, by: str, number: int, out: str, *cols: str) -> DataFrame:
-        return df.groupBy(F.pmod(F.xxhash64("id"), F.lit(number)).cast("int").alias(by)).agg(F.collect_list(F.struct(*cols)).alias(out))
-
-    item_blocks = pack(items.select("id", doubles), "ib", n_blocks, "items", "id", "features")
-    user_blocks = pack(u, "ub", n_user_blocks, "users", "id", "features", "seen")
-    user_blocks = user_blocks.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    if n_items * (dim or 0) * 8 <= max_broadcast_bytes:
-        met = user_blocks.join(F.broadcast(item_blocks), "ib")
-    else:
-        # each item block goes to every salt; user blocks are dealt over the salts
-        salts = max(1, min(n_user_blocks, 64))
-        spread = item_blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        met = user_blocks.withColumn("salt", F.pmod("ub", F.lit(salts))).join(spread, ["ib", "salt"])
-    out = met.select("users", "items").mapInArrow(_scorer(metric, top_n, digits), OUT_SCHEMA)
-    if n_blocks > 1 and top_n is not None:
-        order = [F.col(SCORE).desc() if metric == "dot" else F.col(SCORE).asc(), F.col(ITEM)]
-        out = top_k(out, USER, order, top_n, "_r").drop("_r")
-    return out
+    segments = _Segments.of(items, metric, block_items, max_broadcast_bytes)
+    u = _doubles(users)
+    if top_n is None:
+        out = None
+        for s in range(segments.n):
+            part = segments.with_seen(u, seen, s).mapInArrow(_all(metric, digits, segments.load(s)), OUT_SCHEMA)
+            out = part if out is None else out.unionByName(part)
+        return out
+    lists = None
+    for s in range(segments.n):
+        rows = segments.with_seen(u, seen, s)
+        if lists is not None:
+            rows = rows.join(lists, "id")
+        found = _best(metric, top_n, digits, segments.load(s))
+        if s == segments.n - 1:
+            return rows.mapInArrow(_as_rows(metric, found), OUT_SCHEMA + ", rank long")
+        lists = materialize(rows.mapInArrow(_as_lists(found), "id long, best array<long>, keys array<double>"), "lists")
 
 
 def dot_scores(users: DataFrame, items: DataFrame, seen: DataFrame | None = None, digits: int | None = None) -> DataFrame:
@@ -167,9 +359,93 @@ def topk_unseen(
     users: DataFrame, items: DataFrame, seen: DataFrame, k: int, metric: str = "dot", digits: int | None = None, **blocks
 ) -> DataFrame:
     """Exact top-k unseen items per user, with their rank: min(k, number of unseen items) rows."""
-    best = score_users(users, items, metric, top_n=k, digits=digits, seen=seen, **blocks)
-    order = [F.col(SCORE).desc() if metric == "dot" else F.col(SCORE).asc(), F.col(ITEM)]
-    return top_k(best, USER, order, k)
+    return score_users(users, items, metric, top_n=k, digits=digits, seen=seen, **blocks)
+
+
+def _counts(metric: str, digits: int | None, bc, known: bool):
+    """Task function: for each target of a user, the unseen items of the segment above it, those with a
+    smaller id, and how many there are. ``known``: the targets bring their keys; else the targets'
+    keys are read off the segment."""
+
+    def run(batches):
+        items = bc.value
+        n = len(items.ids)
+        by_id = items.order
+        ids, mat = items.ids[by_id], items.mat[by_id]
+        flat = Items(ids, mat, np.array([0, n]), items.centroid, items.radius, items.norm, np.arange(n))
+        for batch in batches:
+            for part in _chunks(batch, max(1, min(CHUNK_USERS, CELLS // max(1, n)))):
+                uid, m = part.column("id").to_numpy(zero_copy_only=False), part.num_rows
+                targets = part.column("targets")
+                row = np.repeat(np.arange(m), targets.value_lengths().to_numpy(zero_copy_only=False))
+                item = targets.flatten().to_numpy(zero_copy_only=False)
+                key = _keys(metric, _matrix(part.column("features")), mat, digits) if n else np.zeros((m, 0))
+                _Seen(part.column("seen"), flat).mask(key, 0, 0)
+                free = ~np.isinf(key)
+                at = flat.find(item)
+                own = np.where(at >= 0, key[row, np.maximum(at, 0)], np.inf) if n else np.full(len(row), np.inf)
+                if known:
+                    own = part.column("keys").flatten().to_numpy(zero_copy_only=False)
+                above, below = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
+                step = max(1, CELLS // max(1, n))
+                for s in range(0, len(row), step):
+                    r, k, i = row[s : s + step], own[s : s + step, None], item[s : s + step]
+                    smaller = np.arange(n)[None, :] < np.searchsorted(ids, i)[:, None]
+                    above[s : s + step] = ((key[r] < k) | ((key[r] == k) & smaller & free[r])).sum(axis=1)
+                    below[s : s + step] = (free[r] & smaller).sum(axis=1)
+                yield pa.record_batch(
+                    {
+                        USER: pa.array(uid[row].astype(np.int32)),
+                        ITEM: pa.array(item.astype(np.int32)),
+                        "key": pa.array(own, pa.float64()),
+                        "above": pa.array(above),
+                        "below": pa.array(below),
+                        "n_scored": pa.array(free.sum(axis=1)[row]),
+                    }
+                )
+
+    return run
+
+
+def _target_keys(metric: str, digits: int | None):
+    def run(batches):
+        for batch in batches:
+            u, v = _matrix(batch.column("features")), _matrix(batch.column("_v"))
+            pairs = [_keys(metric, u[i : i + 1], v[i : i + 1], digits)[0, 0] for i in range(batch.num_rows)]
+            yield pa.record_batch({"id": batch.column("id"), "_i": batch.column("_i"), "key": pa.array(pairs, pa.float64())})
+
+    return run
+
+
+def rank_targets(
+    users: DataFrame, items: DataFrame, targets: DataFrame, seen: DataFrame, metric: str = "dot", digits: int | None = None,
+    block_items: int = BLOCK_ITEMS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """For every (user, item) of ``targets`` (one row per pair): ``is_scored``, ``above`` (unseen items before it in
+    the user's order), ``below`` (unseen items with a smaller id) and ``n_scored`` (the user's unseen
+    items). A pair that was seen, or without vectors, is not scored. Of a user's targets and counts only
+    users x targets rows are ever shuffled."""
+    segments = _Segments.of(items, metric, block_items, max_broadcast_bytes)
+    u = _doubles(users)
+    pairs = targets.select(F.col(USER).cast("long").alias("id"), F.col(ITEM).cast("long").alias("_i"))
+    keyed = pairs
+    if segments.n > 1:  # a target's own segment gives its key; the others count against it
+        vec = segments.items.select(F.col("id").alias("_i"), F.col("features").alias("_v"))
+        known = pairs.join(unseen(targets, seen).select(F.col(USER).cast("long").alias("id"), F.col(ITEM).cast("long").alias("_i")), ["id", "_i"], "left_semi")
+        found = known.join(vec, "_i").join(u, "id").mapInArrow(_target_keys(metric, digits), "id long, _i long, key double")
+        keyed = materialize(pairs.join(found, ["id", "_i"], "left").withColumn("key", F.coalesce("key", F.lit(float("inf")))), "targets")
+    each = F.array_sort(F.collect_list(F.struct("_i", *(["key"] if segments.n > 1 else []))))
+    per = keyed.groupBy("id").agg(each.alias("t")).select("id", F.col("t._i").alias("targets"), *([F.col("t.key").alias("keys")] if segments.n > 1 else []))
+    out = None
+    for s in range(segments.n):
+        rows = segments.with_seen(u.join(per, "id"), seen, s)
+        part = rows.mapInArrow(_counts(metric, digits, segments.load(s), segments.n > 1), f"{USER} int, {ITEM} int, key double, above long, below long, n_scored long")
+        out = part if out is None else out.unionByName(part)
+    if segments.n > 1:
+        out = out.groupBy(USER, ITEM).agg(F.first("key").alias("key"), *[F.sum(c).alias(c) for c in ("above", "below", "n_scored")])
+    counts = out.select(USER, ITEM, (F.col("key") < float("inf")).alias("is_scored"), "above", "below", "n_scored")
+    full = targets.select(F.col(USER).cast("int").alias(USER), F.col(ITEM).cast("int").alias(ITEM)).join(counts, [USER, ITEM], "left")
+    return full.na.fill(0, ["above", "below", "n_scored"]).na.fill(False, ["is_scored"])
 
 
 def knn_budget(

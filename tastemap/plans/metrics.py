@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemap.functions.ranking import top_k
+from tastemap.operators import retrieve
 from tastemap.operators.masks import PAIR, catalogue
 from tastemap.operators.prep import count_by
 from tastemap.operators.profile import histogram, id_dictionary
 from tastemap.schema import ITEM, RATING, SCORE, USER
-from tastemap.session import cut_lineage
+from tastemap.session import cut_lineage, materialize
 
 
 def population(scores: DataFrame, test: DataFrame) -> DataFrame:
@@ -105,58 +106,79 @@ def catalogue_positions(test: DataFrame) -> DataFrame:
     return id_dictionary(catalogue(test), ITEM)
 
 
-def dcg_parts(test: DataFrame, scores: DataFrame, cat_pos: DataFrame | None = None) -> DataFrame:
-    """One row: total discounted gain of the predictions (``dcg_sum``), of the ideal order
-    (``ideal_sum``) and the catalogue size.
+def ranks_of_scores(test: DataFrame, scores: DataFrame, cat_pos: DataFrame | None = None) -> DataFrame:
+    """The rank of every test pair in its user's order of the whole test catalogue, from a table of scores:
+    user_id, item_id, is_scored, r.
 
-    Each user's whole catalogue is ranked: scored items by (score desc, item), then unscored
-    items by item id. A test item that is scored takes its window rank; an unscored one takes
-    n_scored(u) + catalogue_pos(i) - #{scored items of u below i}. Windows are per user over
-    catalogue items only, so their size is bounded by the catalogue.
+    Scored items come first by (score desc, item), then unscored items by item id. A test item that is
+    scored takes its window rank; an unscored one takes n_scored(u) + catalogue_pos(i) - #{scored items
+    of u below i}. Windows are per user over the scores' rows; scores of factor models need no such
+    table (:func:`ranks_of_vectors`).
     """
     t = test.select(*PAIR)
     s = population(scores, test).select(*PAIR, SCORE)
     by_user = Window.partitionBy(USER)
-    s_r = s.withColumn("srank", F.row_number().over(by_user.orderBy(F.col(SCORE).desc(), F.col(ITEM)))).withColumn(
-        "n_scored", F.count(F.lit(1)).over(by_user)
-    )
-    scored_t = t.join(s_r.select(*PAIR, "srank"), PAIR).select(USER, F.col("srank").alias("r"))
+    s_r = s.withColumn("r", F.row_number().over(by_user.orderBy(F.col(SCORE).desc(), F.col(ITEM))).cast("long"))
+    scored_t = t.join(s_r.select(*PAIR, "r"), PAIR).select(*PAIR, F.lit(True).alias("is_scored"), "r")
     cat_pos = cat_pos if cat_pos is not None else catalogue_positions(test)
-    unscored_t = t.join(s, PAIR, "left_anti").withColumn("is_scored", F.lit(0))
-    merged = unscored_t.unionByName(s.select(*PAIR).withColumn("is_scored", F.lit(1)))
+    unscored_t = t.join(s, PAIR, "left_anti").withColumn("listed", F.lit(0))
+    merged = unscored_t.unionByName(s.select(*PAIR).withColumn("listed", F.lit(1)))
     below = merged.withColumn(
-        "scored_below",
-        F.sum("is_scored").over(by_user.orderBy(ITEM).rowsBetween(Window.unboundedPreceding, -1)),
-    ).filter(F.col("is_scored") == 0)
+        "below", F.coalesce(F.sum("listed").over(by_user.orderBy(ITEM).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).filter(F.col("listed") == 0)
     n_scored = s.groupBy(USER).agg(F.count(F.lit(1)).alias("n_scored"))
     unscored_r = (
         below.join(cat_pos, ITEM)
         .join(n_scored, USER, "left")
-        .select(
-            USER,
-            (F.coalesce(F.col("n_scored"), F.lit(0)) + F.col("pos") + 1 - F.coalesce(F.col("scored_below"), F.lit(0))).alias("r"),
-        )
-    )
-    pred_g = scored_t.unionByName(unscored_r).select(_gain("r").alias("g"), F.lit(True).alias("is_pred"), F.lit(None).cast("int").alias(ITEM))
-    ideal_g = t.withColumn("r", F.row_number().over(by_user.orderBy(ITEM))).select(
-        _gain("r").alias("g"), F.lit(False).alias("is_pred"), F.col(ITEM)
-    )
-    # one aggregate over both gain sets (no join of single-row results)
-    return pred_g.unionByName(ideal_g).agg(
-        F.sum(F.when(F.col("is_pred"), F.col("g"))).alias("dcg_sum"),
-        F.sum(F.when(~F.col("is_pred"), F.col("g"))).alias("ideal_sum"),
-        F.countDistinct(ITEM).alias("n_catalogue"),
+        .select(*PAIR, F.lit(False).alias("is_scored"), (F.coalesce(F.col("n_scored"), F.lit(0)) + F.col("pos") + 1 - F.col("below")).alias("r"))
     )
+    return scored_t.unionByName(unscored_r)
 
 
-def dcg(test: DataFrame, scores: DataFrame) -> DataFrame:
+def ranks_of_vectors(
+    test: DataFrame, users: DataFrame, items: DataFrame, seen: DataFrame, metric: str = "dot", digits: int | None = None, cat_pos: DataFrame | None = None, **blocks
+) -> DataFrame:
+    """As :func:`ranks_of_scores`, for scores that are dot products (or distances) of user and item vectors
+    (``id, features``): block tasks count the unseen items above each test item, so no more than one row
+    per test pair leaves them and no user x item grid exists. Written once, as several metrics read it."""
+    u = users.join(test.select(F.col(USER).alias("id")).distinct(), "id", "left_semi")
+    i = items.join(catalogue(test).select(F.col(ITEM).alias("id")), "id", "left_semi")
+    counts = materialize(retrieve.rank_targets(u, i, test.select(*PAIR), seen, metric, digits, **blocks), "ranks")
+    scored = counts.filter("is_scored").select(*PAIR, "is_scored", (F.col("above") + 1).alias("r"))
+    unscored = counts.filter(~F.col("is_scored"))
+    if unscored.isEmpty():
+        return scored
+    pos = cat_pos if cat_pos is not None else catalogue_positions(test)
+    return scored.unionByName(unscored.join(pos, ITEM).select(*PAIR, "is_scored", (F.col("n_scored") + F.col("pos") + 1 - F.col("below")).alias("r")))
+
+
+def gains(test: DataFrame, ranks: DataFrame) -> DataFrame:
+    """One row: total discounted gain of the ranks (``dcg_sum``), of the ideal order (``ideal_sum``) and the
+    catalogue size."""
+    zero, no_item = F.lit(0.0), F.lit(None).cast("int")
+    ideal = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("n")), zero, lambda a, r: a + 1.0 / F.log2(r.cast("double") + 1.0))
+    rows = ranks.select(_gain("r").alias("pred"), zero.alias("ideal"), no_item.alias("item"))
+    rows = rows.unionByName(count_by(test, USER, "n").select(zero.alias("pred"), ideal.alias("ideal"), no_item.alias("item")))
+    rows = rows.unionByName(catalogue(test).select(zero.alias("pred"), zero.alias("ideal"), F.col(ITEM).alias("item")))
+    return rows.agg(F.sum("pred").alias("dcg_sum"), F.sum("ideal").alias("ideal_sum"), F.count("item").alias("n_catalogue"))
+
+
+def dcg_of_ranks(test: DataFrame, ranks: DataFrame) -> DataFrame:
     """Mean over rank positions of the summed binary gain (total / catalogue size)."""
-    return dcg_parts(test, scores).select((F.col("dcg_sum") / F.col("n_catalogue")).alias("dcg"))
+    return gains(test, ranks).select((F.col("dcg_sum") / F.col("n_catalogue")).alias("dcg"))
+
+
+def ndcg_of_ranks(test: DataFrame, ranks: DataFrame) -> DataFrame:
+    """DCG of the ranks over DCG of the ideal order (ratio of totals, no cutoff)."""
+    return gains(test, ranks).select((F.col("dcg_sum") / F.col("ideal_sum")).alias("ndcg"))
+
+
+def dcg(test: DataFrame, scores: DataFrame) -> DataFrame:
+    return dcg_of_ranks(test, ranks_of_scores(test, scores))
 
 
 def ndcg(test: DataFrame, scores: DataFrame, cat_pos: DataFrame | None = None) -> DataFrame:
-    """DCG of the predictions over DCG of the ideal order (ratio of totals, no cutoff)."""
-    return dcg_parts(test, scores, cat_pos).select((F.col("dcg_sum") / F.col("ideal_sum")).alias("ndcg"))
+    return ndcg_of_ranks(test, ranks_of_scores(test, scores, cat_pos))
 
 
 def evaluate(
@@ -168,32 +190,33 @@ def evaluate(
     cat_pos: DataFrame | None = None,
     grouped: DataFrame | None = None,
 ) -> DataFrame:
+    """:func:`evaluate_ranks` of a table of scores."""
+    return evaluate_ranks(test, cut_lineage(ranks_of_scores(test, scores, cat_pos)), model, k, threshold, grouped)
+
+
+def evaluate_ranks(test: DataFrame, ranks: DataFrame, model: str, k: int = 10, threshold: int = 1, grouped: DataFrame | None = None) -> DataFrame:
     """The per-model evaluation rows (model, metric, value): mean recall@k, user / item /
     catalog coverage, NDCG, and with ``grouped`` (user_id, group_id) the mean recall of every
-    activity bucket as ``recall_group_<id>``. The predictions restricted to the population and their hits are
-    checkpointed once and shared by all five metrics."""
-    pop = cut_lineage(population(scores, test).select(USER, ITEM, SCORE))
-    h = cut_lineage(hits(test, pop, k, k))
+    activity bucket as ``recall_group_<id>``. All come from the ranks of the test pairs: a hit is one of the
+    user's top-k test items whose rank among the predictions is at most k."""
+    best = ranks.filter(F.col("is_scored") & (F.col("r") <= k)).select(*PAIR)
+    h = cut_lineage(topk_set(test, k, RATING).select(*PAIR).join(best, PAIR))
     n = count_by(test, USER, "n_test")
     per_user = h.groupBy(USER).agg(F.count(F.lit(1)).alias("h"))
     per_item = h.groupBy(ITEM).agg(F.count(F.lit(1)).alias("h"))
     hh = F.coalesce(F.col("h"), F.lit(0))
     users = n.join(per_user, USER, "left")
     items = catalogue(test).join(per_item, ITEM, "left")
-    parts = [
-        users.agg(F.lit("recall").alias("metric"), F.avg(hh / F.least(F.lit(k), F.col("n_test"))).alias("value")),
-        users.agg(F.lit("user_coverage").alias("metric"), F.avg(F.when(hh >= threshold, 1.0).otherwise(0.0)).alias("value")),
-        items.agg(F.lit("item_coverage").alias("metric"), F.avg(F.when(hh >= threshold, 1.0).otherwise(0.0)).alias("value")),
-        items.agg(F.lit("catalog_coverage").alias("metric"), F.avg(F.when(hh >= 1, 1.0).otherwise(0.0)).alias("value")),
-        ndcg(test, pop, cat_pos).select(F.lit("ndcg").alias("metric"), F.col("ndcg").alias("value")),
-    ]
+    recall, covered = F.avg(hh / F.least(F.lit(k), F.col("n_test"))), F.avg(F.when(hh >= threshold, 1.0).otherwise(0.0))
+    by_name = lambda df, *cs: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in cs])).alias("m")).select("m.*")
+    out = by_name(users.agg(recall.alias("recall"), covered.alias("user_coverage")), "recall", "user_coverage")
+    out = out.unionByName(
+        by_name(items.agg(covered.alias("item_coverage"), F.avg(F.when(hh >= 1, 1.0).otherwise(0.0)).alias("catalog_coverage")), "item_coverage", "catalog_coverage")
+    )
+    out = out.unionByName(by_name(ndcg_of_ranks(test, ranks), "ndcg"))
     if grouped is not None:
-        by = users.join(grouped.select(USER, "group_id"), USER).groupBy("group_id")
-        per = by.agg(F.avg(hh / F.least(F.lit(k), F.col("n_test"))).alias("value"))
-        parts.append(per.select(F.concat(F.lit("recall_group_"), F.col("group_id")).alias("metric"), "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        per = users.join(grouped.select(USER, "group_id"), USER).groupBy("group_id").agg(recall.alias("value"))
+        out = out.unionByName(per.select(F.concat(F.lit("recall_group_"), F.col("group_id")).alias("metric"), "value"))
     return out.select(F.lit(model).alias("model"), "metric", "value")
 
 

@@ -98,6 +98,13 @@ class Fixtures:
         items = self.vi.join(masks.catalogue(self.e_test).select(F.col(ITEM).alias("id")), "id", "left_semi")
         return retrieve.topk_unseen(users, items, self.e_train, k, "dot", digits=DIGITS).drop("rank")
 
+    def dot_ranks(self, cat_pos: DataFrame | None = None) -> DataFrame:
+        """The rank of every test pair by dot product, counted in blocks."""
+        return metrics.ranks_of_vectors(self.e_test, self.vu, self.vi, self.e_train, "dot", DIGITS, cat_pos)
+
+    def bias_ranks(self, cat_pos: DataFrame | None = None) -> DataFrame:
+        return metrics.ranks_of_vectors(self.e_test, *bias.bias_vectors(self.e_train), self.e_train, "dot", DIGITS, cat_pos)
+
     def bias_pred(self) -> DataFrame:
         return bias.bias_scores(self.e_train).withColumn(SCORE, F.round(SCORE, DIGITS))
 
@@ -420,12 +427,12 @@ def q_error_metrics(f: Fixtures):
 
 @query("dcg")
 def q_dcg(f: Fixtures):
-    return _round(metrics.dcg(f.e_test, f.dot_pred()), "dcg")
+    return _round(metrics.dcg_of_ranks(f.e_test, f.dot_ranks()), "dcg")
 
 
 @query("ndcg")
 def q_ndcg(f: Fixtures):
-    return _round(metrics.ndcg(f.e_test, f.dot_pred()), "ndcg")
+    return _round(metrics.ndcg_of_ranks(f.e_test, f.dot_ranks()), "ndcg")
 
 
 @query("ndcg_topk_list")
@@ -438,8 +445,8 @@ def q_model_comparison(f: Fixtures):
     cat_pos = cut_lineage(metrics.catalogue_positions(f.e_test))  # shared by the three evaluations
     grouped = profile.groups(f.e_train, USER, E_TRAIN_USER_BOUNDS)
     parts = [
-        metrics.evaluate(f.e_test, f.bias_pred(), "bias", K, 1, cat_pos, grouped),
-        metrics.evaluate(f.e_test, f.dot_pred(), "dot", K, 1, cat_pos, grouped),
+        metrics.evaluate_ranks(f.e_test, f.bias_ranks(cat_pos), "bias", K, 1, grouped),
+        metrics.evaluate_ranks(f.e_test, f.dot_ranks(cat_pos), "dot", K, 1, grouped),
         metrics.evaluate(f.e_test, metrics.ranks_as_scores(f.knn_recs()), "knn", K, 1, cat_pos, grouped),
     ]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
