@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tastemap.functions.ranking import MAX_GROUP_ROWS, rank_within
 from tastemap.schema import ITEM, TS, USER
-from tastemap.session import checked_broadcast, cut_lineage, require_population
+from tastemap.session import checked_broadcast, require_population
 from tastemap.session import materialize as materialize_table
 
 
@@ -44,16 +44,42 @@ def draw_key(id_col: str | Column, seed: int) -> Column:
     return F.md5(F.concat(c.cast("string"), F.lit(f"#{seed}")))
 
 
-def draw_ids(ids: DataFrame, id_col: str, n: int, seed: int = 0, what: str = "ids") -> DataFrame:
+# A draw's cut is narrowed by so many hex digits a pass, until at most so many ids are left in doubt.
+DRAW_DIGITS = 3
+DRAW_EXACT = 4_096
+
+
+def draw_ids(ids: DataFrame, id_col: str, n: int, seed: int = 0, what: str = "ids", digits: int = DRAW_DIGITS, exact: int = DRAW_EXACT) -> DataFrame:
     """n ids without replacement in seeded hash order; raises if fewer than n exist.
 
-    A global top-n (each partition keeps n rows, one task merges them: bounded by n). The
-    drawn ids are checkpointed, so the draw runs once however often the sample is used, and
-    the population check is the size of the draw itself.
+    A threshold on the hash, found without sorting the ids: a map-side-combined histogram of the
+    hash's first ``digits`` hex digits (16^digits bins) shows in which bin the n-th id falls; that bin is
+    divided further until it holds at most ``exact`` ids, which give the cut itself. The draw is then a
+    filter that every partition applies alone, whatever n is. Ids and hashes are written once, so the
+    few passes do not rerun the caller's plan.
     """
-    drawn = cut_lineage(ids.select(id_col).orderBy(draw_key(id_col, seed), F.col(id_col)).limit(n))
-    require_population(drawn.count(), n, what)
-    return drawn
+    keyed = materialize_table(ids.select(id_col, draw_key(id_col, seed).alias("_h")), "draw")
+    if n <= 0:
+        return keyed.select(id_col).limit(0)
+    prefix, before, total, length = "", 0, None, 0
+    while True:
+        inside = keyed.filter(F.col("_h").startswith(prefix)) if prefix else keyed
+        length = min(32, len(prefix) + digits)
+        bins = sorted(inside.groupBy(F.substring("_h", 1, length).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if total is None:
+            total = sum(r["n"] for r in bins)
+            require_population(total, n, what)
+        for r in bins:
+            if before + r["n"] >= n:
+                break
+            before += r["n"]
+        prefix = r["b"]
+        if before + r["n"] == n:  # the whole bin is drawn
+            return keyed.filter(F.substring("_h", 1, length) <= prefix).select(id_col)
+        if r["n"] <= exact or length == 32:
+            break
+    edge = keyed.filter(F.col("_h").startswith(prefix)).select("_h", id_col).orderBy("_h", id_col).limit(n - before).collect()[-1]
+    return keyed.filter(F.struct("_h", id_col) <= F.struct(F.lit(edge["_h"]), F.lit(edge[id_col]).cast(keyed.schema[id_col].dataType))).select(id_col)
 
 
 MAX_BROADCAST_IDS = 1_000_000

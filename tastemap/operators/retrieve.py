@@ -190,18 +190,23 @@ def _best(metric: str, n: int, digits: int | None, bc, stats=None):
                     ids[rows, cols] = best.flatten().to_numpy(zero_copy_only=False)
                 seen = _Seen(part.column("seen"), items)
                 low = _floors(metric, u, items, digits) if len(items.ids) else np.zeros((m, 0))
-                for b in np.argsort(low.min(axis=0), kind="stable"):
-                    go = np.flatnonzero(low[:, b] <= key[:, n - 1])
+                steps = []
+                if low.size:  # every user's most promising block first: it gives the lists their thresholds
+                    first = low.argmin(axis=1)
+                    steps = [(b, np.flatnonzero(first == b)) for b in np.unique(first)]
+                    steps += [(b, np.flatnonzero(first != b)) for b in np.argsort(low.min(axis=0), kind="stable")]
+                for b, among in steps:
+                    go = among[low[among, b] <= key[among, n - 1]]
                     if stats is not None:
                         stats["scored"] += len(go)
-                        stats["skipped"] += m - len(go)
+                        stats["skipped"] += len(among) - len(go)
                     if not len(go):
                         continue
                     s, e = items.starts[b], items.starts[b + 1]
                     new = _keys(metric, u[go], items.mat[s:e], digits)
-                    among = np.full(m, -1)
-                    among[go] = np.arange(len(go))
-                    seen.mask(new, b, s, among)
+                    rows = np.full(m, -1)
+                    rows[go] = np.arange(len(go))
+                    seen.mask(new, b, s, rows)
                     both = np.hstack([key[go], new])
                     names = np.hstack([ids[go], np.where(np.isinf(new), NONE, items.ids[None, s:e])])
                     key[go], ids[go] = _smallest(both, names, n)

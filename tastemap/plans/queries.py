@@ -17,14 +17,13 @@ from tastemap.session import cut_lineage
 from tastemap.sources import fixtures as fx
 
 # Sampling parameters, the same for every input.
-SAMPLE_PARAMS = dict(item_thresh=25, item_sample_n=50, user_thresh=0, user_sample_n=50, seed=0)
+SAMPLE_PARAMS = dict(item_thresh=25, item_sample_n=50, user_thresh=1, user_sample_n=50, seed=0)
 # Bucket bounds for the fixtures.
 P_USER_BOUNDS = [5, 10, 30, 40, 50, 100]
 P_ITEM_BOUNDS = [20, 25, 30, 35, 40, 100]
 E_TRAIN_USER_BOUNDS = [30, 35, 40, 45, 100]
 ACTIVE_ITEM_THRESH = 30
 ACTIVE_USER_THRESH = 20
-PIVOT_USERS = list(range(150))  # a pivot's columns are an explicit list
 PIVOT_BLOCK = 1000  # users in a row of the whole pivot
 K = 10
 K_RECALL = 5
@@ -88,6 +87,19 @@ class Fixtures:
     def vi_scaled(self) -> DataFrame:
         return fx.fixed_item_vectors(self.spark, self.d, self.e, scaled=True)
 
+    @property
+    def vu_p(self) -> DataFrame:
+        """A fixed vector for every user of P's train set."""
+        return fx.fixed_user_vectors(self.spark, self.d, self.p_train)
+
+    @property
+    def vi_p(self) -> DataFrame:
+        return fx.fixed_item_vectors(self.spark, self.d, self.p)
+
+    @property
+    def vi_p_scaled(self) -> DataFrame:
+        return fx.fixed_item_vectors(self.spark, self.d, self.p, scaled=True)
+
     def dot_pred(self) -> DataFrame:
         return retrieve.dot_scores(self.vu, self.vi, self.e_train, digits=DIGITS)
 
@@ -166,11 +178,6 @@ def q_id_dictionary(f: Fixtures):
     return profile.id_dictionary(f.p, USER)
 
 
-@query("pivot_users")
-def q_pivot_users(f: Fixtures):
-    return profile.pivot_users(f.e, PIVOT_USERS)
-
-
 @query("pivot_user_blocks")
 def q_pivot_user_blocks(f: Fixtures):
     return profile.pivot_user_blocks(f.e, PIVOT_BLOCK)
@@ -320,6 +327,22 @@ def q_candidates_dot(f: Fixtures):
     return retrieve.topk_unseen(f.vu, f.vi, f.e_train, K, "dot", digits=DIGITS)
 
 
+@query("candidates_dot_p")
+def q_candidates_dot_p(f: Fixtures):
+    return retrieve.topk_unseen(f.vu_p, f.vi_p, f.p_train, K, "dot", digits=DIGITS)
+
+
+@query("knn_unseen_topk_p")
+def q_knn_unseen_topk_p(f: Fixtures):
+    return retrieve.topk_unseen(f.vu_p, f.vi_p_scaled, f.p_train, K, "euclidean", digits=DIGITS)
+
+
+@query("bias_topk_p")
+def q_bias_topk_p(f: Fixtures):
+    # the block lookup that long ranked lists take, without the broadcast
+    return _round(bias.bias_topk(f.p_train, K, max_broadcast_items=0), SCORE)
+
+
 @query("knn_exact_budget")
 def q_knn_exact_budget(f: Fixtures):
     # the published neighbour budget, kept for parity: lists may be short
@@ -435,6 +458,17 @@ def q_ndcg(f: Fixtures):
     return _round(metrics.ndcg_of_ranks(f.e_test, f.dot_ranks()), "ndcg")
 
 
+@query("ndcg_p")
+def q_ndcg_p(f: Fixtures):
+    ranks = metrics.ranks_of_vectors(f.p_test, f.vu_p, f.vi_p, f.p_train, "dot", DIGITS)
+    return _round(metrics.ndcg_of_ranks(f.p_test, ranks), "ndcg")
+
+
+@query("target_ranks_p")
+def q_target_ranks_p(f: Fixtures):
+    return metrics.ranks_of_vectors(f.p_test, f.vu_p, f.vi_p, f.p_train, "dot", DIGITS)
+
+
 @query("ndcg_topk_list")
 def q_ndcg_topk_list(f: Fixtures):
     return _round(metrics.ndcg(f.e_test, metrics.ranks_as_scores(f.knn_recs())), "ndcg")

@@ -20,21 +20,38 @@ def registry():
     return entry.queries(), entry.oracle_sql()
 
 
-def test_no_cartesian_or_nested_loop_joins(spark, registry):
+@pytest.fixture(scope="module")
+def plans(spark, registry):
     q, sql = registry
-    bad = {}
-    for name in sorted(sql):
-        plan = _plan(q[name](spark, SF001))
-        hits = [f for f in FORBIDDEN if f in plan]
-        if hits:
-            bad[name] = hits
-    assert bad == {}
-
-
-def test_topk_is_limited_before_the_shuffle(spark, registry):
-    plan = _plan(registry[0]["candidates_dot"](spark, SF001))
-    assert re.search(r"WindowGroupLimit .*Partial", plan)
-    assert re.search(r"WindowGroupLimit .*Final", plan)
+    return {name: _plan(q[name](spark, SF001)) for name in sorted(sql)}
+
+
+def test_no_cartesian_or_nested_loop_joins(plans):
+    bad = {name: [f for f in FORBIDDEN if f in plan] for name, plan in plans.items()}
+    assert {name: hits for name, hits in bad.items() if hits} == {}
+
+
+def test_single_tasks_get_partial_aggregates_only(plans):
+    # whatever meets in one task has been reduced to a row per partition before
+    bad = set()
+    for name, plan in plans.items():
+        lines = plan.split("\n")
+        for above, below in zip(lines, lines[1:]):
+            if "Exchange SinglePartition" in above and "partial" not in below:
+                bad.add((name, below.strip()))
+    assert bad == set()
+
+
+def test_topk_is_limited_before_the_shuffle(registry, plans):
+    assert re.search(r"WindowGroupLimit .*Partial", plans["topk_actual"])
+    assert re.search(r"WindowGroupLimit .*Final", plans["topk_actual"])
+
+
+@pytest.mark.parametrize("name", ["candidates_dot", "knn_unseen_topk", "candidates_dot_p"])
+def test_retrieval_lists_leave_their_task_complete(plans, name):
+    # neither a window nor a shuffle follows the block scorer
+    above = plans[name].split("MapInArrow")[0]
+    assert "MapInArrow" in plans[name] and "Exchange" not in above and "Window" not in plans[name]
 
 
 def test_scans_read_only_needed_columns(spark, registry):

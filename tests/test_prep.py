@@ -93,3 +93,27 @@ def test_split_hot_user_path_matches_plain(spark):
     hot = prep.split_by_time(p, materialize=False, max_group_rows=20)
     for a, b in zip(plain, hot):
         assert a.count() == b.count() and a.join(b, key, "left_anti").count() == 0
+
+
+@pytest.mark.parametrize("digits, exact", [(3, 4096), (1, 1), (2, 5), (32, 1)])
+def test_draw_is_the_smallest_hashes_whatever_the_passes(spark, digits, exact):
+    ids = spark.range(3000).withColumnRenamed("id", "x").repartition(7)
+    want = sorted(r.x for r in ids.orderBy(prep.draw_key("x", 3), "x").limit(777).collect())
+    got = prep.draw_ids(ids, "x", 777, seed=3, digits=digits, exact=exact)
+    assert sorted(r.x for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Exchange" not in plan and "Limit" not in plan
+
+
+def test_draw_of_all_none_and_too_many(spark):
+    ids = spark.range(50).withColumnRenamed("id", "x")
+    assert prep.draw_ids(ids, "x", 50).count() == 50
+    assert prep.draw_ids(ids, "x", 0).count() == 0
+    with pytest.raises(ValueError, match="only 50"):
+        prep.draw_ids(ids, "x", 51)
+
+
+def test_user_threshold_at_work(spark):
+    rows = [(u, i, 1.0, 0) for u in range(40) for i in range(10) if u % 4 or i == 0]  # every fourth user has one rating
+    got = prep.sample_rsmr(interactions(spark, rows), user_thresh=1, item_thresh=5, user_sample_n=30, item_sample_n=10, seed=1)
+    assert {r.user_id for r in got.collect()} == {u for u in range(40) if u % 4}

@@ -135,3 +135,105 @@ def test_recommendations_unseen_and_at_most_k(spark, name):
     assert recs.join(train, ["user_id", "item_id"], "left_semi").count() == 0
     assert recs.groupBy("user_id").count().filter(F.col("count") > 10).count() == 0
     assert recs.filter((F.col("rank") < 1) | (F.col("rank") > 10)).count() == 0
+
+
+# ---- pruned blocks ---------------------------------------------------------------------------
+class _Held:
+    """Stands for a broadcast."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def _users_batch(u, seen=None):
+    import pyarrow as pa
+
+    return pa.record_batch(
+        {
+            "id": pa.array(np.arange(len(u)), pa.int64()),
+            "features": pa.array([list(map(float, x)) for x in u], pa.list_(pa.float64())),
+            "seen": pa.array(seen or [[] for _ in u], pa.list_(pa.int64())),
+        }
+    )
+
+
+@pytest.mark.parametrize("metric", ["dot", "euclidean"])
+def test_blocks_out_of_reach_are_skipped(metric):
+    rng = np.random.RandomState(7)
+    # clustered items: far clusters are out of reach; for dot, small norms are
+    centers = rng.randn(40, 6) * 10
+    v = np.concatenate([c + 0.1 * rng.randn(50, 6) for c in centers]) * (rng.rand(2000, 1) ** 4 if metric == "dot" else 1)
+    u = centers[rng.randint(0, 40, 200)] + 0.1 * rng.randn(200, 6)
+    items = retrieve.Items.of(np.arange(2000), v, metric, 50)
+    assert all(b - a <= 50 for a, b in zip(items.starts[:-1], items.starts[1:]))
+    stats = {"scored": 0, "skipped": 0}
+    seen = [list(range(i % 30)) for i in range(200)]
+    (uid, ids, key), = retrieve._best(metric, 5, None, _Held(items), stats)([_users_batch(u, seen)])
+    assert stats["scored"] + stats["skipped"] == 200 * (len(items.starts) - 1)
+    assert stats["skipped"] > (0.8 if metric == "euclidean" else 0.5) * 200 * (len(items.starts) - 1)
+    want = -(u @ v.T) if metric == "dot" else np.sqrt(((u[:, None] - v[None]) ** 2).sum(-1))
+    for i in range(200):
+        free = np.setdiff1d(np.arange(2000), seen[i])
+        best = free[np.argsort(want[i, free], kind="stable")][:5]
+        assert list(ids[i]) == list(best)
+
+
+def test_floors_hold_for_every_item_of_a_block():
+    rng = np.random.RandomState(8)
+    for metric in ("dot", "euclidean"):
+        for scale in (1e-3, 1.0, 1e4):
+            v, u = rng.randn(300, 4) * scale, rng.randn(50, 4) * scale
+            items = retrieve.Items.of(np.arange(300), v, metric, 16)
+            low = retrieve._floors(metric, u, items, 3)
+            for b, (s, e) in enumerate(zip(items.starts[:-1], items.starts[1:])):
+                assert (retrieve._keys(metric, u, items.mat[s:e], 3) >= low[:, [b]]).all()
+
+
+@pytest.mark.parametrize("metric", ["dot", "euclidean"])
+@pytest.mark.parametrize("max_broadcast_bytes", [1 << 20, 0])
+def test_rank_targets_match_brute_force(spark, metric, max_broadcast_bytes):
+    rng = np.random.RandomState(9)
+    u, v = rng.randint(-2, 3, (12, 3)).astype(float), rng.randint(-2, 3, (31, 3)).astype(float)  # many ties
+    seen = [(a, b) for a in range(12) for b in range(31) if (a * 5 + b) % 6 == 0]
+    targets = [(a, b) for a in range(12) for b in range(35) if (a + b) % 4 == 0] + [(99, 3)]  # also unknown users and items
+    got = retrieve.rank_targets(
+        _vecs(spark, u), _vecs(spark, v), interactions(spark, [(a, b, 1.0) for a, b in targets], with_ts=False),
+        interactions(spark, [(a, b, 1.0) for a, b in seen], with_ts=False), metric, digits=6, block_items=7, max_broadcast_bytes=max_broadcast_bytes,
+    ).collect()
+    key = -(u @ v.T) if metric == "dot" else np.round(np.sqrt(((u[:, None] - v[None]) ** 2).sum(-1)), 6)
+    gone = set(seen)
+    assert sorted((r.user_id, r.item_id) for r in got) == sorted(targets)
+    for r in got:
+        a, b = r.user_id, r.item_id
+        free = [j for j in range(31) if a < 12 and (a, j) not in gone]
+        scored = b in free
+        assert r.is_scored == scored and r.n_scored == len(free) and r.below == sum(j < b for j in free)
+        if scored:
+            assert r.above == sum((key[a, j], j) < (key[a, b], b) for j in free)
+
+
+def test_rank_targets_shuffle_no_grid(spark):
+    from tastemap.plans.queries import Fixtures
+
+    f = Fixtures(spark, SF001)
+    ranks = retrieve.rank_targets(f.vu, f.vi, f.e_test.select("user_id", "item_id"), f.e_train, "dot", 6)
+    plan = ranks._jdf.queryExecution().executedPlan().toString()
+    # the scored block leaves its task as counts: nothing is exchanged between it and the final join on pairs
+    # but rows of pairs, and no window ranks a grid
+    assert "Window" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_bias_topk_by_blocks_matches_broadcast(spark):
+    f = fx.orders_interactions(spark, SF001)
+    train, _ = prep.split_by_time(f)
+    want = sorted(map(tuple, bias.bias_topk(train, 7).collect()))
+    got = bias.bias_topk(train, 7, max_broadcast_items=0, block=4, rows_per_copy=3)
+    assert sorted(map(tuple, got.collect())) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(pos" not in plan  # no join on a position that every user has
+
+
+def test_bias_topk_of_a_user_who_saw_all(spark):
+    train = interactions(spark, [(1, i, 1.0 + i) for i in range(5)] + [(2, 3, 2.0), (2, 3, 4.0)], with_ts=False)
+    got = {(r.user_id, r.item_id, r["rank"]) for r in bias.bias_topk(train, 3).collect()}
+    assert got == {(2, 4, 1), (2, 2, 2), (2, 1, 3)}
