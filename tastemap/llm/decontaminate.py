@@ -10,7 +10,8 @@ The items are collected into the automaton, so their bytes are checked first: up
 ``MAX_AUTOMATON_BYTES`` of patterns there is one automaton, broadcast once; a larger benchmark is
 cut into ranges of items and the texts are scanned once per range, with the same result.
 
-Defined cases: a null or empty text has no words, no hit and is clean; an item without words (or
+Defined cases: a null or empty text has no words, no hit and is clean; a null ``item_id`` hits words
+but is not listed; an item without words (or
 null) never occurs; rows that repeat an ``item_id`` are one item with the windows of all; rows that
 repeat a ``doc_id`` are judged one by one; an empty benchmark or table gives clean or no rows;
 further columns pass through ``scan``.
@@ -56,7 +57,7 @@ def build(items: list[tuple[object, str | None]], k: int = WINDOW) -> ahocorasic
     owners: dict[bytes, set[str]] = {}
     for item, text in items:
         for w in item_windows(text, k):
-            owners.setdefault(w, set()).add(str(item))
+            owners.setdefault(w, set()).update(() if item is None else (str(item),))
     if not owners:
         return None
     a = ahocorasick.Automaton()

@@ -24,7 +24,7 @@ components is lost, and pairs inside a component are not listed.
 Shingles are compared by 64-bit hashes; a node is (digest, size).
 
 Defined cases: a null or empty text, or one without words, has no set and is its own component; fewer
-than five words are one shingle; rows that repeat a ``doc_id`` are one node when linking; a null
+than five words are one shingle; rows that repeat a ``doc_id`` are one document when linking, whatever their texts; a null
 ``doc_id`` has a null component; an empty table gives no rows; further columns are ignored.
 """
 
@@ -492,27 +492,41 @@ def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int
             for i, j, first, s in _each(batch):
                 n = np.diff(first)
                 key = W.fmix(s + np.repeat(W.fmix(of[i:j].astype(np.uint64)), n))
-                owner = np.repeat(ids[i:j], n)
+                owner = np.repeat(np.arange(j - i, dtype=np.uint32), n)  # texts of a chunk by number, ids once a row
                 order = np.argsort(key)
                 key, owner = key[order], owner[order]
                 cuts = np.searchsorted(key, (np.arange(1, buckets, dtype=np.uint64) * U((1 << 64) // buckets)))
                 cuts = np.concatenate([[0], cuts, [len(key)]])
                 use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
                 part = lambda x, cuts=cuts, use=use: pa.array([np.ascontiguousarray(x[cuts[b] : cuts[b + 1]]).tobytes() for b in use], pa.binary())
-                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(np.ascontiguousarray(key.byteswap().view(np.uint8).reshape(-1, 8)[:, :6])), "ids": part(owner)})
+                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(np.ascontiguousarray(key.byteswap().view(np.uint8).reshape(-1, 8)[:, :6])), "owners": part(owner), "ids": pa.array([ids[i:j].astype(np.int64).tobytes()] * len(use), pa.binary())})
 
     def counts(rows: pa.Table) -> pa.Table:
-        k6, owner = (np.frombuffer(b"".join(x.as_py() for x in rows.column(c)), k) for c, k in (("keys", np.uint8), ("ids", np.int64)))
+        """The shared shingles of a bucket by text, packed in one row per group of texts."""
+        k6 = np.frombuffer(b"".join(x.as_py() for x in rows.column("keys")), np.uint8)
+        owner = np.concatenate([np.frombuffer(i.as_py(), np.int64)[np.frombuffer(o.as_py(), np.uint32)] for o, i in zip(rows.column("owners"), rows.column("ids"), strict=True)])
         key = np.zeros((len(owner), 8), np.uint8)
         key[:, 2:] = k6.reshape(-1, 6)  # shingles that meet by chance only leave a member in
         key = key.view(">u8").reshape(-1).astype(np.uint64)
         _, inv, n = np.unique(key, return_inverse=True, return_counts=True)
         ids, c = np.unique(owner[n[inv] > 1], return_counts=True)
-        return pa.table({"id": pa.array(ids, pa.int64()), "c": pa.array(c.astype(np.int64))})
+        g = (W.fmix(ids.view(np.uint64)) % U(groups)).astype(np.int64)
+        order = np.argsort(g, kind="stable")
+        ids, c, g = ids[order], c[order], g[order]
+        cuts = np.searchsorted(g, np.arange(groups + 1))
+        use = [x for x in range(groups) if cuts[x] < cuts[x + 1]]
+        part = lambda x, kind: pa.array([x[cuts[k] : cuts[k + 1]].astype(kind).tobytes() for k in use], pa.binary())
+        return pa.table({"g": pa.array(use, pa.int32()), "ids": part(ids, np.int64), "counts": part(c, np.uint32)})
+
+    def added(rows: pa.Table) -> pa.Table:
+        ids, c = (np.frombuffer(b"".join(x.as_py() for x in rows.column(n)), k) for n, k in (("ids", np.int64), ("counts", np.uint32)))
+        ids, inv = np.unique(ids, return_inverse=True)
+        return pa.table({"id": pa.array(ids), "c": pa.array(np.bincount(inv, c, len(ids)).astype(np.int64))})
 
     rows = keep_maybe(texts, may_hold(cluster, "id"), "id").join(cluster, "id").select("id", "cluster", "text")
-    shared = rows.mapInArrow(pieces, "b int, keys binary, ids binary").groupBy("b").applyInArrow(lambda t: counts(t), "id long, c long")
-    shared = shared.groupBy("id").agg(F.sum("c").alias("c"))
+    groups = max(1, buckets // 4)
+    shared = rows.mapInArrow(pieces, "b int, keys binary, owners binary, ids binary").groupBy("b").applyInArrow(lambda t: counts(t), "g int, ids binary, counts binary")
+    shared = shared.groupBy("g").applyInArrow(lambda t: added(t), "id long, c long")
     least = F.ceil(F.lit(PERCENT) * (F.col("n") + F.ceil(PERCENT * F.col("n") / 100)) / (100 + PERCENT))
     able = cluster.join(nodes.select("id", "n"), "id").join(shared, "id").filter(F.col("c") >= least)
     able = materialize(able.select("id", "cluster", "n"), "able")
@@ -546,6 +560,12 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOC
     dealt = dealt.select("id", "text", part.alias("part")).withColumn("b", F.pmod("part", F.lit(buckets)).cast("int"))
     links = materialize(dealt.groupBy("b").applyInArrow(lambda t: verified(t), "u long, v long"), "links")
 
+    # a doc_id with several texts is one document: its texts are linked
+    of_id = each.filter("n > 0 and doc_id is not null").select("doc_id", "digest", "n").distinct()
+    several = of_id.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("doc_id")
+    same = of_id.join(several, "doc_id").join(nodes.select("digest", "n", "id"), ["digest", "n"]).select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
+    links = links.unionByName(same)
+
     final = nodes.select("digest", "n", "id").join(components(links), "id", "left").select("digest", "n", F.coalesce("component", "id").alias("component_id"))
     out = each.join(final, ["digest", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

@@ -105,7 +105,7 @@ def pivotal(p: np.ndarray, s: np.ndarray, rng: np.random.Generator, last: bool)
     return p, held
 
 
-NODE = "doc_id long, source string, tie long, size long, source_size long, target double, whole long, part double, node long, open boolean"
+NODE = "doc_id long, no_id boolean, source string, tie long, size long, source_size long, target double, whole long, part double, node long, open boolean"
 
 
 def _round_groups(rows: DataFrame, last: bool, level: int, seed: int) -> DataFrame:
@@ -134,8 +134,9 @@ def copies(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
     times = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sized.join(target, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("times", times)
     rows = rows.select(
-        "doc_id", "source", "tie", "size", "source_size", "target", F.floor("times").alias("whole"), (F.col("times") - F.floor("times")).alias("part"),
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "tie"), F.lit(nodes)).alias("node"), F.lit(False).alias("open"),
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"),  # pandas would make longs with a null doubles
+        "source", "tie", "size", "source_size", "target", F.floor("times").alias("whole"), (F.col("times") - F.floor("times")).alias("part"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("tie")), F.lit(nodes)).alias("node"), F.lit(False).alias("open"),
     )
     level, decided = 0, []
     while True:
@@ -148,7 +149,8 @@ def copies(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "source", "tie", "size", "source_size", "target", (F.col("whole") + F.col("part").cast("long")).alias("copies"))
+    doc_id = F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id")
+    return out.select(doc_id, "source", "tie", "size", "source_size", "target", (F.col("whole") + F.col("part").cast("long")).alias("copies"))
 
 
 def report(docs: DataFrame) -> DataFrame:

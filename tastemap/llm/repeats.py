@@ -101,13 +101,13 @@ class Bytes:
         return off, g, buf
 
     def hashes(self, ctx, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return W.span_hashes(W.BYTE_VALUE[ctx], a, b)
+        return W.span_hashes(ctx.astype(np.uint64) + U(1), a, b)
 
     def string_hashes(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         out = [np.zeros(0, np.uint64)]
         for i, j in W.chunks(off, CHUNK_BYTES):
             o = off[i : j + 1] - off[i]
-            out.append(W.span_hashes(W.BYTE_VALUE[buf[off[i] : off[j]]], o[:-1], o[1:]))
+            out.append(W.span_hashes(buf[off[i] : off[j]].astype(np.uint64) + U(1), o[:-1], o[1:]))
         return np.concatenate(out)
 
     def pack(self, ctx, a: np.ndarray, b: np.ndarray) -> list[bytes]:
@@ -185,8 +185,26 @@ def _changes(k: np.ndarray, h: np.ndarray) -> np.ndarray:
     return new
 
 
-def _both(k: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return W.fmix(k + W.fmix(h))
+class _Pairs:
+    """Finds (key, hash) pairs in a list of them; both have to agree."""
+
+    def __init__(self, k: np.ndarray, h: np.ndarray):
+        self.k, self.h = np.unique(k), np.unique(h)
+        self.of = self._number(np.searchsorted(self.k, k), np.searchsorted(self.h, h))
+        self.order = np.argsort(self.of, kind="stable")
+        self.of = self.of[self.order]
+
+    def _number(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return i * np.int64(len(self.h)) + j
+
+    def find(self, k: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Position of each pair in the list, -1 where it is not."""
+        if not len(self.of) or not len(k):
+            return np.full(len(k), -1)
+        i, j = np.minimum(np.searchsorted(self.k, k), len(self.k) - 1), np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        number = self._number(i, j)
+        at = np.minimum(np.searchsorted(self.of, number), len(self.of) - 1)
+        return np.where((self.k[i] == k) & (self.h[j] == h) & (self.of[at] == number), self.order[at], -1)
 
 
 def _list(x: np.ndarray) -> bytes:
@@ -328,22 +346,18 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         return pa.table({"g": pa.array([g[i] for i in use], pa.int32()), "keys": part(k[tell]), "hashes": part(h[tell]), "lens": part(n.astype(np.int32)), "least": part(flat, flat_cut)})
 
     def apply(key, docs_, verdicts):
-        known = _both(_column(verdicts, "keys", np.uint64), _column(verdicts, "hashes", np.uint64))
+        known = _Pairs(_column(verdicts, "keys", np.uint64), _column(verdicts, "hashes", np.uint64))
         lens, flat = _column(verdicts, "lens", np.int32).astype(np.int64), _column(verdicts, "least", np.int64)
         begin = np.cumsum(lens) - lens
         keys = np.sort(_column(verdicts, "keys", np.uint64))
-        order = np.argsort(known)
-        known = known[order]
         tables = []
         for doc, buf, off, first, ctx, (row, at, n, k) in _chunks(docs_, unit):
             units = int(first[-1])
             covered = np.zeros(units, bool)
             hit = _member(keys, k) if len(keys) else np.zeros(0, np.int64)
             if len(hit):
-                both = _both(k[hit], unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1))
-                found = np.minimum(np.searchsorted(known, both), len(known) - 1)
-                right = known[found] == both
-                hit, verdict = hit[right], order[found[right]]
+                verdict = known.find(k[hit], unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1))
+                hit, verdict = hit[verdict >= 0], verdict[verdict >= 0]
                 d = doc[row[hit]]
                 whole = lens[verdict] == 1
                 gone = hit[whole & (flat[begin[verdict]] < d)]

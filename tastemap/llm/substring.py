@@ -4,7 +4,8 @@ Consecutive windows of 50 words that share a minimiser (least hash of their 6-wo
 packed string to the minimiser's bucket (``repeats``). There every distinct string is cut back into
 its windows, the windows of a bucket are sorted, and equal neighbours give each window its least
 document. Sorting is exact: words are numbered by their bytes, and windows are ranked by doubling
-(pairs of ranks of 1, 2, 4 ... words), so no hash decides an equality.
+(pairs of ranks of 1, 2, 4 ... words), so no hash decides their
+equality; a packed string is known by its minimiser and a hash of its words together.
 
 A word goes if a window that covers it also starts in a document with a smaller ``doc_id``; windows
 are judged on the input.

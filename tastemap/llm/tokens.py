@@ -34,7 +34,7 @@ from tastemap.llm import words as W
 from tastemap.llm.files import Checked, SealedFile, new_folder, open_fs
 
 END_ID = 2
-KNOWN_PIECES = 2_500_000
+KNOWN_PIECES = 800_000
 CHUNK_BYTES = 1_000_000
 ROLL_BYTES = 512 << 20
 NO_ID = -(1 << 63)

@@ -13,7 +13,8 @@ files that the manifest lists, and checks their bytes, so files of lost or repea
 never seen. Files are written to the folder of a ``pyarrow.fs`` URI, by default one in
 ``spark.checkpoint.dir``, which all executors share.
 
-Defined cases: a null or empty html is an empty payload and a response; rows that repeat a ``page_id``
+Defined cases: a null or empty html is an empty payload and a response; a null ``page_id`` is written as
+``<urn:page:none>``, read back as null, and never referred to; rows that repeat a ``page_id``
 are records of their own; a null url is written as an empty target; an empty table gives an
 empty manifest and no rows; further columns are ignored.
 """
@@ -38,14 +39,15 @@ LEVEL = 6
 # Fixed values of the WARC 1.1 format.
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+NO_ID = "none"
 DATE = "1970-01-01T00:00:00Z"  # the table has no capture time
 
 
-def record_id(page_id: int) -> str:
-    return f"<urn:page:{page_id}>"
+def record_id(page_id: int | None) -> str:
+    return f"<urn:page:{NO_ID if page_id is None else page_id}>"
 
 
-def encode(page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def encode(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One record as a gzip member."""
     body = b"" if refers_to is not None else payload
     head = [
@@ -97,7 +99,7 @@ def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     long_ = materialize(pages.filter(F.octet_length("html") >= least).select("page_id", F.sha1(payload).alias("digest")), "digests")
     first = long_.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return long_.join(first, "digest").filter("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    return long_.join(first, "digest").filter("refers_to is not null and not page_id <=> refers_to").select("page_id", "digest", "refers_to").distinct()
 
 
 def write(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BYTES, partitions: int | None = None) -> tuple[str, DataFrame]:
@@ -141,7 +143,7 @@ def write(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BY
 
 
 class _File:
-    def __init__(self, folder: str, first: int):
+    def __init__(self, folder: str, first: int | None):
         self.first, self.out, self.records = first, SealedFile(folder), 0
 
     def add(self, member: bytes) -> None:
@@ -149,7 +151,7 @@ class _File:
         self.records += 1
 
     def close(self) -> pa.RecordBatch:
-        name, size, digest = self.out.seal(f"part-{self.first:020d}", ".warc.gz")
+        name, size, digest = self.out.seal(f"part-{NO_ID if self.first is None else format(self.first, '020d')}", ".warc.gz")
         return pa.record_batch({"name": [name], "records": pa.array([self.records], pa.int64()), "bytes": pa.array([size], pa.int64()), "sha256": [digest]})
 
 
@@ -164,7 +166,8 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
     batch_rows = 200 if with_payload else 5000
 
     def number(urn: str | None) -> int | None:
-        return int(urn.rsplit(":", 1)[1].rstrip(">")) if urn else None
+        name = urn.rsplit(":", 1)[1].rstrip(">") if urn else NO_ID
+        return None if name == NO_ID else int(name)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = open_fs(folder)

@@ -6,6 +6,7 @@ accepted by a 256-entry table, so multi-byte characters are never split.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,17 @@ NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-# one random value per byte, position multipliers for words and windows: fixed by the seeds
-BYTE_VALUE = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+#: Masks that keep the first 0 to 8 of eight bytes.
+KEEP = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
+
+# multipliers of hashes and windows: fixed by the seeds
 STEP = U(0x9E3779B97F4A7C15)
 WINDOW_MULT = np.random.default_rng(12).integers(1, 2**63, 4096, dtype=np.uint64) * U(2) + U(1)
 
+#: Words longer than this are hashed one by one.
+LANES = 32
+LONG = 8 * LANES
+
 
 def fmix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
@@ -36,26 +43,55 @@ def fmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
-INVERSE = pow(int(STEP), -1, 1 << 64)
+#: Span hashes are polynomials modulo this prime (2^61 - 1): two different spans of n units agree for
+#: at most n of its bases, whatever their contents. (Modulo 2^64 there are spans that agree for all.)
+PRIME = U((1 << 61) - 1)
+BASE = int(np.random.default_rng(13).integers(1 << 40, (1 << 61) - 2))
 _powers: dict[int, np.ndarray] = {}
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> U(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo ``PRIME``, for values below it."""
+    low = U(0xFFFFFFFF)
+    ah, al, bh, bl = a >> U(32), a & low, b >> U(32), b & low
+    mid = ah * bl + al * bh
+    return _reduced(((ah * bh) << U(3)) + (mid >> U(29)) + ((mid & U((1 << 29) - 1)) << U(32)) + _reduced(al * bl))
+
+
+def sums(x: np.ndarray) -> np.ndarray:
+    """Prefix sums (n + 1) modulo ``PRIME``."""
+    out = np.zeros(len(x) + 1, np.uint64)
+    high = np.cumsum(x >> U(31))
+    out[1:] = _reduced((high >> U(30)) + ((high & U((1 << 30) - 1)) << U(31)) + _reduced(np.cumsum(x & U((1 << 31) - 1))))
+    return out
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; kept for the next call."""
-    if len(_powers.get(base, ())) < n:
-        p = np.full(n, base, np.uint64)
-        p[:1] = 1
-        _powers[base] = np.cumprod(p)
-    return _powers[base][:n]
+    """base ** 0 .. base ** (n - 1), modulo ``PRIME``; kept for the next call."""
+    p = _powers.get(base)
+    if p is None:
+        p = np.array([1], np.uint64)
+    while len(p) < n:
+        p = np.concatenate([p, times(p, np.full(len(p), pow(base, len(p), int(PRIME)), np.uint64))])
+    _powers[base] = p
+    return p[:n]
+
+
+INVERSE = pow(BASE, -1, int(PRIME))
 
 
 def span_hashes(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hash of values[a:b] for many spans: a polynomial in ``STEP``, from prefix sums."""
+    """Hash of values[a:b] for many spans, from prefix sums."""
     if not len(a):
         return np.zeros(0, np.uint64)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(int(STEP), len(values)), out=sums[1:])
-    return fmix((sums[b] - sums[a]) * powers(INVERSE, len(values) + 1)[a] + (b - a).astype(np.uint64) * U(0xD6E8FEB86659FD93))
+    s = sums(times(_reduced(values), powers(BASE, len(values))))
+    h = times(_reduced(s[b] + (PRIME - s[a])), powers(INVERSE, len(values) + 1)[a])
+    return fmix(h + (b - a).astype(np.uint64) * U(0xD6E8FEB86659FD93))
 
 
 def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,10 +145,30 @@ def split_words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = NOT_SPACE,
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of every word; ``lower`` takes A-Z as a-z."""
+    """64-bit hash of every word; ``lower`` takes A-Z as a-z. Eight bytes at a time are mixed in by a
+    bijection, so words of up to eight bytes have hashes of their own; long words are hashed with BLAKE2."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    return span_hashes((BYTE_VALUE[LOWER] if lower else BYTE_VALUE)[buf], starts, ends)
+    raw = np.zeros(len(buf) + 8, np.uint8)
+    raw[: len(buf)] = LOWER[buf] if lower else buf
+    eight = np.ndarray(len(buf) + 1, "<u8", raw.data, strides=(1,))
+    n = ends - starts
+    h = fmix(np.minimum(n, 8).astype(np.uint64) * STEP)  # further bytes tell their number themselves
+    at, left, live = starts, n, None
+    for lane in range(LANES):
+        word = eight[at] & KEEP[np.minimum(left, 8)]
+        if live is None:
+            h = fmix(h ^ word)
+        else:
+            h[live] = fmix(h[live] * STEP + word + left.astype(np.uint64) * U(0xD6E8FEB86659FD93))
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        live = more if live is None else live[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(n > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def rows_of(first: np.ndarray) -> np.ndarray:
