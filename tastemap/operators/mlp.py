@@ -1,7 +1,8 @@
 """Feed-forward regressor (relu hidden layers, linear output, MSE loss, Adam) trained as a Spark job.
 
 Spark ML has no neural regressor, so training is data-parallel local SGD: rows are hashed into
-fixed partitions once (checkpointed); each epoch is one job in which every partition starts
+fixed partitions once and packed as matrices (checkpointed); one partition trains all its epochs
+in one task, several average after each: then an epoch is one job in which every partition starts
 from the current weights and Adam state, runs mini-batch Adam over its rows with numpy, and
 emits its weights scaled by its row count in chunks of ``CHUNK`` values. The chunks are
 summed by a Spark aggregate, so the driver receives one model's worth of numbers per epoch
@@ -83,10 +84,6 @@ def loss_and_grad(x: np.ndarray, y: np.ndarray, theta: np.ndarray, sizes: list[i
     return err, flat
 
 
-def _features(pdf: pd.DataFrame, col: str) -> np.ndarray:
-    return np.stack(pdf[col].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
-
-
 def _matrix(batch, col: str, dim: int) -> np.ndarray:
     """Rows of a fixed-length list column as an (n, dim) float64 matrix, without per-row objects."""
     arr = batch.column(col)
@@ -107,46 +104,97 @@ def _gather(batch, feat_col: str, dim: int, item_block) -> np.ndarray:
     return np.hstack([own, mat[pos]])
 
 
-def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, train: bool = True, item_block=None):
+PACKED_SCHEMA = "x binary, y binary, val binary, item binary"
+PACK_ROWS = 16_384
+
+
+def _pack(feat_col: str, label_col: str, item_block):
+    """Task function: training rows as matrices in binary cells, so that an epoch reads bytes instead of
+    converting rows; items of a broadcast catalogue as their positions in it."""
+
+    def run(batches):
+        for batch in batches:
+            for s in range(0, batch.num_rows, PACK_ROWS):
+                part = batch.slice(s, PACK_ROWS)
+                items = part.column(ITEM).to_numpy(zero_copy_only=False).astype(np.int64)
+                if item_block is not None:
+                    items = np.searchsorted(item_block.value[0], items)
+                x = _matrix(part, feat_col, len(part.column(feat_col)[0]))
+                y = part.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
+                val = part.column("_val").to_numpy(zero_copy_only=False).astype(bool)
+                cells = {"x": x.tobytes(), "y": y.tobytes(), "val": val.tobytes(), "item": items.tobytes()}
+                yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.binary()) for k, v in cells.items()})
+
+    return run
+
+
+def _unpack_rows(batch, item_block):
+    """(x, y, is_val) of every packed cell of a batch; item-side features are appended."""
+    for i in range(batch.num_rows):
+        y = np.frombuffer(batch.column("y")[i].as_buffer(), np.float64)
+        x = np.frombuffer(batch.column("x")[i].as_buffer(), np.float64).reshape(len(y), -1)
+        if item_block is not None:
+            x = np.hstack([x, item_block.value[1][np.frombuffer(batch.column("item")[i].as_buffer(), np.int64)]])
+        yield x, y, np.frombuffer(batch.column("val")[i].as_buffer(), bool)
+
+
+@dataclass
+class _Adam:
+    """Weights and moments, updated batch by batch."""
+
+    theta: np.ndarray
+    m: np.ndarray
+    v: np.ndarray
+    t: int
+    sizes: list[int]
+    lr: float
+
+    def pass_over(self, x: np.ndarray, y: np.ndarray, order: np.ndarray, batch_size: int) -> tuple[float, float]:
+        """Mini-batches in the given order; the sums of squared and absolute errors as they were met."""
+        sse = sae = 0.0
+        for s in range(0, len(order), batch_size):
+            idx = order[s : s + batch_size]
+            err, g = loss_and_grad(x[idx], y[idx], self.theta, self.sizes)
+            sse += float((err * err).sum())
+            sae += float(np.abs(err).sum())
+            self.t += 1
+            self.m = BETA1 * self.m + (1 - BETA1) * g
+            self.v = BETA2 * self.v + (1 - BETA2) * g * g
+            step = self.lr * np.sqrt(1 - BETA2**self.t) / (1 - BETA1**self.t)
+            self.theta = self.theta - step * self.m / (np.sqrt(self.v) + EPS)
+        return sse, sae
+
+
+def _errors(x: np.ndarray, y: np.ndarray, layers) -> tuple[float, float]:
+    err = forward(x, layers) - y
+    return float((err * err).sum()), float(np.abs(err).sum())
+
+
+def _epoch_fn(state, sizes, batch_size, lr, seed, epoch, train: bool = True, item_block=None):
     """One pass over a partition. Validation rows are scored with the incoming weights (the
     averaged result of the previous epoch); training rows run mini-batch Adam, shuffled within
-    each Arrow batch (rows are already hashed across partitions). Memory is bounded by the
-    batch size, not the partition."""
-    dim = sizes[0]
+    each packed cell (rows are already hashed across partitions). Memory is bounded by the
+    cell size, not the partition."""
 
     def run(batches):
         from pyspark import TaskContext
 
         theta, m, v, t0 = state.value
         part = TaskContext.get().partitionId()
-        theta, m, v = theta.copy(), m.copy(), v.copy()
+        adam = _Adam(theta.copy(), m.copy(), v.copy(), t0, sizes, lr)
         layers_in = unpack(theta.copy(), sizes)
         rng = np.random.RandomState([seed, epoch, part])
-        t, n, sse, sae, vn, vsse, vsae = t0, 0, 0.0, 0.0, 0, 0.0, 0.0
+        n, sse, sae, vn, vsse, vsae = 0, 0.0, 0.0, 0, 0.0, 0.0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            xall = _gather(batch, feat_col, dim, item_block)
-            yall = batch.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
-            is_val = batch.column("_val").to_numpy(zero_copy_only=False).astype(bool)
-            if is_val.any():
-                verr = forward(xall[is_val], layers_in) - yall[is_val]
-                vn, vsse, vsae = vn + len(verr), vsse + float((verr * verr).sum()), vsae + float(np.abs(verr).sum())
-            if not train or is_val.all():
-                continue
-            x, y = xall[~is_val], yall[~is_val]
-            order = rng.permutation(len(y))
-            for s in range(0, len(y), batch_size):
-                idx = order[s : s + batch_size]
-                err, g = loss_and_grad(x[idx], y[idx], theta, sizes)
-                sse += float((err * err).sum())
-                sae += float(np.abs(err).sum())
-                t += 1
-                m = BETA1 * m + (1 - BETA1) * g
-                v = BETA2 * v + (1 - BETA2) * g * g
-                step = lr * np.sqrt(1 - BETA2**t) / (1 - BETA1**t)
-                theta = theta - step * m / (np.sqrt(v) + EPS)
-            n += len(y)
+            for x, y, is_val in _unpack_rows(batch, item_block):
+                if is_val.any():
+                    a, b = _errors(x[is_val], y[is_val], layers_in)
+                    vn, vsse, vsae = vn + int(is_val.sum()), vsse + a, vsae + b
+                if not train or is_val.all():
+                    continue
+                x, y = x[~is_val], y[~is_val]
+                a, b = adam.pass_over(x, y, rng.permutation(len(y)), batch_size)
+                n, sse, sae = n + len(y), sse + a, sae + b
         chunks = list(range(0, len(theta), CHUNK))
         w = lambda a: [a[s : s + CHUNK] * n for s in chunks]
         k = len(chunks)
@@ -154,13 +202,13 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, tr
             {
                 "part": pa.array([part] * k, pa.int32()),
                 "chunk": pa.array(range(k), pa.int32()),
-                "w": pa.array(w(theta), pa.list_(pa.float64())),
-                "m": pa.array(w(m), pa.list_(pa.float64())),
-                "v": pa.array(w(v), pa.list_(pa.float64())),
+                "w": pa.array(w(adam.theta), pa.list_(pa.float64())),
+                "m": pa.array(w(adam.m), pa.list_(pa.float64())),
+                "v": pa.array(w(adam.v), pa.list_(pa.float64())),
                 "n": pa.array([n] * k, pa.int64()),
                 "sse": pa.array([sse] * k, pa.float64()),
                 "sae": pa.array([sae] * k, pa.float64()),
-                "steps": pa.array([(t - t0) * n] * k, pa.int64()),
+                "steps": pa.array([(adam.t - t0) * n] * k, pa.int64()),
                 "vn": pa.array([vn] * k, pa.int64()),
                 "vsse": pa.array([vsse] * k, pa.float64()),
                 "vsae": pa.array([vsae] * k, pa.float64()),
@@ -170,12 +218,37 @@ def _epoch_fn(state, sizes, feat_col, label_col, batch_size, lr, seed, epoch, tr
     return run
 
 
+def _train_fn(theta, sizes, batch_size, lr, seed, epochs, item_block=None):
+    """All epochs over the one partition of a small training set, as one task: nothing is averaged, so no
+    job is needed between epochs. Its rows fit the task, as rows x weights are at most
+    ``WORK_PER_PARTITION``."""
+
+    def run(batches):
+        cells = [c for batch in batches for c in _unpack_rows(batch, item_block)]
+        if not cells:
+            return
+        x, y, is_val = (np.concatenate([c[i] for c in cells]) for i in range(3))
+        xv, yv, x, y = x[is_val], y[is_val], x[~is_val], y[~is_val]
+        adam = _Adam(theta.copy(), np.zeros_like(theta), np.zeros_like(theta), 0, sizes, lr)
+        history = []
+        for epoch in range(epochs):
+            sse, sae = adam.pass_over(x, y, np.random.RandomState([seed, epoch, 0]).permutation(len(y)), batch_size)
+            val = _errors(xv, yv, unpack(adam.theta, sizes)) if len(yv) else (np.nan, np.nan)
+            history.append([sse / max(1, len(y)), sae / max(1, len(y)), val[0] / max(1, len(yv)), val[1] / max(1, len(yv))])
+        yield pa.RecordBatch.from_pydict(
+            {"theta": pa.array([adam.theta], pa.list_(pa.float64())), "history": pa.array([history], pa.list_(pa.list_(pa.float64())))}
+        )
+
+    return run
+
+
 EPOCH_SCHEMA = (
     "part int, chunk int, w array<double>, m array<double>, v array<double>, n long, sse double, sae double, steps long, "
     "vn long, vsse double, vsae double"
 )
 
 
+HISTORY_SCHEMA = "epoch int, loss double, mae double, val_loss double, val_mae double"
 SCALARS = ("n", "sse", "sae", "steps", "vn", "vsse", "vsae")
 SUM_FAN_IN = 16  # partial models that one task, or the driver, adds up
 
@@ -279,9 +352,29 @@ def _join_item_side(rows: DataFrame, item_side: DataFrame, features: str) -> Dat
 # Item-side tables of at most this many bytes (rows x dimension, counted first) are broadcast; larger ones
 # are joined per row. Both give the same feature rows.
 MAX_ITEM_SIDE_BYTES = 64 << 20
-# Training rows of one partition: the number of partitions follows the data, not the machine.
-ROWS_PER_PARTITION = 100_000
-MIN_PARTITIONS = 8
+# Training rows x weights of one partition: the number of partitions follows the data and the network, not
+# the machine.
+WORK_PER_PARTITION = 400_000_000
+
+
+def gradient(rows: DataFrame, theta: np.ndarray, hidden: tuple[int, ...], label: str = RATING, features: str = "features") -> DataFrame:
+    """(pos, grad): the gradient of the mean squared error over all ``rows`` at the weights ``theta`` (in their
+    flat order). Tasks add up their rows' shares; Spark adds up the tasks."""
+    base = rows.select(features, F.col(label).cast("double").alias("_y"))
+    n_rows, n_in = base.agg(F.count(F.lit(1)), F.max(F.size(features))).first()
+    sizes = layer_sizes(n_in or 0, hidden)
+    theta = np.asarray(theta, np.float64)
+
+    def run(batches):
+        total = np.zeros(len(theta))
+        for batch in batches:
+            for s in range(0, batch.num_rows, PACK_ROWS):
+                part = batch.slice(s, PACK_ROWS)
+                y = part.column("_y").to_numpy(zero_copy_only=False)
+                total += loss_and_grad(_matrix(part, features, sizes[0]), y, theta, sizes)[1] * (len(y) / n_rows)
+        yield pa.RecordBatch.from_pydict({"pos": pa.array(np.arange(len(theta))), "grad": pa.array(total)})
+
+    return base.mapInArrow(run, "pos long, grad double").groupBy("pos").agg(F.sum("grad").alias("grad"))
 
 
 def fit_mlp(
@@ -297,8 +390,9 @@ def fit_mlp(
     num_partitions: int | None = None,
     item_side: DataFrame | None = None,
     max_item_side_bytes: int = MAX_ITEM_SIDE_BYTES,
+    theta: np.ndarray | None = None,
 ) -> tuple[MLPModel, DataFrame]:
-    """Train on ``rows`` (features array, label). A hash hold-out of ``validation_frac`` of the
+    """Train on ``rows`` (features array, label), from the weights ``theta`` if given. A hash hold-out of ``validation_frac`` of the
     (user, item) pairs is scored after each epoch. Returns the model and its per-epoch history
     (epoch, loss, mae, val_loss, val_mae).
 
@@ -308,8 +402,6 @@ def fit_mlp(
     training row; a larger one is joined per row.
     """
     spark = rows.sparkSession
-    # epochs stream Arrow batches, so partition size does not bound memory
-    n_part = num_partitions or max(MIN_PARTITIONS, -(-rows.count() // ROWS_PER_PARTITION))
     item_ids = item_mat = None
     if item_side is not None:
         item_side = cut_lineage(item_side)  # counted, fetched and joined
@@ -325,24 +417,33 @@ def fit_mlp(
     flag = holdout_flag(base, validation_frac, seed) if validation_frac > 0 else F.lit(False)
     # fixed partitions, and within them a seeded pseudo-random order that does not depend on
     # the upstream plan: training is reproducible and batches mix users
+    n_rows, n_in = base.agg(F.count(F.lit(1)), F.max(F.size(features))).first()
+    sizes = layer_sizes((n_in or 0) + (item_mat.shape[1] if item_mat is not None else 0), hidden)
+    theta = init_theta(sizes, seed) if theta is None else np.asarray(theta, np.float64)
+    # epochs stream packed cells, so partition size does not bound memory
+    n_part = num_partitions or max(1, -(-n_rows * len(theta) // WORK_PER_PARTITION))
+    block = spark.sparkContext.broadcast((item_ids, item_mat)) if item_ids is not None else None
     data = cut_lineage(
         base.withColumn("_val", flag)
         .repartition(n_part, USER, ITEM)
         .sortWithinPartitions(F.xxhash64(USER, ITEM, F.lit(seed)))
+        .select(features, "_y", "_val", ITEM)
+        .mapInArrow(_pack(features, "_y", block), PACKED_SCHEMA)
     )
-    n_in = data.select(F.size(features)).first()[0] + (item_mat.shape[1] if item_mat is not None else 0)
-    sizes = layer_sizes(n_in, hidden)
-    theta = init_theta(sizes, seed)
+    model = lambda weights: MLPModel(weights, sizes, features, item_ids, item_mat, item_side)
+    if n_part == 1:
+        done = data.mapInArrow(_train_fn(theta, sizes, batch_size, lr, seed, epochs, block), "theta array<double>, history array<array<double>>").first()
+        rows_ = [] if done is None else [(i + 1, *(None if v != v else v for v in r)) for i, r in enumerate(done["history"])]
+        return model(theta if done is None else np.array(done["theta"])), spark.createDataFrame(rows_, HISTORY_SCHEMA)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
-    block = spark.sparkContext.broadcast((item_ids, item_mat)) if item_ids is not None else None
     history = []
     # job e trains epoch e and scores the validation rows with the weights of epoch e - 1;
     # one more scoring-only pass gives the last epoch's validation loss
     for epoch in range(epochs + 1):
         training = epoch < epochs
         state = spark.sparkContext.broadcast((theta, m, v, t))
-        fn = _epoch_fn(state, sizes, features, "_y", batch_size, lr, seed, epoch, train=training, item_block=block)
-        parts = data.select(features, "_y", "_val", ITEM).mapInArrow(fn, EPOCH_SCHEMA)
+        fn = _epoch_fn(state, sizes, batch_size, lr, seed, epoch, train=training, item_block=block)
+        parts = data.mapInArrow(fn, EPOCH_SCHEMA)
         tot = _sum_partials(parts, n_part, len(theta))
         state.unpersist()
         if epoch > 0 and tot["vn"]:
@@ -354,8 +455,5 @@ def fit_mlp(
         t = t + int(round(tot["steps"] / n))
         rec = {"epoch": epoch + 1, "loss": tot["sse"] / n, "mae": tot["sae"] / n, "val_loss": None, "val_mae": None}
         history.append(rec)
-    hist = spark.createDataFrame(
-        [(r["epoch"], r["loss"], r["mae"], r["val_loss"], r["val_mae"]) for r in history],
-        "epoch int, loss double, mae double, val_loss double, val_mae double",
-    )
-    return MLPModel(theta, sizes, features, item_ids, item_mat, item_side), hist
+    hist = spark.createDataFrame([(r["epoch"], r["loss"], r["mae"], r["val_loss"], r["val_mae"]) for r in history], HISTORY_SCHEMA)
+    return model(theta), hist

@@ -6,12 +6,13 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tastemap.functions.vectors import array_sum, dot
 from tastemap.operators import als, retrieve
 from tastemap.operators.features import nn_features
-from tastemap.operators.mlp import fit_mlp
+from tastemap.operators.mlp import MLPModel, fit_mlp, gradient, layer_sizes
 from tastemap.plans import metrics, pipelines, tuning
 from tastemap.operators.profile import groups
 from tastemap.plans.queries import E_TRAIN_USER_BOUNDS, K, Fixtures, _pairs, query
@@ -23,7 +24,8 @@ ALS_RANK, ALS_ITER, ALS_REG = 10, 25, 0.1  # MF baseline
 MFNN = dict(max_iter=15, reg=0.1, k=30, rank=10)  # MF-NN without tags
 ANNNN = dict(max_iter=2, reg=0.1, prerank_k=20, rank=20, epochs=50)  # ANN-NN without tags
 ANN_KNN = dict(max_iter=5, rank=20)  # nearest-item recommender
-COMPARISON_EPOCHS = 8
+EPOCHS_TAGS = 32  # of both hybrids, and of MF-NN without tags
+LSH_RECALL = 0.9
 
 
 def _als(f: Fixtures, rank=ALS_RANK, max_iter=ALS_ITER, reg=ALS_REG):
@@ -49,6 +51,27 @@ def _list_check(recs, train):
     )
 
 
+def _with_optimal(checked, recs, uf, itf, train, metric: str):
+    """Adds ``optimal``: every listed item's rank is one more than the number of unseen items that score
+    better, which are counted, not listed."""
+    recs = cut_lineage(recs.select(USER, ITEM, "rank"))
+    counted = retrieve.rank_targets(uf, itf, recs, train, metric)
+    same = counted.join(recs, [USER, ITEM]).groupBy(USER).agg(F.min((F.col("is_scored") & (F.col("above") + 1 == F.col("rank"))).cast("int")).cast("boolean").alias("optimal"))
+    return checked.join(same, USER)
+
+
+def _with_rerank(checked, r: pipelines.HybridResult, k: int):
+    """Adds ``reranked``: the list is what SQL makes of the emitted candidate scores (the candidates that
+    fewer than k others of the user beat, placed by how many do)."""
+    better = (F.col("b.score") > F.col("a.score")) | ((F.col("b.score") == F.col("a.score")) & (F.col("b.item_id") < F.col("a.item_id")))
+    s = r.scored.select(USER, ITEM, SCORE)
+    beaten = s.alias("a").join(s.alias("b"), (F.col("a.user_id") == F.col("b.user_id")) & better, "left")
+    place = beaten.groupBy(F.col("a.user_id").alias(USER), F.col("a.item_id").alias(ITEM)).agg((F.count("b.item_id") + 1).alias("place")).filter(F.col("place") <= k)
+    both = place.join(r.recommendations.select(USER, ITEM, "rank"), [USER, ITEM], "full")
+    right = F.coalesce(F.col("place") == F.col("rank"), F.lit(False)).cast("int")
+    return checked.join(both.groupBy(USER).agg(F.min(right).cast("boolean").alias("reranked")), USER)
+
+
 @query("als_user_factors")
 def q_als_user_factors(f: Fixtures):
     """ALS ends with the user step, so each user's factors solve that user's normal equation against
@@ -82,18 +105,24 @@ def q_als_predict_pairs(f: Fixtures):
 @query("candidates_als")
 def q_candidates_als(f: Fixtures):
     uf, itf = als.factors(_als(f))
-    return _list_check(retrieve.topk_unseen(uf, itf, f.e_train, K, "dot"), f.e_train)
+    recs = retrieve.topk_unseen(uf, itf, f.e_train, K, "dot")
+    return _with_optimal(_list_check(recs, f.e_train), recs, uf, itf, f.e_train, "dot")
 
 
 @query("knn_als")
 def q_knn_als(f: Fixtures):
     uf, itf = als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"]))
-    return _list_check(retrieve.topk_unseen(uf, itf, f.e_train, K, "euclidean"), f.e_train)
+    recs = retrieve.topk_unseen(uf, itf, f.e_train, K, "euclidean")
+    return _with_optimal(_list_check(recs, f.e_train), recs, uf, itf, f.e_train, "euclidean")
 
 
 @query("knn_lsh")
 def q_knn_lsh(f: Fixtures):
-    return _list_check(retrieve.knn_lsh(f.vu, f.vi_scaled, f.e_train, K, bucket_length=2.0, num_tables=4), f.e_train)
+    """The approximate lists, and whether they hold at least nine tenths of the exact ones."""
+    found = cut_lineage(retrieve.knn_lsh(f.vu, f.vi_scaled, f.e_train, K, bucket_length=2.0, num_tables=4))
+    exact = retrieve.topk_unseen(f.vu, f.vi_scaled, f.e_train, K, "euclidean").select(USER, ITEM)
+    hit = exact.join(found.select(USER, ITEM, F.lit(1).alias("_hit")), [USER, ITEM], "left").agg(F.count("_hit"), F.count(F.lit(1))).first()
+    return _list_check(found, f.e_train).withColumn("recall_ok", F.lit(hit[0] >= LSH_RECALL * hit[1]))
 
 
 def _mlp(f: Fixtures):
@@ -106,7 +135,45 @@ def _mlp(f: Fixtures):
 
 @query("mlp_fit_history")
 def q_mlp_fit_history(f: Fixtures):
-    return _mlp(f)[1].select("epoch", *[(_finite(F.col(c)) & (F.col(c) >= 0)).alias(f"{c}_ok") for c in ("loss", "mae", "val_loss", "val_mae")])
+    """Every epoch's figures exist, and training lowers the loss: the last is below the first."""
+    hist = _mlp(f)[1]
+    loss = [r["loss"] for r in hist.orderBy("epoch").collect()]
+    return hist.withColumn("loss_falls", F.lit(loss[-1] < loss[0])).select("epoch", "loss_falls", *[(_finite(F.col(c)) & (F.col(c) >= 0)).alias(f"{c}_ok") for c in ("loss", "mae", "val_loss", "val_mae")])
+
+
+def fixed_theta(sizes: list[int]) -> list[float]:
+    """Fixed weights of a network: ((7919 p) mod 201 - 100) / 1000 at position p."""
+    n = sum(a * b + b for a, b in zip(sizes[:-1], sizes[1:]))
+    return [((7919 * p) % 201 - 100) / 1000 for p in range(n)]
+
+
+# A small network over the fixed vectors, whose passes SQL can follow.
+STEP_HIDDEN, STEP_LR, V_DIM = (4, 2), 0.1, 128
+
+
+@query("mlp_forward")
+def q_mlp_forward(f: Fixtures):
+    """The forward pass on fixed weights."""
+    sizes = layer_sizes(V_DIM, STEP_HIDDEN)
+    out = MLPModel(np.array(fixed_theta(sizes)), sizes).predict(nn_features(_pairs(f.e_test), f.vu, f.vi))
+    return out.select(USER, ITEM, RATING, F.round(SCORE, 6).alias(SCORE))
+
+
+@query("mlp_gradient")
+def q_mlp_gradient(f: Fixtures):
+    """The full gradient at fixed weights over the train set."""
+    rows = nn_features(_pairs(f.e_train), f.vu, f.vi)
+    return gradient(rows, fixed_theta(layer_sizes(V_DIM, STEP_HIDDEN)), STEP_HIDDEN).select("pos", (F.round("grad", 6) + 0.0).alias("grad"))
+
+
+@query("mlp_step")
+def q_mlp_step(f: Fixtures):
+    """One training step from fixed weights with the whole train set as the batch: the weights after it."""
+    rows = nn_features(_pairs(f.e_train), f.vu, f.vi)
+    theta = fixed_theta(layer_sizes(V_DIM, STEP_HIDDEN))
+    model, _ = fit_mlp(rows, RATING, "features", STEP_HIDDEN, epochs=1, batch_size=1 << 40, lr=STEP_LR, validation_frac=0.0, num_partitions=1, theta=theta)
+    weights = f.spark.createDataFrame([(i, float(w)) for i, w in enumerate(model.theta)], "pos long, weight double")
+    return weights.select("pos", F.round("weight", 5).alias("weight"))
 
 
 @query("mlp_scores")
@@ -130,13 +197,13 @@ def q_mlp_eval(f: Fixtures):
 @query("pipeline_mf_nn")
 def q_pipeline_mf_nn(f: Fixtures):
     r = pipelines.mf_nn(f.e_train, f.e_test, f.t, MFNN["max_iter"], MFNN["reg"], MFNN["k"], MFNN["rank"], final_k=K)
-    return _list_check(r.recommendations, f.e_train)
+    return _with_rerank(_list_check(r.recommendations, f.e_train), r, K)
 
 
 @query("pipeline_mf_nn_tags")
 def q_pipeline_mf_nn_tags(f: Fixtures):
     r = pipelines.mf_nn(f.e_train, f.e_test, f.t, MFNN["max_iter"], MFNN["reg"], MFNN["k"], MFNN["rank"], final_k=K, use_tags=True)
-    return _list_check(r.recommendations, f.e_train)
+    return _with_rerank(_list_check(r.recommendations, f.e_train), r, K)
 
 
 @query("pipeline_ann_nn")
@@ -144,29 +211,30 @@ def q_pipeline_ann_nn(f: Fixtures):
     r = pipelines.ann_nn(
         f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, epochs=ANNNN["epochs"]
     )
-    return _list_check(r.recommendations, f.e_train)
+    return _with_rerank(_list_check(r.recommendations, f.e_train), r, K)
 
 
 @query("pipeline_comparison")
 def q_pipeline_comparison(f: Fixtures):
     """The evaluation suite (recall@10, coverages at 1, NDCG, recall by activity bucket) for every
-    model of the published comparison; few epochs. Each value lies in [0, 1]."""
+    model of the published comparison, with its published settings. Each value lies in [0, 1]."""
     cat_pos = cut_lineage(metrics.catalogue_positions(f.e_test))
     grouped = groups(f.e_train, USER, E_TRAIN_USER_BOUNDS)
-    uf, itf = als.factors(_als(f))
-    mf = dict(max_iter=MFNN["max_iter"], reg=MFNN["reg"], k=MFNN["k"], rank=MFNN["rank"], final_k=None, epochs=COMPARISON_EPOCHS)
-    ann = dict(max_iter=ANNNN["max_iter"], reg=ANNNN["reg"], prerank_k=ANNNN["prerank_k"], rank=ANNNN["rank"], k_items=None, epochs=COMPARISON_EPOCHS)
+    dot = lambda u, i: metrics.ranks_of_vectors(f.e_test, u, i, f.e_train, "dot", cat_pos=cat_pos)
+    listed = lambda s: cut_lineage(metrics.ranks_of_scores(f.e_test, s, cat_pos))
     knn = retrieve.topk_unseen(*als.factors(_als(f, ANN_KNN["rank"], ANN_KNN["max_iter"])), f.e_train, K, "euclidean")
-    scores = {"bias": f.bias_pred(), "mf": retrieve.dot_scores(uf, itf, f.e_train), "ann": metrics.ranks_as_scores(knn)}
+    ranks = {"bias": f.bias_ranks(cat_pos), "mf": dot(*als.factors(_als(f))), "ann": listed(metrics.ranks_as_scores(knn))}
+    mf = dict(max_iter=MFNN["max_iter"], reg=MFNN["reg"], k=MFNN["k"], rank=MFNN["rank"], final_k=None, epochs=EPOCHS_TAGS)
+    ann = dict(max_iter=ANNNN["max_iter"], reg=ANNNN["reg"], prerank_k=ANNNN["prerank_k"], rank=ANNNN["rank"], k_items=None)
     for tags in (False, True):
         end = "_tags" if tags else ""
-        scores["mf_nn" + end] = pipelines.mf_nn(f.e_train, None, f.t, use_tags=tags, **mf).recommendations.select(USER, ITEM, SCORE)
-        scores["ann_nn" + end] = pipelines.ann_nn(f.e_train, None, f.t, use_tags=tags, **ann).recommendations.select(USER, ITEM, SCORE)
+        ranks["mf_nn" + end] = listed(pipelines.mf_nn(f.e_train, None, f.t, use_tags=tags, **mf).scored)
+        ranks["ann_nn" + end] = listed(pipelines.ann_nn(f.e_train, None, f.t, use_tags=tags, epochs=EPOCHS_TAGS if tags else ANNNN["epochs"], **ann).scored)
     out = None
-    for name, s in scores.items():
-        rows = metrics.evaluate(f.e_test, s, name, K, 1, cat_pos, grouped)
+    for name, r in ranks.items():
+        rows = metrics.evaluate_ranks(f.e_test, r, name, K, 1, grouped)
         out = rows if out is None else out.unionByName(rows)
-    return out.select("model", "metric", F.col("value").between(0.0, 1.0 + 1e-9).alias("in_range"))
+    return out
 
 
 def _fresh(f: Fixtures, name: str) -> str:
@@ -185,22 +253,27 @@ def _grid_check(results, keys: list[str], metric: str, maximize: bool):
 
 @query("tune_als_cv")
 def q_tune_als_cv(f: Fixtures):
-    return _grid_check(tuning.tune_als_cv(f.e_train, max_iters=[5, 10], regs=[0.1, 0.01], ranks=[5, 10], folds=3), ["max_iter", "reg", "rank"], "rmse", False)
+    return _grid_check(tuning.tune_als_cv(f.e_train), ["max_iter", "reg", "rank"], "rmse", False)
 
 
 @query("tune_knn_grid")
 def q_tune_knn_grid(f: Fixtures):
-    return _grid_check(tuning.tune_knn_grid(f.e_train, max_iters=[5, 10], ranks=[10, 20], path=_fresh(f, "knn")), ["max_iter", "rank"], "recall", True)
+    return _grid_check(tuning.tune_knn_grid(f.e_train, path=_fresh(f, "knn")), ["max_iter", "rank"], "recall", True)
 
 
 @query("tune_ann_nn_grid")
 def q_tune_ann_nn_grid(f: Fixtures):
-    return _grid_check(tuning.tune_ann_nn_grid(f.e_train, max_iters=[2, 5], prerank_ks=[20, 30], ranks=[10, 20], epochs=8, path=_fresh(f, "ann_nn")), ["max_iter", "rank", "prerank_k"], "recall", True)
+    return _grid_check(tuning.tune_ann_nn_grid(f.e_train, path=_fresh(f, "ann_nn")), ["max_iter", "rank", "prerank_k"], "recall", True)
 
 
 @query("tune_mf_nn_grid")
 def q_tune_mf_nn_grid(f: Fixtures):
-    return _grid_check(tuning.tune_mf_nn_grid(f.e_train, f.t, max_iters=[5, 15], regs=[0.1, 0.01], ks=[20, 30], ranks=[10], epochs=8, path=_fresh(f, "mf_nn")), ["max_iter", "reg", "k", "rank"], "mse", False)
+    return _grid_check(tuning.tune_mf_nn_grid(f.e_train, path=_fresh(f, "mf_nn")), ["max_iter", "reg", "k", "rank"], "mse", False)
+
+
+@query("tune_mf_nn_grid_tags")
+def q_tune_mf_nn_grid_tags(f: Fixtures):
+    return _grid_check(tuning.tune_mf_nn_grid(f.e_train, f.t, use_tags=True, path=_fresh(f, "mf_nn_tags")), ["max_iter", "reg", "k", "rank"], "mse", False)
 
 
 @query("pipeline_ann_nn_p")
@@ -210,7 +283,7 @@ def q_pipeline_ann_nn_p(f: Fixtures):
     r = pipelines.ann_nn(
         f.p_train, f.p_test, None, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, epochs=ANNNN["epochs"]
     )
-    return _list_check(r.recommendations, f.p_train)
+    return _with_rerank(_list_check(r.recommendations, f.p_train), r, K)
 
 
 @query("pipeline_ann_nn_tags")
@@ -219,4 +292,13 @@ def q_pipeline_ann_nn_tags(f: Fixtures):
     r = pipelines.ann_nn(
         f.e_train, f.e_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, use_tags=True, epochs=32
     )
-    return _list_check(r.recommendations, f.e_train)
+    return _with_rerank(_list_check(r.recommendations, f.e_train), r, K)
+
+
+@query("pipeline_ann_nn_tags_p")
+def q_pipeline_ann_nn_tags_p(f: Fixtures):
+    """The published final configuration on the sparse order-line interactions: a catalogue of thousands."""
+    r = pipelines.ann_nn(
+        f.p_train, f.p_test, f.t, ANNNN["max_iter"], ANNNN["reg"], ANNNN["prerank_k"], ANNNN["rank"], K, use_tags=True, epochs=EPOCHS_TAGS
+    )
+    return _with_rerank(_list_check(r.recommendations, f.p_train), r, K)

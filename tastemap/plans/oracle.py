@@ -431,14 +431,48 @@ def oracle() -> dict[str, str]:
     return q
 
 
-def _lists(train: str, k: int, items: str) -> str:
+def _lists(train: str, k: int, items: str, also: str) -> str:
     """What a list of the k best unseen items must be, for every train user."""
-    return f"""SELECT s.user_id, least({k}, (SELECT count(*) FROM ({items})) - s.n) AS n_items, true AS all_unseen, true AS items_differ,
+    return f"""SELECT true AS {also}, s.user_id, least({k}, (SELECT count(*) FROM ({items})) - s.n) AS n_items, true AS all_unseen, true AS items_differ,
                true AS ranks_complete, true AS scores_finite
         FROM (SELECT user_id, count(DISTINCT item_id) AS n FROM {train} GROUP BY user_id) s
         WHERE (SELECT count(*) FROM ({items})) > s.n"""
 
 
+def _mlp_passes() -> dict[str, str]:
+    """Forward pass, gradient and one training step of the 128-4-2-1 network on fixed weights."""
+    d, h1, h2, lr = 128, 4, 2, 0.1
+    theta = [((7919 * p) % 201 - 100) / 1000 for p in range(d * h1 + h1 + h1 * h2 + h2 + h2 + 1)]
+    b1, w2, b2, w3, b3 = d * h1, d * h1 + h1, d * h1 + h1 + h1 * h2, d * h1 + h1 + h1 * h2 + h2, d * h1 + h1 + h1 * h2 + 2 * h2
+    lit = lambda v: f"CAST({v!r} AS DOUBLE)"
+
+    def passes(rows: str) -> str:
+        first = ", ".join(f"greatest(list_dot_product(x, [{', '.join(lit(theta[i * h1 + j]) for i in range(d))}]) + {lit(theta[b1 + j])}, 0) AS a{j}" for j in range(h1))
+        second = ", ".join("greatest(" + " + ".join(f"a{j} * {lit(theta[w2 + j * h2 + k])}" for j in range(h1)) + f" + {lit(theta[b2 + k])}, 0) AS c{k}" for k in range(h2))
+        out = " + ".join(f"c{k} * {lit(theta[w3 + k])}" for k in range(h2)) + f" + {lit(theta[b3])}"
+        x = f"SELECT r.user_id, r.item_id, r.rating, list_concat(u.f, i.f) AS x FROM {rows} r JOIN vu u ON u.id = r.user_id JOIN vi i ON i.id = r.item_id"
+        return f"SELECT *, {out} AS p FROM (SELECT *, {second} FROM (SELECT *, {first} FROM ({x})))"
+
+    back = f"SELECT *, 2 * (p - rating) / (SELECT count(*) FROM fwd) AS e FROM fwd"
+    back = f"SELECT *, {', '.join(f'CASE WHEN c{k} > 0 THEN e * {lit(theta[w3 + k])} ELSE 0 END AS d{k}' for k in range(h2))} FROM ({back})"
+    hidden = lambda j: " + ".join(f"d{k} * {lit(theta[w2 + j * h2 + k])}" for k in range(h2))
+    back = f"SELECT *, {', '.join(f'CASE WHEN a{j} > 0 THEN {hidden(j)} ELSE 0 END AS g{j}' for j in range(h1))} FROM ({back})"
+    at = lambda pos, expr: f"SELECT CAST({pos} AS BIGINT) AS pos, sum({expr}) AS grad FROM bwd"
+    parts = [f"SELECT CAST((k - 1) * {h1} + {j} AS BIGINT) AS pos, sum(v * g{j}) AS grad FROM (SELECT unnest(x) AS v, generate_subscripts(x, 1) AS k, g{j} FROM bwd) GROUP BY k" for j in range(h1)]
+    parts += [at(b1 + j, f"g{j}") for j in range(h1)]
+    parts += [at(w2 + j * h2 + k, f"a{j} * d{k}") for j in range(h1) for k in range(h2)] + [at(b2 + k, f"d{k}") for k in range(h2)]
+    parts += [at(w3 + k, f"c{k} * e") for k in range(h2)] + [at(b3, "e")]
+    grad = {"fwd": passes("e_train"), "bwd": back, "grads": " UNION ALL ".join(parts)}
+    # the first Adam step: moments m = (1 - b1) g, v = (1 - b2) g^2, rate lr * sqrt(1 - b2) / (1 - b1)
+    step = f"{lr} * sqrt(1 - 0.999) / (1 - 0.9) * ((1 - 0.9) * grad) / (sqrt((1 - 0.999) * grad * grad) + 1e-7)"
+    start = f"((7919 * pos) % 201 - 100) / 1000"
+    return {
+        "mlp_forward": f"SELECT user_id, item_id, rating, round(p, 6) AS score FROM ({passes('e_test')})",
+        "mlp_gradient": with_ctes("SELECT pos, round(grad, 6) + 0.0 AS grad FROM grads", grad),
+        "mlp_step": with_ctes(f"SELECT pos, round({start} - {step}, 5) AS weight FROM grads", grad),
+    }
+
+
 def _model_oracle() -> dict[str, str]:
     """Properties of right results of the fitted models (see ``model_queries``)."""
     e_items, p_items = "SELECT DISTINCT item_id FROM e_train", "SELECT DISTINCT item_id FROM p_train"
@@ -447,29 +481,26 @@ def _model_oracle() -> dict[str, str]:
         "als_item_factors": "SELECT DISTINCT item_id AS id, CAST(10 AS BIGINT) AS dim, true AS finite FROM e_train",
         "als_predict_pairs": """SELECT user_id, item_id, rating, true AS is_dot_product FROM e_test
             WHERE user_id IN (SELECT user_id FROM e_train) AND item_id IN (SELECT item_id FROM e_train)""",
-        "mlp_fit_history": "SELECT CAST(unnest(range(1, 33)) AS INTEGER) AS epoch, true AS loss_ok, true AS mae_ok, true AS val_loss_ok, true AS val_mae_ok",
+        "mlp_fit_history": "SELECT CAST(unnest(range(1, 33)) AS INTEGER) AS epoch, true AS loss_falls, true AS loss_ok, true AS mae_ok, true AS val_loss_ok, true AS val_mae_ok",
         "mlp_scores": "SELECT user_id, item_id, rating, true AS score_finite FROM e_test WHERE user_id IN (SELECT id FROM vu) AND item_id IN (SELECT id FROM vi)",
         "mlp_eval": """SELECT count(*) AS n, true AS mse_ok, true AS mae_ok FROM e_test
             WHERE user_id IN (SELECT id FROM vu) AND item_id IN (SELECT id FROM vi)""",
-        "knn_lsh": _lists("e_train", 10, "SELECT id FROM vi"),
-        "pipeline_ann_nn_p": _lists("p_train", 10, p_items),
+        "knn_lsh": _lists("e_train", 10, "SELECT id FROM vi", "recall_ok"),
+        "pipeline_ann_nn_p": _lists("p_train", 10, p_items, "reranked"),
+        "pipeline_ann_nn_tags_p": _lists("p_train", 10, p_items, "reranked"),
     }
-    for name in ("candidates_als", "knn_als", "pipeline_mf_nn", "pipeline_mf_nn_tags", "pipeline_ann_nn", "pipeline_ann_nn_tags"):
-        q[name] = _lists("e_train", 10, e_items)
-    gid, _ = _bucket("n_ratings", E_TRAIN_USER_BOUNDS)
-    models = ", ".join(f"('{m}')" for m in ("bias", "mf", "ann", "mf_nn", "mf_nn_tags", "ann_nn", "ann_nn_tags"))
-    q["pipeline_comparison"] = f"""SELECT m.model, x.metric, true AS in_range
-        FROM (VALUES {models}) m(model), (
-            SELECT unnest(['recall', 'user_coverage', 'item_coverage', 'catalog_coverage', 'ndcg']) AS metric
-            UNION ALL
-            SELECT DISTINCT 'recall_group_' || {gid} FROM (SELECT user_id, count(*) AS n_ratings FROM e_train GROUP BY user_id) g
-            WHERE user_id IN (SELECT user_id FROM e_test)) x"""
-    out = {name: with_ctes(body) for name, body in q.items()}
+    for name in ("candidates_als", "knn_als"):
+        q[name] = _lists("e_train", 10, e_items, "optimal")
+    for name in ("pipeline_mf_nn", "pipeline_mf_nn_tags", "pipeline_ann_nn", "pipeline_ann_nn_tags"):
+        q[name] = _lists("e_train", 10, e_items, "reranked")
+    q.update(_mlp_passes())
+    out = {name: body if body.lstrip().startswith("WITH") else with_ctes(body) for name, body in q.items()}
     ok = "true AS metric_ok, true AS best_ok"
     axis = lambda name, *v: f"(SELECT unnest([{', '.join(map(str, v))}]) AS {name})"
     reg = "(SELECT unnest([CAST(0.1 AS DOUBLE), CAST(0.01 AS DOUBLE)]) AS reg)"
-    out["tune_als_cv"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 10)}, {reg}, {axis('rank', 5, 10)}"
-    out["tune_knn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 10)}, {axis('rank', 10, 20)}"
-    out["tune_ann_nn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 2, 5)}, {axis('rank', 10, 20)}, {axis('prerank_k', 20, 30)}"
-    out["tune_mf_nn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 15)}, {reg}, {axis('k', 20, 30)}, {axis('rank', 10)}"
+    out["tune_als_cv"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 15, 25)}, {reg}, {axis('rank', 5, 10, 15)}"
+    out["tune_knn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 10, 15)}, {axis('rank', 5, 10, 20)}"
+    out["tune_ann_nn_grid"] = f"SELECT *, {ok} FROM {axis('max_iter', 2, 5, 10, 15)}, {axis('rank', 5, 10, 15, 20)}, {axis('prerank_k', 20, 30, 50)}"
+    for name in ("tune_mf_nn_grid", "tune_mf_nn_grid_tags"):
+        out[name] = f"SELECT *, {ok} FROM {axis('max_iter', 5, 15, 25)}, {reg}, {axis('k', 20, 30, 50)}, {axis('rank', 10, 15, 20)}"
     return out
