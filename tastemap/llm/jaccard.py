@@ -168,10 +168,9 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
             cuts = np.searchsorted(k, (np.arange(1, buckets, dtype=np.uint64) * U((1 << 64) // buckets)))
             cuts = np.concatenate([[0], cuts, [len(k)]])
             use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-            # six bytes of the key tell shingles apart well enough: a false meeting is dropped later
-            k6 = np.ascontiguousarray(k.byteswap().view(np.uint8).reshape(-1, 8)[:, :6])
+            # in a bucket, four bytes of the key tell shingles apart well enough: a false meeting is dropped later
             part = lambda x: pa.array([np.ascontiguousarray(x[cuts[b] : cuts[b + 1]]).tobytes() for b in use], pa.binary())
-            return pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(k6), "digests": part(d), "sizes": part(z)})
+            return pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(k.astype(np.uint32)), "digests": part(d), "sizes": part(_narrow(z))})
 
         for batch in batches:
             for _, _, first, s in _each(batch):
@@ -213,14 +212,22 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(task, "b int, keys binary, digests binary, sizes binary")
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """As two bytes each where all fit, else as four."""
+    return x.astype(np.uint16 if x.max(initial=0) < 1 << 16 else np.uint32)
+
+
+def _numbers(cells: pa.ChunkedArray, counts: list[int]) -> list[np.ndarray]:
+    """The values of cells of two or four bytes each, of known counts."""
+    raw = [x.as_py() for x in cells]
+    return [np.frombuffer(r, np.uint16 if len(r) == 2 * n else np.uint32) for r, n in zip(raw, counts, strict=True)]
+
+
 def meetings(rows: pa.Table) -> pa.Table:
     """The lists of a bucket: nodes that share a key and could link by size, each list once."""
     cat = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in rows.column(name)), kind)
-    k6 = cat("keys", np.uint8).reshape(-1, 6)
-    key = np.zeros(len(k6), np.uint64)
-    for i in range(6):
-        key = key << U(8) | k6[:, i].astype(np.uint64)
-    digest, size = cat("digests", np.int64), cat("sizes", np.int32)
+    key, digest = cat("keys", np.uint32), cat("digests", np.int64)
+    size = np.concatenate(_numbers(rows.column("sizes"), [len(x.as_py()) // 4 for x in rows.column("keys")])).astype(np.int64)
     order = np.lexsort((digest, size >> 1, key))
     key, digest, size = key[order], digest[order], size[order]
     n, small = (size >> 1).astype(np.int64), (size & 1).astype(bool)
@@ -492,22 +499,21 @@ def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int
             for i, j, first, s in _each(batch):
                 n = np.diff(first)
                 key = W.fmix(s + np.repeat(W.fmix(of[i:j].astype(np.uint64)), n))
-                owner = np.repeat(np.arange(j - i, dtype=np.uint32), n)  # texts of a chunk by number, ids once a row
+                owner = np.repeat(_narrow(np.arange(j - i)), n)  # texts of a chunk by number, ids once a row
                 order = np.argsort(key)
                 key, owner = key[order], owner[order]
                 cuts = np.searchsorted(key, (np.arange(1, buckets, dtype=np.uint64) * U((1 << 64) // buckets)))
                 cuts = np.concatenate([[0], cuts, [len(key)]])
                 use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
                 part = lambda x, cuts=cuts, use=use: pa.array([np.ascontiguousarray(x[cuts[b] : cuts[b + 1]]).tobytes() for b in use], pa.binary())
-                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(np.ascontiguousarray(key.byteswap().view(np.uint8).reshape(-1, 8)[:, :6])), "owners": part(owner), "ids": pa.array([ids[i:j].astype(np.int64).tobytes()] * len(use), pa.binary())})
+                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(key.astype(np.uint32)), "owners": part(owner), "ids": pa.array([ids[i:j].astype(np.int64).tobytes()] * len(use), pa.binary())})
 
     def counts(rows: pa.Table) -> pa.Table:
         """The shared shingles of a bucket by text, packed in one row per group of texts."""
-        k6 = np.frombuffer(b"".join(x.as_py() for x in rows.column("keys")), np.uint8)
-        owner = np.concatenate([np.frombuffer(i.as_py(), np.int64)[np.frombuffer(o.as_py(), np.uint32)] for o, i in zip(rows.column("owners"), rows.column("ids"), strict=True)])
-        key = np.zeros((len(owner), 8), np.uint8)
-        key[:, 2:] = k6.reshape(-1, 6)  # shingles that meet by chance only leave a member in
-        key = key.view(">u8").reshape(-1).astype(np.uint64)
+        keys = [x.as_py() for x in rows.column("keys")]
+        key = np.frombuffer(b"".join(keys), np.uint32)  # shingles that meet by chance only leave a member in
+        numbers = _numbers(rows.column("owners"), [len(x) // 4 for x in keys])
+        owner = np.concatenate([np.frombuffer(i.as_py(), np.int64)[o] for o, i in zip(numbers, rows.column("ids"), strict=True)])
         _, inv, n = np.unique(key, return_inverse=True, return_counts=True)
         ids, c = np.unique(owner[n[inv] > 1], return_counts=True)
         g = (W.fmix(ids.view(np.uint64)) % U(groups)).astype(np.int64)
@@ -561,9 +567,9 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOC
     links = materialize(dealt.groupBy("b").applyInArrow(lambda t: verified(t), "u long, v long"), "links")
 
     # a doc_id with several texts is one document: its texts are linked
-    of_id = each.filter("n > 0 and doc_id is not null").select("doc_id", "digest", "n").distinct()
-    several = of_id.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("doc_id")
-    same = of_id.join(several, "doc_id").join(nodes.select("digest", "n", "id"), ["digest", "n"]).select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
+    of_id = each.filter("n > 0 and doc_id is not null").select("doc_id", "digest", "n")
+    several = of_id.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("doc_id")
+    same = of_id.join(materialize(several, "several"), "doc_id").join(nodes.select("digest", "n", "id"), ["digest", "n"]).select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
     links = links.unionByName(same)
 
     final = nodes.select("digest", "n", "id").join(components(links), "id", "left").select("digest", "n", F.coalesce("component", "id").alias("component_id"))
