@@ -132,3 +132,40 @@ def test_missing_tags_keep_rows(spark):
         per = {x.user_id: x["count"] for x in r.recommendations.groupBy("user_id").count().collect()}
         assert per == {u: 5 for u in range(12)}
         assert r.recommendations.join(train, ["user_id", "item_id"], "left_semi").count() == 0
+
+
+def test_mlp_in_one_task_is_reproducible(spark):
+    rng = np.random.RandomState(4)
+    rows = [(u, i, [float(x) for x in rng.randn(5)], float(rng.randn())) for u in range(20) for i in range(15)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, features array<double>, rating double")
+    kw = dict(epochs=3, hidden=(6,), batch_size=1000, seed=1, validation_frac=0.0)
+    one, h1 = fit_mlp(df, num_partitions=1, **kw)
+    _, h2 = fit_mlp(df, num_partitions=2, **kw)
+    assert h1.count() == h2.count() == 3
+    # full batches: the order of rows does not matter, so the losses of the first epoch agree
+    assert abs(h1.filter("epoch = 1").first().loss - h2.filter("epoch = 1").first().loss) < 0.5
+    again, _ = fit_mlp(df.repartition(7), num_partitions=1, **kw)
+    assert np.allclose(one.theta, again.theta, atol=1e-12)
+
+
+def test_mlp_gradient_matches_finite_differences(spark):
+    from tastemap.operators import mlp
+
+    rng = np.random.RandomState(5)
+    rows = [(0, 0, [float(x) for x in rng.randn(3)], float(rng.randn())) for _ in range(40)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, features array<double>, rating double").repartition(3)
+    sizes = mlp.layer_sizes(3, (4,))
+    theta = rng.randn(3 * 4 + 4 + 4 + 1)
+    x, y = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+    loss = lambda t: ((mlp.forward(x, mlp.unpack(t, sizes)) - y) ** 2).mean()
+    got = {r.pos: r.grad for r in mlp.gradient(df, theta, (4,)).collect()}
+    for p in range(len(theta)):
+        step = np.zeros(len(theta))
+        step[p] = 1e-6
+        assert abs(got[p] - (loss(theta + step) - loss(theta - step)) / 2e-6) < 1e-5
+
+
+def test_mlp_without_rows_keeps_its_weights(spark):
+    df = spark.createDataFrame([], "user_id int, item_id int, features array<double>, rating double")
+    model, hist = fit_mlp(df, epochs=2, hidden=(3,))
+    assert hist.count() == 0 and len(model.theta) == 3 + 3 + 1
