@@ -265,6 +265,8 @@ def oracle() -> dict[str, str]:
     q["src_interactions"] = with_ctes("SELECT user_id, item_id, rating FROM p")
     q["src_interactions_events"] = with_ctes("SELECT user_id, item_id, rating FROM e")
     q["src_item_tags"] = with_ctes("SELECT item_id, tag_id, relevance FROM t")
+    q["src_ratings_csv"] = with_ctes("SELECT user_id, item_id, rating, CAST(epoch(CAST(ts AS TIMESTAMP)) AS BIGINT) AS ts FROM p")
+    q["src_tags_csv"] = with_ctes("SELECT item_id, tag_id, relevance FROM t")
     q["tags_of_sampled_items"] = with_ctes("SELECT * FROM t WHERE item_id IN (SELECT item_id FROM sample)", SAMPLE_CTE)
     q["active_items"] = with_ctes(f"SELECT item_id, count(*) AS n_ratings FROM p GROUP BY item_id HAVING count(*) > {ACTIVE_ITEM_THRESH}")
     q["active_users"] = with_ctes("SELECT user_id, count(*) AS n_ratings FROM p GROUP BY user_id HAVING count(*) > 20")

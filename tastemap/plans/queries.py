@@ -3,6 +3,7 @@ fixture tables. Column names match the oracle SQL in :mod:`tastemap.plans.oracle
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from tastemap.functions.vectors import array_sum, dot
 from tastemap.operators import bias, masks, prep, profile, retrieve
 from tastemap.operators.features import item_tag_vectors, nn_features
 from tastemap.plans import metrics
-from tastemap.schema import ITEM, RATING, SCORE, USER
-from tastemap.session import cut_lineage
+from tastemap.schema import ITEM, RATING, SCORE, TS, USER
+from tastemap.session import checkpoint_dir, cut_lineage
+from tastemap.sources import csv
 from tastemap.sources import fixtures as fx
 
 # Sampling parameters, the same for every input.
@@ -156,6 +158,26 @@ def q_src_item_tags(f: Fixtures):
     return f.t
 
 
+def _csv_folder(f: Fixtures, name: str) -> str:
+    return f"{checkpoint_dir(f.spark).rstrip('/')}/csv/{name}-{uuid.uuid4().hex}"
+
+
+@query("src_ratings_csv")
+def q_src_ratings_csv(f: Fixtures):
+    """All of P written in the ratings layout and scanned back."""
+    path = _csv_folder(f, "ratings")
+    csv.write_ratings_csv(f.p.withColumn(TS, F.unix_seconds(F.col(TS).cast("timestamp"))), path)
+    return csv.read_ratings_csv(f.spark, path)
+
+
+@query("src_tags_csv")
+def q_src_tags_csv(f: Fixtures):
+    """All of T written in the tags layout and scanned back."""
+    path = _csv_folder(f, "tags")
+    csv.write_tags_csv(f.t, path)
+    return csv.read_tags_csv(f.spark, path)
+
+
 # ---- projection / filter / reshape ------------------------------------------------------
 @query("tags_of_sampled_items")
 def q_tags_of_sampled_items(f: Fixtures):
