@@ -223,7 +223,7 @@ WANT = "The title\nFirst & foremost text goes on. Next line\nSecond é paragraph
 def test_html(page):
     toks = htmltext.label(PAGE)
     assert htmltext.blocks(toks[0][toks[1] : toks[2]]) == WANT
-    assert htmltext.extract(page, {"article": -100.0, "body": -100.0, "html": -100.0, "main": -100.0}) == WANT
+    assert htmltext.extract(page, htmltext.Weights({"article": -100.0, "body": -100.0, "html": -100.0, "main": -100.0}, {})) == WANT
 
 
 def test_html_table(spark):
@@ -239,15 +239,16 @@ def test_region_is_the_best_one():
     rng = np.random.default_rng(4)
     weight = {"p": -1.5, "i": -0.5, "div": -4.0}
     for _ in range(60):
-        toks = [("", " ".join("w" * rng.integers(1, 5)), False) if rng.random() < 0.5 else (rng.choice(["p", "/p", "i", "div"]), "", False) for _ in range(14)]
-        score = [len(t[1].split()) if not t[0] else weight[t[0].lstrip("/")] for t in toks]
-        i, j = htmltext.region(toks, weight)
+        names = [str(rng.choice(["p", "/p", "i", "div"])) if rng.random() < 0.5 else "" for _ in range(14)]
+        toks = [htmltext.Token(t, "" if t else " ".join("w" * rng.integers(1, 5)), False, (t.lstrip("/"),) if t else (), "@body") for t in names]
+        score = [len(t.text.split()) if not t.name else weight[t.name.lstrip("/")] for t in toks]
+        i, j = htmltext.region(toks, htmltext.Weights(weight, {}))
         assert math.isclose(sum(score[i:j]), max([0.0] + [sum(score[a:b]) for a in range(14) for b in range(a + 1, 15)]))
 
 
 def test_page_with_much_markup_is_read_in_time():
     page = "<p " * 20_000 + "<a title=\"x" * 300 + "<b>" * 3000 + "word"
-    assert isinstance(htmltext.extract(page, {}), str)
+    assert isinstance(htmltext.extract(page, htmltext.Weights({}, {})), str)
 
 
 # ---------------------------------------------------------------- token files
