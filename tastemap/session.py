@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "tastemap", shuffle_partitio
         .config("spark.ui.retainedStages", "100")
         .config("spark.ui.retainedTasks", "10000")
         .config("spark.sql.ui.retainedExecutions", "50")
+        .config("spark.scheduler.mode", "FAIR")  # points of a grid share the cores
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
