@@ -168,9 +168,9 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
             cuts = np.searchsorted(k, (np.arange(1, buckets, dtype=np.uint64) * U((1 << 64) // buckets)))
             cuts = np.concatenate([[0], cuts, [len(k)]])
             use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-            # in a bucket, four bytes of the key tell shingles apart well enough: a false meeting is dropped later
+            # in a bucket, three bytes of the key tell shingles apart well enough: a false meeting is dropped later
             part = lambda x: pa.array([np.ascontiguousarray(x[cuts[b] : cuts[b + 1]]).tobytes() for b in use], pa.binary())
-            return pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(k.astype(np.uint32)), "digests": part(d), "sizes": part(_narrow(z))})
+            return pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(_three(k)), "digests": part(d), "sizes": part(_narrow(z))})
 
         for batch in batches:
             for _, _, first, s in _each(batch):
@@ -212,6 +212,18 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(task, "b int, keys binary, digests binary, sizes binary")
 
 
+def _three(key: np.ndarray) -> np.ndarray:
+    """The low three bytes of each key. A bucket holds as many keys on any input, so its keys rarely agree by chance."""
+    return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3])
+
+
+def _from_three(cells: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(cells), np.uint8).reshape(-1, 3)
+    out = np.zeros((len(raw), 4), np.uint8)
+    out[:, :3] = raw
+    return out.view("<u4").reshape(-1)
+
+
 def _narrow(x: np.ndarray) -> np.ndarray:
     """As two bytes each where all fit, else as four."""
     return x.astype(np.uint16 if x.max(initial=0) < 1 << 16 else np.uint32)
@@ -226,8 +238,9 @@ def _numbers(cells: pa.ChunkedArray, counts: list[int]) -> list[np.ndarray]:
 def meetings(rows: pa.Table) -> pa.Table:
     """The lists of a bucket: nodes that share a key and could link by size, each list once."""
     cat = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in rows.column(name)), kind)
-    key, digest = cat("keys", np.uint32), cat("digests", np.int64)
-    size = np.concatenate(_numbers(rows.column("sizes"), [len(x.as_py()) // 4 for x in rows.column("keys")])).astype(np.int64)
+    keys = [x.as_py() for x in rows.column("keys")]
+    key, digest = _from_three(keys), cat("digests", np.int64)
+    size = np.concatenate(_numbers(rows.column("sizes"), [len(x) // 3 for x in keys])).astype(np.int64)
     order = np.lexsort((digest, size >> 1, key))
     key, digest, size = key[order], digest[order], size[order]
     n, small = (size >> 1).astype(np.int64), (size & 1).astype(bool)
@@ -506,13 +519,13 @@ def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int
                 cuts = np.concatenate([[0], cuts, [len(key)]])
                 use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
                 part = lambda x, cuts=cuts, use=use: pa.array([np.ascontiguousarray(x[cuts[b] : cuts[b + 1]]).tobytes() for b in use], pa.binary())
-                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(key.astype(np.uint32)), "owners": part(owner), "ids": pa.array([ids[i:j].astype(np.int64).tobytes()] * len(use), pa.binary())})
+                yield pa.record_batch({"b": pa.array(use, pa.int32()), "keys": part(_three(key)), "owners": part(owner), "ids": pa.array([ids[i:j].astype(np.int64).tobytes()] * len(use), pa.binary())})
 
     def counts(rows: pa.Table) -> pa.Table:
         """The shared shingles of a bucket by text, packed in one row per group of texts."""
         keys = [x.as_py() for x in rows.column("keys")]
-        key = np.frombuffer(b"".join(keys), np.uint32)  # shingles that meet by chance only leave a member in
-        numbers = _numbers(rows.column("owners"), [len(x) // 4 for x in keys])
+        key = _from_three(keys)  # shingles that meet by chance only leave a member in
+        numbers = _numbers(rows.column("owners"), [len(x) // 3 for x in keys])
         owner = np.concatenate([np.frombuffer(i.as_py(), np.int64)[o] for o, i in zip(numbers, rows.column("ids"), strict=True)])
         _, inv, n = np.unique(key, return_inverse=True, return_counts=True)
         ids, c = np.unique(owner[n[inv] > 1], return_counts=True)
