@@ -17,7 +17,7 @@ own; further columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemap.session import materialize
@@ -38,50 +38,48 @@ MAX_OWNERS = 1
 KINDS = ("assign", "access", "hex")
 
 
-def _spans(text: Column, pattern: str, kind: str, order: int, keep, group: int = 0) -> Column:
-    """array<struct<start, ord, kind, end, value>> of the leftmost non-overlapping matches that
-    pass ``keep``. Positions are running sums over the pieces that ``split`` leaves between the
-    matches: code points, since ``length`` counts those."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    pieces = F.split(text, pattern, -1)
-    typ = "array<struct<start:int,ord:int,kind:string,end:int,value:string>>"
+FOUND = "array<struct<ord:int,gap:int,len:int,value:string>>"
 
-    def add(acc: Column, z: Column) -> Column:
-        start = acc["at"] + F.length(z["piece"])
-        end = start + F.length(z["match"])
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"), end.alias("end"), z["value"].alias("value")))
-        return F.struct(end.alias("at"), F.when(keep(z), F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    zipped = F.zip_with(
+def _matches(text: Column, pattern: str, order: int, group: int = 0) -> Column:
+    """The leftmost non-overlapping matches in order: the characters before each since the last one, its
+    length and its value. ``length`` counts code points."""
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(whole))
+    found = F.zip_with(
         F.arrays_zip(whole.alias("match"), parts.alias("value")),
-        F.slice(pieces, 1, F.size(whole)),
-        lambda m, p: F.struct(m["match"].alias("match"), m["value"].alias("value"), p.alias("piece")),
+        gaps,
+        lambda m, g: F.struct(F.lit(order).alias("ord"), F.length(g).alias("gap"), F.length(m["match"]).alias("len"), m["value"].alias("value")),
     )
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), F.lit(None).cast(typ).alias("out")), lambda a, z: add(F.struct(a["at"].alias("at"), F.coalesce(a["out"], F.array().cast(typ)).alias("out")), z), lambda a: F.coalesce(a["out"], F.array().cast(typ)))
-    return F.when(F.size(whole) > 0, found).otherwise(F.array().cast(typ))
+    return F.when(F.size(whole) > 0, found).otherwise(F.array().cast(FOUND))
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
-    """(id, owner, base, extra): the base spans and the method's further candidates of every row."""
+    """(id, owner, found): the matches of the base patterns and of the method's own in every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     # a run matches as a whole, so the least length can be part of the pattern; for ``assign`` it
     # cannot, as a failing match still uses up its text
-    assign = _spans(text, ASSIGN, "assign", 0, lambda z: F.length(z["value"]) >= ASSIGN_LEN, group=2)
-    access = _spans(text, ACCESS.replace("+", f"{{{ACCESS_LEN - 4},}}"), "access", 1, lambda z: F.lit(True))
-    hexes = _spans(text, HEX.replace("+", f"{{{HEX_LEN},}}"), "hex", 2, lambda z: F.lit(True))
-    token = _spans(text, TOKEN, "token", 3, lambda z: F.lit(True))
-    return docs.select(
-        F.col(id_col).alias("id"),
-        F.col(owner_col).cast("string").alias("owner"),
-        F.concat(assign, access, hexes).alias("base"),
-        token.alias("extra"),
-    )
+    assign = _matches(text, ASSIGN, 0, group=2)
+    access = _matches(text, ACCESS.replace("+", f"{{{ACCESS_LEN - 4},}}"), 1)
+    hexes = _matches(text, HEX.replace("+", f"{{{HEX_LEN},}}"), 2)
+    token = _matches(text, TOKEN, 3)
+    return docs.select(F.col(id_col).alias("id"), F.col(owner_col).cast("string").alias("owner"), F.concat(assign, access, hexes, token).alias("found"))
+
+
+def positions(cands: DataFrame) -> DataFrame:
+    """(row, id, owner, start, ord, kind, end, value), one row per span. Positions are running sums over a
+    row's matches of a kind, so the work is linear in them."""
+    each = cands.filter(F.size("found") > 0).select("row", "id", "owner", F.posexplode("found").alias("at", "f")).select("row", "id", "owner", "at", "f.*")
+    so_far = F.sum(F.col("gap") + F.col("len")).over(Window.partitionBy("row", "ord").orderBy("at"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in (*KINDS, "token")]), F.col("ord") + 1)
+    each = each.withColumn("end", so_far.cast("int")).filter((F.col("ord") != 0) | (F.length("value") >= ASSIGN_LEN))
+    return each.select("row", "id", "owner", (F.col("end") - F.col("len")).alias("start"), "ord", kind.alias("kind"), "end", "value")
 
 
-def ownership(cands: DataFrame) -> DataFrame:
+def ownership(each: DataFrame) -> DataFrame:
     """(value_hash, n_repos, n_owners) over all candidates of the corpus; hashes only."""
-    each = cands.select("id", "owner", F.explode(F.concat("base", "extra")).alias("s")).select("id", "owner", _hash(F.col("s.value")).alias("value_hash"))
+    each = each.select("id", "owner", _hash(F.col("value")).alias("value_hash"))
     repos = each.groupBy("value_hash", "owner", "id").agg(F.lit(1).alias("one"))
     by_owner = repos.groupBy("value_hash", "owner").agg(F.count("one").alias("repos"))
     return by_owner.groupBy("value_hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
@@ -95,15 +93,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     """One row per input row: ``id``, ``base`` spans, ``spans`` (base and live-looking candidates,
     each with its value, ``n_repos``, ``n_owners`` and ``live``)."""
     cands = materialize(candidates(docs, id_col, text_col, owner_col).withColumn("row", F.monotonically_increasing_id()), "secrets")
-    freq = ownership(cands)
-    each = cands.filter(F.size("base") + F.size("extra") > 0).select("row", F.explode(F.concat("base", "extra")).alias("s"))
-    judged = each.withColumn("value_hash", _hash(F.col("s.value"))).join(freq, "value_hash").withColumn("live", F.col("n_owners") <= max_owners)
-    kept = judged.filter((F.col("s.ord") < len(KINDS)) | F.col("live"))
-    rows = kept.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("s.start").alias("start"), F.col("s.ord").alias("ord"), F.col("s.kind").alias("kind"), F.col("s.end").alias("end"), F.col("s.value").alias("value"), "n_repos", "n_owners", "live"))).alias("spans")
+    each = materialize(positions(cands), "spans")
+    judged = each.withColumn("value_hash", _hash(F.col("value"))).join(ownership(each), "value_hash").withColumn("live", F.col("n_owners") <= max_owners)
+    place = [F.col(c) for c in ("start", "ord", "kind", "end", "value")]
+    is_base = F.col("ord") < len(KINDS)
+    rows = judged.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.when(is_base, F.struct(*place)))).alias("base"),
+        F.array_sort(F.collect_list(F.when(is_base | F.col("live"), F.struct(*place, "n_repos", "n_owners", "live")))).alias("spans"),
     )
-    out = cands.join(rows, "row", "left")
-    return out.select("id", F.array_sort("base").alias("base"), "spans")
+    none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int,value:string>>")
+    out = cands.drop("found").join(rows, "row", "left")
+    return out.select("id", F.coalesce("base", none).alias("base"), "spans")
 
 
 def _joined(spans: Column) -> Column:

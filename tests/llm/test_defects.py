@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tastemap.llm import decontaminate, jaccard, mixing, perplexity, substring, suffixes, tokens, warc
+from tastemap.llm import decontaminate, jaccard, mixing, perplexity, secrets, substring, suffixes, tokens, warc
 from tastemap.llm import words as W
 from tests.llm.conftest import DOCS
 
@@ -120,3 +120,19 @@ def test_item_without_id_hits_but_is_not_listed(spark):
     got = {r.doc_id: r for r in decontaminate.report(docs_of(spark, (1, "x alpha beta y"), (2, "gamma alpha beta")), items).collect()}
     assert (got[1].n_hit, got[1].n_items, got[1].contaminated) == (2, 0, True)
     assert (got[2].n_hit, got[2].n_items) == (3, 1) and got[2].items_sha256 == hashlib.sha256(b"7").hexdigest()
+
+
+def test_text_with_many_secrets_takes_linear_time(spark):
+    import time
+
+    def took(n):
+        df = docs_of(spark, (1, " é ".join(f"token=abc{i:06d}" for i in range(n))), (2, "no secret"))
+        start = time.time()
+        got = {r.doc_id: r for r in secrets.report(df).collect()}
+        want = [(m.start(), m.end()) for m in re.finditer(r"token=[a-z0-9]+", " é ".join(f"token=abc{i:06d}" for i in range(n)))]
+        base = ",".join(f"assign:{a}:{b}" for a, b in want)
+        assert got[1].n_assign == n and got[1].base_sha256 == hashlib.sha256(base.encode()).hexdigest() and got[2].n_assign == 0
+        return time.time() - start
+
+    took(10)
+    assert took(40_000) < 20
