@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.llm import words as W
+from tastemap.llm import workers
 from tastemap.llm.components import components
 from tastemap.session import materialize
 
@@ -105,6 +106,7 @@ def profile(docs: DataFrame) -> DataFrame:
     column holding the hash, ``doc_id`` the count)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         seen: set[int] = set()
         held, size = [], 0
 

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastemap.llm import words as W
+from tastemap.llm import workers
 from tastemap.llm.files import open_fs
 from tastemap.session import materialize
 
@@ -52,9 +53,9 @@ LEAST_S = 0.005
 #: Width of a language code's place above an n-gram.
 SHIFT = W.U(8 * ORDER)
 
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 6 << 20
 TABLE_ROWS = 1 << 18
-CACHE_ROWS = 2_000_000
+CACHE_ROWS = 3_000_000
 HELD_GRAMS = 1_000_000
 
 MIN_WORDS = 50
@@ -144,6 +145,7 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """(lang, gram, n) over all texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         size = 0
         for batch in batches:
@@ -324,6 +326,7 @@ def annotate(docs: DataFrame, models: tuple[LanguageModel, LanguageModel], text_
         return pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *[prefix + s for s in (*STATS, *NLL)]])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         codes: dict[str, int] = {}
         held, open_, size = [], [], 0
         for batch in batches:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tastemap.llm import rangecoder
 from tastemap.llm import words as W
+from tastemap.llm import workers
 from tastemap.llm.files import Checked, SealedFile, new_folder, open_fs
 
 END_ID = 2
@@ -141,14 +142,12 @@ class Tokens:
         return self.pool[src], np.diff(total[first[1:] + np.arange(rows)], prepend=0)
 
 
-_WORKER: dict[tuple[str, bool], Tokens] = {}
-
-
 def worker_tokens(path: str, by_word: bool) -> Tokens:
-    """One table of known pieces for all tasks that a Python worker runs."""
-    if (path, by_word) not in _WORKER:
-        _WORKER[path, by_word] = Tokens(path, by_word)
-    return _WORKER[path, by_word]
+    """One table of known pieces for all tasks of this operator that a Python worker runs."""
+    held = workers.kept("tokens")
+    if (path, by_word) not in held:
+        held[path, by_word] = Tokens(path, by_word)
+    return held[path, by_word]
 
 
 class Writer:
