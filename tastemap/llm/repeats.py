@@ -5,6 +5,11 @@ window has a minimiser: the least hash of its ``q``-unit grams. Equal windows ha
 minimisers, so windows may be compared bucket by bucket, and consecutive windows that share a
 minimiser travel as one packed string (a run of n windows is n + k - 1 units, not n * k).
 
+A gram that many documents hold in different surroundings would send all of these to one bucket. Such hot
+grams are found first (:func:`hot_grams`, a row-local pass) and take part in a window's minimum only where all
+of its grams are hot: their windows go to the buckets of other grams. The order of grams is the same for
+all windows, so equal windows still have equal minimisers.
+
 Documents are dealt once into groups of about ``GROUP_BYTES`` by a hash of ``doc_id``; the group is the
 unit of work and of pre-aggregation, so a minimiser, however hot, reaches its bucket once per group
 and never once per document. The steps:
@@ -31,12 +36,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.llm import words as W
+from tastemap.session import materialize
 
 GROUP_BYTES = 8 << 20
 CHUNK_BYTES = 1_000_000
 NO_ID = -(1 << 63)
 U = np.uint64
 
+#: A gram occurs that often in a task, and in all tasks, to be hot. At most ``MAX_HOT`` are: the bound rises with
+#: the input, as the buckets' number does.
+HOT_IN_TASK = 64
+HOT = 4096
+MAX_HOT = 1 << 20
+#: Only grams below this can well be the least of a window.
+LOW_GRAM = U((1 << 63) // 6)
+BUCKET_BYTES = 4 << 20
+
 
 def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
     """Minimum of every w consecutive values."""
@@ -139,6 +154,51 @@ def runs(unit, first: np.ndarray, gram: np.ndarray):
     return np.searchsorted(first, at, "right") - 1, at, valid[stop] - valid[at], W.fmix(m[at] + W.STEP)
 
 
+def demoted(gram: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The grams' hashes with the hot ones above all others. ``hot`` is sorted."""
+    gram = gram >> U(1)
+    if not len(hot) or not len(gram):
+        return gram
+    seen = np.zeros(1 << 16, bool)
+    seen[(hot >> U(47)).astype(np.int64)] = True
+    at = np.flatnonzero(seen[(gram >> U(47)).astype(np.int64)])
+    at = at[_member(hot, gram[at])]
+    gram[at] |= U(1 << 63)
+    return gram
+
+
+def hot_grams(texts: DataFrame, unit) -> np.ndarray:
+    """Sorted hashes of the frequent grams among those with a low hash: at most ``MAX_HOT``, as each has its
+    share of all."""
+    in_task, least = HOT_IN_TASK, HOT
+
+    def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, total = [], 0, 0
+
+        def frequent() -> pa.RecordBatch:
+            m, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            m, n = m[n >= in_task], n[n >= in_task]
+            return pa.record_batch({"gram": pa.array(np.append(m.view(np.int64), -1)), "n": pa.array(np.append(n, total).astype(np.int64))})
+
+        for batch in batches:
+            buf, off = W.text_bytes(batch.column("text"))
+            for i, j in W.chunks(off, CHUNK_BYTES):
+                m = demoted(unit.parse(buf[off[i] : off[j]], off[i : j + 1] - off[i])[1], np.zeros(0, np.uint64))
+                m = m[m < LOW_GRAM]
+                held.append(m)
+                size, total = size + len(m), total + len(m)
+                if size > 4_000_000:
+                    yield frequent()
+                    held, size, total = [], 0, 0
+        yield frequent()
+
+    per = texts.select("text").mapInArrow(counting, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    per = materialize(per, "hot")
+    total = per.filter("gram = -1").agg(F.sum("n")).first()[0] or 0
+    found = per.filter((F.col("gram") >= 0) & (F.col("n") >= max(least, -(-total // MAX_HOT)))).toArrow()
+    return np.sort(found.column("gram").to_numpy().view(np.uint64)) if found.num_rows else np.zeros(0, np.uint64)
+
+
 def _bucket_cuts(key: np.ndarray, buckets: int) -> np.ndarray:
     """Positions that cut sorted keys into buckets."""
     edges = (np.arange(1, buckets, dtype=np.uint64) * U((1 << 64) // buckets)).astype(np.uint64)
@@ -164,14 +224,14 @@ def _column(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), kind)
 
 
-def _chunks(docs: pa.Table, unit):
+def _chunks(docs: pa.Table, unit, hot: np.ndarray):
     """(document ids, row offsets of bytes, first units, ctx, runs) of a group, chunk by chunk."""
     buf, off = W.text_bytes(docs.column("text"))
     doc = docs.column("doc_id").combine_chunks().fill_null(NO_ID).to_numpy(zero_copy_only=False) if docs.num_rows else np.zeros(0, np.int64)
     for i, j in W.chunks(off, CHUNK_BYTES):
         b, o = buf[off[i] : off[j]], off[i : j + 1] - off[i]
         first, gram, ctx = unit.parse(b, o)
-        yield doc[i:j], b, o, first, ctx, runs(unit, first, gram)
+        yield doc[i:j], b, o, first, ctx, runs(unit, first, demoted(gram, hot))
 
 
 def _member(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -222,12 +282,13 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups, buckets = max(1, -(-total // group_bytes)), 4 * parts
+    groups, buckets = max(1, -(-total // group_bytes)), max(4 * parts, -(-total // BUCKET_BYTES))
+    hot = spark.sparkContext.broadcast(hot_grams(texts, unit))
     dealt = texts.withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")).repartition(parts, "g")
 
     def minimisers(key, docs_):
         keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for doc, _, _, _, _, (row, _, _, k) in _chunks(docs_, unit):
+        for doc, _, _, _, _, (row, _, _, k) in _chunks(docs_, unit, hot.value):
             keys.append(k)
             ids.append(doc[row])
         k, d = np.concatenate(keys), np.concatenate(ids)
@@ -263,7 +324,7 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         want = np.sort(_from_six(_column(wanted, "keys", np.uint8)))
         none = np.zeros(0, np.uint64)
         keys, hashes, ids, packed = [none], [none], [np.zeros(0, np.int64)], []
-        for doc, _, _, _, ctx, (row, at, n, k) in _chunks(docs_, unit) if len(want) else ():
+        for doc, _, _, _, ctx, (row, at, n, k) in _chunks(docs_, unit, hot.value) if len(want) else ():
             hit = _member(want, k & LOW6)
             h = unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1)
             # one row for each string and document of the chunk, and its text once
@@ -351,7 +412,7 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         begin = np.cumsum(lens) - lens
         keys = np.sort(_column(verdicts, "keys", np.uint64))
         tables = []
-        for doc, buf, off, first, ctx, (row, at, n, k) in _chunks(docs_, unit):
+        for doc, buf, off, first, ctx, (row, at, n, k) in _chunks(docs_, unit, hot.value):
             units = int(first[-1])
             covered = np.zeros(units, bool)
             hit = _member(keys, k) if len(keys) else np.zeros(0, np.int64)

@@ -169,3 +169,55 @@ def test_join_takes_the_bitmap_of_a_row_without_id(spark):
     df = spark.createDataFrame(rows, DOCS).coalesce(1)
     got = {r.doc_id: r.component_id for r in jaccard.report(df).collect()}
     assert got == {None: None, 1: 1, 2: 1}
+
+
+# ---------------------------------------------------------------- hot minimisers
+def _phrase_rows(n, rng, unit):
+    """A phrase of six words in different surroundings, some of them copied; the hash of a gram of it is low."""
+    while True:
+        phrase = " ".join(words(rng, 6))
+        raw = np.frombuffer(phrase.encode(), np.uint8)
+        if 22 < len(raw) < 30 and unit.parse(raw, np.array([0, len(raw)]))[1].min() < 1 << 57:
+            break
+    texts = [" ".join(words(rng, 70)) + f" {phrase} " + " ".join(words(rng, 70)) for _ in range(n)]
+    texts += texts[: n // 8]
+    texts.append(f"{phrase} " * 30)  # hot grams only
+    texts.append(f"{phrase} " * 25)
+    return [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+
+
+def _brute(rows, k, split):
+    first, out = {}, {}
+    for i, t, *_ in rows:
+        w = split(t)
+        for a in range(len(w) - k + 1):
+            first[w[a : a + k]] = min(first.get(w[a : a + k], i), i)
+    for i, t, *_ in rows:
+        w = split(t)
+        gone = {j for a in range(len(w) - k + 1) if first[w[a : a + k]] < i for j in range(a, a + k)}
+        out[i] = len(gone)
+    return out
+
+
+@pytest.mark.parametrize("op", ["words", "bytes"])
+def test_hot_minimiser_is_spread(spark, monkeypatch, op):
+    rng = random.Random(12)
+    report, unit = (substring.report, repeats.Words()) if op == "words" else (suffixes.report, repeats.Bytes())
+    rows = _phrase_rows(160, rng, unit)
+    want = _brute(rows, 50, (lambda t: tuple(t.split())) if op == "words" else (lambda t: t.encode()))
+    monkeypatch.setattr(repeats, "HOT_IN_TASK", 8)
+    monkeypatch.setattr(repeats, "HOT", 60)
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    hot = repeats.hot_grams(df.select("doc_id", "text"), unit)
+    assert 0 < len(hot) < 60
+    assert {r.doc_id: r.n_removed for r in report(df).collect()} == want
+    # no minimiser is left that nearly every document has
+    buf = np.frombuffer("".join(r[1] for r in rows).encode(), np.uint8)
+    off = np.cumsum([0] + [len(r[1].encode()) for r in rows])
+    most = []
+    for h in (hot, hot[:0]):
+        first, gram, _ = unit.parse(buf, off)
+        row, _, _, key = repeats.runs(unit, first, repeats.demoted(gram, h))
+        pairs = np.unique(np.stack([key, row.astype(np.uint64)]), axis=1)[0]
+        most.append(np.unique(pairs, return_counts=True)[1].max())
+    assert most[0] < 0.3 * most[1] and most[1] >= 60
