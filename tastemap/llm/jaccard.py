@@ -159,6 +159,7 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         hot_h, hot_c = shared.value
         seen: set[int] = set()
         held, size = [], 0
@@ -268,6 +269,7 @@ def members(lists: DataFrame) -> DataFrame:
     """(list, digest, n), one row per member."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
@@ -386,6 +388,7 @@ def _ordered_tree(nodes: list[tuple[int, int, bytes]]) -> Node:
 
 def candidates(rows: pa.Table) -> pa.Table:
     """Candidate edges of all lists of a bucket, reduced to one star per component of the bucket."""
+    workers.free()
     order = np.lexsort((rows.column("id").to_numpy(), rows.column("n").to_numpy(), rows.column("list").to_numpy()))
     rows = rows.take(pa.array(order))
     ids, inv = np.unique(rows.column("id").to_numpy(), return_inverse=True)
@@ -434,6 +437,7 @@ def shared_bitmaps(sets: list[np.ndarray], most_bits: int = 1 << 16) -> tuple[li
 
 def verified(rows: pa.Table) -> pa.Table:
     """Exact links inside the clusters (or pairs of blocks) of a bucket, as stars."""
+    workers.free()
     ids, part, sets = rows.column("id").to_numpy(), rows.column("part").to_numpy(), []
     buf, off = W.text_bytes(rows.column("text"))
     for i, j in W.chunks(off):
@@ -491,6 +495,7 @@ def keep_maybe(docs: DataFrame, held: np.ndarray, column: str) -> DataFrame:
     names = docs.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         words = shared.value
         for batch in batches:
             ok = np.ones(batch.num_rows, bool)
@@ -509,6 +514,7 @@ def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int
     buckets, so this pass is linear in the cluster, unlike the pairs of blocks that it spares."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         for batch in batches:
             ids, of = batch.column("id").to_numpy(), batch.column("cluster").to_numpy()
             for i, j, first, s in _each(batch):
@@ -525,6 +531,7 @@ def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int
 
     def counts(rows: pa.Table) -> pa.Table:
         """The shared shingles of a bucket by text, packed in one row per group of texts."""
+        workers.free()
         keys = [x.as_py() for x in rows.column("keys")]
         key = _from_three(keys)  # shingles that meet by chance only leave a member in
         numbers = _numbers(rows.column("owners"), [len(x) // 3 for x in keys])

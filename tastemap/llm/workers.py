@@ -1,5 +1,5 @@
-"""What a Python worker keeps from one task to the next: the tables of one operator. Spark hands workers
-on from job to job, so a task of another operator frees them first."""
+"""The memory of a Python worker, which Spark hands on from job to job: what it keeps between tasks (the
+tables of one operator), and what it gives back to the system."""
 
 from __future__ import annotations
 
@@ -7,6 +7,11 @@ import ctypes
 import gc
 
 _kept: dict[str, dict] = {}
+_libc = None
+
+#: Arrays of this size and more are mapped one by one, so freeing them returns their memory.
+MAPPED_BYTES = 4 << 20
+M_MMAP_THRESHOLD = -3  # fixed value: the option's number in the C library
 
 
 def kept(kind: str) -> dict:
@@ -16,13 +21,18 @@ def kept(kind: str) -> dict:
 
 
 def free(but: str | None = None) -> None:
-    """Frees all tables but those of one kind, and returns the memory to the system."""
+    """At the start of a task: frees all tables but those of one kind, and returns unused memory to the
+    system. Where the C library has no such calls, that is left to it."""
+    global _libc
     others = [kind for kind in _kept if kind != but]
     for kind in others:
         del _kept[kind]
     if others:
         gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library: it trims by itself, or not
-            pass
+    try:
+        if _libc is None:
+            _libc = ctypes.CDLL(None)
+            _libc.mallopt(M_MMAP_THRESHOLD, MAPPED_BYTES)
+        _libc.malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
