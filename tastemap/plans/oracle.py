@@ -484,7 +484,7 @@ def _model_oracle() -> dict[str, str]:
         "als_predict_pairs": """SELECT user_id, item_id, rating, true AS is_dot_product FROM e_test
             WHERE user_id IN (SELECT user_id FROM e_train) AND item_id IN (SELECT item_id FROM e_train)""",
         "mlp_fit_history": "SELECT CAST(unnest(range(1, 33)) AS INTEGER) AS epoch, true AS loss_falls, true AS loss_ok, true AS mae_ok, true AS val_loss_ok, true AS val_mae_ok",
-        "mlp_scores": "SELECT user_id, item_id, rating, true AS score_finite FROM e_test WHERE user_id IN (SELECT id FROM vu) AND item_id IN (SELECT id FROM vi)",
+        "mlp_scores": "SELECT user_id, item_id, rating, true AS is_forward_pass FROM e_test WHERE user_id IN (SELECT id FROM vu) AND item_id IN (SELECT id FROM vi)",
         "mlp_eval": """SELECT count(*) AS n, true AS mse_ok, true AS mae_ok FROM e_test
             WHERE user_id IN (SELECT id FROM vu) AND item_id IN (SELECT id FROM vi)""",
         "knn_lsh": _lists("e_train", 10, "SELECT id FROM vi", "recall_ok"),
