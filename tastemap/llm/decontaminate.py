@@ -107,37 +107,39 @@ FOUND = T.StructType(
 )
 
 
-def automata(items: DataFrame, id_col: str = "item_id", text_col: str = "text", k: int = WINDOW, max_bytes: int = MAX_AUTOMATON_BYTES) -> list[ahocorasick.Automaton]:
-    """The automaton over ``items``; several where the windows (at most k times the text) exceed ``max_bytes``."""
+def automata(items: DataFrame, id_col: str = "item_id", text_col: str = "text", k: int = WINDOW, max_bytes: int = MAX_AUTOMATON_BYTES) -> Iterator[ahocorasick.Automaton]:
+    """The automaton over ``items``; several, one after another, where the windows (at most k times the text)
+    exceed ``max_bytes``."""
     items = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size * k // max_bytes) + 1
-    if parts == 1:
-        return [a for a in [build(items.collect(), k)] if a]
     part = F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(parts))
-    found = (build(items.filter(part == p).collect(), k) for p in range(parts))
-    return [a for a in found if a]
+    for p in range(parts):
+        a = build((items if parts == 1 else items.filter(part == p)).collect(), k)
+        if a:
+            yield a
 
 
 def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", k: int = WINDOW, out_col: str = "_found", max_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
     """``docs`` (all columns) with a struct of words, hit words, occurring items and the byte spans
-    of hit words in the original text. A row-local pass: no shuffle."""
+    of hit words in the original text. A row-local pass: no shuffle. Of several automata, driver and tasks
+    hold one at a time; a batch of texts meets them in turn."""
     tries = [docs.sparkSession.sparkContext.broadcast(a) for a in automata(items, k=k, max_bytes=max_bytes)]
     schema = T.StructType([*docs.schema.fields, T.StructField(out_col, FOUND)])
 
-    def one(text: bytes) -> dict:
-        n, hit, ids = find(tries[0].value if tries else None, text)
-        for other in tries[1:]:
-            _, more, others = find(other.value, text)
-            hit, ids = hit | more, ids | others
-        return {"n_words": n, "n_hit": int(hit.sum()), "items": sorted(ids), "spans": [list(x) for x in original_spans(text, hit)]}
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))])
         for batch in batches:
-            texts = batch.column(text_col).cast(pa.large_binary())
-            found = pa.array([one(t.as_py() or b"") for t in texts], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, out_col])
+            texts = [t.as_py() or b"" for t in batch.column(text_col).cast(pa.large_binary())]
+            found: list[tuple] = []
+            for each in tries or [None]:
+                automaton = each.value if each else None
+                now = [find(automaton, t) for t in texts]
+                found = [(n, hit | more, ids | others) for (n, hit, ids), (_, more, others) in zip(found, now, strict=True)] if found else now
+                if len(tries) > 1:
+                    each.__dict__.pop("_value", None)  # read again for the next batch
+            rows = [{"n_words": n, "n_hit": int(hit.sum()), "items": sorted(ids), "spans": [list(x) for x in original_spans(t, hit)]} for t, (n, hit, ids) in zip(texts, found, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, out_col])
 
     return docs.mapInArrow(task, schema)
 
