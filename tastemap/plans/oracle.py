@@ -362,6 +362,13 @@ def oracle() -> dict[str, str]:
            WHERE NOT EXISTS (SELECT 1 FROM p_train t WHERE t.user_id = u.user_id AND t.item_id = i.item_id)
            QUALIFY rank <= 10"""
     )
+    q["align_lists"] = with_ctes(
+        """SELECT user_id, item_id, rank FROM (
+             SELECT u.id AS user_id, i.id AS item_id, row_number() OVER (PARTITION BY u.id ORDER BY round(list_distance(u.f, i.f), 6), i.id) AS rank
+             FROM vu_p u CROSS JOIN vis_p i WHERE NOT EXISTS (SELECT 1 FROM p_train t WHERE t.user_id = u.id AND t.item_id = i.id)
+             QUALIFY rank <= 10)
+           WHERE item_id IN (SELECT item_id FROM p_cat)"""
+    )
     # a test pair is scored: its user is in train and it was not seen; no other case occurs in a split
     q["target_ranks_p"] = with_ctes("SELECT user_id, item_id, true AS is_scored, r FROM p_ranked JOIN p_test USING (user_id, item_id)")
     q["ndcg_p"] = with_ctes(

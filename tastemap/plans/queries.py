@@ -215,6 +215,13 @@ def q_align_to_catalogue(f: Fixtures):
     return masks.align_to_catalogue(f.dot_pred(), f.e_test)
 
 
+@query("align_lists")
+def q_align_lists(f: Fixtures):
+    """Lists over all items, restricted to the test catalogue: what an evaluation reads of them."""
+    lists = retrieve.topk_unseen(f.vu_p, f.vi_p_scaled, f.p_train, K, "euclidean", digits=DIGITS)
+    return masks.align_to_catalogue(lists, f.p_test).select(USER, ITEM, "rank")
+
+
 @query("unseen_pairs")
 def q_unseen_pairs(f: Fixtures):
     return _pairs(masks.unseen(f.e, f.e_train))
