@@ -9,7 +9,7 @@ import uuid
 import numpy as np
 from pyspark.sql import functions as F
 
-from tastemap.functions.vectors import array_sum, dot
+from tastemap.functions.vectors import dot
 from tastemap.operators import als, retrieve
 from tastemap.operators.features import nn_features
 from tastemap.operators.mlp import MLPModel, fit_mlp, gradient, layer_sizes, unpack
@@ -72,26 +72,33 @@ def _with_rerank(checked, r: pipelines.HybridResult, k: int):
     return checked.join(both.groupBy(USER).agg(F.min(right).cast("boolean").alias("reranked")), USER)
 
 
+def _solves(train, own, of: str, other, by: str):
+    """(id, solves): whether each factor of ``own`` solves its normal equation against the factors ``other``
+    that the step read, sum (u.v - r) v + reg * n * u = 0, up to the solver's single precision."""
+    u, v = own.select(F.col("id").alias(of), F.col("features").alias("_u")), other.select(F.col("id").alias(by), F.col("features").alias("_v"))
+    rows = train.join(u, of).join(v, by).withColumn("_e", dot("_u", "_v") - F.col(RATING))
+    parts = rows.select(of, "_u", F.posexplode("_v").alias("d", "x"), "_e").withColumn("_ud", F.element_at("_u", F.col("d") + 1).cast("double"))
+    per = parts.groupBy(of, "d").agg(
+        F.abs(F.sum(F.col("_e") * F.col("x")) + ALS_REG * F.count(F.lit(1)) * F.first("_ud")).alias("left"),
+        F.sum(F.abs(F.col("_e") * F.col("x")) + F.abs(F.col("x"))).alias("size"),
+    )
+    return per.groupBy(F.col(of).alias("id")).agg((F.max(F.col("left") / (F.col("size") + 1e-9)) < 1e-3).alias("solves"))
+
+
 @query("als_user_factors")
 def q_als_user_factors(f: Fixtures):
     """ALS ends with the user step, so each user's factors solve that user's normal equation against
-    the item factors: sum (u.v - r) v + reg * n * u = 0, up to the solver's single precision."""
+    the item factors."""
     uf, itf = als.factors(_als(f))
-    u, v = uf.select(F.col("id").alias(USER), F.col("features").alias("_u")), itf.select(F.col("id").alias(ITEM), F.col("features").alias("_v"))
-    rows = f.e_train.join(u, USER).join(v, ITEM).withColumn("_e", dot("_u", "_v") - F.col(RATING))
-    parts = rows.select(USER, "_u", F.posexplode("_v").alias("d", "x"), "_e").withColumn("_ud", F.element_at("_u", F.col("d") + 1).cast("double"))
-    per = parts.groupBy(USER, "d").agg(
-        F.abs(F.sum(F.col("_e") * F.col("x")) + ALS_REG * F.count(F.lit(1)) * F.first("_ud")).alias("left"),
-        F.sum(F.abs(F.col("_e") * F.col("x")) + F.abs(F.col("x"))).alias("size"),
-    )
-    solved = per.groupBy(F.col(USER).alias("id")).agg((F.max(F.col("left") / (F.col("size") + 1e-9)) < 1e-3).alias("solves"))
-    return uf.select("id", F.size("features").cast("long").alias("dim")).join(solved, "id")
+    return uf.select("id", F.size("features").cast("long").alias("dim")).join(_solves(f.e_train, uf, USER, itf, ITEM), "id")
 
 
 @query("als_item_factors")
 def q_als_item_factors(f: Fixtures):
-    itf = als.factors(_als(f))[1]
-    return itf.select("id", F.size("features").cast("long").alias("dim"), _finite(array_sum("features")).alias("finite"))
+    """The last item step read the user factors of the iteration before: those of a fit that is one
+    iteration shorter."""
+    itf, before = als.factors(_als(f))[1], als.factors(_als(f, max_iter=ALS_ITER - 1))[0]
+    return itf.select("id", F.size("features").cast("long").alias("dim")).join(_solves(f.e_train, itf, ITEM, before, USER), "id")
 
 
 @query("als_predict_pairs")

@@ -487,7 +487,7 @@ def _model_oracle() -> dict[str, str]:
     e_items, p_items = "SELECT DISTINCT item_id FROM e_train", "SELECT DISTINCT item_id FROM p_train"
     q = {
         "als_user_factors": "SELECT DISTINCT user_id AS id, CAST(10 AS BIGINT) AS dim, true AS solves FROM e_train",
-        "als_item_factors": "SELECT DISTINCT item_id AS id, CAST(10 AS BIGINT) AS dim, true AS finite FROM e_train",
+        "als_item_factors": "SELECT DISTINCT item_id AS id, CAST(10 AS BIGINT) AS dim, true AS solves FROM e_train",
         "als_predict_pairs": """SELECT user_id, item_id, rating, true AS is_dot_product FROM e_test
             WHERE user_id IN (SELECT user_id FROM e_train) AND item_id IN (SELECT item_id FROM e_train)""",
         "mlp_fit_history": "SELECT CAST(unnest(range(1, 33)) AS INTEGER) AS epoch, true AS loss_falls, true AS loss_ok, true AS mae_ok, true AS val_loss_ok, true AS val_mae_ok",
