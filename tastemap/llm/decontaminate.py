@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastemap.llm import words as W
+from tastemap.llm import workers
 
 WINDOW = 13
 MIN_SHARE_OF_WORDS = 20  # contaminated: 20 * n_hit >= n_words
@@ -128,6 +129,7 @@ def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", k: int = WIN
     schema = T.StructType([*docs.schema.fields, T.StructField(out_col, FOUND)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))])
         for batch in batches:
             texts = [t.as_py() or b"" for t in batch.column(text_col).cast(pa.large_binary())]

@@ -25,13 +25,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemap.functions.ranking import rank_within
 from tastemap.llm import words as W
+from tastemap.llm import workers
 from tastemap.session import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -46,6 +46,7 @@ def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, tie, size): words of every whole text; ``tie`` hashes the text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.free()
         for batch in batches:
             buf, off = W.text_bytes(batch.column("text"))
             n = [np.zeros(0, np.int64)]
@@ -111,18 +112,18 @@ NODE = "doc_id long, no_id boolean, source string, tie long, size long, source_s
 def _round_groups(rows: DataFrame, last: bool, level: int, seed: int) -> DataFrame:
     """Round every (source, node) group; at most one row of it stays ``open``."""
 
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+    def group(rows: pa.Table) -> pa.Table:
         # large ones first: what is left undecided at the end is small
-        pdf = pdf.sort_values(["size", "doc_id", "tie"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-        name = pdf["source"].iloc[0]
-        text = f"{seed}|{level}|{pdf['node'].iloc[0]}|{'' if name is None else 's' + name}"
+        size, doc_id, tie = (rows.column(c).to_numpy() for c in ("size", "doc_id", "tie"))
+        rows = rows.take(pa.array(np.lexsort((tie, doc_id, -size))))
+        name = rows.column("source")[0].as_py()
+        text = f"{seed}|{level}|{rows.column('node')[0].as_py()}|{'' if name is None else 's' + name}"
         rng = np.random.default_rng(list(text.encode()))
-        part, held = pivotal(pdf["part"].to_numpy(), pdf["size"].to_numpy().astype(float), rng, last)
-        pdf["part"] = part
-        pdf["open"] = np.arange(len(pdf)) == held
-        return pdf
+        part, held = pivotal(rows.column("part").to_numpy(), rows.column("size").to_numpy().astype(float), rng, last)
+        changed = {"part": pa.array(part), "open": pa.array(np.arange(len(part)) == held)}
+        return pa.table({c: changed.get(c, rows.column(c)) for c in rows.column_names})
 
-    return rows.groupBy("source", "node").applyInPandas(group, NODE)
+    return rows.groupBy("source", "node").applyInArrow(lambda t: group(t), NODE)
 
 
 def copies(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
@@ -134,7 +135,7 @@ def copies(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
     times = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sized.join(target, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("times", times)
     rows = rows.select(
-        F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"),  # pandas would make longs with a null doubles
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"),
         "source", "tie", "size", "source_size", "target", F.floor("times").alias("whole"), (F.col("times") - F.floor("times")).alias("part"),
         F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("tie")), F.lit(nodes)).alias("node"), F.lit(False).alias("open"),
     )

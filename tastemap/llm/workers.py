@@ -6,6 +6,8 @@ from __future__ import annotations
 import ctypes
 import gc
 
+import pyarrow as pa
+
 _kept: dict[str, dict] = {}
 _libc = None
 
@@ -29,6 +31,7 @@ def free(but: str | None = None) -> None:
         del _kept[kind]
     if others:
         gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         if _libc is None:
             _libc = ctypes.CDLL(None)
