@@ -19,6 +19,7 @@ gives an empty manifest and no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ from tastemap.llm.files import Checked, SealedFile, new_folder, open_fs
 
 END_ID = 2
 KNOWN_PIECES = 800_000
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 ROLL_BYTES = 512 << 20
 NO_ID = -(1 << 63)
 MAGIC = b"TIDS0001"
@@ -65,6 +66,8 @@ class Tokens:
     """Tokenises chunks of texts; one per task."""
 
     def __init__(self, path: str, by_word: bool = True):
+        # a task has one core; threads of the tokenizer's own would also keep memory each
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
