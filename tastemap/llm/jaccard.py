@@ -265,8 +265,9 @@ def meetings(rows: pa.Table) -> pa.Table:
     return pa.table({"list": pa.array(np.array(list(out), np.uint64).view(np.int64)), "members": pa.array(list(out.values()), pa.binary())})
 
 
-def members(lists: DataFrame) -> DataFrame:
-    """(list, digest, n), one row per member."""
+def members(lists: DataFrame, buckets: int) -> DataFrame:
+    """(b, list, digest, n), one row per member. Lists with the same least member, as near copies have many,
+    are in one bucket, so that a node's bitmap goes there once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         workers.free()
@@ -277,9 +278,12 @@ def members(lists: DataFrame) -> DataFrame:
                 k = [len(x) // 16 for x in raw]
                 digest = np.frombuffer(b"".join(x[: 8 * m] for x, m in zip(raw, k, strict=True)), np.int64)
                 n = np.frombuffer(b"".join(x[8 * m :] for x, m in zip(raw, k, strict=True)), np.int64)
-                yield pa.record_batch({"list": pa.array(np.repeat(part.column("list").to_numpy(zero_copy_only=False), k)), "digest": pa.array(digest), "n": pa.array(n)})
+                least = np.minimum.reduceat(digest, np.cumsum(k) - k)
+                b = (W.fmix(least.view(np.uint64)) % U(buckets)).astype(np.int32)
+                of = part.column("list").to_numpy(zero_copy_only=False)
+                yield pa.record_batch({"b": pa.array(np.repeat(b, k)), "list": pa.array(np.repeat(of, k)), "digest": pa.array(digest), "n": pa.array(n)})
 
-    return lists.mapInArrow(task, "list long, digest long, n long")
+    return lists.mapInArrow(task, "b int, list long, digest long, n long")
 
 
 # ---------------------------------------------------------------- signature tree
@@ -386,14 +390,18 @@ def _ordered_tree(nodes: list[tuple[int, int, bytes]]) -> Node:
     return tree([fold(int.from_bytes(b, "little"), len(b) * 8, narrow) for _, _, b in nodes], [n for _, n, _ in nodes])
 
 
-def candidates(rows: pa.Table) -> pa.Table:
-    """Candidate edges of all lists of a bucket, reduced to one star per component of the bucket."""
+def candidates(listed: pa.Table, nodes: pa.Table) -> pa.Table:
+    """Candidate edges of all lists of a bucket, reduced to one star per component of the bucket. ``nodes`` has
+    the id and bitmap of every member that has an id."""
     workers.free()
-    order = np.lexsort((rows.column("id").to_numpy(), rows.column("n").to_numpy(), rows.column("list").to_numpy()))
-    rows = rows.take(pa.array(order))
-    ids, inv = np.unique(rows.column("id").to_numpy(), return_inverse=True)
-    n, bits = rows.column("n").to_pylist(), rows.column("bits").to_pylist()
-    lists = rows.column("list").to_numpy()
+    at = {key: i for i, key in enumerate(zip(nodes.column("digest").to_pylist(), nodes.column("n").to_pylist(), strict=True))}
+    of = np.array([at.get(key, -1) for key in zip(listed.column("digest").to_pylist(), listed.column("n").to_pylist(), strict=True)], np.int64)
+    lists, of = listed.column("list").to_numpy()[of >= 0], of[of >= 0]
+    ids, sizes, maps = nodes.column("id").to_numpy()[of], nodes.column("n").to_numpy()[of], nodes.column("bits").to_pylist()
+    order = np.lexsort((ids, sizes, lists))
+    lists, of = lists[order], of[order].tolist()
+    ids, inv = np.unique(ids[order], return_inverse=True)
+    n, bits = sizes[order].tolist(), [maps[i] for i in of]
     begin = np.flatnonzero(np.append(True, lists[1:] != lists[:-1])).tolist()
     inv = inv.tolist()
     all_ = Groups(len(ids))
@@ -573,8 +581,9 @@ def join(docs: DataFrame, list_rows: int = LIST_ROWS, block_shingles: int = BLOC
 
     met = entries(docs, hot_shingles(found), buckets, list_rows).groupBy("b").applyInArrow(lambda t: meetings(t), "list long, members binary")
     lists = met.groupBy("list").agg(F.first("members").alias("members"))
-    listed = members(lists).join(nodes, ["digest", "n"]).withColumn("b", F.pmod(F.xxhash64("list"), F.lit(buckets)).cast("int"))
-    maybe = materialize(listed.groupBy("b").applyInArrow(lambda t: candidates(t), "u long, v long"), "maybe")
+    listed = members(lists, buckets)
+    known = members(lists, buckets).groupBy(F.col("b").alias("of"), "digest", "n").agg(F.lit(1).alias("one")).join(nodes, ["digest", "n"]).select("of", "digest", "n", "id", "bits")
+    maybe = materialize(listed.groupBy("b").cogroup(known.groupBy("of")).applyInArrow(lambda t, w: candidates(t, w), "u long, v long"), "maybe")
 
     cluster = materialize(components(maybe), "clusters")
     cluster = cluster.select("id", F.col("component").alias("cluster"))
