@@ -22,8 +22,9 @@ def registry():
 
 @pytest.fixture(scope="module")
 def plans(spark, registry):
+    # a grid's result is the scan of its results table, whatever its points did
     q, sql = registry
-    return {name: _plan(q[name](spark, SF001)) for name in sorted(sql)}
+    return {name: _plan(q[name](spark, SF001)) for name in sorted(sql) if not name.startswith("tune_")}
 
 
 def test_no_cartesian_or_nested_loop_joins(plans):
