@@ -136,3 +136,15 @@ def test_text_with_many_secrets_takes_linear_time(spark):
 
     took(10)
     assert took(40_000) < 20
+
+
+def test_a_worker_keeps_the_tables_of_one_operator(monkeypatch):
+    from tastemap.llm import workers
+
+    monkeypatch.setattr(workers, "_kept", {})
+    first = workers.kept("tokens")
+    first["x"] = 1
+    assert workers.kept("tokens") is first
+    assert workers.kept("other") == {} and list(workers._kept) == ["other"]
+    workers.free()
+    assert workers._kept == {}
