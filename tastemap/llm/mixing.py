@@ -162,11 +162,14 @@ def report(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, **args) -> DataFrame:
     """``docs`` (all columns) with every row repeated as often as the mix takes it."""
     p = W.fresh(docs.columns, "_m_")
-    taken = copies(docs, **args).groupBy(F.col("doc_id").alias(p + "id"), F.col("tie").alias(p + "tie")).agg(F.array_sort(F.collect_list("copies")).alias(p + "copies"))
-    rows = docs.withColumn(p + "key", F.col("doc_id").cast("long")).withColumn(p + "text", F.xxhash64(F.col("text").cast("string")))
-    joined = rows.join(taken.filter(F.array_max(p + "copies") > 0), F.col(p + "key").eqNullSafe(F.col(p + "id")) & (F.col(p + "text") == F.col(p + "tie")))
+    keys = [p + "key", p + "none", p + "text"]
+    # plain equal keys, so that the join and the window share one shuffle of the texts
+    as_keys = lambda doc_id, text: [F.coalesce(doc_id, F.lit(0).cast("long")).alias(keys[0]), doc_id.isNull().alias(keys[1]), text.alias(keys[2])]
+    taken = copies(docs, **args).select(*as_keys(F.col("doc_id"), F.col("tie")), "copies").groupBy(*keys).agg(F.array_sort(F.collect_list("copies")).alias(p + "copies"))
+    rows = docs.select("*", *as_keys(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))))
+    joined = rows.join(taken.filter(F.array_max(p + "copies") > 0), keys)
     # equal rows share out their group's copies
-    nth = F.row_number().over(Window.partitionBy(p + "key", p + "text").orderBy(p + "key"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(p + "key"))
     times = joined.withColumn(p + "times", F.element_at(p + "copies", nth).cast("int")).filter(F.col(p + "times") > 0)
     out = times.withColumn(p + "copy", F.explode(F.sequence(F.lit(1), F.col(p + "times"))))
-    return out.drop(*[p + c for c in ("key", "text", "id", "tie", "copies", "times", "copy")])
+    return out.drop(*keys, *[p + c for c in ("copies", "times", "copy")])
