@@ -36,7 +36,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.llm import words as W
-from tastemap.llm import workers
 from tastemap.session import materialize
 
 GROUP_BYTES = 8 << 20
@@ -288,7 +287,6 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
     dealt = texts.withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")).repartition(parts, "g")
 
     def minimisers(key, docs_):
-        workers.free()
         keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for doc, _, _, _, _, (row, _, _, k) in _chunks(docs_, unit, hot.value):
             keys.append(k)
@@ -306,7 +304,6 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         return pa.table({"b": pa.array(use, pa.int32()), "g": pa.array([g] * len(use), pa.int32()), "keys": part(_six(k)), "docs": part(d), "many": part(many)})
 
     def shared(key, rows):
-        workers.free()
         k, d, many = _from_six(_column(rows, "keys", np.uint8)), _column(rows, "docs", np.int64), _column(rows, "many", bool)
         source = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) for x in rows.column("many")])
         order = np.lexsort((d, k))
@@ -324,7 +321,6 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         return pa.table({"g": pa.array([int(g[i]) for i in use], pa.int32()), "keys": pa.array([_list(_six(kk[cut[i] : cut[i + 1]])) for i in use], pa.binary())})
 
     def strings(key, docs_, wanted):
-        workers.free()
         want = np.sort(_from_six(_column(wanted, "keys", np.uint8)))
         none = np.zeros(0, np.uint64)
         keys, hashes, ids, packed = [none], [none], [np.zeros(0, np.int64)], []
@@ -366,7 +362,6 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         )
 
     def compare(key, rows):
-        workers.free()
         k, d = _column(rows, "keys", np.uint64), _column(rows, "docs", np.int64)
         many, lens = _column(rows, "many", bool), _column(rows, "lens", np.int32)
         unzip = zstandard.ZstdDecompressor()
@@ -412,7 +407,6 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         return pa.table({"g": pa.array([g[i] for i in use], pa.int32()), "keys": part(k[tell]), "hashes": part(h[tell]), "lens": part(n.astype(np.int32)), "least": part(flat, flat_cut)})
 
     def apply(key, docs_, verdicts):
-        workers.free()
         known = _Pairs(_column(verdicts, "keys", np.uint64), _column(verdicts, "hashes", np.uint64))
         lens, flat = _column(verdicts, "lens", np.int32).astype(np.int64), _column(verdicts, "least", np.int64)
         begin = np.cumsum(lens) - lens
