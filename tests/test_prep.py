@@ -117,3 +117,12 @@ def test_user_threshold_at_work(spark):
     rows = [(u, i, 1.0, 0) for u in range(40) for i in range(10) if u % 4 or i == 0]  # every fourth user has one rating
     got = prep.sample_rsmr(interactions(spark, rows), user_thresh=1, item_thresh=5, user_sample_n=30, item_sample_n=10, seed=1)
     assert {r.user_id for r in got.collect()} == {u for u in range(40) if u % 4}
+
+
+def test_registered_sample_of_users_with_one_rating(spark):
+    # the larger the tables, the fewer users have two of the drawn items: users with one count, too
+    from tastemap.plans.queries import SAMPLE_PARAMS
+
+    rows = [(i * 30 + u, i, 1.0, 0) for i in range(60) for u in range(30)]
+    total = prep.sample_totals(prep.sample_rsmr(interactions(spark, rows), **SAMPLE_PARAMS)).first()
+    assert total.n_users == 50 and total.n_ratings == 50
