@@ -237,3 +237,34 @@ def test_bias_topk_of_a_user_who_saw_all(spark):
     train = interactions(spark, [(1, i, 1.0 + i) for i in range(5)] + [(2, 3, 2.0), (2, 3, 4.0)], with_ts=False)
     got = {(r.user_id, r.item_id, r["rank"]) for r in bias.bias_topk(train, 3).collect()}
     assert got == {(2, 4, 1), (2, 2, 2), (2, 1, 3)}
+
+
+@pytest.mark.parametrize("metric", ["dot", "euclidean"])
+def test_most_pairs_are_settled_in_single_precision(metric, monkeypatch):
+    import pyarrow as pa
+
+    # few pairs reach double precision, and lists and counts are those of all pairs in double precision
+    rng = np.random.RandomState(11)
+    u, v = rng.randn(40, 16), np.repeat(rng.randn(1500, 16), 2, axis=0)  # every vector twice: ties
+    items, exact, scored = retrieve.Items.of(np.arange(3000), v, metric, 256), retrieve._pair_keys, []
+    monkeypatch.setattr(retrieve, "_pair_keys", lambda m, a, b, d: scored.append(len(a)) or exact(m, a, b, d))
+    seen = [sorted(rng.choice(3000, 30, replace=False).tolist()) for _ in range(40)]
+    targets = [sorted(rng.choice(3000, 100 if i == 0 else 6, replace=False).tolist()) for i in range(40)]
+    batch = _users_batch(u, seen)
+    (_, ids, _), = retrieve._best(metric, 5, 6, _Held(items))([batch])
+    counted = list(retrieve._counts(metric, 6, _Held(items), False)([batch.append_column("targets", pa.array(targets, pa.list_(pa.int64())))]))
+    key = np.array([exact(metric, np.broadcast_to(x, v.shape), v, 6) for x in u])
+    for i in range(40):
+        key[i, seen[i]] = np.inf
+        assert list(ids[i]) == list(np.argsort(key[i], kind="stable")[:5])
+    for r in counted[0].to_pylist():
+        k, j = key[r["user_id"]], r["item_id"]
+        assert r["above"] == ((k < k[j]) | ((k == k[j]) & (np.arange(3000) < j) & ~np.isinf(k))).sum()
+    assert sum(scored) < 0.2 * 40 * 3000
+
+
+def test_numbers_out_of_single_precision_are_ranked(spark):
+    u, v = np.array([[1e200, 1.0], [1e-200, 0.0]]), np.array([[1e90, 0.0], [2e90, 0.0], [-1e90, 5.0]])
+    seen = interactions(spark, [(0, 1, 1.0)], with_ts=False)
+    got = retrieve.topk_unseen(_vecs(spark, u), _vecs(spark, v), seen, 2)
+    assert {(r.user_id, r.item_id, r["rank"]) for r in got.collect()} == {(0, 0, 1), (0, 2, 2), (1, 1, 1), (1, 0, 2)}
