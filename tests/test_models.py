@@ -169,3 +169,43 @@ def test_mlp_without_rows_keeps_its_weights(spark):
     df = spark.createDataFrame([], "user_id int, item_id int, features array<double>, rating double")
     model, hist = fit_mlp(df, epochs=2, hidden=(3,))
     assert hist.count() == 0 and len(model.theta) == 3 + 3 + 1
+
+
+def test_full_batch_step_does_not_meet_in_one_task(spark, monkeypatch):
+    from tastemap.operators import mlp
+
+    rng = np.random.RandomState(6)
+    rows = [(u, i, [float(x) for x in rng.randn(5)], float(rng.randn())) for u in range(30) for i in range(20)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, features array<double>, rating double").repartition(5)
+    kw = dict(hidden=(6,), epochs=3, batch_size=1 << 40, lr=0.1, seed=1, num_partitions=1)
+    one, h1 = fit_mlp(df, **kw)
+    monkeypatch.setattr(mlp, "MAX_TASK_BYTES", 0)
+    monkeypatch.setattr(mlp, "_train_fn", None)  # the whole set in one task
+    many, h2 = fit_mlp(df, **kw)
+    assert np.allclose(one.theta, many.theta, atol=1e-9)
+    assert np.allclose(h1.orderBy("epoch").toPandas(), h2.orderBy("epoch").toPandas())
+
+
+def test_partitions_hold_rows_in_single_precision(spark, monkeypatch):
+    from tastemap.operators import mlp
+
+    kept, cut = [], mlp.cut_lineage
+    monkeypatch.setattr(mlp, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    rows = [(u, i, [float(u), float(i), 1.0], float(u % 5)) for u in range(30) for i in range(20)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, features array<double>, rating double")
+    fit_mlp(df, epochs=1, hidden=(6,), num_partitions=3)
+    assert sum(len(r.x) for r in kept[-1].collect()) == 600 * 3 * 4
+
+
+def test_forward_expression_computes_a_layer_once(spark):
+    from tastemap.operators.mlp import MLPModel, forward, unpack
+    from tastemap.plans.model_queries import _forward
+
+    rng = np.random.RandomState(2)
+    sizes = [4, 5, 3, 1]
+    model = MLPModel(rng.randn(4 * 5 + 5 + 5 * 3 + 3 + 3 + 1), sizes)
+    x = rng.randn(10, 4)
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x], "features array<double>").select(_forward(model, "features").alias("y"))
+    assert np.allclose([r.y for r in df.collect()], forward(x, unpack(model.theta, sizes)))
+    # the input column is bound to a variable: no unit holds the layers below
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("features#") <= 3
