@@ -9,8 +9,9 @@ Tokenising. The tokenizer splits at white space before it merges, so the ids of
 its white-space-separated pieces in order. A Python worker keeps the ids of pieces that its tasks have met (by
 64-bit hash, a bounded table) and asks the tokenizer for new pieces only. Pieces are also cut where
 an ASCII letter or digit is followed by ASCII punctuation, which the tokenizer's pattern always
-separates; a chunk that holds ``<|`` (special tokens) is cut at white space only. Another tokenizer
-than one with this property needs ``by_word=False``, which passes whole texts.
+separates; a chunk that holds ``<|`` (special tokens) is cut at white space only. Where the tokenizer lower-cases
+texts, pieces of ASCII alone are lower-cased first, so that one entry serves all their spellings. Another tokenizer
+than one with these properties needs ``by_word=False``, which passes whole texts.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a ``doc_id`` are documents
 of their own, in the order of their texts' hashes; a null ``doc_id`` sorts first; an empty table
@@ -19,6 +20,7 @@ gives an empty manifest and no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -36,7 +38,8 @@ from tastemap.llm import workers
 from tastemap.llm.files import Checked, SealedFile, new_folder, open_fs
 
 END_ID = 2
-KNOWN_PIECES = 800_000
+KNOWN_PIECES = 1_600_000
+KNOWN_IDS = 1 << 24
 CHUNK_BYTES = 500_000
 ROLL_BYTES = 512 << 20
 NO_ID = -(1 << 63)
@@ -62,6 +65,80 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Pieces:
+    """Ids of pieces by 64-bit hash (never 0): an open-addressing table, searched for many at a time. It holds the
+    place of each piece in ``pool``, where the number of its ids stands before them."""
+
+    END = 1  # place of the end id, which is no piece
+
+    def __init__(self, end_id: int):
+        self.known = 0
+        self._slots(1 << 16)
+        self.pool, self.used = np.empty(1 << 18, np.int32), 3
+        self.pool[:3] = 0, 1, end_id
+
+    def _slots(self, n: int) -> None:
+        self.key, self.place = np.zeros(n, np.uint64), np.zeros(n, np.uint32)
+        self.by = np.uint64(64 - (n.bit_length() - 1))
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Place of every key; 0 where it is not known."""
+        at = (key >> self.by).view(np.int64)
+        got = self.key.take(at)
+        out = self.place.take(at) * (got == key)
+        live = np.flatnonzero((got != key) & (got != 0))
+        at = at.take(live)
+        while len(live):
+            at = (at + 1) & (len(self.key) - 1)
+            got, want = self.key.take(at), key.take(live)
+            hit = np.flatnonzero(got == want)
+            out[live.take(hit)] = self.place.take(at.take(hit))
+            go = np.flatnonzero((got != want) & (got != 0))
+            live, at = live.take(go), at.take(go)
+        return out.astype(np.int64)
+
+    def _put(self, key: np.ndarray, place: np.ndarray) -> None:
+        at = (key >> self.by).view(np.int64)
+        while len(key):
+            free = np.flatnonzero(self.key.take(at) == 0)
+            self.key[at.take(free)] = key.take(free)  # of several keys for one slot the last stays
+            mine = self.key.take(at) == key
+            self.place[at[mine]] = place[mine]
+            key, place, at = key[~mine], place[~mine], (at[~mine] + 1) & (len(self.key) - 1)
+
+    def add(self, key: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """New, different keys, the ids of all their pieces one after the other, and the number of each."""
+        place = self.used + np.cumsum(n + 1) - (n + 1)
+        end = self.used + len(ids) + len(n)
+        if end > len(self.pool):
+            pool = np.empty(2 * end, np.int32)
+            pool[: self.used] = self.pool[: self.used]
+            self.pool = pool
+        number = np.zeros(end - self.used, bool)
+        number[place - self.used] = True
+        added = self.pool[self.used : end]
+        added[number], added[~number] = n, ids
+        self.used = end
+        self.known += len(key)
+        place = place.astype(np.uint32)
+        if 5 * self.known > 4 * len(self.key):
+            held = np.flatnonzero(self.key)
+            key, place = np.concatenate([self.key[held], key]), np.concatenate([self.place[held], place])
+            slots = len(self.key)
+            while 5 * self.known > 4 * slots:
+                slots *= 2
+            self._slots(slots)
+        self._put(key, place)
+
+
+def lowers(tokenizer: str) -> bool:
+    """Whether a tokenizer (its JSON) lower-cases texts, and before that changes no ASCII text but for its white space."""
+    steps = json.loads(tokenizer).get("normalizer") or {}
+    steps = steps.get("normalizers", [steps])
+    harmless = [x.get("type") in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") or (x.get("type"), x.get("pattern")) == ("Replace", {"Regex": r"\s+"}) for x in steps]
+    return all(harmless) and any(x.get("type") == "Lowercase" for x in steps)
+
+
 class Tokens:
     """Tokenises chunks of texts; one per task."""
 
@@ -73,17 +150,11 @@ class Tokens:
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size()
         self.by_word = by_word
+        self.lowers = lowers(self.tok.to_str())
         self.ends = np.zeros(self.vocab, bool)
         for s, i in self.tok.get_vocab().items():
             self.ends[i] = s.endswith("</w>")
-        self._forget()
-
-    def _forget(self) -> None:
-        # the first entry is no piece but the end id
-        self.key = np.zeros(1, np.uint64)
-        self.at = np.zeros(1, np.int32)
-        self.len = np.ones(1, np.int32)
-        self.pool = np.full(1, END_ID, np.int32)
+        self.pieces = Pieces(END_ID)
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -92,57 +163,64 @@ class Tokens:
         """Add pieces with their ids. Plain letter pieces are tokenised many at a time: each ends
         with its one word-final id."""
         plain, rest = np.flatnonzero(simple), np.flatnonzero(~simple).tolist()
-        n, at = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
-        pool, size = [self.pool], len(self.pool)
         for i in range(0, len(plain), 4096):
             part = plain[i : i + 4096]
             lines = [b" ".join([pieces[k] for k in part[j : j + 512]]).decode() for j in range(0, len(part), 512)]
             got = np.concatenate([np.array(x, np.int32) for x in self._raw(lines)])
             cut = np.flatnonzero(self.ends[got]) + 1
             if len(cut) == len(part) and cut[-1] == len(got):
-                n[part] = np.diff(cut, prepend=0)
-                at[part] = size + cut - n[part]
-                pool.append(got)
-                size += len(got)
+                self.pieces.add(key[part], got, np.diff(cut, prepend=0))
             else:
                 rest.extend(part.tolist())
-        for k, x in zip(rest, self._raw([pieces[k].decode() for k in rest]), strict=True):
-            n[k], at[k] = len(x), size
-            pool.append(np.array(x, np.int32))
-            size += len(x)
-        self.pool = np.concatenate(pool)
-        where = np.searchsorted(self.key, key)
-        self.key, self.at, self.len = np.insert(self.key, where, key), np.insert(self.at, where, at), np.insert(self.len, where, n)
+        if rest:
+            raw = self._raw([pieces[k].decode() for k in rest])
+            self.pieces.add(key[rest], np.concatenate([np.array(x, np.int32) for x in raw]), np.array([len(x) for x in raw], np.int64))
+
+    def _lowered(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """``buf`` with the pieces of ASCII alone in lower case."""
+        high = np.concatenate([[0], np.cumsum(buf >= 128, dtype=np.int32)])
+        out = W.LOWER[buf]
+        if high[-1]:
+            kept = np.flatnonzero(high[ends] > high[starts])
+            n = ends[kept] - starts[kept]
+            at = np.repeat(starts[kept] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            out[at] = buf[at]
+        return out
 
     def chunk(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with the end id after each, number of ids of each text)."""
         rows = len(off) - 1
+        raw = buf.tobytes()
         if not self.by_word:
-            raw = buf.tobytes()
             parts = self._raw([raw[off[i] : off[i + 1]].decode() for i in range(rows)])
             n = np.array([len(p) + 1 for p in parts], np.int64)
             return np.concatenate([np.array([*p, END_ID], np.int32) for p in parts]), n
-        raw = buf.tobytes()
-        starts, ends, first = W.split_words(buf, off, cuts=None if b"<|" in raw else (ALNUM, PUNCT))
+        special = b"<|" in raw
+        starts, ends, first = W.split_words(buf, off, cuts=None if special else (ALNUM, PUNCT))
         if not len(starts):
             return np.full(rows, END_ID, np.int32), np.ones(rows, np.int64)
+        if self.lowers and not special:
+            buf = self._lowered(buf, starts, ends)
+            raw = buf.tobytes()
         h = W.word_hashes(buf, starts, ends)
         h[h == 0] = 1
-        key, one, inv = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.key) + len(key) > KNOWN_PIECES:
-            self._forget()
-        known = self.key[np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)] == key
-        if not known.all():
-            new = one[~known]
+        if self.pieces.known > KNOWN_PIECES or self.pieces.used > KNOWN_IDS:
+            self.pieces = Pieces(END_ID)
+        place = self.pieces.find(h)
+        unknown = np.flatnonzero(place == 0)
+        if len(unknown):
+            key, new = np.unique(h.take(unknown), return_index=True)
+            new = unknown[new]
             letters = np.concatenate([[0], np.cumsum(LETTER[buf])])
             simple = letters[ends[new]] - letters[starts[new]] == ends[new] - starts[new]
-            self._learn(key[~known], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], simple)
-        entry = np.insert(np.searchsorted(self.key, key)[inv], first[1:], 0)
-        n = self.len[entry].astype(np.int64)
+            self._learn(key, [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], simple)
+            place[unknown] = self.pieces.find(h.take(unknown))
+        place = np.insert(place, first[1:], Pieces.END)
+        n = self.pieces.pool.take(place).astype(np.int64)
         total = np.cumsum(n)
-        src = np.repeat(self.at[entry] - (total - n), n)
+        src = np.repeat(place + 1 - (total - n), n)
         src += np.arange(len(src))
-        return self.pool[src], np.diff(total[first[1:] + np.arange(rows)], prepend=0)
+        return self.pieces.pool.take(src), np.diff(total[first[1:] + np.arange(rows)], prepend=0)
 
 
 def worker_tokens(path: str, by_word: bool) -> Tokens:

@@ -290,6 +290,44 @@ def test_tokens(spark, corpus, by_word, monkeypatch):
     assert got == token_rows(rows)
 
 
+def test_pieces_are_learnt_once_whatever_their_case():
+    from tokenizers import Tokenizer
+
+    path = tokens.default_tokenizer()
+    full, tok, asked = Tokenizer.from_file(path), tokens.Tokens(path), []
+    raw = tok._raw
+    tok._raw = lambda texts: asked.extend(w for t in texts for w in t.split()) or raw(texts)
+    texts = ["Then then THEN, tHen Été été", "J\u030c j\u030c A\u030angstrom \u212b \u0130stanbul THEN", "The <|endoftext|> The <|ENDOFTEXT|> THE then", "", "tHEN ÉTÉ"]
+    for some in (texts[:2], texts[2:3], texts[3:]):
+        data = [t.encode() for t in some]
+        ids, n = tok.chunk(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0] + [len(d) for d in data]))
+        want = [[*full.encode(t, add_special_tokens=False).ids, tokens.END_ID] for t in some]
+        assert ids.tolist() == sum(want, []) and n.tolist() == [len(w) for w in want]
+    assert sum(w.lower() == "then" for w in asked) == 1 and len(asked) == len(set(asked))
+    assert not tokens.lowers("{}") and not tokens.lowers('{"normalizer": {"type": "NFC"}}')
+
+
+def test_table_of_pieces_finds_all_keys():
+    rng, table = np.random.default_rng(3), tokens.Pieces(7)
+    # many keys of one slot, and more than the first table holds
+    keys = np.unique(np.concatenate([rng.integers(1, 2**63, 60_000, dtype=np.uint64), np.arange(1, 300, dtype=np.uint64)]))
+    rng.shuffle(keys)
+    n = rng.integers(0, 4, len(keys))
+    for part in np.array_split(np.arange(len(keys)), 7):
+        assert not table.find(keys[part]).any()
+        table.add(keys[part], np.repeat(part, n[part]).astype(np.int32), n[part])
+    at, pool = table.find(keys), table.pool
+    assert (at > tokens.Pieces.END).all() and (pool[at] == n).all() and pool[tokens.Pieces.END :][:2].tolist() == [1, 7] and table.known == len(keys)
+    assert all((pool[a + 1 : a + 1 + k] == i).all() for i, (a, k) in enumerate(zip(at.tolist(), n.tolist(), strict=True)))
+    assert not table.find(keys + np.uint64(2**63)).any()
+
+
+def test_rangecoder_writes_the_bytes_of_its_format():
+    ids = np.random.default_rng(5).zipf(1.3, 70_000) % 49408
+    ids[20_000:40_000] = ids[:20_000]
+    assert hashlib.sha256(rangecoder.encode(ids, 49408)).hexdigest() == "b9c9a3cb8e452d4a6beec8acd66636c525b20f253a0770974560e17cf54f5f52"
+
+
 def test_tokens_edges(spark, empty_docs):
     assert tokens.report(empty_docs).collect() == []
     rows = [(None, "x", None, None, 0), (4, "a", None, None, 0), (4, "b c", None, None, 0), (4, None, None, None, 0)]
