@@ -39,7 +39,8 @@ from tastemap.llm import words as W
 from tastemap.session import materialize
 
 GROUP_BYTES = 8 << 20
-CHUNK_BYTES = 1_000_000
+#: A chunk's arrays (eight bytes and more for each of its units) stay in a core's cache.
+CHUNK_BYTES = 1 << 18
 NO_ID = -(1 << 63)
 U = np.uint64
 
@@ -108,21 +109,27 @@ class Bytes:
 
     def parse(self, buf: np.ndarray, off: np.ndarray):
         n = max(0, len(buf) - self.q + 1)
-        v = buf.astype(np.uint64)
-        v = v[:-1] | (v[1:] << U(8))
-        v = v[:-2] | (v[2:] << U(16)) if len(v) > 2 else v[:0]
-        v8 = v[:-4] | (v[4:] << U(32)) if len(v) > 4 else v[:0]
-        g = W.fmix(W.fmix(v8[:n] * W.WINDOW_MULT[0] + v8[8 : 8 + n]) + v[16 : 16 + n] * W.WINDOW_MULT[1]) if n else np.zeros(0, np.uint64)
+        raw = np.zeros(len(buf) + 8, np.uint8)
+        raw[: len(buf)] = buf
+        eight = np.ndarray(len(buf) + 1, "<u8", raw.data, strides=(1,)).copy()  # aligned, so arithmetic is fast
+        # a minimiser only deals windows out, so two rounds of mixing do
+        g = eight[:n] * W.WINDOW_MULT[0]
+        g += eight[8 : 8 + n] * W.WINDOW_MULT[1]
+        g += (eight[16 : 16 + n] << U(32)) * W.WINDOW_MULT[2]
+        g ^= g >> U(32)
+        g *= W.WINDOW_MULT[3]
+        g ^= g >> U(32)
+        g *= W.WINDOW_MULT[4]
         return off, g, buf
 
     def hashes(self, ctx, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return W.span_hashes(ctx.astype(np.uint64) + U(1), a, b)
+        return W.word_hashes(ctx, a, b)
 
     def string_hashes(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         out = [np.zeros(0, np.uint64)]
         for i, j in W.chunks(off, CHUNK_BYTES):
             o = off[i : j + 1] - off[i]
-            out.append(W.span_hashes(buf[off[i] : off[j]].astype(np.uint64) + U(1), o[:-1], o[1:]))
+            out.append(W.word_hashes(buf[off[i] : off[j]], o[:-1], o[1:]))
         return np.concatenate(out)
 
     def pack(self, ctx, a: np.ndarray, b: np.ndarray) -> list[bytes]:
@@ -138,32 +145,49 @@ def runs(unit, first: np.ndarray, gram: np.ndarray):
     z = np.zeros(0, np.int64)
     if not n:
         return z, z, z, np.zeros(0, np.uint64)
-    ok = np.zeros(n + 1, bool)
     rows = np.flatnonzero(np.diff(first) >= unit.k)
-    d = np.zeros(n + 1, np.int32)
+    d = np.zeros(n + 1, np.int8)
     d[first[rows]] += 1
     np.add.at(d, first[rows + 1] - unit.k + 1, -1)
-    ok[:n] = np.cumsum(d[:n]) > 0
-    new = ok[:n].copy()
-    new[1:] &= ~(ok[: n - 1] & (m[1:] == m[:-1]))
+    ok = np.cumsum(d[:n], dtype=np.int8).view(bool)
+    new = ok.copy()
+    new[1:] &= ~(ok[:-1] & (m[1:] == m[:-1]))
     # adjoining rows share no window, but their windows may adjoin when k is 1
     new[first[rows]] = True
     at = np.flatnonzero(new)
-    stop = np.append(at[1:], n)
-    valid = np.concatenate([[0], np.cumsum(ok[:n])])
-    return np.searchsorted(first, at, "right") - 1, at, valid[stop] - valid[at], W.fmix(m[at] + W.STEP)
+    row = np.searchsorted(first, at, "right") - 1
+    stop = np.minimum(np.append(at[1:], n), first[row + 1] - unit.k + 1)
+    return row, at, stop - at, W.fmix(m[at] + W.STEP)
 
 
-def demoted(gram: np.ndarray, hot: np.ndarray) -> np.ndarray:
+class _Members:
+    """Sorted values; a table of the bits from ``shift`` on tells most others."""
+
+    def __init__(self, sorted_: np.ndarray, shift: int = 0, bits: int = 16):
+        self.sorted, self.shift, self.mask = sorted_, U(shift), U((1 << bits) - 1)
+        self.seen = np.zeros(1 << bits, bool)
+        self.seen[self._place(sorted_)] = True
+
+    def _place(self, x: np.ndarray) -> np.ndarray:
+        return ((x >> self.shift) & self.mask).view(np.int64)
+
+    def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of the values of ``x`` that are among them, which these are)"""
+        at = np.flatnonzero(self.seen[self._place(x)])
+        x = x[at]
+        which = np.minimum(np.searchsorted(self.sorted, x), len(self.sorted) - 1)
+        hit = np.flatnonzero(self.sorted[which] == x)
+        return at[hit], which[hit]
+
+
+def demoted(gram: np.ndarray, hot: np.ndarray | _Members) -> np.ndarray:
     """The grams' hashes with the hot ones above all others. ``hot`` is sorted."""
     gram = gram >> U(1)
-    if not len(hot) or not len(gram):
+    hot = hot if isinstance(hot, _Members) else _Members(hot, 47)
+    if not len(hot.sorted):
         return gram
-    seen = np.zeros(1 << 16, bool)
-    seen[(hot >> U(47)).astype(np.int64)] = True
-    at = np.flatnonzero(seen[(gram >> U(47)).astype(np.int64)])
-    at = at[_member(hot, gram[at])]
-    gram[at] |= U(1 << 63)
+    at = np.flatnonzero(gram <= hot.sorted[-1])
+    gram[at[hot.find(gram[at])[0]]] |= U(1 << 63)
     return gram
 
 
@@ -218,6 +242,8 @@ def _from_six(raw: np.ndarray) -> np.ndarray:
 
 
 LOW6 = U((1 << 48) - 1)
+#: Bits of the table of a group's keys.
+KEY_BITS = 21
 
 
 def _column(table: pa.Table, name: str, kind) -> np.ndarray:
@@ -228,15 +254,11 @@ def _chunks(docs: pa.Table, unit, hot: np.ndarray):
     """(document ids, row offsets of bytes, first units, ctx, runs) of a group, chunk by chunk."""
     buf, off = W.text_bytes(docs.column("text"))
     doc = docs.column("doc_id").combine_chunks().fill_null(NO_ID).to_numpy(zero_copy_only=False) if docs.num_rows else np.zeros(0, np.int64)
+    frequent = _Members(hot, 47)
     for i, j in W.chunks(off, CHUNK_BYTES):
         b, o = buf[off[i] : off[j]], off[i : j + 1] - off[i]
         first, gram, ctx = unit.parse(b, o)
-        yield doc[i:j], b, o, first, ctx, runs(unit, first, demoted(gram, hot))
-
-
-def _member(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Positions of the values of ``x`` that are in ``sorted_``."""
-    return np.flatnonzero(sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x)
+        yield doc[i:j], b, o, first, ctx, runs(unit, first, demoted(gram, frequent))
 
 
 def _changes(k: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -245,26 +267,52 @@ def _changes(k: np.ndarray, h: np.ndarray) -> np.ndarray:
     return new
 
 
+def _order(k: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
+    """An order that sorts ``k`` and, where these are equal, ``h``. Values that hold the top of the key and the
+    position are sorted, which is many times faster than positions; where the top does not tell, all does."""
+    bits = U(len(k).bit_length())
+    x = (k >> bits << bits) | np.arange(len(k), dtype=np.uint64)
+    x.sort()
+    order = (x & ((U(1) << bits) - U(1))).view(np.int64)
+    top = x >> bits
+    new = top[1:] != top[:-1]
+    wrong = ~new & (_changes(k[order], (k if h is None else h)[order])[1:])
+    if wrong.any():
+        run = np.concatenate([[0], np.cumsum(new)])
+        mixed = np.zeros(int(run[-1]) + 1, bool)
+        mixed[run[1:][wrong]] = True
+        at = np.flatnonzero(mixed[run])
+        some = order[at]
+        order[at] = some[np.lexsort((k[some],) if h is None else (h[some], k[some]))]
+    return order
+
+
 class _Pairs:
     """Finds (key, hash) pairs in a list of them; both have to agree."""
 
     def __init__(self, k: np.ndarray, h: np.ndarray):
-        self.k, self.h = np.unique(k), np.unique(h)
-        self.of = self._number(np.searchsorted(self.k, k), np.searchsorted(self.h, h))
-        self.order = np.argsort(self.of, kind="stable")
-        self.of = self.of[self.order]
-
-    def _number(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return i * np.int64(len(self.h)) + j
-
-    def find(self, k: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """Position of each pair in the list, -1 where it is not."""
-        if not len(self.of) or not len(k):
-            return np.full(len(k), -1)
-        i, j = np.minimum(np.searchsorted(self.k, k), len(self.k) - 1), np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-        number = self._number(i, j)
-        at = np.minimum(np.searchsorted(self.of, number), len(self.of) - 1)
-        return np.where((self.k[i] == k) & (self.h[j] == h) & (self.of[at] == number), self.order[at], -1)
+        self.order = _order(k, h)
+        k, self.h = k[self.order], h[self.order]
+        self.begin = np.flatnonzero(_changes(k, k))
+        self.last = np.append(self.begin[1:], len(k)) - 1
+        self.keys = _Members(k[self.begin], 0, KEY_BITS)
+
+    def find(self, which: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Position of each pair in the list, -1 where it is not; ``which`` of the keys is known."""
+        low, high = self.begin[which], self.last[which]
+        open_ = np.flatnonzero(low < high)
+        while len(open_):  # halves each key's hashes
+            a, b = low[open_], high[open_]
+            mid = (a + b) >> 1
+            less = self.h[mid] < h[open_]
+            low[open_], high[open_] = a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+            open_ = open_[a < b]
+        return np.where(self.h[low] == h, self.order[low], -1)
+
+
+def spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each of ``begin`` on, ``n`` of each."""
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 def _list(x: np.ndarray) -> bytes:
@@ -274,9 +322,9 @@ def _list(x: np.ndarray) -> bytes:
 def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema: str, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row of ``schema`` per document of ``docs`` (doc_id, text).
 
-    ``least_docs(keys, strings, docs)`` is the operator's comparison: for lists of equal length, an
-    array per string with the least document of each of its windows. ``finish(doc_ids, buf, off,
-    first, covered)`` makes the arrays of the result from a chunk and its covered units.
+    ``least_docs(keys, strings, docs)`` is the operator's comparison: the least documents of the windows of all
+    strings, one string after the other, and the number of windows of each. ``finish(buf, off, first, covered)``
+    makes the arrays of the result from a chunk and its covered units.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -292,11 +340,11 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
             keys.append(k)
             ids.append(doc[row])
         k, d = np.concatenate(keys), np.concatenate(ids)
-        order = np.lexsort((d, k))
+        order = _order(k)
         k, d = k[order], d[order]
-        head = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
-        tail = np.append(head[1:], len(k)) - 1
-        k, many, d = k[head], d[head] != d[tail] if len(k) else np.zeros(0, bool), d[head]
+        head = np.flatnonzero(_changes(k, k))
+        k, high, d = k[head], np.maximum.reduceat(d, head), np.minimum.reduceat(d, head)
+        many = d != high
         cuts = _bucket_cuts(k, buckets)
         use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
         g = key[0].as_py()
@@ -306,11 +354,11 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
     def shared(key, rows):
         k, d, many = _from_six(_column(rows, "keys", np.uint8)), _column(rows, "docs", np.int64), _column(rows, "many", bool)
         source = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) for x in rows.column("many")])
-        order = np.lexsort((d, k))
+        order = _order(k)
         k_, d_, m_ = k[order], d[order], many[order]
-        head = np.flatnonzero(np.append(True, k_[1:] != k_[:-1]))
+        head = np.flatnonzero(_changes(k_, k_))
         count = np.diff(np.append(head, len(k_)))
-        several = (d_[head] != d_[head + count - 1]) | np.logical_or.reduceat(m_, head)
+        several = (np.minimum.reduceat(d_, head) != np.maximum.reduceat(d_, head)) | np.logical_or.reduceat(m_, head)
         keep = np.repeat(several, count)
         src, kk = source[order][keep], k_[keep]
         by = np.argsort(src, kind="stable")
@@ -322,28 +370,27 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
 
     def strings(key, docs_, wanted):
         want = np.sort(_from_six(_column(wanted, "keys", np.uint8)))
-        none = np.zeros(0, np.uint64)
-        keys, hashes, ids, packed = [none], [none], [np.zeros(0, np.int64)], []
+        keys_wanted = _Members(want, 0, KEY_BITS)
+        keys, hashes, lows, highs, packed = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         for doc, _, _, _, ctx, (row, at, n, k) in _chunks(docs_, unit, hot.value) if len(want) else ():
-            hit = _member(want, k & LOW6)
-            h = unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1)
-            # one row for each string and document of the chunk, and its text once
-            d, k, at, n = doc[row[hit]], k[hit], at[hit], n[hit]
-            order = np.lexsort((d, h, k))
-            new = _changes(k[order], h[order])
-            first = order[new]
-            keys.append(k[order])
-            hashes.append(h[order])
-            ids.append(d[order])
-            texts = unit.pack(ctx, at[first], at[first] + n[first] + unit.k - 1)
-            packed.extend(texts[i] for i in (np.cumsum(new) - 1).tolist())
-        k, h, d = np.concatenate(keys), np.concatenate(hashes), np.concatenate(ids)
-        order = np.lexsort((d, h, k))
-        k, h, d = k[order], h[order], d[order]
-        head = np.flatnonzero(_changes(k, h))
-        tail = np.append(head[1:], len(k))[: len(head)] - 1
-        many, texts = d[head] != d[tail], [packed[i] for i in order[head].tolist()]
-        k, d = k[head], d[head]
+            hit = keys_wanted.find(k & LOW6)[0]
+            at, end = at[hit], at[hit] + n[hit] + unit.k - 1
+            # one row and one text for each string of the chunk, with its least and its greatest document
+            k, h, d = k[hit], unit.hashes(ctx, at, end), doc[row[hit]]
+            order = _order(k, h)
+            head = np.flatnonzero(_changes(k[order], h[order]))
+            first = order[head]
+            keys.append(k[first])
+            hashes.append(h[first])
+            lows.append(np.minimum.reduceat(d[order], head))
+            highs.append(np.maximum.reduceat(d[order], head))
+            packed.extend(unit.pack(ctx, at[first], end[first]))
+        k, h, low, high = np.concatenate(keys), np.concatenate(hashes), np.concatenate(lows), np.concatenate(highs)
+        order = _order(k, h)
+        head = np.flatnonzero(_changes(k[order], h[order]))
+        first = order[head]
+        k, d, texts = k[first], np.minimum.reduceat(low[order], head), [packed[i] for i in first.tolist()]
+        many = d != np.maximum.reduceat(high[order], head)
         lens = np.array([len(x) for x in texts], np.int32)
         cuts = _bucket_cuts(k, buckets)
         use = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
@@ -370,12 +417,12 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         source = np.repeat(np.arange(rows.num_rows), [len(x.as_py()) for x in rows.column("many")])
         h = unit.string_hashes(np.frombuffer(raw, np.uint8), np.concatenate([[0], ends]))
         # equal strings of several groups are one
-        order = np.lexsort((d, h, k))
+        order = _order(k, h)
         new = _changes(k[order], h[order])
         head = order[new]
         which = np.empty(len(k), np.int64)
         which[order] = np.cumsum(new) - 1
-        least, of_key = d[head], k[head]
+        least, of_key = np.minimum.reduceat(d[order], np.flatnonzero(new)), k[head]
         alone = np.ones(len(head), bool)
         alone[1:] &= of_key[1:] != of_key[:-1]
         alone[:-1] &= of_key[1:] != of_key[:-1]
@@ -384,13 +431,17 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         mixed = np.flatnonzero(~alone)
         if len(mixed):
             texts = [raw[e - n : e] for e, n in zip(ends[head[mixed]].tolist(), lens[head[mixed]].tolist(), strict=True)]
-            found = least_docs(of_key[mixed].tolist(), texts, least[mixed].tolist())
-            found = [w[:1] if (w == w[0]).all() else w for w in found]
-            size[mixed] = [len(w) for w in found]
+            found, n = least_docs(of_key[mixed], texts, least[mixed])
+            begin = np.cumsum(n) - n
+            # one value stands for windows that all have it
+            one = np.minimum.reduceat(found, begin) == np.maximum.reduceat(found, begin)
+            stay = ~np.repeat(one, n)
+            stay[begin] = True
+            size[mixed] = np.where(one, 1, n)
             begin = np.cumsum(size) - size
             values = np.empty(int(size.sum()), np.int64)
             values[begin[alone]] = least[alone]
-            values[np.repeat(begin[mixed] - (np.cumsum(size[mixed]) - size[mixed]), size[mixed]) + np.arange(int(size[mixed].sum()))] = np.concatenate(found)
+            values[spread(begin[mixed], size[mixed])] = found[stay]
         begin = np.cumsum(size) - size
         low = np.minimum.reduceat(values, begin) if len(begin) else values
         # where nothing of the group goes, it needs no word of it
@@ -398,7 +449,7 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         tell = tell[np.argsort(source[tell], kind="stable")]
         w = which[tell]
         n = size[w]
-        flat = values[np.repeat(begin[w] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        flat = values[spread(begin[w], n)]
         cut = np.searchsorted(source[tell], np.arange(rows.num_rows + 1))
         flat_cut = np.concatenate([[0], np.cumsum(n)])[cut]
         g = rows.column("g").to_pylist()
@@ -410,25 +461,21 @@ def remove(docs: DataFrame, unit, least_docs: Callable, finish: Callable, schema
         known = _Pairs(_column(verdicts, "keys", np.uint64), _column(verdicts, "hashes", np.uint64))
         lens, flat = _column(verdicts, "lens", np.int32).astype(np.int64), _column(verdicts, "least", np.int64)
         begin = np.cumsum(lens) - lens
-        keys = np.sort(_column(verdicts, "keys", np.uint64))
         tables = []
         for doc, buf, off, first, ctx, (row, at, n, k) in _chunks(docs_, unit, hot.value):
             units = int(first[-1])
             covered = np.zeros(units, bool)
-            hit = _member(keys, k) if len(keys) else np.zeros(0, np.int64)
+            hit, which = known.keys.find(k)
             if len(hit):
-                verdict = known.find(k[hit], unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1))
+                verdict = known.find(which, unit.hashes(ctx, at[hit], at[hit] + n[hit] + unit.k - 1))
                 hit, verdict = hit[verdict >= 0], verdict[verdict >= 0]
                 d = doc[row[hit]]
                 whole = lens[verdict] == 1
                 gone = hit[whole & (flat[begin[verdict]] < d)]
-                starts, ends = [at[gone]], [at[gone] + n[gone] + unit.k - 1]
-                for i in np.flatnonzero(~whole).tolist():
-                    v = verdict[i]
-                    one = at[hit[i]] + np.flatnonzero(flat[begin[v] : begin[v] + lens[v]] < d[i])
-                    starts.append(one)
-                    ends.append(one + unit.k)
-                covered = W.join_ranges(np.concatenate(starts), np.concatenate(ends), units)
+                hit, verdict, d = hit[~whole], verdict[~whole], d[~whole]
+                m = lens[verdict]
+                one = spread(at[hit], m)[flat[spread(begin[verdict], m)] < np.repeat(d, m)]
+                covered = W.join_ranges(np.concatenate([at[gone], one]), np.concatenate([at[gone] + n[gone] + unit.k - 1, one + unit.k]), units)
             tables.append(pa.table({"doc_id": pa.array(doc, mask=doc == NO_ID), **finish(buf, off, first, covered)}))
         return pa.concat_tables(tables)
 

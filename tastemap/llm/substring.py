@@ -46,20 +46,18 @@ def window_ranks(ids: np.ndarray, k: int) -> np.ndarray:
     return rank
 
 
-def least_docs(keys: list[int], strings: list[bytes], docs: list[int], k: int = WINDOW) -> list[np.ndarray]:
-    """The least document of each window of each packed string."""
+def least_docs(keys: np.ndarray, strings: list[bytes], docs: np.ndarray, k: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """The least document of each window of all packed strings, and how many windows each has."""
     number: dict[bytes, int] = {}
     words = [s.split() for s in strings]
     ids = np.array([number.setdefault(w, len(number)) for s in words for w in s], np.int64)
     n = np.array([len(s) for s in words])
-    first = np.concatenate([[0], np.cumsum(n)])
     rank = window_ranks(ids, k)  # windows across two strings are ranked too, and not looked at
-    at = [np.arange(a, b - k + 1) for a, b in zip(first[:-1], first[1:], strict=True)]
-    owner = np.repeat(np.array(docs, np.int64), n - k + 1)
-    r = rank[np.concatenate(at)]
+    windows = n - k + 1
+    r = rank[repeats.spread(np.cumsum(n) - n, windows)]
     least = np.full(int(rank.max()) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, r, owner)
-    return [least[rank[x]] for x in at]
+    np.minimum.at(least, r, np.repeat(docs, windows))
+    return least[r], windows
 
 
 def _finish(with_text: bool):

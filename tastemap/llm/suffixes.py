@@ -35,11 +35,14 @@ def radix_groups(data: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int
     """(members, group of each): the positions ``at`` whose first ``depth`` bytes occur more than once
     within their start group, by most-significant-digit passes."""
     member, group = np.arange(len(at)), group.astype(np.int64)
+    raw = np.zeros(len(data) + DIGIT, np.uint8)
+    raw[: len(data)] = data
+    eight = np.ndarray(len(data) + 1, ">u8", raw.data, strides=(1,))
     for d in range(0, depth, DIGIT):
-        digit = np.zeros(len(member), np.uint64)
-        for j in range(d, min(d + DIGIT, depth)):
-            digit = (digit << np.uint64(8)) | data[at[member] + j].astype(np.uint64)
-        order = np.lexsort((digit, group))
+        digit = eight[at[member] + d].astype(np.uint64) >> np.uint64(8 * max(0, d + DIGIT - depth))
+        order = np.argsort(digit)
+        for bit in range(0, int(group.max(initial=0)).bit_length(), 16):
+            order = order[np.argsort((group[order] >> bit).astype(np.uint16), kind="stable")]
         g, x = group[order], digit[order]
         new = np.ones(len(order), bool)
         new[1:] = (g[1:] != g[:-1]) | (x[1:] != x[:-1])
@@ -49,22 +52,20 @@ def radix_groups(data: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int
     return member, group
 
 
-def least_docs(keys: list[int], strings: list[bytes], docs: list[int], k: int = WINDOW) -> list[np.ndarray]:
-    """The least document of each 50-byte string of each packed string."""
+def least_docs(keys: np.ndarray, strings: list[bytes], docs: np.ndarray, k: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """The least document of each 50-byte string of all packed strings, and how many each of these has."""
     data = np.frombuffer(b"".join(strings), np.uint8)
     n = np.array([len(s) for s in strings])
-    first = np.cumsum(n) - n
     windows = n - k + 1
-    begin = np.cumsum(windows) - windows
-    at = np.repeat(first - begin, windows) + np.arange(int(windows.sum()))
-    least = np.repeat(np.array(docs, np.int64), windows)
-    start = np.unique(np.array(keys, np.uint64), return_inverse=True)[1]
+    at = repeats.spread(np.cumsum(n) - n, windows)
+    least = np.repeat(docs, windows)
+    start = np.unique(keys, return_inverse=True)[1]
     member, group = radix_groups(data, at, np.repeat(start, windows), k)
     if len(member):
         low = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(low, group, least[member])
         least[member] = low[group]
-    return np.split(least, begin[1:])
+    return least, windows
 
 
 def _finish(with_bytes: bool):
@@ -73,10 +74,12 @@ def _finish(with_bytes: bool):
         edge[1:] &= ~covered[:-1]
         starts = off[:-1][off[:-1] < len(buf)]
         edge[starts] = covered[starts]
-        kept = [buf[a:b][~gone].tobytes() for a, b, gone in zip(off[:-1].tolist(), off[1:].tolist(), repeats.split_rows(covered, first), strict=True)]
+        n, gone = np.diff(off), repeats.row_sums(covered, first)
+        rest, ends = buf[~covered].tobytes(), np.cumsum(n - gone).tolist()
+        kept = [rest[a:b] for a, b in zip([0, *ends], ends)]
         out = {
-            "n_bytes": pa.array(np.diff(off)),
-            "n_removed": pa.array(repeats.row_sums(covered, first)),
+            "n_bytes": pa.array(n),
+            "n_removed": pa.array(gone),
             "n_spans": pa.array(repeats.row_sums(edge, first)),
             "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
         }

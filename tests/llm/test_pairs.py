@@ -4,11 +4,13 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from tastemap.llm import jaccard, repeats, substring, suffixes
+from tastemap.llm import words as W
 from tastemap.llm.components import components
 from tests.llm.conftest import DOCS, clashing, words
 
@@ -221,3 +223,62 @@ def test_hot_minimiser_is_spread(spark, monkeypatch, op):
         pairs = np.unique(np.stack([key, row.astype(np.uint64)]), axis=1)[0]
         most.append(np.unique(pairs, return_counts=True)[1].max())
     assert most[0] < 0.3 * most[1] and most[1] >= 60
+
+
+def _spans(unit, texts):
+    buf, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    first, gram, ctx = unit.parse(buf, off)
+    _, at, n, _ = repeats.runs(unit, first, gram)
+    return ctx, at, at + n + unit.k - 1
+
+
+def test_byte_spans_have_the_hash_of_their_strings():
+    rng = random.Random(21)
+    texts = [" ".join(words(rng, 400)).encode(), b"k" * 900, bytes(range(256)) * 4, b"", b"a" * 49]
+    unit = repeats.Bytes()
+    ctx, a, b = _spans(unit, [*texts, *texts])
+    h, packed = unit.hashes(ctx, a, b), unit.pack(ctx, a, b)
+    assert len(set(zip(h.tolist(), packed, strict=True))) == len(set(h.tolist())) == len(set(packed)) < len(packed)
+    assert (unit.string_hashes(np.frombuffer(b"".join(packed), np.uint8), np.cumsum([0] + [len(x) for x in packed])) == h).all()
+    assert not len(_spans(unit, [b"", b"x" * 49])[1])
+
+
+def test_byte_spans_cost_less_than_sums_over_all_bytes():
+    unit = repeats.Bytes()
+    ctx, a, b = _spans(unit, [np.random.default_rng(3).integers(97, 123, 1_000_000).astype(np.uint8).tobytes()])
+
+    def cpu(f):
+        took = []
+        for _ in range(5):
+            t = time.process_time()
+            f()
+            took.append(time.process_time() - t)
+        return min(took)
+
+    assert cpu(lambda: unit.hashes(ctx, a, b)) < 0.6 * cpu(lambda: W.span_hashes(ctx.astype(np.uint64), a, b))
+
+
+def test_order_and_pairs():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 7, 5000):
+        k = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        k[: n // 2] = (k[: n // 2] & np.uint64(7)) + np.uint64(1 << 40)  # their tops are equal
+        k, h = k[rng.integers(0, n, n)] if n else k, rng.integers(0, 5, n).astype(np.uint64)
+        order, want = repeats._order(k, h), np.lexsort((h, k))
+        assert sorted(order.tolist()) == list(range(n))
+        assert (k[order] == k[want]).all() and (h[order] == h[want]).all() and (k[repeats._order(k)] == k[want]).all()
+        at = np.unique(np.stack([k, h]), axis=1, return_index=True)[1]
+        listed = at[rng.permutation(len(at))][: 2 * len(at) // 3]
+        pairs = repeats._Pairs(k[listed], h[listed])
+        where = {(int(k[i]), int(h[i])): p for p, i in enumerate(listed.tolist())}
+        hit, which = pairs.keys.find(k)
+        assert sorted(hit.tolist()) == np.flatnonzero(np.isin(k, k[listed])).tolist()
+        assert pairs.find(which, h[hit]).tolist() == [where.get((int(k[i]), int(h[i])), -1) for i in hit.tolist()]
+
+
+def test_radix_groups_of_many_starts():
+    start = np.concatenate([np.arange(70000), np.arange(70000)[::-1]])
+    data = np.full(140000 + 8, 5, np.uint8)
+    member, group = suffixes.radix_groups(data, np.arange(140000), start, 8)
+    assert len(member) == 140000 and (start[member[::2]] == start[member[1::2]]).all() and (group[::2] == group[1::2]).all()
+    assert len(np.unique(group)) == 70000
