@@ -35,6 +35,7 @@ from tastemap.llm import workers
 WINDOW = 13
 MIN_SHARE_OF_WORDS = 20  # contaminated: 20 * n_hit >= n_words
 MAX_AUTOMATON_BYTES = 64_000_000
+HELD_BYTES = 16 << 20
 
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing A-Z
 WORD = np.zeros(256, bool)
@@ -124,26 +125,27 @@ def automata(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
 def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", k: int = WINDOW, out_col: str = "_found", max_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
     """``docs`` (all columns) with a struct of words, hit words, occurring items and the byte spans
     of hit words in the original text. A row-local pass: no shuffle. Of several automata, driver and tasks
-    hold one at a time; a batch of texts meets them in turn."""
+    hold one at a time; batches of texts up to ``HELD_BYTES`` meet them in turn."""
     tries = [docs.sparkSession.sparkContext.broadcast(a) for a in automata(items, k=k, max_bytes=max_bytes)]
     schema = T.StructType([*docs.schema.fields, T.StructField(out_col, FOUND)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))])
-        for batch in batches:
-            texts = [t.as_py() or b"" for t in batch.column(text_col).cast(pa.large_binary())]
-            found: list[tuple] = []
+        for held in W.gathered(batches, HELD_BYTES if len(tries) > 1 else 0):
+            texts = [[t.as_py() or b"" for t in batch.column(text_col).cast(pa.large_binary())] for batch in held]
+            found: list[list[tuple]] = [[] for _ in held]
             for each in tries or [None]:
                 automaton = each.value if each else None
-                now = [find(automaton, t) for t in texts]
-                found = [(n, hit | more, ids | others) for (n, hit, ids), (_, more, others) in zip(found, now, strict=True)] if found else now
+                for k, part in enumerate(texts):
+                    now = [find(automaton, t) for t in part]
+                    found[k] = [(n, hit | more, ids | others) for (n, hit, ids), (_, more, others) in zip(found[k], now, strict=True)] if found[k] else now
                 if len(tries) > 1:
-                    each.__dict__.pop("_value", None)  # read again for the next batch
-            rows = [{"n_words": n, "n_hit": int(hit.sum()), "items": sorted(ids), "spans": [list(x) for x in original_spans(t, hit)]} for t, (n, hit, ids) in zip(texts, found, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, out_col])
+                    each.__dict__.pop("_value", None)  # read again for the next texts
+            for batch, part, of in zip(held, texts, found, strict=True):
+                rows = [{"n_words": n, "n_hit": int(hit.sum()), "items": sorted(ids), "spans": [list(x) for x in original_spans(t, hit)]} for t, (n, hit, ids) in zip(part, of, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, out_col])
 
-    return docs.mapInArrow(task, schema)
+    return docs.mapInArrow(workers.tidy(task), schema)
 
 
 def contaminated(found: str = "_found"):

@@ -106,7 +106,6 @@ def profile(docs: DataFrame) -> DataFrame:
     column holding the hash, ``doc_id`` the count)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         seen: set[int] = set()
         held, size = [], 0
 
@@ -134,7 +133,7 @@ def profile(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
         yield frequent()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(task, "doc_id long, n long, digest long, bits binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(workers.tidy(task), "doc_id long, n long, digest long, bits binary")
 
 
 def _rows(doc, n, digest, bits) -> pa.RecordBatch:
@@ -159,7 +158,6 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         hot_h, hot_c = shared.value
         seen: set[int] = set()
         held, size = [], 0
@@ -212,7 +210,7 @@ def entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int, l
         if held:
             yield flush()
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(task, "b int, keys binary, digests binary, sizes binary")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(workers.tidy(task), "b int, keys binary, digests binary, sizes binary")
 
 
 def _three(key: np.ndarray) -> np.ndarray:
@@ -270,7 +268,6 @@ def members(lists: DataFrame, buckets: int) -> DataFrame:
     are in one bucket, so that a node's bitmap goes there once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
@@ -283,7 +280,7 @@ def members(lists: DataFrame, buckets: int) -> DataFrame:
                 of = part.column("list").to_numpy(zero_copy_only=False)
                 yield pa.record_batch({"b": pa.array(np.repeat(b, k)), "list": pa.array(np.repeat(of, k)), "digest": pa.array(digest), "n": pa.array(n)})
 
-    return lists.mapInArrow(task, "b int, list long, digest long, n long")
+    return lists.mapInArrow(workers.tidy(task), "b int, list long, digest long, n long")
 
 
 # ---------------------------------------------------------------- signature tree
@@ -503,7 +500,6 @@ def keep_maybe(docs: DataFrame, held: np.ndarray, column: str) -> DataFrame:
     names = docs.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         words = shared.value
         for batch in batches:
             ok = np.ones(batch.num_rows, bool)
@@ -513,7 +509,7 @@ def keep_maybe(docs: DataFrame, held: np.ndarray, column: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names], names=names).filter(pa.array(ok))
 
     schema = docs.schema
-    return docs.select("*", *[c.alias(p) for c, p in zip(_probes(column), probes, strict=True)]).mapInArrow(task, schema)
+    return docs.select("*", *[c.alias(p) for c, p in zip(_probes(column), probes, strict=True)]).mapInArrow(workers.tidy(task), schema)
 
 
 def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int, block_shingles: int) -> DataFrame:
@@ -522,7 +518,6 @@ def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int
     buckets, so this pass is linear in the cluster, unlike the pairs of blocks that it spares."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         for batch in batches:
             ids, of = batch.column("id").to_numpy(), batch.column("cluster").to_numpy()
             for i, j, first, s in _each(batch):
@@ -561,7 +556,7 @@ def thinned(cluster: DataFrame, texts: DataFrame, nodes: DataFrame, buckets: int
 
     rows = keep_maybe(texts, may_hold(cluster, "id"), "id").join(cluster, "id").select("id", "cluster", "text")
     groups = max(1, buckets // 4)
-    shared = rows.mapInArrow(pieces, "b int, keys binary, owners binary, ids binary").groupBy("b").applyInArrow(lambda t: counts(t), "g int, ids binary, counts binary")
+    shared = rows.mapInArrow(workers.tidy(pieces), "b int, keys binary, owners binary, ids binary").groupBy("b").applyInArrow(lambda t: counts(t), "g int, ids binary, counts binary")
     shared = shared.groupBy("g").applyInArrow(lambda t: added(t), "id long, c long")
     least = F.ceil(F.lit(PERCENT) * (F.col("n") + F.ceil(PERCENT * F.col("n") / 100)) / (100 + PERCENT))
     able = cluster.join(nodes.select("id", "n"), "id").join(shared, "id").filter(F.col("c") >= least)

@@ -46,7 +46,6 @@ def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, tie, size): words of every whole text; ``tie`` hashes the text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         for batch in batches:
             buf, off = W.text_bytes(batch.column("text"))
             n = [np.zeros(0, np.int64)]
@@ -55,7 +54,7 @@ def sizes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "tie")), pa.array(np.concatenate(n))], names=["doc_id", "source", "tie", "size"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64("text").alias("tie"), F.col("text").cast("string"))
-    return rows.mapInArrow(task, "doc_id long, source string, tie long, size long")
+    return rows.mapInArrow(workers.tidy(task), "doc_id long, source string, tie long, size long")
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_repeat: float = MAX_REPEAT) -> DataFrame:

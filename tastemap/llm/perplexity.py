@@ -145,7 +145,6 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """(lang, gram, n) over all texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         size = 0
         for batch in batches:
@@ -168,7 +167,7 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     return (
         docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-        .mapInArrow(task, "lang string, gram long, n long")
+        .mapInArrow(workers.tidy(task), "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -326,7 +325,6 @@ def annotate(docs: DataFrame, models: tuple[LanguageModel, LanguageModel], text_
         return pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *[prefix + s for s in (*STATS, *NLL)]])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        workers.free()
         codes: dict[str, int] = {}
         held, open_, size = [], [], 0
         for batch in batches:
@@ -347,9 +345,11 @@ def annotate(docs: DataFrame, models: tuple[LanguageModel, LanguageModel], text_
                 yield from (done(*x) for x in held)
                 held = []
         _score(open_, models, codes)
+        for model in models:
+            model.cache.clear()
         yield from (done(*x) for x in held)
 
-    return docs.mapInArrow(task, schema)
+    return docs.mapInArrow(workers.tidy(task), schema)
 
 
 class _Part:

@@ -302,7 +302,7 @@ def write(docs: DataFrame, tokenizer: str | None = None, folder: str | None = No
         if out:
             yield out.close(part, seq)
 
-    manifest = ranged.mapInArrow(task, "name string, part long, seq long, docs long, ids long, bytes long, sha256 string")
+    manifest = ranged.mapInArrow(workers.tidy(task, "tokens"), "name string, part long, seq long, docs long, ids long, bytes long, sha256 string")
     # one small row per file
     manifest.repartition(1).write.parquet(f"{folder}/manifest")
     return folder
@@ -354,7 +354,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     if (stream.size, at, stream.sha.hexdigest()) != (f["bytes"], f["ids"], f["sha256"]):
                         raise ValueError(f"{f['name']} differs from the manifest")
 
-    return files.mapInArrow(task, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(workers.tidy(task), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def report(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -112,6 +112,19 @@ def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return buf[off[0] : off[-1]], off - off[0]
 
 
+def gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
+    """The batches in lists of ``least`` bytes or more, but for the last list."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def chunks(off: np.ndarray, max_bytes: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` bytes (or one longer row), which bound the task's arrays."""
     i, n = 0, len(off) - 1

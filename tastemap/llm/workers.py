@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
@@ -23,14 +24,18 @@ def kept(kind: str) -> dict:
 
 
 def free(but: str | None = None) -> None:
-    """At the start of a task: frees all tables but those of one kind, and returns unused memory to the
-    system. Where the C library has no such calls, that is left to it."""
-    global _libc
+    """Frees all tables but those of one kind, and returns unused memory to the system."""
     others = [kind for kind in _kept if kind != but]
     for kind in others:
         del _kept[kind]
     if others:
         gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Returns unused memory to the system. Where the C library has no such calls, that is left to it."""
+    global _libc
     pa.default_memory_pool().release_unused()
     try:
         if _libc is None:
@@ -39,3 +44,18 @@ def free(but: str | None = None) -> None:
         _libc.malloc_trim(0)
     except (OSError, AttributeError):
         pass
+
+
+def tidy(task: Callable[[Iterator], Iterator], but: str | None = None) -> Callable[[Iterator], Iterator]:
+    """``task``, which frees memory before it starts and when it has ended, but for the tables of one kind. Spark
+    hands tasks to idle workers in turn, and there are more of them than tasks at a time where a stage had
+    several in a row: what a task leaves would count once for each of them."""
+
+    def run(batches: Iterator) -> Iterator:
+        free(but)
+        try:
+            yield from task(batches)
+        finally:
+            free(but)
+
+    return run

@@ -148,3 +148,43 @@ def test_a_worker_keeps_the_tables_of_one_operator(monkeypatch):
     assert workers.kept("other") == {} and list(workers._kept) == ["other"]
     workers.free()
     assert workers._kept == {}
+
+
+def test_a_task_leaves_no_unused_memory():
+    import re
+
+    from tastemap.llm import workers
+
+    def anonymous_mb():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+    pins = []
+
+    def task(batches):
+        for _ in batches:
+            held = [bytes(2000) for _ in range(100_000)]  # 200 MB, of which scattered pieces stay
+            pins.extend(held[::200])
+            yield anonymous_mb()
+
+    workers.free()
+    before = anonymous_mb()
+    (most,) = workers.tidy(task)(iter([0]))
+    assert most > before + 150
+    assert anonymous_mb() < before + 50
+
+
+def test_a_task_frees_other_tables_when_it_ends(monkeypatch):
+    from tastemap.llm import workers
+
+    monkeypatch.setattr(workers, "_kept", {"old": {"x": 1}})
+
+    def task(batches):
+        assert workers._kept == {}
+        workers.kept("tokens")["x"] = 1
+        yield from batches
+
+    assert list(workers.tidy(task, "tokens")(iter([1, 2]))) == [1, 2]
+    assert workers._kept == {"tokens": {"x": 1}}
+    assert list(workers.tidy(lambda batches: batches)(iter([3]))) == [3]
+    assert workers._kept == {}
