@@ -1,9 +1,10 @@
 """Kernels that decide how long the queries take over large tables, held against their plain forms."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tastemap.operators import mlp
+from tastemap.operators import mlp, retrieve
 
 
 def test_partitions_follow_the_cost_of_a_row():
@@ -42,3 +43,73 @@ def test_pass_over_equals_plain_adam():
     assert np.allclose(b.pass_over(x, y, order, 8), (sse, sae)) and np.allclose(a.theta, b.theta) and a.t == b.t
     assert b.pass_over(x, y, order[:0], 8) == (0.0, 0.0)
     assert np.isfinite(new().pass_over(x, y, order, 1 << 40)).all()
+
+
+class _Box:
+    def __init__(self, value):
+        self.value = value
+
+
+def _vectors(kind, rng):
+    iv, uv = rng.standard_normal((700, 6)), rng.standard_normal((50, 6))
+    if kind == "one long":
+        iv[3] *= 1e6
+    elif kind == "short and long":
+        iv, uv = iv * np.exp(rng.uniform(-60, 20, (700, 1))), uv * np.exp(rng.uniform(-60, 20, (50, 1)))
+    elif kind == "repeated":
+        iv = iv[rng.integers(0, 5, 700)]
+    elif kind == "zero":
+        iv[::2], uv[::3] = 0.0, 0.0
+    elif kind == "huge":
+        iv, uv = iv * 1e9, uv * 1e9
+    elif kind == "out of single precision":
+        iv = iv * 1e30
+    return iv, uv
+
+
+KINDS = ("plain", "one long", "short and long", "repeated", "zero", "huge", "out of single precision")
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("metric, digits", [("dot", 6), ("dot", None), ("euclidean", 6)])
+def test_counts_by_codes_equal_sorting(metric, digits, kind):
+    rng = np.random.default_rng(5)
+    iv, uv = _vectors(kind, rng)
+    ids = rng.permutation(5000)[:700].astype(np.int64)
+    seen = [rng.choice(ids, rng.integers(0, 30), replace=False) for _ in uv]
+    size = np.where(np.arange(50) == 7, retrieve.MANY_TARGETS + 3, rng.integers(0, 9, 50))
+    targets = [np.sort(rng.choice(ids, n, replace=False)) for n in size]
+    lists = lambda a, t: pa.array([list(x) for x in a], pa.list_(t))
+    batch = pa.record_batch({"id": pa.array(np.arange(50)), "features": lists(uv, pa.float64()), "seen": lists(seen, pa.int64()), "targets": lists(targets, pa.int64())})
+    out = pa.Table.from_batches(list(retrieve._counts(metric, digits, _Box(retrieve.Items.of(ids, iv, metric, 64)), False)([batch]))).to_pylist()
+    got = {(r["user_id"], r["item_id"]): r for r in out}
+    assert len(got) == size.sum()
+    for i, u in enumerate(uv):
+        free = np.flatnonzero(~np.isin(ids, seen[i]))
+        key = retrieve._pair_keys(metric, np.broadcast_to(u, (len(free), 6)), iv[free], digits)
+        place = {ids[free[x]]: n for n, x in enumerate(np.lexsort((ids[free], key)))}
+        for t in targets[i]:
+            r = got[(i, t)]
+            assert np.isfinite(r["key"]) == (t in place)
+            assert r["above"] == place.get(t, len(free)) and r["n_scored"] == len(free)
+
+
+@pytest.mark.parametrize("metric", ["dot", "euclidean"])
+@pytest.mark.parametrize("kind", ["plain", "one long", "short and long", "zero"])
+def test_codes_fit_16_bits_and_change_no_key(metric, kind):
+    iv, uv = _vectors(kind, np.random.default_rng(6))
+    items = retrieve.Items.of(np.arange(700), iv, metric, 64)
+    rough = retrieve._Rough(metric, uv, items, None)
+    for b in range(len(items.starts) - 1):
+        scale = rough.scale(b)
+        plain = rough.block(b, slice(None)).copy()
+        scaled = rough.block(b, slice(None), scale)
+        assert (np.frexp(scale)[0] == 0.5).all() and np.abs(scaled).max() < retrieve.SEEN_CODE
+        assert (np.abs(scaled.astype(np.float64) / scale[:, None] - plain) <= 0.01 * rough.err[:, None]).all()
+
+
+def test_tasks_are_many_enough_for_an_even_load():
+    # 90,000 users x 120,000 items were 11 tasks: of 8 cores, most waited for the last three
+    assert retrieve._tasks(90_000 * 120_000) >= 40
+    assert retrieve._tasks(900_000 * 1_200_000) < 2_000 and retrieve._tasks(10**14) < 100_000
+    assert retrieve._tasks(10) == 1 and retrieve._tasks(0) == 0
