@@ -45,6 +45,26 @@ def test_pass_over_equals_plain_adam():
     assert np.isfinite(new().pass_over(x, y, order, 1 << 40)).all()
 
 
+@pytest.mark.parametrize("catalogue", [False, True])
+def test_cells_hold_training_rows_first(catalogue):
+    rng = np.random.RandomState(2)
+    x, y, val, item = rng.randn(40, 3), rng.randn(40), rng.rand(40) < 0.3, rng.randint(0, 5, 40) * 10
+    block = _Box((np.arange(5) * 10, rng.randn(5, 2))) if catalogue else None
+    batch = pa.record_batch({"f": pa.array(list(x), pa.list_(pa.float64())), "y": y, "_val": val, "item_id": item})
+    (packed,) = mlp._pack("f", "y", block)([batch])
+    ((rows, got_y, got_val),) = mlp._cells(packed, block)
+    full = np.hstack([x, block.value[1][item // 10]]) if catalogue else x
+    by = np.concatenate([np.flatnonzero(~val), np.flatnonzero(val)])  # in the order they came
+    assert (np.diff(got_val.astype(int)) >= 0).all() and (got_y == y[by]).all()
+    assert (rows.into(np.empty((40, rows.dim)), slice(None)) == full[by]).all()
+    assert all((a == b).all() for a, b in zip(next(mlp._unpack_rows(packed, block)), (full[by], y[by], val[by])))
+    idx = rng.permutation(20)
+    new = lambda: mlp._Adam(mlp.init_theta([rows.dim, 4, 1], 0), *np.zeros((2, 4 * rows.dim + 9)), 0, [rows.dim, 4, 1], 0.01)
+    a, b = new(), new()
+    assert a.pass_over(rows, got_y, idx, 8) == b.pass_over(full[by], y[by], idx, 8) and (a.theta == b.theta).all()
+
+
+
 class _Box:
     def __init__(self, value):
         self.value = value
